@@ -1,0 +1,146 @@
+"""Registered queries: one per operator of the inventory, each reading the
+driver's tables (or views Spark derives from them) at ``sf_dir``.
+
+Every callable is ``(spark, sf_dir) -> DataFrame``.  Float outputs are
+rounded to 6 digits and arrays joined with '|' so that results compare
+with the DuckDB oracle in ``oracle.py`` (same column names).
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from .operators import eda
+from .operators.profile import column_profile, profile_dataset
+from .sources.dirty import labeled_documents, lineitem_dirty, orders_dirty
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ROUND = 6
+
+
+def query(name: str):
+    def deco(fn):
+        QUERIES[name] = fn
+        return fn
+    return deco
+
+
+def joined(col: str) -> F.Column:
+    """Array -> 'a|b|c' text (null stays null)."""
+    return F.when(F.col(col).isNotNull(), F.concat_ws("|", col))
+
+
+def rounded(df: DataFrame, digits: int = ROUND) -> DataFrame:
+    """Round every double column (sums depend on partitioning in the last bits)."""
+    out = []
+    for f in df.schema.fields:
+        col = F.col(f"`{f.name}`")
+        if f.dataType.typeName() in ("double", "float"):
+            out.append(F.round(col, digits).alias(f.name))
+        else:
+            out.append(col)
+    return df.select(*out)
+
+
+# --------------------------------------------------------------- A sources
+
+@query("a01_load_orders_dirty")
+def a01(spark, sf):
+    return rounded(orders_dirty(spark, sf))
+
+
+@query("a01_load_lineitem_dirty")
+def a01b(spark, sf):
+    return rounded(lineitem_dirty(spark, sf))
+
+
+# --------------------------------------------------------------- B / C profile
+
+@query("b03_infer_dtype")
+def b03(spark, sf):
+    p = column_profile(orders_dirty(spark, sf), "y")
+    return p.select("name", "dtype", "inferred_dtype")
+
+
+@query("c00_column_profile")
+def c00(spark, sf):
+    od = orders_dirty(spark, sf)
+    leaky = eda.leaky_columns(od, "y")
+    p = column_profile(od, "y", leaky_cols=leaky)
+    return p.withColumn("top_categories", joined("top_categories"))
+
+
+@query("c00_column_profile_lineitem")
+def c00b(spark, sf):
+    p = column_profile(lineitem_dirty(spark, sf))
+    return p.withColumn("top_categories", joined("top_categories"))
+
+
+# --------------------------------------------------------------- D reports
+
+@query("d01_profile_dataset")
+def d01(spark, sf):
+    return profile_dataset(orders_dirty(spark, sf))
+
+
+@query("d02_detect_dtypes")
+def d02(spark, sf):
+    return eda.detect_dtypes(orders_dirty(spark, sf), "y")
+
+
+@query("d03_check_missing")
+def d03(spark, sf):
+    return eda.check_missing(orders_dirty(spark, sf))
+
+
+@query("d03_check_missing_lineitem")
+def d03b(spark, sf):
+    return eda.check_missing(lineitem_dirty(spark, sf))
+
+
+@query("d04_class_balance")
+def d04(spark, sf):
+    return eda.class_balance(labeled_documents(spark, sf), "toxic")
+
+
+@query("d04_class_balance_orders")
+def d04b(spark, sf):
+    return eda.class_balance(orders_dirty(spark, sf), "y")
+
+
+@query("d05_detect_leakage")
+def d05(spark, sf):
+    return rounded(eda.detect_leakage(orders_dirty(spark, sf), "y"))
+
+
+@query("d06_high_correlations")
+def d06(spark, sf):
+    return rounded(eda.high_correlations(lineitem_dirty(spark, sf)))
+
+
+@query("d06_high_correlations_orders")
+def d06b(spark, sf):
+    return rounded(eda.high_correlations(orders_dirty(spark, sf), "y"))
+
+
+@query("d07_detect_outliers")
+def d07(spark, sf):
+    return rounded(eda.detect_outliers(orders_dirty(spark, sf), "y"))
+
+
+@query("d07_detect_outliers_lineitem")
+def d07b(spark, sf):
+    return rounded(eda.detect_outliers(lineitem_dirty(spark, sf)))
+
+
+@query("d08_duplicate_count")
+def d08(spark, sf):
+    return eda.duplicate_count(orders_dirty(spark, sf))
+
+
+@query("d08_duplicate_count_part")
+def d08b(spark, sf):
+    from .sources.load import table
+    return eda.duplicate_count(table(spark, sf, "part").select("p_name", "p_brand", "p_type", "p_size"))
