@@ -34,13 +34,15 @@ def _cond(c: Column, cond: Column | None) -> Column:
 
 
 def order_statistics(df: DataFrame, targets: list[tuple], accuracy: int = ACCURACY,
-                     max_collect: int = MAX_COLLECT) -> list[float | None]:
+                     max_collect: int = MAX_COLLECT, brackets: list | None = None) -> list[float | None]:
     """Exact r-th smallest non-null value for each target.
 
     ``targets`` holds tuples ``(value_expr, cond_expr_or_None, r, n, group)``:
     ``n`` non-null values satisfy ``cond``, ``r`` is a 0-based rank (< n) and
     targets with the same ``group`` read the same values (they share the
-    final collect).  Returns the values in target order.
+    final collect).  ``brackets`` (optional, per target) are first-round
+    approximate (low, high) values computed by the caller's own pass.
+    Returns the values in target order.
     """
     k = len(targets)
     vals: list = [None] * k
@@ -74,8 +76,12 @@ def order_statistics(df: DataFrame, targets: list[tuple], accuracy: int = ACCURA
             if not pending:
                 break
         # step 1: approximate values just below and above the rank, inside the region
+        if _round == 0 and brackets is not None:
+            given = {i: brackets[i] for i in pending}
+        else:
+            given = None
         exprs = []
-        for i in pending:
+        for i in ([] if given else pending):
             v, cond, r = targets[i][0].cast("double"), targets[i][1], targets[i][2]
             rel = (r - below[i]) / max(size[i] - 1, 1)
             eps = MARGIN / accuracy
@@ -83,13 +89,16 @@ def order_statistics(df: DataFrame, targets: list[tuple], accuracy: int = ACCURA
             exprs.append(F.percentile_approx(F.when(m, v),
                                              [max(rel - eps, 0.0), min(rel + eps, 1.0)],
                                              accuracy).alias(f"a{i}"))
-        row = df.agg(*exprs).first()
-        brackets = {i: row[f"a{i}"] for i in pending}
+        if given:
+            found = given
+        else:
+            row = df.agg(*exprs).first()
+            found = {i: row[f"a{i}"] for i in pending}
         # step 2: exact counts left of / at / inside / at the top of each bracket
         exprs = []
         for i in pending:
             v, cond = targets[i][0].cast("double"), targets[i][1]
-            b_lo, b_hi = brackets[i]
+            b_lo, b_hi = found[i]
             base = v.isNotNull() if cond is None else (v.isNotNull() & cond)
             exprs += [F.count_if(base & (v < F.lit(b_lo))).alias(f"b{i}"),
                       F.count_if(base & (v == F.lit(b_lo))).alias(f"l{i}"),
@@ -99,7 +108,7 @@ def order_statistics(df: DataFrame, targets: list[tuple], accuracy: int = ACCURA
         still = []
         for i in pending:
             r = targets[i][2]
-            b_lo, b_hi = brackets[i]
+            b_lo, b_hi = found[i]
             nb, nl, nm, nh = row[f"b{i}"], row[f"l{i}"], row[f"m{i}"], row[f"h{i}"]
             if r < nb:                       # answer < b_lo
                 size[i] = nb - below[i]
@@ -139,13 +148,29 @@ def _region(v: Column, lo, hi, cond: Column | None) -> Column:
     return m
 
 
+def bracket_exprs(cols: list, probs: list[float], prefix: str = "qb",
+                  accuracy: int = ACCURACY) -> list[Column]:
+    """Aggregate expressions a caller adds to its own pass: count and the
+    approximate values just below/above each probability of each column."""
+    eps = MARGIN / accuracy
+    grid = [x for p in probs for x in (max(p - eps, 0.0), min(p + eps, 1.0))]
+    out = []
+    for j, e in enumerate(cols):
+        e = F.col(e) if isinstance(e, str) else e
+        out += [F.count(e).alias(f"{prefix}n{j}"),
+                F.percentile_approx(e.cast("double"), grid, accuracy).alias(f"{prefix}a{j}")]
+    return out
+
+
 def exact_quantiles(df: DataFrame, cols: list, probs: list[float],
                     conds: list | None = None, approx: bool = False,
-                    accuracy: int = ACCURACY) -> list[list[float | None]]:
+                    accuracy: int = ACCURACY, pre_row=None, prefix: str = "qb") -> list[list[float | None]]:
     """Linear-interpolated quantiles (pandas/DuckDB semantics) for each column.
 
     ``cols`` are names or Column expressions.  ``approx=True`` returns
-    ``percentile_approx`` in a single pass (no interpolation).
+    ``percentile_approx`` in a single pass (no interpolation).  ``pre_row``
+    is a Row holding ``bracket_exprs(cols, probs, prefix)`` computed by the
+    caller's pass, which saves the first scan.
     Returns one list of values (one per prob) per column; None if no values.
     """
     exprs = [F.col(c) if isinstance(c, str) else c for c in cols]
@@ -155,30 +180,34 @@ def exact_quantiles(df: DataFrame, cols: list, probs: list[float],
                        .alias(f"p{j}") for j, (e, cd) in enumerate(zip(exprs, conds))]).first()
         return [list(row[f"p{j}"]) if row[f"p{j}"] is not None else [None] * len(probs)
                 for j in range(len(exprs))]
-    counts = df.agg(*[F.count(_cond(e, cd)).alias(f"n{j}")
-                      for j, (e, cd) in enumerate(zip(exprs, conds))]).first()
-    targets, plan = [], []
+    if pre_row is None:
+        pre_row = df.agg(*bracket_exprs([_cond(e, cd) for e, cd in zip(exprs, conds)], probs,
+                                        prefix, accuracy)).first()
+    targets, plan, brackets = [], [], []
     for j, (e, cd) in enumerate(zip(exprs, conds)):
-        n = counts[f"n{j}"]
+        n = pre_row[f"{prefix}n{j}"]
+        approx_vals = pre_row[f"{prefix}a{j}"]
         row_plan = []
-        for p in probs:
+        for k, p in enumerate(probs):
             if n == 0:
                 row_plan.append(None)
                 continue
+            br = (approx_vals[2 * k], approx_vals[2 * k + 1])
             pos = (n - 1) * p
             a = int(math.floor(pos))
             b = min(a + 1, n - 1)
             frac = pos - a
             ia = len(targets)
             targets.append((e, cd, a, n, j))
+            brackets.append(br)
             ib = ia
             if frac > 0 and b != a:
                 ib = len(targets)
                 targets.append((e, cd, b, n, j))
+                brackets.append(br)
             row_plan.append((ia, ib, frac))
         plan.append(row_plan)
-    # dedupe identical (expr, rank) targets is not needed for correctness
-    vals = order_statistics(df, targets, accuracy=accuracy)
+    vals = order_statistics(df, targets, accuracy=accuracy, brackets=brackets)
     out = []
     for row_plan in plan:
         res = []

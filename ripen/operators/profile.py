@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
-from ..functions.quantile import exact_quantiles
+from ..functions.quantile import bracket_exprs, exact_quantiles
 from ..functions.stats import c, pandas_skew, safe_corr, top_k_values, value_counts
 from ..functions.types import (dtype_label, is_categorical, is_datetime, is_numeric,
                                is_stat_numeric)
@@ -106,6 +106,8 @@ def column_profile(df: DataFrame, target: str | None = None, leaky_cols=None,
         v = c(n).cast("double")
         exprs += [F.count(v).alias(f"cnt{i}"), F.avg(v).alias(f"avg{i}"),
                   F.stddev_samp(v).alias(f"std{i}"), F.skewness(v).alias(f"skw{i}")]
+    if not approx:
+        exprs += bracket_exprs(stat_cols, [0.25, 0.75], prefix="qb")
     for i, n in enumerate(text_cols):
         a, b = numeric_text_share_exprs(n)
         exprs += [a.alias(f"tn{i}"), b.alias(f"tm{i}")]
@@ -116,11 +118,21 @@ def column_profile(df: DataFrame, target: str | None = None, leaky_cols=None,
     agg = df.agg(*exprs).first()
     n_rows = agg["__n"]
 
-    # quartiles for columns with enough values (exact selection, 3 scans)
+    # quartiles for columns with enough values: the first bracket came with pass 1
     quart_cols = [n for i, n in enumerate(stat_cols) if agg[f"cnt{i}"] > MIN_STATS_VALUES]
-    quarts = dict(zip(quart_cols, exact_quantiles(df, quart_cols, [0.25, 0.75], approx=approx))) \
-        if quart_cols else {}
-    # pass: fence outliers for all those columns at once
+    quarts = {}
+    if quart_cols:
+        if approx:
+            qv = exact_quantiles(df, quart_cols, [0.25, 0.75], approx=True)
+        else:
+            keep = [stat_cols.index(n) for n in quart_cols]
+            pre = {}
+            for j, i in enumerate(keep):
+                pre[f"qbn{j}"] = agg[f"qbn{i}"]
+                pre[f"qba{j}"] = agg[f"qba{i}"]
+            qv = exact_quantiles(df, quart_cols, [0.25, 0.75], pre_row=pre)
+        quarts = dict(zip(quart_cols, qv))
+    # one pass: fence outliers for all those columns
     outl = {}
     if quarts:
         oexprs = []
@@ -131,20 +143,27 @@ def column_profile(df: DataFrame, target: str | None = None, leaky_cols=None,
         orow = df.agg(*oexprs).first()
         outl = {n: orow[f"o{i}"] for i, n in enumerate(quart_cols)}
 
-    # long-form value counts: distinct per column, top categories per text column
-    counts = value_counts(df, names).persist()
-    try:
-        if approx:
-            uniq = dict(df.agg(*[F.approx_count_distinct(c(n)).alias(n) for n in names]).first().asDict())
-        else:
-            uniq = {r["name"]: r["u"] for r in counts.groupBy("name")
-                    .agg(F.count("value").alias("u")).collect()}
-        tops: dict = {}
+    # long-form value counts: distinct per column and top categories of text
+    # columns in ONE query (both branches reuse the same counts exchange)
+    uniq: dict = {}
+    tops: dict = {}
+    if approx:
+        uniq = dict(df.agg(*[F.approx_count_distinct(c(n)).alias(n) for n in names]).first().asDict())
         if text_cols:
+            counts = value_counts(df, text_cols)
             for r in top_k_values(counts, TOP_CATEGORIES, text_cols).collect():
                 tops.setdefault(r["name"], []).append((r["rank"], r["value"]))
-    finally:
-        counts.unpersist()
+    else:
+        counts = value_counts(df, names)
+        u = counts.groupBy("name").agg(F.count("value").alias("u")).select(
+            "name", F.lit(None).cast("string").alias("value"), F.col("u").alias("k"), F.lit(0).alias("kind"))
+        t = top_k_values(counts, TOP_CATEGORIES, text_cols).select(
+            "name", "value", F.col("rank").cast("bigint").alias("k"), F.lit(1).alias("kind"))
+        for r in u.unionByName(t).collect():
+            if r["kind"] == 0:
+                uniq[r["name"]] = r["k"]
+            else:
+                tops.setdefault(r["name"], []).append((r["k"], r["value"]))
 
     corr = {pair: agg[f"r{k}"] for k, pair in enumerate(pairs)}
     partners = correlated_partners(corr, corr_cols, corr_limit)

@@ -8,7 +8,7 @@ textbook SQL of its rule.
 
 from __future__ import annotations
 
-from .sources.dirty import LABELED_DOCUMENTS_SQL, LINEITEM_DIRTY_SQL, ORDERS_DIRTY_SQL
+from .sources.dirty import LABELED_DOCUMENTS_SQL, LINEITEM_DIRTY_SQL, ORDERS_DIRTY_SQL, sql_hash52, sql_u
 
 ORACLE: dict[str, str] = {}
 
@@ -253,3 +253,87 @@ oracle("d08_duplicate_count",
        "(SELECT count(*) AS k FROM orders_dirty GROUP BY " + ", ".join(n for n, _ in OD_COLS) + ") g")
 oracle("d08_duplicate_count_part", "SELECT CAST(coalesce(sum(k - 1), 0) AS BIGINT) AS n_duplicates FROM "
        "(SELECT count(*) AS k FROM part GROUP BY p_name, p_brand, p_type, p_size) g")
+
+
+# ----------------------------------------------------------------- E cleaning
+
+def sel(cols, repl: dict | None = None, drop=(), extra=()) -> str:
+    """Projection of a view's columns: doubles rounded, some replaced."""
+    repl = repl or {}
+    out = []
+    for n, t in cols:
+        if n in drop:
+            continue
+        if n in repl:
+            e, rt = repl[n]
+            out.append(f"{r6(e) if rt == 'double' else e} AS {n}")
+        else:
+            out.append(f"{r6(n) if t == 'double' else n} AS {n}")
+    out += list(extra)
+    return ", ".join(out)
+
+
+def num_extract(n: str) -> str:
+    return rf"TRY_CAST(NULLIF(regexp_extract({n}, '(\d+\.?\d*)', 1), '') AS DOUBLE)"
+
+
+MED_AMOUNT = "(SELECT quantile_cont(amount, 0.5) FROM orders_dirty)"
+
+oracle("e01_fix_dtypes", with_(OD) + "SELECT " + sel(OD_COLS, {
+    "priority": (num_extract("priority"), "double"), "tenure": (num_extract("tenure"), "double")})
+    + " FROM orders_dirty")
+oracle("e02_drop_duplicates", with_(OD) + "SELECT DISTINCT " + sel(OD_COLS) + " FROM orders_dirty")
+oracle("e03_remove_leaky", with_(OD) + "SELECT " + sel(OD_COLS, drop=("leak_label", "leak_days"))
+       + " FROM orders_dirty")
+oracle("e04_fill_median", with_(OD) + "SELECT " + sel(OD_COLS, {
+    "amount": (f"coalesce(amount, {MED_AMOUNT})", "double")}) + " FROM orders_dirty")
+oracle("e05_fill_mode", with_(OD) + "SELECT " + sel(OD_COLS, {
+    "status": ("coalesce(status, (SELECT status FROM orders_dirty WHERE status IS NOT NULL "
+               "GROUP BY status ORDER BY count(*) DESC, status LIMIT 1))", "string")}) + " FROM orders_dirty")
+_Z = (f"sqrt(-2.0 * ln(1.0 - {sql_u('id', 'jitter42_a')})) * cos(2.0 * pi() * {sql_u('id', 'jitter42_b')})")
+oracle("e06_fill_jitter", with_(OD) + "SELECT " + sel(OD_COLS, {
+    "amount": (f"coalesce(amount, {MED_AMOUNT} + 0.1 * (SELECT stddev_samp(amount) FROM orders_dirty) * {_Z})",
+               "double")}) + " FROM orders_dirty")
+oracle("e07_fill_constant", with_(OD) + "SELECT " + sel(OD_COLS, {
+    "status": ("coalesce(status, 'missing')", "string"),
+    "amount": ("coalesce(amount, 0.0)", "double")}) + " FROM orders_dirty")
+_Q = "(SELECT quantile_cont(amount, 0.25) AS q1, quantile_cont(amount, 0.75) AS q3 FROM orders_dirty)"
+oracle("e08_clip_outliers", with_(OD, f"qa AS {_Q}") + "SELECT " + sel(OD_COLS, {
+    "amount": ("CASE WHEN amount IS NULL THEN NULL ELSE greatest(least(amount, q3 + 1.5 * (q3 - q1)), "
+               "q1 - 1.5 * (q3 - q1)) END", "double")}) + " FROM orders_dirty, qa")
+oracle("e09_drop_high_missing", with_(LD) + "SELECT " + sel(LD_COLS, drop=("l_tax",)) + " FROM lineitem_dirty")
+oracle("e10_reduce_cardinality", with_(OD, "top_city AS (SELECT city FROM orders_dirty WHERE city IS NOT NULL "
+       "GROUP BY city ORDER BY count(*) DESC, city LIMIT 10)") + "SELECT " + sel(OD_COLS, {
+           "city": ("CASE WHEN city IN (SELECT city FROM top_city) THEN city ELSE 'Other' END", "string")})
+       + " FROM orders_dirty")
+oracle("e11_drop_correlated", with_(LD) + "SELECT " + sel(LD_COLS, drop=("gross",)) + " FROM lineitem_dirty")
+
+# ----------------------------------------------------------------- F features
+
+oracle("f01_encode_onehot", with_(OD) + "SELECT " + sel(OD_COLS, drop=("status",), extra=[
+    f"coalesce(status, 'missing') = '{v}' AS status_{v}" for v in ("F", "O", "P", "missing")])
+    + " FROM orders_dirty")
+oracle("f01_encode_onehot_events", "SELECT event_id, round(value, 6) AS value, " + ", ".join(
+    f"event_type = '{v}' AS event_type_{v}" for v in ("click", "error", "purchase", "signup", "view"))
+    + " FROM events")
+oracle("f02_encode_label", with_(OD) + "SELECT " + sel(OD_COLS, {
+    "city": ("CAST(dense_rank() OVER (ORDER BY coalesce(city, 'missing')) - 1 AS BIGINT)", "bigint")})
+    + " FROM orders_dirty")
+oracle("f02_encode_label_part", "SELECT p_partkey, CAST(dense_rank() OVER (ORDER BY coalesce(p_name, 'missing')) - 1 "
+       "AS BIGINT) AS p_name FROM part")
+oracle("f03_encode_target", with_(OD) + "SELECT " + sel(OD_COLS, {
+    "city": ("avg(y) OVER (PARTITION BY coalesce(city, 'missing'))", "double")}) + " FROM orders_dirty")
+oracle("f04_normalize_standard",
+       "WITH m AS (SELECT quantile_cont(n_chars, 0.5) AS med FROM documents), "
+       "f AS (SELECT doc_id, coalesce(n_chars::DOUBLE, med) AS x FROM documents, m) "
+       "SELECT doc_id, round((x - avg(x) OVER ()) / stddev_samp(x) OVER (), 6) AS n_chars FROM f")
+oracle("f05_normalize_robust",
+       "WITH m AS (SELECT quantile_cont(value, 0.5) AS med FROM events), "
+       "f AS (SELECT event_id, coalesce(value, med) AS x FROM events, m), "
+       "q AS (SELECT quantile_cont(x, 0.25) AS q1, quantile_cont(x, 0.5) AS q2, quantile_cont(x, 0.75) AS q3 FROM f) "
+       "SELECT event_id, round((x - q2) / (q3 - q1), 6) AS value FROM f, q")
+oracle("f06_log_transform", with_(OD) + "SELECT " + sel(OD_COLS, {
+    "los_days": ("ln(1 + coalesce(los_days, (SELECT quantile_cont(los_days, 0.5) FROM orders_dirty)))", "double")})
+    + " FROM orders_dirty")
+oracle("f09_create_interaction", with_(LD) + "SELECT " + sel(LD_COLS, extra=[
+    "round(l_quantity * l_extendedprice, 6) AS l_quantity_x_l_extendedprice"]) + " FROM lineitem_dirty")

@@ -144,3 +144,124 @@ def d08(spark, sf):
 def d08b(spark, sf):
     from .sources.load import table
     return eda.duplicate_count(table(spark, sf, "part").select("p_name", "p_brand", "p_type", "p_size"))
+
+
+# --------------------------------------------------------------- E cleaning
+from .operators import clean, features  # noqa: E402
+from .sources.load import table  # noqa: E402
+
+
+@query("e01_fix_dtypes")
+def e01(spark, sf):
+    return rounded(clean.fix_dtypes(orders_dirty(spark, sf), "y"))
+
+
+@query("e02_drop_duplicates")
+def e02(spark, sf):
+    return rounded(clean.drop_duplicates(orders_dirty(spark, sf)))
+
+
+@query("e03_remove_leaky")
+def e03(spark, sf):
+    return rounded(clean.remove_leaky(orders_dirty(spark, sf), "y"))
+
+
+@query("e04_fill_median")
+def e04(spark, sf):
+    return rounded(clean.fill_median(orders_dirty(spark, sf), "amount", "y"))
+
+
+@query("e05_fill_mode")
+def e05(spark, sf):
+    return rounded(clean.fill_mode(orders_dirty(spark, sf), "status", "y"))
+
+
+@query("e06_fill_jitter")
+def e06(spark, sf):
+    return rounded(clean.fill_jitter(orders_dirty(spark, sf), "amount", key="id", seed=42, target="y"))
+
+
+@query("e07_fill_constant")
+def e07(spark, sf):
+    return rounded(clean.fill_constant(orders_dirty(spark, sf), ["status", "amount"], target="y"))
+
+
+@query("e08_clip_outliers")
+def e08(spark, sf):
+    return rounded(clean.clip_outliers(orders_dirty(spark, sf), "amount", "y"))
+
+
+@query("e09_drop_high_missing")
+def e09(spark, sf):
+    return rounded(clean.drop_high_missing(lineitem_dirty(spark, sf)))
+
+
+@query("e10_reduce_cardinality")
+def e10(spark, sf):
+    return rounded(clean.reduce_cardinality(orders_dirty(spark, sf), "city", target="y"))
+
+
+@query("e11_drop_correlated")
+def e11(spark, sf):
+    return rounded(clean.drop_correlated(lineitem_dirty(spark, sf)))
+
+
+# --------------------------------------------------------------- F features
+
+@query("f01_encode_onehot")
+def f01(spark, sf):
+    return rounded(features.encode_onehot(orders_dirty(spark, sf), "status", target="y"))
+
+
+@query("f01_encode_onehot_events")
+def f01b(spark, sf):
+    ev = table(spark, sf, "events").select("event_id", "event_type", "value")
+    return rounded(features.encode_onehot(ev, "event_type"))
+
+
+@query("f02_encode_label")
+def f02(spark, sf):
+    return rounded(features.encode_label(orders_dirty(spark, sf), "city", target="y"))
+
+
+@query("f02_encode_label_part")
+def f02b(spark, sf):
+    p = table(spark, sf, "part").select("p_partkey", "p_name")
+    return features.encode_label(p, "p_name")
+
+
+@query("f03_encode_target")
+def f03(spark, sf):
+    return rounded(features.encode_target(orders_dirty(spark, sf), "city", "y"))
+
+
+@query("f04_normalize_standard")
+def f04(spark, sf):
+    d = table(spark, sf, "documents").select("doc_id", "n_chars")
+    return rounded(features.normalize_standard(d, "n_chars"))
+
+
+@query("f05_normalize_robust")
+def f05(spark, sf):
+    ev = table(spark, sf, "events").select("event_id", "value")
+    return rounded(features.normalize_robust(ev, "value"))
+
+
+@query("f06_log_transform")
+def f06(spark, sf):
+    return rounded(features.log_transform(orders_dirty(spark, sf), "los_days", "y"))
+
+
+@query("f07_feature_importance")
+def f07(spark, sf):
+    return features.feature_importance(orders_dirty(spark, sf), "y")
+
+
+@query("f08_select_top_k")
+def f08(spark, sf):
+    return rounded(features.select_top_k(orders_dirty(spark, sf), "y", k=5))
+
+
+@query("f09_create_interaction")
+def f09(spark, sf):
+    return rounded(features.create_interaction(lineitem_dirty(spark, sf), "l_quantity", "l_extendedprice"))
