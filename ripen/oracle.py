@@ -337,3 +337,117 @@ oracle("f06_log_transform", with_(OD) + "SELECT " + sel(OD_COLS, {
     + " FROM orders_dirty")
 oracle("f09_create_interaction", with_(LD) + "SELECT " + sel(LD_COLS, extra=[
     "round(l_quantity * l_extendedprice, 6) AS l_quantity_x_l_extendedprice"]) + " FROM lineitem_dirty")
+oracle("f08_select_top_k", with_(OD) + "SELECT " + sel(
+    [x for x in OD_COLS if x[0] in ("amount", "total2", "total", "id", "city", "y")]) + " FROM orders_dirty")
+
+
+# ----------------------------------------------------------------- G balance
+
+def _split_sql(view_sql, view, cols, target, key, frac_sql, distinct=False, what="split"):
+    src = f"(SELECT DISTINCT * FROM {view})" if distinct else view
+    h = f"md5(CAST({key} AS VARCHAR) || ':42')"
+    ranked = (f"ranked AS (SELECT *, row_number() OVER (PARTITION BY {target} ORDER BY {h}) AS rn, "
+              f"count(*) OVER (PARTITION BY {target}) AS nc FROM {src} s)")
+    if what == "split":
+        return (with_(*view_sql, ranked) + "SELECT " + sel(cols) +
+                f", CASE WHEN rn <= floor({frac_sql} * nc) THEN 'test' ELSE 'train' END AS split FROM ranked")
+    return (with_(*view_sql, ranked) + "SELECT " + sel(cols) +
+            " FROM ranked WHERE rn <= (SELECT min(c) FROM (SELECT count(*) AS c FROM "
+            f"{src} s2 WHERE {target} IS NOT NULL GROUP BY {target}) m)")
+
+
+LDOC_COLS = [("doc_id", "bigint"), ("quality", "int"), ("toxic", "int"), ("lang", "string"),
+             ("source", "string"), ("n_chars", "bigint")]
+oracle("g01_train_test_split", _split_sql([LDOC], "labeled_documents", LDOC_COLS, "toxic", "doc_id", "0.2"))
+oracle("g01_train_test_split_orders", _split_sql([OD], "orders_dirty", OD_COLS, "y", "id", "0.2", distinct=True))
+oracle("g03_undersample", _split_sql([LDOC], "labeled_documents", LDOC_COLS, "toxic", "doc_id", "0.2",
+                                     what="under"))
+oracle("g03_undersample_orders", _split_sql([OD], "orders_dirty", OD_COLS, "y", "id", "0.2", distinct=True,
+                                            what="under"))
+oracle("g04_validate_no_leakage", with_(OD, *leakage_ctes("orders_dirty", OD_COLS, "y")) +
+       "SELECT name, round(purity, 6) AS purity, round(gain, 6) AS gain FROM detect_leakage WHERE is_leaky")
+_FEATS = [n for n, _ in OD_COLS if n != "y"]
+_NULLS_ALL = " + ".join(f"count(*) FILTER (WHERE {n} IS NULL)" for n, _ in OD_COLS)
+_NULLS_FEAT = " + ".join(f"count(*) FILTER (WHERE {n} IS NULL)" for n in _FEATS)
+_N_TEXT = sum(1 for n, t in OD_COLS if t == "string" and n != "y")
+
+
+def _readiness_sql(crit: str, high: str) -> str:
+    return (f"greatest(least(1.0 - 0.30 * ({_NULLS_FEAT}) / (count(*) * {len(_FEATS)}.0) "
+            f"- 0.25 * least({_N_TEXT} / {len(_FEATS)}.0, 1.0) - 0.20 * ({crit}) - 0.08 * ({high}), 1.0), 0.0)")
+
+
+oracle("g05_data_report", with_(OD) +
+       f"SELECT count(*) AS n_rows, CAST({len(OD_COLS)} AS BIGINT) AS n_cols, CAST({_NULLS_ALL} AS BIGINT) AS nulls, "
+       f"CAST({_N_TEXT} AS BIGINT) AS unencoded_text, CAST(0 AS BIGINT) AS issues_resolved, "
+       f"CAST(0 AS BIGINT) AS issues_total, round({_readiness_sql('0', '0')}, 2) AS readiness FROM orders_dirty")
+
+# ----------------------------------------------------------------- H issues
+
+
+def issues_ctes() -> list[str]:
+    """Measured issue table of orders_dirty (same rules as detect_issues)."""
+    pctes, body = profile_ctes("orders_dirty", OD_COLS, "y", True)
+    nums = [n for n, t in OD_COLS if t in NUMERIC and n != "y"]
+    pairs = " UNION ALL ".join(
+        f"SELECT '{a}' AS col1, '{b}' AS col2, {i} AS i, {j} AS j, corr({a}, {b}) AS r FROM orders_dirty"
+        for i, a in enumerate(nums) for j, b in enumerate(nums) if i < j)
+    return [OD, *leakage_ctes("orders_dirty", OD_COLS, "y"), *pctes,
+            f"prof AS ({body})",
+            f"hc AS (SELECT * FROM ({pairs}) x WHERE NOT isnan(r) AND abs(r) > 0.85)",
+            "hc_keep AS (SELECT * FROM hc WHERE col1 NOT IN (SELECT col2 FROM hc) "
+            "AND col2 NOT IN (SELECT col2 FROM hc h2 WHERE h2.i < hc.i OR (h2.i = hc.i AND h2.j < hc.j)))",
+            "dups AS (SELECT coalesce(sum(k - 1), 0) AS d FROM (SELECT count(*) AS k FROM orders_dirty GROUP BY "
+            + ", ".join(n for n, _ in OD_COLS) + ") g)",
+            "bal AS (SELECT max(c)::DOUBLE / greatest(min(c), 1) AS ratio FROM "
+            "(SELECT count(*) AS c FROM orders_dirty WHERE y IS NOT NULL GROUP BY y) g)",
+            "issues AS ("
+            "SELECT 'orders' AS dataset, 'leakage_' || name AS issue_id, 'leakage' AS issue_type, name AS \"column\", "
+            "'critical' AS severity, name || ' predicts y almost perfectly' AS description, "
+            "'remove_leaky_col' AS recommended_action, false AS resolved FROM prof WHERE is_leaky "
+            "UNION ALL SELECT 'orders', 'missing_' || name, 'missing', name, "
+            "CASE WHEN missing_pct >= 0.4 THEN 'high' WHEN missing_pct >= 0.1 THEN 'medium' ELSE 'low' END, "
+            "CAST(missing_count AS VARCHAR) || ' missing values in ' || name, "
+            "CASE WHEN missing_pct >= 0.4 THEN 'drop_high_missing_col' WHEN dtype = 'numeric' "
+            "THEN 'fill_missing_median' ELSE 'fill_missing_mode' END, false FROM prof WHERE missing_pct > 0 "
+            "UNION ALL SELECT 'orders', 'dtype_' || name, 'dtype', name, 'medium', "
+            "name || ' holds numbers stored as text', 'fix_dtypes', false FROM prof "
+            "WHERE dtype = 'categorical' AND inferred_dtype = 'numeric' "
+            "UNION ALL SELECT 'orders', 'outlier_' || name, 'outlier', name, 'medium', "
+            "name || ' has values outside the 1.5 IQR fences', 'clip_outliers', false FROM prof WHERE has_outliers "
+            "UNION ALL SELECT 'orders', 'outlier_' || name, 'outlier', name, 'low', name || ' is skewed', "
+            "'log_transform', false FROM prof WHERE is_skewed AND NOT has_outliers "
+            "UNION ALL SELECT 'orders', 'cardinality_' || name, 'cardinality', name, 'medium', "
+            "name || ' has ' || CAST(unique_count AS VARCHAR) || ' distinct values', 'reduce_cardinality', false "
+            "FROM prof WHERE is_high_cardinality "
+            "UNION ALL SELECT 'orders', 'correlation_' || col2, 'correlation', col2, 'medium', "
+            "col2 || ' duplicates ' || col1, 'drop_correlated_col', false FROM hc_keep "
+            "UNION ALL SELECT 'orders', 'duplicate_table', 'duplicate', NULL, 'high', "
+            "CAST(d AS VARCHAR) || ' duplicate rows', 'drop_duplicates', false FROM dups WHERE d > 0 "
+            "UNION ALL SELECT 'orders', 'imbalance_y', 'imbalance', 'y', 'high', "
+            "'class ratio of y is 1.5 or more', 'handle_imbalance_smote', false FROM bal WHERE ratio >= 1.5)",
+            ]
+
+
+ISSUE_COLS = 'dataset, issue_id, issue_type, "column", severity, description, recommended_action'
+oracle("h06_detect_issues", with_(*issues_ctes()) + f"SELECT {ISSUE_COLS}, resolved FROM issues")
+_RESOLVED = (
+    "resolved_issues AS (SELECT " + ISSUE_COLS + ", resolved OR "
+    "(\"column\" IS NOT NULL AND EXISTS (SELECT 1 FROM issues f WHERE f.severity IN ('critical', 'high') "
+    "AND f.\"column\" IS NOT NULL AND f.issue_type = i.issue_type AND lower(trim(upper(f.\"column\"))) = lower(trim(i.\"column\")))) "
+    "OR issue_type = 'outlier' AS resolved FROM issues i)")
+oracle("h01_resolve_issues", with_(*issues_ctes(), _RESOLVED) + f"SELECT {ISSUE_COLS}, resolved FROM resolved_issues")
+oracle("h03_readiness_score", with_(*issues_ctes()) + "SELECT round(" + _readiness_sql(
+    "(SELECT count(*) FROM issues WHERE severity = 'critical')",
+    "(SELECT count(*) FROM issues WHERE severity = 'high')") + ", 6) AS readiness FROM orders_dirty")
+oracle("h04_issue_coverage", with_(*issues_ctes(), _RESOLVED) +
+       "SELECT count(*) AS issues_total, CAST(count(*) FILTER (WHERE resolved) AS BIGINT) AS issues_resolved, "
+       "CASE WHEN count(*) = 0 THEN 0.0 ELSE round(count(*) FILTER (WHERE resolved) / greatest(count(*), 1), 4) END "
+       "AS coverage FROM resolved_issues")
+oracle("h05_weighted_coverage", with_(*issues_ctes(), _RESOLVED) +
+       "SELECT count(*) AS issues_total, "
+       "CAST(coalesce(sum(CASE WHEN resolved THEN (CASE WHEN severity = 'critical' THEN 2 ELSE 1 END) ELSE 0 END), 0) "
+       "AS BIGINT) AS issues_resolved, "
+       "CASE WHEN count(*) = 0 THEN 1.0 ELSE round(sum(CASE WHEN resolved THEN (CASE WHEN severity = 'critical' "
+       "THEN 2 ELSE 1 END) ELSE 0 END) / greatest(sum(CASE WHEN severity = 'critical' THEN 2 ELSE 1 END), 1), 4) END "
+       "AS coverage FROM resolved_issues")

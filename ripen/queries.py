@@ -265,3 +265,85 @@ def f08(spark, sf):
 @query("f09_create_interaction")
 def f09(spark, sf):
     return rounded(features.create_interaction(lineitem_dirty(spark, sf), "l_quantity", "l_extendedprice"))
+
+
+# --------------------------------------------------------------- G / H
+from .operators import balance, issues as iss  # noqa: E402
+
+
+def orders_unique(spark, sf):
+    return clean.drop_duplicates(orders_dirty(spark, sf))
+
+
+@query("g01_train_test_split")
+def g01(spark, sf):
+    return balance.train_test_split(labeled_documents(spark, sf), "toxic", key="doc_id", frac=0.2, seed=42)
+
+
+@query("g01_train_test_split_orders")
+def g01b(spark, sf):
+    return rounded(balance.train_test_split(orders_unique(spark, sf), "y", key="id", frac=0.2, seed=42))
+
+
+@query("g02_smote")
+def g02(spark, sf):
+    return balance.smote(labeled_documents(spark, sf), "toxic", ["n_chars"], key="doc_id", k=5, seed=42)
+
+
+@query("g03_undersample")
+def g03(spark, sf):
+    return balance.undersample(labeled_documents(spark, sf), "toxic", key="doc_id", seed=42)
+
+
+@query("g03_undersample_orders")
+def g03b(spark, sf):
+    return rounded(balance.undersample(orders_unique(spark, sf), "y", key="id", seed=42))
+
+
+@query("g04_validate_no_leakage")
+def g04(spark, sf):
+    return rounded(iss.validate_no_leakage(orders_dirty(spark, sf), "y"))
+
+
+@query("g05_data_report")
+def g05(spark, sf):
+    return iss.data_report(orders_dirty(spark, sf), "y")
+
+
+@query("h06_detect_issues")
+def h06(spark, sf):
+    return iss.detect_issues(orders_dirty(spark, sf), "y", dataset="orders")
+
+
+def _fixes(issues):
+    """Fixes derived from the measured issues: every critical/high issue by
+    column, and the 'outlier' type as a whole (column-free wildcard)."""
+    by_col = issues.filter(F.col("severity").isin("critical", "high") & F.col("column").isNotNull()) \
+        .select("issue_type", F.upper(F.col("column")).alias("column"))
+    wildcard = issues.filter(F.col("issue_type") == "outlier").select(
+        "issue_type", F.lit(None).cast("string").alias("column")).distinct()
+    return by_col.unionByName(wildcard)
+
+
+@query("h01_resolve_issues")
+def h01(spark, sf):
+    i = iss.detect_issues(orders_dirty(spark, sf), "y", dataset="orders")
+    return iss.resolve_issues(i, _fixes(i))
+
+
+@query("h03_readiness_score")
+def h03(spark, sf):
+    od = orders_dirty(spark, sf)
+    return iss.readiness_score(od, "y", iss.detect_issues(od, "y", dataset="orders"))
+
+
+@query("h04_issue_coverage")
+def h04(spark, sf):
+    i = iss.detect_issues(orders_dirty(spark, sf), "y", dataset="orders")
+    return iss.issue_coverage(iss.resolve_issues(i, _fixes(i)))
+
+
+@query("h05_weighted_coverage")
+def h05(spark, sf):
+    i = iss.detect_issues(orders_dirty(spark, sf), "y", dataset="orders")
+    return iss.issue_coverage(iss.resolve_issues(i, _fixes(i)), weighted=True)
