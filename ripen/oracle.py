@@ -451,3 +451,98 @@ oracle("h05_weighted_coverage", with_(*issues_ctes(), _RESOLVED) +
        "CASE WHEN count(*) = 0 THEN 1.0 ELSE round(sum(CASE WHEN resolved THEN (CASE WHEN severity = 'critical' "
        "THEN 2 ELSE 1 END) ELSE 0 END) / greatest(sum(CASE WHEN severity = 'critical' THEN 2 ELSE 1 END), 1), 4) END "
        "AS coverage FROM resolved_issues")
+
+
+# ----------------------------------------------------------------- I actions
+from .plans.actions import ALL_ACTIONS, PHASE_ACTIONS, VALID_ACTIONS  # noqa: E402
+
+_NAMES = "[" + ", ".join(f"'{a}'" for a in ALL_ACTIONS) + "]"
+_CKEY = "CAST(conv_id AS VARCHAR) || ':' || CAST(turn AS VARCHAR)"
+_A = f"({_NAMES})[CAST(floor({sql_u(_CKEY, 'act')} * {len(ALL_ACTIONS)}) AS BIGINT) + 1]"
+REPLIES = (
+    "replies AS (SELECT conv_id, turn, role, a AS rule_type, "
+    "CASE WHEN m = 0 THEN js WHEN m = 1 THEN '```json' || chr(10) || js || chr(10) || '```' "
+    "WHEN m = 2 THEN text || ' Next: ' || js || ' Done.' ELSE text || ' {\"type\": ' || a END AS reply FROM "
+    f"(SELECT *, '{{\"type\": \"' || a || '\", \"column\": \"' || role || '\"}}' AS js FROM "
+    f"(SELECT conv_id, turn, role, text, {_A} AS a, floor({sql_u(_CKEY, 'wrap')} * 4) AS m FROM conversations) x) y)")
+_VALID = ", ".join(f"'{a}'" for a in VALID_ACTIONS)
+PARSED = (
+    "parsed AS (SELECT conv_id, turn, role, rule_type, j ->> 'type' AS ptype, j ->> 'column' AS pcol FROM "
+    "(SELECT *, try_cast(nullif(regexp_extract(regexp_replace(reply, '(?m)^[ \\t]*```.*$', '', 'g'), "
+    "'(?s)\\{.*\\}', 0), '') AS JSON) AS j FROM replies) z)")
+oracle("i02_extract_action", with_(REPLIES, PARSED) +
+       f"SELECT conv_id, turn, CASE WHEN ptype IN ({_VALID}) THEN ptype END AS action_type, "
+       f"CASE WHEN ptype IN ({_VALID}) THEN pcol END AS action_column FROM parsed")
+_RULE_T = f"CASE WHEN {sql_u('conv_id', 'rule')} < 0.5 THEN rule_type ELSE 'profile_dataset' END"
+oracle("i03_coalesce_action", with_(REPLIES, PARSED) +
+       f"SELECT conv_id, turn, CASE WHEN ptype IN ({_VALID}) AND ptype = {_RULE_T} AND pcol IS NOT DISTINCT FROM role "
+       f"THEN ptype ELSE {_RULE_T} END AS action_type, "
+       f"CASE WHEN ptype IN ({_VALID}) AND ptype = {_RULE_T} AND pcol IS NOT DISTINCT FROM role "
+       f"THEN pcol ELSE role END AS action_column FROM parsed")
+
+# ----------------------------------------------------------------- J run log
+
+
+def _phase_case(col: str) -> str:
+    parts = " ".join(f"WHEN {col} IN ({', '.join(repr(a) for a in acts)}) THEN '{p}'"
+                     for p, acts in PHASE_ACTIONS.items())
+    return f"CASE {parts} ELSE 'done' END"
+
+
+_EA = f"({_NAMES})[CAST(event_id % {len(ALL_ACTIONS)} AS BIGINT) + 1]"
+RUNLOG = (
+    "rl0 AS (SELECT user_id AS run_id, CAST(user_id % 3 + 1 AS INTEGER) AS task_id, ts, event_id, "
+    f"{_EA} AS action_type FROM events), "
+    f"rl1 AS (SELECT *, {_phase_case('action_type')} AS phase FROM rl0), "
+    f"rl2 AS (SELECT *, phase <> 'eda' AND {sql_u('event_id', 'blk')} < 0.1 AS blocked FROM rl1), "
+    f"rl3 AS (SELECT *, NOT blocked AND {sql_u('event_id', 'ok')} < 0.85 AS success, "
+    f"round({sql_u('event_id', 'rb')}, 4) AS readiness_before FROM rl2), "
+    "rl AS (SELECT run_id, task_id, ts, event_id, action_type, phase, success, blocked, readiness_before, "
+    f"round(readiness_before + CASE WHEN success THEN 0.02 * {sql_u('event_id', 'ra')} ELSE 0.0 END, 4) "
+    "AS readiness_after, "
+    f"CAST(success AND {sql_u('event_id', 'cf')} < 0.05 AS INTEGER) AS critical_fixed, "
+    f"CAST(success AND {sql_u('event_id', 'of')} < 0.2 AS INTEGER) AS other_fixed, "
+    "row_number() OVER (PARTITION BY run_id ORDER BY ts, event_id) AS step FROM rl3)")
+oracle("j01_action_phase", "WITH " + RUNLOG + " SELECT run_id, step, action_type, phase FROM rl")
+_EDA = ", ".join(repr(a) for a in PHASE_ACTIONS["eda"])
+oracle("j02_eda_gate", "WITH " + RUNLOG + ", firsts AS (SELECT run_id, action_type, min(step) AS first FROM rl "
+       f"WHERE success AND action_type IN ({_EDA}) GROUP BY run_id, action_type), "
+       "g AS (SELECT r.run_id, r.step, r.action_type, r.phase, r.task_id, "
+       "(SELECT count(*) FROM firsts f WHERE f.run_id = r.run_id AND f.first < r.step) AS eda_done FROM rl r) "
+       "SELECT run_id, step, action_type, eda_done, phase IN ('cleaning', 'engineering') AND "
+       "eda_done < CASE task_id WHEN 1 THEN 4 WHEN 2 THEN 5 ELSE 6 END AS violation FROM g")
+oracle("j03_phase_progress", "WITH " + RUNLOG + " SELECT run_id, step, " + ", ".join(
+    f"CAST(sum(CAST(success AND phase = '{p}' AS BIGINT)) OVER (PARTITION BY run_id ORDER BY step "
+    f"ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS progress_{p}"
+    for p in ("eda", "cleaning", "engineering", "validation")) + " FROM rl")
+_REWARD = ("CASE WHEN blocked THEN -0.05 ELSE round(round(readiness_after - readiness_before, 4) + "
+           "0.15 * critical_fixed + 0.08 * other_fixed + CASE WHEN success THEN -0.005 ELSE -0.05 END, 4) END")
+import re as _re  # noqa: E402
+
+
+def _dbl(sql: str) -> str:
+    """Decimal literals as DOUBLE (DuckDB keeps them DECIMAL otherwise)."""
+    return _re.sub(r"(?<![\w.'])(\d+\.\d+)(?![\w.'])", r"\1::DOUBLE", sql)
+
+
+_REWARD = _dbl(_REWARD)
+oracle("j04_rewards", "WITH " + RUNLOG + f", rw AS (SELECT run_id, step, {_REWARD} AS reward FROM rl) "
+       "SELECT run_id, step, round(reward, 4) + 0.0::DOUBLE AS reward, round(sum(reward) OVER (PARTITION BY run_id "
+       "ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 4) + 0.0::DOUBLE AS cumulative_reward FROM rw")
+SCORES = (
+    "sc0 AS (SELECT run_id, task_id, count(*) AS steps, count(*) FILTER (WHERE blocked) AS n_blocked, "
+    "sum(critical_fixed) AS cf, sum(other_fixed) AS of, arg_max(readiness_after, step) AS readiness "
+    "FROM rl GROUP BY run_id, task_id), "
+    "sc AS (SELECT run_id, task_id, steps, greatest(0.0, 1.0 - 0.05 * n_blocked) AS po, "
+    "round(1.0 - steps / greatest(CASE task_id WHEN 1 THEN 18 WHEN 2 THEN 22 ELSE 28 END, 1), 4) AS eff, "
+    "least(1.0, (cf + of) / CASE task_id WHEN 1 THEN 5 WHEN 2 THEN 7 ELSE 10 END) AS cov, readiness FROM sc0), "
+    "scores AS (SELECT run_id, task_id, steps, round(po, 4) AS phase_order, eff AS efficiency, "
+    "round(cov, 4) AS coverage, readiness, "
+    "round(CAST(greatest(0.0, least(1.0, 0.35 * cov + 0.25 * readiness + 0.25 * po + 0.15 * eff)) "
+    "AS DECIMAL(38, 10)), 4)::DOUBLE AS score FROM sc)")
+SCORES = _dbl(SCORES)
+oracle("j08_run_scores", "WITH " + RUNLOG + ", " + SCORES + " SELECT * FROM scores")
+oracle("j09_task_summary", "WITH " + RUNLOG + ", " + SCORES +
+       " SELECT task_id, count(*) AS runs, round(avg(score), 6) AS mean_score, "
+       "round(max(score) - min(score), 6) AS spread, round(max(score) - min(score), 6) < 0.001 AS reproducible "
+       "FROM scores GROUP BY task_id")

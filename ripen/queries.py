@@ -38,7 +38,7 @@ def rounded(df: DataFrame, digits: int = ROUND) -> DataFrame:
     for f in df.schema.fields:
         col = F.col(f"`{f.name}`")
         if f.dataType.typeName() in ("double", "float"):
-            out.append(F.round(col, digits).alias(f.name))
+            out.append((F.round(col, digits) + F.lit(0.0)).alias(f.name))   # -0.0 -> 0.0
         else:
             out.append(col)
     return df.select(*out)
@@ -347,3 +347,124 @@ def h04(spark, sf):
 def h05(spark, sf):
     i = iss.detect_issues(orders_dirty(spark, sf), "y", dataset="orders")
     return iss.issue_coverage(iss.resolve_issues(i, _fixes(i)), weighted=True)
+
+
+# --------------------------------------------------------------- A fixtures
+from .sources import fixtures  # noqa: E402
+
+
+@query("a03_gen_churn")
+def a03(spark, sf):
+    keys = table(spark, sf, "customer").select(F.col("c_custkey").alias("k"))
+    return rounded(fixtures.gen_churn(keys, "k"))
+
+
+@query("a04_gen_loan")
+def a04(spark, sf):
+    keys = table(spark, sf, "orders").select(F.col("o_orderkey").alias("k"))
+    return rounded(fixtures.gen_loan(keys, "k"))
+
+
+@query("a05_gen_medical")
+def a05(spark, sf):
+    keys = table(spark, sf, "part").select(F.col("p_partkey").alias("k"))
+    return rounded(fixtures.gen_medical(keys, "k"))
+
+
+# --------------------------------------------------------------- I plans
+from .plans import actions as acts, apply as plan_apply  # noqa: E402
+from .plans.recommend import recommend  # noqa: E402
+from .functions.rand import u01  # noqa: E402
+
+
+def agent_replies(spark, sf):
+    """Action replies built from ``conversations``: an action named by a
+    keyed draw over all 34 names (6 of them not valid in replies), the
+    speaker role as its column, wrapped plain / fenced / in the turn's prose /
+    malformed by a second draw."""
+    cv = table(spark, sf, "conversations")
+    key = F.concat_ws(":", F.col("conv_id").cast("string"), F.col("turn").cast("string"))
+    names = F.array(*[F.lit(a) for a in acts.ALL_ACTIONS])
+    a = F.element_at(names, (F.floor(u01(key, "act") * len(acts.ALL_ACTIONS)) + 1).cast("int"))
+    js = F.concat(F.lit('{"type": "'), a, F.lit('", "column": "'), F.col("role"), F.lit('"}'))
+    mode = F.floor(u01(key, "wrap") * 4)
+    reply = (F.when(mode == 0, js)
+             .when(mode == 1, F.concat(F.lit("```json\n"), js, F.lit("\n```")))
+             .when(mode == 2, F.concat(F.col("text"), F.lit(" Next: "), js, F.lit(" Done.")))
+             .otherwise(F.concat(F.col("text"), F.lit(" {\"type\": "), a)))
+    return cv.select("conv_id", "turn", "role", reply.alias("reply"), a.alias("rule_type"))
+
+
+@query("i02_extract_action")
+def i02(spark, sf):
+    r = agent_replies(spark, sf).withColumn("act", acts.extract_action(F.col("reply")))
+    return r.select("conv_id", "turn", F.col("act.type").alias("action_type"),
+                    F.col("act.column").alias("action_column"))
+
+
+@query("i03_coalesce_action")
+def i03(spark, sf):
+    r = agent_replies(spark, sf)
+    parsed = acts.extract_action(F.col("reply"))
+    rule = F.struct(F.when(u01(F.col("conv_id"), "rule") < 0.5, F.col("rule_type"))
+                    .otherwise(F.lit("profile_dataset")).alias("type"),
+                    F.col("role").alias("column"), F.lit(None).cast("string").alias("column2"),
+                    F.lit(None).cast("int").alias("top_k"))
+    m = acts.coalesce_action(parsed, rule)
+    return r.select("conv_id", "turn", m["type"].alias("action_type"), m["column"].alias("action_column"))
+
+
+@query("i01_recommend")
+def i01(spark, sf):
+    return plan_apply.recommended_plan(orders_dirty(spark, sf), "y", "orders")
+
+
+@query("i04_apply_plan_orders")
+def i04(spark, sf):
+    return rounded(plan_apply.run_recommended_plan(orders_dirty(spark, sf), "y", "id"))
+
+
+@query("i04_apply_plan_churn")
+def i04b(spark, sf):
+    keys = table(spark, sf, "customer").select(F.col("c_custkey").alias("k"))
+    df = fixtures.gen_churn(keys, "k")
+    out, _ = plan_apply.apply_plan(df, plan_apply.golden_plan("churn"), "churn", "customer_id")
+    return rounded(out)
+
+
+# --------------------------------------------------------------- J run log
+from .plans import runlog  # noqa: E402
+
+
+def events_log(spark, sf):
+    return runlog.run_log(table(spark, sf, "events"))
+
+
+@query("j01_action_phase")
+def j01(spark, sf):
+    return events_log(spark, sf).select("run_id", "step", "action_type", "phase")
+
+
+@query("j02_eda_gate")
+def j02(spark, sf):
+    return runlog.eda_gate(events_log(spark, sf))
+
+
+@query("j03_phase_progress")
+def j03(spark, sf):
+    return runlog.phase_progress(events_log(spark, sf))
+
+
+@query("j04_rewards")
+def j04(spark, sf):
+    return runlog.rewards(events_log(spark, sf))
+
+
+@query("j08_run_scores")
+def j08(spark, sf):
+    return runlog.run_scores(events_log(spark, sf))
+
+
+@query("j09_task_summary")
+def j09(spark, sf):
+    return runlog.task_summary(runlog.run_scores(events_log(spark, sf)))
