@@ -21,7 +21,7 @@ def test_fitted_projection_same_on_batch(spark):
 def test_stream_run_rewards_matches_batch(spark):
     path = f"{SF}/events.parquet"
     schema = spark.read.parquet(path).schema
-    stream = spark.readStream.schema(schema).parquet(path)
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(SF)
     chk = tempfile.mkdtemp(prefix="ripen-stream-")
     q = (stream_run_rewards(stream).writeStream.outputMode("update").format("memory")
          .queryName("run_rewards").option("checkpointLocation", chk).start())
