@@ -546,3 +546,50 @@ oracle("j09_task_summary", "WITH " + RUNLOG + ", " + SCORES +
        " SELECT task_id, count(*) AS runs, round(avg(score), 6) AS mean_score, "
        "round(max(score) - min(score), 6) AS spread, round(max(score) - min(score), 6) < 0.001 AS reproducible "
        "FROM scores GROUP BY task_id")
+
+
+# ----------------------------------------------------------------- I1 plan
+
+_EDA_STEPS = ["profile_dataset", "detect_leakage", "check_missing", "detect_dtypes",
+              "check_class_balance", "detect_outliers", "check_correlations", "detect_duplicates"]
+
+
+def _fixed(phase_no, phase, names, start=0):
+    return " UNION ALL ".join(f"SELECT {phase_no}, {start + i}, 0, '{phase}', '{a}', NULL, 'fixed step'"
+                              for i, a in enumerate(names))
+
+
+def _if_issue(phase_no, rule, phase, kind, action, reason):
+    return (f"SELECT {phase_no}, {rule}, 0, '{phase}', '{action}', NULL, '{reason}' FROM "
+            f"(SELECT 1 FROM issues WHERE issue_type = '{kind}' AND NOT resolved LIMIT 1) x")
+
+
+PLAN_ROWS = ("plan_rows AS (" + " UNION ALL ".join([
+    _fixed(0, "eda", _EDA_STEPS),
+    "SELECT 1, 1, position, 'cleaning', 'remove_leaky_col', name, 'leaks the target' FROM prof WHERE is_leaky",
+    _if_issue(1, 2, "cleaning", "dtype", "fix_dtypes", "numbers stored as text"),
+    _if_issue(1, 3, "cleaning", "duplicate", "drop_duplicates", "duplicate rows"),
+    "SELECT 1, 4, position, 'cleaning', CASE WHEN dtype = 'numeric' THEN 'fill_missing_median' "
+    "ELSE 'fill_missing_mode' END, name, 'missing values' FROM prof WHERE missing_pct > 0 AND NOT is_leaky",
+    "SELECT 1, 5, position, 'cleaning', 'reduce_cardinality', name, 'high cardinality' FROM prof "
+    "WHERE is_high_cardinality AND dtype = 'categorical'",
+    "SELECT 1, 6, position, 'cleaning', 'clip_outliers', name, 'fence outliers' FROM prof "
+    "WHERE has_outliers AND dtype = 'numeric'",
+    "SELECT 1, 7, coalesce(p.position, 0), 'cleaning', 'drop_correlated_col', i.\"column\", "
+    "'correlated with another column' FROM issues i LEFT JOIN prof p ON p.name = i.\"column\" "
+    "WHERE i.issue_type = 'correlation' AND NOT i.resolved AND i.\"column\" IS NOT NULL",
+    "SELECT 2, 1, position, 'engineering', 'log_transform', name, 'skewed' FROM prof "
+    "WHERE is_skewed AND dtype = 'numeric'",
+    "SELECT 2, 2, position, 'engineering', CASE WHEN unique_count <= 15 THEN 'encode_onehot' "
+    "ELSE 'encode_label' END, name, 'unencoded text' FROM prof WHERE dtype = 'categorical' AND NOT is_leaky "
+    "AND unique_count < 0.5 * (SELECT count(*) FROM orders_dirty)",
+    "SELECT 2, 3, position, 'engineering', 'normalize_standard', name, 'scale' FROM prof "
+    "WHERE dtype = 'numeric' AND NOT is_leaky",
+    _fixed(3, "validation", ["train_test_split"]),
+    _if_issue(3, 1, "validation", "imbalance", "handle_imbalance_smote", "class imbalance"),
+    _fixed(3, "validation", ["validate_no_leakage", "generate_data_report", "finish"], start=2),
+]) + ")")
+oracle("i01_recommend", with_(*issues_ctes(), PLAN_ROWS.replace("plan_rows AS (", "plan_rows(phase_no, rule, pos, "
+       "phase, action, col, reason) AS (", 1)) +
+       "SELECT phase, row_number() OVER (ORDER BY phase_no, rule, pos) AS seq, action, col AS \"column\", reason "
+       "FROM plan_rows")
