@@ -60,3 +60,76 @@ def top_k_values(counts: DataFrame, k: int, names: list[str] | None = None) -> D
         src = src.filter(F.col("name").isin(names))
     w = W.partitionBy("name").orderBy(F.col("cnt").desc(), F.col("value").asc())
     return src.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+
+
+_HEAVY = ("Aggregate", "Join", "Window", "Union", "Expand", "Generate", "Repartition", "Sort",
+          "Deduplicate", "Sample", "Limit", "Tail", "MapPartitions", "FlatMapGroups", "Python")
+
+
+class fit_view:
+    """Context manager for the multi-pass fit of an operator.
+
+    Fits scan their input several times (moments, quantile brackets,
+    counts).  A bare parquet scan with projections and filters is cheap to
+    re-read (column pruning), so it is used as is; anything heavier (a
+    shuffle, a join, a union, a dedup) is narrowed to the needed columns and
+    persisted (memory, spilling to disk) for the duration of the fit, then
+    released.  Lost cached blocks are recomputed from lineage.
+    """
+
+    def __init__(self, df: DataFrame, cols=None):
+        self.src = df if cols is None else df.select(*[c(x) if isinstance(x, str) else x for x in cols])
+        self.cached = False
+
+    def __enter__(self) -> DataFrame:
+        from pyspark import StorageLevel
+        plan = self.src._jdf.queryExecution().optimizedPlan().toString()
+        if any(k in plan for k in _HEAVY):
+            self.src = self.src.persist(StorageLevel.MEMORY_AND_DISK)
+            self.cached = True
+        return self.src
+
+    def __exit__(self, *exc):
+        if self.cached:
+            self.src.unpersist()
+        return False
+
+
+def fast_corr_row(df: DataFrame, pairs: list, extra=(), prefix: str = "r"):
+    """One aggregate pass with Spark's native ``corr`` per pair (codegen'd,
+    Welford-stable).  Native ``corr`` raises DIVIDE_BY_ZERO under ANSI when a
+    side has zero variance; then the pass is re-run with ``safe_corr``
+    (null for such pairs)."""
+    fast = [F.corr(c(a).cast("double"), c(b).cast("double")).alias(f"{prefix}{k}") for k, (a, b) in enumerate(pairs)]
+    try:
+        return df.agg(*extra, *fast).first()
+    except Exception as e:  # noqa: BLE001
+        if "DIVIDE_BY_ZERO" not in str(e) and "ArithmeticException" not in str(e):
+            raise
+    safe = [safe_corr(c(a), c(b)).alias(f"{prefix}{k}") for k, (a, b) in enumerate(pairs)]
+    return df.agg(*extra, *safe).first()
+
+
+def typed_value_counts(df: DataFrame, cols: list[str]) -> DataFrame:
+    """(name, value, cnt) with ``value`` as text, but the grouping done on
+    typed long forms (integers, fractions, other) so numbers are never
+    formatted as text row by row; only the distinct values are."""
+    from pyspark.sql import types as T
+    types = {f.name: f.dataType for f in df.schema.fields}
+    ints = [n for n in cols if isinstance(types[n], (T.IntegralType, T.BooleanType))]
+    fracs = [n for n in cols if isinstance(types[n], (T.FractionalType,))]
+    other = [n for n in cols if n not in ints and n not in fracs]
+    parts = []
+    for group, cast in ((ints, "bigint"), (fracs, "double"), (other, "string")):
+        if not group:
+            continue
+        renamed = df.select(*[c(x).cast(cast).alias(f"v{i}") for i, x in enumerate(group)])
+        long = renamed.unpivot([], [f"v{i}" for i in range(len(group))], "slot", "value")
+        names = F.create_map(*[x for i, n in enumerate(group) for x in (F.lit(f"v{i}"), F.lit(n))])
+        cnt = (long.groupBy(names[F.col("slot")].alias("name"), "value")
+               .agg(F.count(F.lit(1)).alias("cnt")))
+        parts.append(cnt.select("name", F.col("value").cast("string").alias("value"), "cnt"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window as W, functions as F
 from pyspark.sql import types as T
 
-from ..functions.quantile import exact_quantiles
-from ..functions.stats import c, long_form, safe_corr
+from ..functions.quantile import bracket_exprs, exact_quantiles
+from ..functions.stats import c, fast_corr_row, fit_view, long_form
 from ..functions.types import is_categorical, is_numeric, is_stat_numeric
 from .profile import (CORR_LIMIT, OUTLIER_MIN, fence_bounds, infer_dtype,
                       numeric_text_share_exprs)
@@ -77,6 +77,11 @@ def detect_leakage(df: DataFrame, target: str, gain_limit: float = LEAK_GAIN,
     Cost: one min/max pass and one long-form aggregation; hot values are
     combined map-side.
     """
+    with fit_view(df) as fv:
+        return _detect_leakage(fv, target, gain_limit, known, bins)
+
+
+def _detect_leakage(df, target, gain_limit, known, bins) -> DataFrame:
     spark = df.sparkSession
     fields = [f for f in df.schema.fields if f.name != target]
     nums = [f.name for f in fields if is_stat_numeric(f.dataType)]
@@ -144,29 +149,42 @@ def high_correlations(df: DataFrame, target: str | None = None,
     if len(cols) < 2:
         return spark.createDataFrame([], schema)
     pairs = [(cols[i], cols[j]) for i in range(len(cols)) for j in range(i + 1, len(cols))]
-    row = df.agg(*[safe_corr(c(a), c(b)).alias(f"r{k}") for k, (a, b) in enumerate(pairs)]).first()
+    row = fast_corr_row(df, pairs)
     out = [(a, b, abs(row[f"r{k}"])) for k, (a, b) in enumerate(pairs)
            if row[f"r{k}"] is not None and abs(row[f"r{k}"]) > limit]
     return spark.createDataFrame(out, schema)
 
 
 def detect_outliers(df: DataFrame, target: str | None = None, approx: bool = False) -> DataFrame:
-    """IQR-fence outliers per numeric column (>= 10 values, report > 5)."""
+    """IQR-fence outliers per numeric column (>= 10 values, report > 5).
+    Counts and quantile brackets share the first pass; 4 scans in total."""
     spark = df.sparkSession
     cols = [f.name for f in df.schema.fields if f.name != target and is_stat_numeric(f.dataType)]
     schema = "name string, q1 double, q3 double, lower double, upper double, n_outliers bigint"
     if not cols:
         return spark.createDataFrame([], schema)
-    cnt = df.agg(*[F.count(c(n)).alias(f"n{i}") for i, n in enumerate(cols)]).first()
-    cols = [n for i, n in enumerate(cols) if cnt[f"n{i}"] >= MIN_OUTLIER_VALUES]
-    if not cols:
-        return spark.createDataFrame([], schema)
-    qs = exact_quantiles(df, cols, [0.25, 0.75], approx=approx)
-    bounds = [fence_bounds(q1, q3) for q1, q3 in qs]
-    row = df.agg(*[F.count_if((c(n).cast("double") < F.lit(lo)) | (c(n).cast("double") > F.lit(hi)))
-                   .alias(f"o{i}") for i, (n, (lo, hi)) in enumerate(zip(cols, bounds))]).first()
+    with fit_view(df, cols) as fv:
+        if approx:
+            qs_all = exact_quantiles(fv, cols, [0.25, 0.75], approx=True)
+            cnt = fv.agg(*[F.count(c(n)).alias(f"qbn{i}") for i, n in enumerate(cols)]).first()
+        else:
+            cnt = fv.agg(*bracket_exprs(cols, [0.25, 0.75], prefix="qb")).first()
+        keep = [i for i, n in enumerate(cols) if cnt[f"qbn{i}"] >= MIN_OUTLIER_VALUES]
+        if not keep:
+            return spark.createDataFrame([], schema)
+        kc = [cols[i] for i in keep]
+        if approx:
+            qs = [qs_all[i] for i in keep]
+        else:
+            pre = {}
+            for j, i in enumerate(keep):
+                pre[f"qbn{j}"], pre[f"qba{j}"] = cnt[f"qbn{i}"], cnt[f"qba{i}"]
+            qs = exact_quantiles(fv, kc, [0.25, 0.75], pre_row=pre)
+        bounds = [fence_bounds(q1, q3) for q1, q3 in qs]
+        row = fv.agg(*[F.count_if((c(n).cast("double") < F.lit(lo)) | (c(n).cast("double") > F.lit(hi)))
+                       .alias(f"o{i}") for i, (n, (lo, hi)) in enumerate(zip(kc, bounds))]).first()
     out = [(n, q[0], q[1], b[0], b[1], int(row[f"o{i}"]))
-           for i, (n, q, b) in enumerate(zip(cols, qs, bounds)) if row[f"o{i}"] > OUTLIER_MIN]
+           for i, (n, q, b) in enumerate(zip(kc, qs, bounds)) if row[f"o{i}"] > OUTLIER_MIN]
     return spark.createDataFrame(out, schema)
 
 

@@ -131,19 +131,47 @@ def log_transform(df: DataFrame, col: str, target: str | None = None) -> DataFra
 def encoded_features(df: DataFrame, target: str | None) -> DataFrame:
     """Every non-target column as a number: text -> label code of its text
     (null becomes the text 'nan', as the original's astype(str) did), numbers
-    -> median-filled doubles.  Used by F7 and F8."""
+    -> median-filled doubles.  Used by F7 and F8.  Levels of all text columns
+    are found in one bounded job (long form, distinct, capped collect)."""
     feats = [n for n in df.columns if n != target]
     types = {f.name: f.dataType for f in df.schema.fields}
     nums = [n for n in feats if not is_categorical(types[n])]
+    texts = [n for n in feats if is_categorical(types[n])]
     meds = dict(zip(nums, [m[0] for m in exact_quantiles(df, [c(n).cast("double") for n in nums], [0.5])])) \
         if nums else {}
-    out = df.select(*[F.coalesce(c(n).cast("double"), F.lit(meds[n])).alias(n) if n in meds else c(n)
-                      for n in df.columns])
-    for n in feats:
-        if is_categorical(types[n]):
-            v, table, levels = label_codes(out, n, null_text="nan")
-            out = _apply_codes(out, n, v, table, levels)
-    return out
+    small = levels_of_many(df, texts, COLLECT_LEVELS, null_text="nan")
+    out = []
+    for n in df.columns:
+        if n in meds:
+            out.append(F.coalesce(c(n).cast("double"), F.lit(meds[n])).alias(n))
+        elif n in small:
+            m = F.create_map(*[x for i, lv in enumerate(small[n]) for x in (F.lit(lv), F.lit(i))])
+            out.append(m[F.coalesce(c(n), F.lit("nan"))].cast("bigint").alias(n))
+        else:
+            out.append(c(n))
+    enc = df.select(*out)
+    for n in texts:
+        if n not in small:   # many levels: exact distributed codes + a shuffle join
+            v, table, levels = label_codes(enc, n, null_text="nan")
+            enc = _apply_codes(enc, n, v, table, levels)
+    return enc
+
+
+def levels_of_many(df: DataFrame, cols: list[str], cap: int, null_text: str = MISSING) -> dict:
+    """Sorted levels of each text column having at most ``cap`` of them:
+    one job counts distinct levels per column, one collects the small ones."""
+    if not cols:
+        return {}
+    from ..functions.stats import long_form
+    filled = df.select(*[F.coalesce(c(n), F.lit(null_text)).alias(n) for n in cols])
+    dist = long_form(filled, cols).distinct()
+    sizes = {r["name"]: r["k"] for r in dist.groupBy("name").agg(F.count(F.lit(1)).alias("k")).collect()}
+    keep = [n for n in cols if sizes.get(n, 0) <= cap]
+    out: dict = {n: [] for n in keep}
+    if keep:
+        for r in dist.filter(F.col("name").isin(keep)).collect():
+            out[r["name"]].append(r["value"])
+    return {n: sorted(v) for n, v in out.items()}
 
 
 def select_top_k(df: DataFrame, target: str, k: int = TOP_K) -> DataFrame:
@@ -153,8 +181,10 @@ def select_top_k(df: DataFrame, target: str, k: int = TOP_K) -> DataFrame:
     feats = [n for n in df.columns if n != target]
     if len(feats) <= k:
         raise ValueError(f"only {len(feats)} features; nothing to trim")
-    enc = encoded_features(df, target)
-    row = enc.agg(*[F.var_samp(c(n).cast("double")).alias(f"v{i}") for i, n in enumerate(feats)]).first()
+    from ..functions.stats import fit_view
+    with fit_view(df) as fv:
+        enc = encoded_features(fv, target)
+        row = enc.agg(*[F.var_samp(c(n).cast("double")).alias(f"v{i}") for i, n in enumerate(feats)]).first()
     ranked = sorted(range(len(feats)), key=lambda i: (-(row[f"v{i}"] if row[f"v{i}"] is not None else float("-inf")), i))
     keep = [feats[i] for i in ranked[:k]]
     return df.select(*[c(n) for n in keep], c(target))

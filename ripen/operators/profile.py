@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
 from ..functions.quantile import bracket_exprs, exact_quantiles
-from ..functions.stats import c, pandas_skew, safe_corr, top_k_values, value_counts
+from ..functions.stats import (c, fast_corr_row, fit_view, pandas_skew, top_k_values,
+                               typed_value_counts, value_counts)
 from ..functions.types import (dtype_label, is_categorical, is_datetime, is_numeric,
                                is_stat_numeric)
 
@@ -90,6 +91,11 @@ def correlated_partners(corr: dict, cols: list[str], limit: float = CORR_LIMIT)
 def column_profile(df: DataFrame, target: str | None = None, leaky_cols=None,
                    infer_mode: str = "strict", approx: bool = False,
                    corr_limit: float = CORR_LIMIT) -> DataFrame:
+    with fit_view(df) as fv:
+        return _column_profile(fv, target, leaky_cols, infer_mode, approx, corr_limit)
+
+
+def _column_profile(df, target, leaky_cols, infer_mode, approx, corr_limit) -> DataFrame:
     spark = df.sparkSession
     fields = [f for f in df.schema.fields if f.name != target]
     names = [f.name for f in fields]
@@ -113,9 +119,7 @@ def column_profile(df: DataFrame, target: str | None = None, leaky_cols=None,
         exprs += [a.alias(f"tn{i}"), b.alias(f"tm{i}")]
     pairs = [(corr_cols[i], corr_cols[j]) for i in range(len(corr_cols))
              for j in range(i + 1, len(corr_cols))]
-    for k, (a, b) in enumerate(pairs):
-        exprs.append(safe_corr(c(a), c(b)).alias(f"r{k}"))
-    agg = df.agg(*exprs).first()
+    agg = fast_corr_row(df, pairs, extra=exprs)
     n_rows = agg["__n"]
 
     # quartiles for columns with enough values: the first bracket came with pass 1
@@ -154,7 +158,7 @@ def column_profile(df: DataFrame, target: str | None = None, leaky_cols=None,
             for r in top_k_values(counts, TOP_CATEGORIES, text_cols).collect():
                 tops.setdefault(r["name"], []).append((r["rank"], r["value"]))
     else:
-        counts = value_counts(df, names)
+        counts = typed_value_counts(df, names)
         u = counts.groupBy("name").agg(F.count("value").alias("u")).select(
             "name", F.lit(None).cast("string").alias("value"), F.col("u").alias("k"), F.lit(0).alias("kind"))
         t = top_k_values(counts, TOP_CATEGORIES, text_cols).select(
