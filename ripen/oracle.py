@@ -593,3 +593,126 @@ oracle("i01_recommend", with_(*issues_ctes(), PLAN_ROWS.replace("plan_rows AS ("
        "phase, action, col, reason) AS (", 1)) +
        "SELECT phase, row_number() OVER (ORDER BY phase_no, rule, pos) AS seq, action, col AS \"column\", reason "
        "FROM plan_rows")
+
+
+# ----------------------------------------------------------------- A3-A5 fixtures
+import math as _math  # noqa: E402
+
+from .sources import fixtures as _fx  # noqa: E402
+
+
+def _f(x: float) -> str:
+    return f"{float(x)!r}::DOUBLE"
+
+
+def s_u(salt):
+    return sql_u("k", salt)
+
+
+def s_uint(salt, lo, hi):
+    return f"CAST({lo} + floor({s_u(salt)} * {hi - lo}) AS BIGINT)"
+
+
+def s_uniform(salt, lo, hi):
+    return f"({_f(lo)} + {s_u(salt)} * {_f(hi - lo)})"
+
+
+def s_normal(salt, mean, std):
+    z = f"(sqrt(-2.0::DOUBLE * ln(1.0::DOUBLE - {s_u(salt + '_a')})) * cos({_f(2 * _math.pi)} * {s_u(salt + '_b')}))"
+    return f"({_f(mean)} + {_f(std)} * {z})"
+
+
+def s_expo(salt, scale):
+    return f"({_f(-scale)} * ln(1.0::DOUBLE - {s_u(salt)}))"
+
+
+def s_choice(salt, values, probs):
+    acc, parts = 0.0, []
+    for v, p in zip(values[:-1], probs[:-1]):
+        acc += p
+        parts.append(f"WHEN {s_u(salt)} < {_f(acc)} THEN {v!r}")
+    last = values[-1]
+    return "CASE " + " ".join(parts) + f" ELSE {last!r} END"
+
+
+def s_bern(salt, p_sql):
+    return f"CAST(CASE WHEN {s_u(salt)} < ({p_sql}) THEN 1 ELSE 0 END AS INTEGER)"
+
+
+def s_pick(salt, frac):
+    """rank by md5 <= int(n * frac): the exact injection rule."""
+    return (f"(row_number() OVER (ORDER BY md5(CAST(k AS VARCHAR) || ':{salt}')) "
+            f"<= floor(count(*) OVER () * {_f(frac)}))")
+
+
+_CHURN_BASE = (
+    "keys AS (SELECT c_custkey AS k FROM customer), "
+    "b0 AS (SELECT k, printf('CUST_%05d', k) AS customer_id, "
+    f"CAST({s_uint('age42', 18, 70)} AS DOUBLE) AS age, CAST({s_uint('ten42', 1, 72)} AS DOUBLE) AS tenure_months, "
+    f"{s_uniform('mc42', 20, 120)} AS monthly_charges, {s_normal('tc42', 0.0, 50.0)} AS noise, "
+    f"{s_choice('ct42', *_fx.CONTRACTS)} AS contract, {s_choice('in42', *_fx.INTERNET)} AS internet_service, "
+    f"{s_choice('pm42', *_fx.PAYMENT)} AS payment_method, "
+    f"'City_' || CAST({s_uint('city42', 0, 150)} AS VARCHAR) AS city FROM keys), "
+    "b1 AS (SELECT *, tenure_months * monthly_charges + noise AS total_charges, "
+    + s_bern("churn42", "0.3::DOUBLE + 0.25::DOUBLE * CAST(contract = 'Month-to-month' AS DOUBLE) "
+             "- 0.15::DOUBLE * (tenure_months / 72.0::DOUBLE) + 0.1::DOUBLE * CAST(internet_service = 'Fiber optic' AS DOUBLE)")
+    + " AS churn FROM b0), "
+    f"b2 AS (SELECT *, {s_pick('m_age42', 0.15)} AS miss_age, {s_pick('m_mc42', 0.12)} AS miss_mc, "
+    f"{s_pick('o_tc42', 0.015)} AS out_tc FROM b1)")
+oracle("a03_gen_churn", "WITH " + _CHURN_BASE +
+       " SELECT customer_id, CASE WHEN miss_age THEN NULL ELSE round(age, 6) END AS age, "
+       "CAST(CAST(tenure_months AS BIGINT) AS VARCHAR) || ' months' AS tenure_months, "
+       "CASE WHEN miss_mc THEN NULL ELSE round(monthly_charges, 6) END AS monthly_charges, "
+       f"round(CASE WHEN out_tc THEN {s_uniform('o_tc42_v', -500, -10)} ELSE total_charges END, 6) AS total_charges, "
+       "contract, internet_service, payment_method, city, churn FROM b2")
+
+_LOAN_BASE = (
+    "keys AS (SELECT o_orderkey AS k FROM orders), "
+    "b0 AS (SELECT k, printf('LOAN_%05d', k) AS loan_id, "
+    f"CAST({s_uint('age42', 21, 65)} AS DOUBLE) AS age, 20000.0::DOUBLE + {s_expo('inc42', 50000)} AS income, "
+    f"{s_uniform('amt42', 5000, 100000)} AS loan_amount, "
+    f"CAST({s_choice('term42', *_fx.LOAN_TERMS)} AS BIGINT) AS loan_term, "
+    f"CAST({s_uint('cs42', 300, 850)} AS DOUBLE) AS credit_score, "
+    f"{s_choice('emp42', *_fx.EMPLOYMENT)} AS employment, {s_choice('pur42', *_fx.PURPOSE)} AS purpose FROM keys), "
+    "b1 AS (SELECT *, loan_amount / income AS dti_ratio FROM b0), "
+    "b2 AS (SELECT *, " + s_bern("def42", "0.05::DOUBLE + 0.15::DOUBLE * CAST(employment = 'Unemployed' AS DOUBLE) "
+                                   "+ 0.1::DOUBLE * CAST(dti_ratio > 0.4 AS DOUBLE) - 0.05::DOUBLE * (credit_score / 850.0::DOUBLE)")
+    + " AS \"default\" FROM b1), "
+    f"b3 AS (SELECT *, {s_pick('m_cs42', 0.10)} AS miss_cs, {s_pick('m_inc42', 0.08)} AS miss_inc FROM b2), "
+    "b4 AS (SELECT loan_id, round(age, 6) AS age, CASE WHEN miss_inc THEN NULL ELSE round(income, 6) END AS income, "
+    "round(loan_amount, 6) AS loan_amount, loan_term, "
+    "CASE WHEN miss_cs THEN NULL ELSE round(credit_score, 6) END AS credit_score, round(dti_ratio, 6) AS dti_ratio, "
+    "employment, purpose, \"default\", CASE \"default\" WHEN 0 THEN 'Current' WHEN 1 THEN 'Charged-off' END AS loan_status, "
+    f"{s_u('dup42')} < {_f(50 / 1200)} AS dup FROM b3)")
+oracle("a04_gen_loan", "WITH " + _LOAN_BASE +
+       " SELECT * EXCLUDE (dup) FROM b4 UNION ALL SELECT * EXCLUDE (dup) FROM b4 WHERE dup")
+
+_MED_P = ("0.06::DOUBLE + 0.08::DOUBLE * (num_medications / 20.0::DOUBLE) + 0.06::DOUBLE * CAST(hba1c_result > 9 AS DOUBLE) "
+          "+ 0.05::DOUBLE * CAST(age > 70 AS DOUBLE) - 0.03::DOUBLE * CAST(discharge_to = 'Home' AS DOUBLE)")
+_AGE_BIN = "CASE " + " ".join(
+    f"WHEN age >= {lo} AND age < {hi} THEN '{lab}'"
+    for lo, hi, lab in zip(_fx.AGE_EDGES[:-1], _fx.AGE_EDGES[1:], _fx.AGE_LABELS)) + " ELSE 'nan' END"
+_MED_BASE = (
+    "keys AS (SELECT p_partkey AS k FROM part), "
+    "b0 AS (SELECT k, printf('PT_%06d', k) AS patient_id, "
+    f"CAST({s_uint('age42', 18, 95)} AS DOUBLE) AS age, {s_choice('gen42', *_fx.GENDER)} AS gender, "
+    f"{s_choice('race42', *_fx.RACE)} AS race, {s_normal('bmi42', 28.0, 6.0)} AS bmi, "
+    f"{s_normal('hb42', 7.5, 2.0)} AS hba1c_result, CAST({s_uint('meds42', 1, 20)} AS DOUBLE) AS num_medications, "
+    f"CAST({s_uint('proc42', 0, 10)} AS DOUBLE) AS num_procedures, "
+    f"CAST({s_uint('diag42', 1, 15)} AS DOUBLE) AS num_diagnoses, 1.0::DOUBLE + {s_expo('los42', 4)} AS los_days, "
+    f"{s_choice('adm42', *_fx.ADMISSION)} AS admission_type, {s_choice('dis42', *_fx.DISCHARGE)} AS discharge_to, "
+    f"{s_choice('pay42', *_fx.PAYER)} AS payer_code FROM keys), "
+    f"b1 AS (SELECT *, {s_bern('re42', _MED_P)} AS readmitted FROM b0), "
+    f"b2 AS (SELECT *, {s_pick('m_bmi42', 0.22)} AS m_bmi, {s_pick('m_hba1c_result42', 0.18)} AS m_hb, "
+    f"{s_pick('m_num_medications42', 0.12)} AS m_meds, {s_pick('m_race42', 0.15)} AS m_race FROM b1)")
+oracle("a05_gen_medical", "WITH " + _MED_BASE +
+       f" SELECT patient_id, {_AGE_BIN} AS age, gender, CASE WHEN m_race THEN NULL ELSE race END AS race, "
+       "CASE WHEN m_bmi THEN NULL ELSE round(bmi, 6) END AS bmi, "
+       "CASE WHEN m_hb THEN NULL ELSE round(hba1c_result, 6) END AS hba1c_result, "
+       "CASE WHEN m_meds THEN NULL ELSE round(num_medications, 6) END AS num_medications, "
+       "round(num_procedures, 6) AS num_procedures, round(num_diagnoses, 6) AS num_diagnoses, "
+       "round(los_days, 6) AS los_days, admission_type, discharge_to, payer_code, readmitted, "
+       "CASE readmitted WHEN 0 THEN 'Stable discharge' WHEN 1 THEN 'High risk — follow up required' END "
+       "AS discharge_summary, "
+       f"CAST(CASE WHEN readmitted = 1 THEN 1 + floor({s_u('dtr42')} * 29) ELSE 0 END AS BIGINT) AS days_to_readmission "
+       "FROM b2")
