@@ -227,3 +227,10 @@ def profile_dataset(df: DataFrame) -> DataFrame:
     dtype_counts = ",".join(f"{k}:{v}" for k, v in sorted(kinds.items()))
     schema = "n_rows bigint, n_cols bigint, est_bytes bigint, dtype_counts string"
     return spark.createDataFrame([(n, len(fields), est, dtype_counts)], schema)
+
+
+def profile_json(profile: DataFrame) -> DataFrame:
+    """The profile as one JSON array (columns in position order), for a
+    prompt or an API; built by ``to_json`` over the bounded profile rows."""
+    cols = [f.name for f in PROFILE_SCHEMA.fields]
+    return profile.agg(F.to_json(F.array_sort(F.collect_list(F.struct(*cols)))).alias("profile_json"))

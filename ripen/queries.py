@@ -468,3 +468,10 @@ def j08(spark, sf):
 @query("j09_task_summary")
 def j09(spark, sf):
     return runlog.task_summary(runlog.run_scores(events_log(spark, sf)))
+
+
+@query("a15_profile_json")
+def a15(spark, sf):
+    from .operators.profile import profile_json
+    od = orders_dirty(spark, sf)
+    return profile_json(column_profile(od, "y", leaky_cols=eda.leaky_columns(od, "y")))

@@ -105,3 +105,29 @@ def test_extract_action(spark):
     df = spark.createDataFrame(rows, "t string").select(actions.extract_action(F.col("t")).alias("a"))
     got = [r["a"]["type"] if r["a"] else None for r in df.collect()]
     assert got == ["fix_dtypes", None, None, "encode_label", None]
+
+
+def test_smote_against_brute_force_neighbours(spark):
+    """Each synthetic value lies between its source and one of the source's
+    k nearest minority neighbours (1-D: exact), found here by brute force."""
+    rows = [(i, 1 if i % 7 == 0 else 0, float((i * 37) % 101)) for i in range(300)]
+    df = spark.createDataFrame(rows, "k bigint, t int, x double")
+    out = balance.smote(df, "t", ["x"], "k", k=3)
+    minority = sorted(((r[0], r[2]) for r in rows if r[1] == 1), key=lambda p: (p[1], p[0]))
+    xs = {str(k): x for k, x in minority}
+    syn = [(r["k"], r["x"]) for r in out.filter(F.col("k").contains("#s")).collect()]
+    assert len(syn) == sum(1 for r in rows if r[1] == 0) - len(minority)
+    for key, v in syn:
+        src = key.split("#s")[0]
+        x = xs[src]
+        others = sorted((abs(x2 - x), x2) for k2, x2 in minority if str(k2) != src)
+        radius = others[2][0] if len(others) >= 3 else others[-1][0]
+        near = [x2 for d, x2 in others if d <= radius]
+        assert any(min(x, n) - 1e-9 <= v <= max(x, n) + 1e-9 for n in near), (key, v, x)
+
+
+def test_profile_json_is_ordered(spark, od):
+    import json
+    from ripen.operators.profile import profile_json
+    js = json.loads(profile_json(column_profile(od, "y")).first()[0])
+    assert [d["position"] for d in js] == list(range(len(js)))
