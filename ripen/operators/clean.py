@@ -80,16 +80,20 @@ def drop_duplicates(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
-def remove_leaky(df: DataFrame, target: str, col: str | None = None,
+def remove_leaky(df: DataFrame, target: str, col=None,
                  gain_limit: float = eda.LEAK_GAIN, known=None) -> DataFrame:
-    """Drop a column the measured leakage test flags (or all of them)."""
-    if col is not None:
-        check_column(df, col, target)
+    """Drop columns the measured leakage test flags: the named one(s),
+    each of which must be flagged, or all flagged ones (``col=None``).
+    One leakage test serves any number of named columns."""
+    cols = None if col is None else ([col] if isinstance(col, str) else list(col))
+    for n in cols or []:
+        check_column(df, n, target)
     leaky = eda.leaky_columns(df, target, gain_limit, known)
-    if col is not None:
-        if col not in leaky:
-            raise ValueError(f"{col!r} is not flagged as leaky")
-        return df.drop(col)
+    if cols is not None:
+        wrong = [n for n in cols if n not in leaky]
+        if wrong:
+            raise ValueError(f"{wrong} not flagged as leaky")
+        return df.drop(*cols)
     if not leaky:
         raise ValueError("no leaky column found")
     return df.drop(*leaky)

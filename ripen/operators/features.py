@@ -95,16 +95,22 @@ def _median(df: DataFrame, col: str) -> float:
     return exact_quantiles(df, [c(col).cast("double")], [0.5])[0][0]
 
 
-def normalize_standard(df: DataFrame, col: str, target: str | None = None) -> DataFrame:
+def normalize_standard(df: DataFrame, col, target: str | None = None) -> DataFrame:
     """fill nulls with the median first, then (x - mean) / std (ddof 1)
-    of the filled column."""
-    _numeric(df, col, target)
-    med = _median(df, col)
-    filled = F.coalesce(c(col).cast("double"), F.lit(med))
-    r = df.agg(F.avg(filled).alias("m"), F.stddev_samp(filled).alias("s")).first()
-    if not r["s"]:
-        raise ValueError(f"{col!r} has zero variance")
-    return _replace(df, col, (filled - F.lit(r["m"])) / F.lit(r["s"]))
+    of the filled column.  Several columns share one quantile selection and
+    one moments pass."""
+    cols = [col] if isinstance(col, str) else list(col)
+    for n in cols:
+        _numeric(df, n, target)
+    meds = [m[0] for m in exact_quantiles(df, [c(n).cast("double") for n in cols], [0.5])]
+    filled = {n: F.coalesce(c(n).cast("double"), F.lit(m)) for n, m in zip(cols, meds)}
+    r = df.agg(*[x for i, n in enumerate(cols) for x in
+                 (F.avg(filled[n]).alias(f"m{i}"), F.stddev_samp(filled[n]).alias(f"s{i}"))]).first()
+    flat = [n for i, n in enumerate(cols) if not r[f"s{i}"]]
+    if flat:
+        raise ValueError(f"{flat} have zero variance")
+    out = {n: (filled[n] - F.lit(r[f"m{i}"])) / F.lit(r[f"s{i}"]) for i, n in enumerate(cols)}
+    return df.select(*[out[n].alias(n) if n in out else c(n) for n in df.columns])
 
 
 def normalize_robust(df: DataFrame, col: str, target: str | None = None) -> DataFrame:
@@ -118,14 +124,19 @@ def normalize_robust(df: DataFrame, col: str, target: str | None = None) -> Data
     return _replace(df, col, (filled - F.lit(m2)) / F.lit(q3 - q1))
 
 
-def log_transform(df: DataFrame, col: str, target: str | None = None) -> DataFrame:
-    """log1p of the median-filled column; refuses negative values."""
-    _numeric(df, col, target)
-    lo = df.agg(F.min(c(col))).first()[0]
-    if lo is not None and lo < 0:
-        raise ValueError(f"{col!r} has negative values; log1p needs non-negative input")
-    med = _median(df, col)
-    return _replace(df, col, F.log1p(F.coalesce(c(col).cast("double"), F.lit(med))))
+def log_transform(df: DataFrame, col, target: str | None = None) -> DataFrame:
+    """log1p of the median-filled column; refuses negative values.
+    Several columns share one min pass and one quantile selection."""
+    cols = [col] if isinstance(col, str) else list(col)
+    for n in cols:
+        _numeric(df, n, target)
+    mins = df.agg(*[F.min(c(n)).alias(f"lo{i}") for i, n in enumerate(cols)]).first()
+    neg = [n for i, n in enumerate(cols) if mins[f"lo{i}"] is not None and mins[f"lo{i}"] < 0]
+    if neg:
+        raise ValueError(f"{neg} have negative values; log1p needs non-negative input")
+    meds = dict(zip(cols, [m[0] for m in exact_quantiles(df, [c(n).cast("double") for n in cols], [0.5])]))
+    return df.select(*[F.log1p(F.coalesce(c(n).cast("double"), F.lit(meds[n]))).alias(n) if n in meds else c(n)
+                       for n in df.columns])
 
 
 def encoded_features(df: DataFrame, target: str | None) -> DataFrame:
