@@ -716,3 +716,45 @@ oracle("a05_gen_medical", "WITH " + _MED_BASE +
        "AS discharge_summary, "
        f"CAST(CASE WHEN readmitted = 1 THEN 1 + floor({s_u('dtr42')} * 29) ELSE 0 END AS BIGINT) AS days_to_readmission "
        "FROM b2")
+
+
+# ----------------------------------------------------------------- G2 SMOTE
+
+
+def _smote_sql(k: int = 5) -> str:
+    """SMOTE on labeled_documents (target toxic, feature n_chars, key doc_id):
+    the minority in (projection, md5) order, the 2k sorted neighbours, the k
+    nearest of them, md5-drawn neighbour and lambda; copies per row =
+    need // m, plus one for the first need % m rows by md5."""
+    offs = [s * d for d in range(1, k + 1) for s in (-1, 1)]
+    h = sql_hash52("doc_id", "smote42")
+
+    def sh(col, o):
+        return (f"lag({col}, {-o}) OVER w" if o < 0 else f"lead({col}, {o}) OVER w")
+    nb = "[" + ", ".join(sh("n_chars", o) for o in offs) + "]"
+    cand = "[" + ", ".join(f"{{'d': abs({sh('p', o)} - p), 'j': {j}}}" for j, o in enumerate(offs)) + "]"
+    sk = "CAST(doc_id AS VARCHAR) || '#s' || CAST(i AS VARCHAR)"
+    return (
+        "WITH " + LABELED_DOCUMENTS_SQL.strip() + ", "
+        "cls AS (SELECT toxic, count(*) AS c FROM labeled_documents WHERE toxic IS NOT NULL GROUP BY toxic), "
+        "mino AS (SELECT toxic AS t, c AS m FROM cls ORDER BY c, CAST(toxic AS VARCHAR) LIMIT 1), "
+        "need AS (SELECT (SELECT max(c) FROM cls) - m AS need, m, t FROM mino), "
+        "mm AS (SELECT min(n_chars) AS lo, max(n_chars) AS hi FROM labeled_documents, need WHERE toxic = t), "
+        "minor AS (SELECT d.*, (0.0::DOUBLE + (coalesce(CAST(n_chars AS DOUBLE), lo::DOUBLE) - lo::DOUBLE) / "
+        "CASE WHEN hi > lo THEN (hi - lo)::DOUBLE ELSE 1.0::DOUBLE END) AS p, "
+        f"{h} AS h FROM labeled_documents d, mm, need WHERE toxic = t), "
+        f"nbrs AS (SELECT *, {nb} AS nb, {cand} AS cand FROM minor WINDOW w AS (ORDER BY p, h)), "
+        "near AS (SELECT *, list_slice(list_sort(list_filter(cand, lambda s: s.d IS NOT NULL)), 1, " + str(k) + ") AS nr, "
+        "row_number() OVER (ORDER BY h) AS hr FROM nbrs), "
+        "rep AS (SELECT near.*, i FROM near, need, "
+        "range(1, CAST(need // m + CASE WHEN hr <= need % m THEN 1 ELSE 0 END AS BIGINT) + 1) r(i)), "
+        f"pick AS (SELECT *, {sql_u(sk, 'lambda42')} AS lam, "
+        f"nr[CAST(floor({sql_u(sk, 'nn42')} * len(nr)) AS BIGINT) + 1].j AS j FROM rep), "
+        "syn AS (SELECT " + sk + " AS doc_id, quality, toxic, lang, source, "
+        "CAST(trunc(CASE WHEN nb[j + 1] IS NULL THEN n_chars::DOUBLE ELSE n_chars::DOUBLE + lam * "
+        "(nb[j + 1]::DOUBLE - n_chars::DOUBLE) END) AS BIGINT) AS n_chars FROM pick) "
+        "SELECT CAST(doc_id AS VARCHAR) AS doc_id, quality, toxic, lang, source, n_chars FROM labeled_documents "
+        "UNION ALL SELECT * FROM syn")
+
+
+oracle("g02_smote", _smote_sql())
