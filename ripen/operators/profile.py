@@ -233,4 +233,5 @@ def profile_json(profile: DataFrame) -> DataFrame:
     """The profile as one JSON array (columns in position order), for a
     prompt or an API; built by ``to_json`` over the bounded profile rows."""
     cols = [f.name for f in PROFILE_SCHEMA.fields]
-    return profile.agg(F.to_json(F.array_sort(F.collect_list(F.struct(*cols)))).alias("profile_json"))
+    return profile.agg(F.to_json(F.array_sort(F.collect_list(F.struct(*cols))),
+                                 {"ignoreNullFields": "false"}).alias("profile_json"))

@@ -758,3 +758,13 @@ def _smote_sql(k: int = 5) -> str:
 
 
 oracle("g02_smote", _smote_sql())
+
+
+# ----------------------------------------------------------------- A15 profile JSON
+_PCOLS = ["position", "name", "dtype", "inferred_dtype", "missing_count", "missing_pct", "unique_count", "is_leaky",
+          "is_high_cardinality", "is_skewed", "has_outliers", "correlated_with", "mean", "std", "skewness"]
+_pc, _pbody = profile_ctes("orders_dirty", OD_COLS, "y", True)
+oracle("a15_profile_json", with_(OD, *leakage_ctes("orders_dirty", OD_COLS, "y"), *_pc, f"prof AS ({_pbody})") +
+       "SELECT CAST(to_json(list(struct_pack(" + ", ".join(f"{n} := {n}" for n in _PCOLS) +
+       ", top_categories := CASE WHEN top_categories IS NULL THEN NULL ELSE string_split(top_categories, '|') END) "
+       "ORDER BY position)) AS VARCHAR) AS profile_json FROM prof")
