@@ -768,3 +768,42 @@ oracle("a15_profile_json", with_(OD, *leakage_ctes("orders_dirty", OD_COLS, "y")
        "SELECT CAST(to_json(list(struct_pack(" + ", ".join(f"{n} := {n}" for n in _PCOLS) +
        ", top_categories := CASE WHEN top_categories IS NULL THEN NULL ELSE string_split(top_categories, '|') END) "
        "ORDER BY position)) AS VARCHAR) AS profile_json FROM prof")
+
+
+# ----------------------------------------------------------------- A7-A14, H2, J5-J7
+def _pick_sql(key, salt, frac):
+    return (f"(row_number() OVER (ORDER BY md5(CAST({key} AS VARCHAR) || ':{salt}')) "
+            f"<= floor(count(*) OVER () * {_f(frac)}))")
+
+
+oracle("a07_inject_missing",
+       f"SELECT o_orderkey, o_custkey, CASE WHEN {_pick_sql('o_orderkey', 'miss_o_totalprice', 0.15)} THEN NULL "
+       "ELSE round(o_totalprice, 6) END AS o_totalprice FROM orders")
+oracle("a08_inject_duplicates",
+       "SELECT o_orderkey, o_custkey, round(o_totalprice, 6) AS o_totalprice FROM orders UNION ALL "
+       f"SELECT o_orderkey, o_custkey, round(o_totalprice, 6) FROM orders WHERE {sql_u('o_orderkey', 'dup')} < {_f(0.01)}")
+oracle("a09_inject_unit",
+       "SELECT o_orderkey, o_custkey, CAST(CAST(trunc(o_totalprice) AS BIGINT) AS VARCHAR) || ' months' AS o_totalprice "
+       "FROM orders")
+oracle("a10_inject_outliers",
+       f"SELECT o_orderkey, o_custkey, round(CASE WHEN {_pick_sql('o_orderkey', 'out_o_totalprice', 0.015)} "
+       f"THEN {_f(-500.0)} + {sql_u('o_orderkey', 'out_o_totalprice_v')} * {_f(490.0)} ELSE o_totalprice END, 6) "
+       "AS o_totalprice FROM orders")
+oracle("a11_derive_map", "SELECT doc_id, quality, toxic, CASE toxic WHEN 0 THEN 'clean' WHEN 1 THEN 'toxic' END "
+       "AS toxic_text FROM labels")
+oracle("a12_derive_conditional", "SELECT doc_id, quality, toxic, CAST(CASE WHEN toxic = 1 THEN 1 + "
+       f"floor({sql_u('doc_id', 'days')} * 29) ELSE 0 END AS BIGINT) AS days FROM labels")
+_EDGES = [-1000.0, 0.0, 2500.0, 5000.0, 7500.0, 10000.0]
+_LABS = ["[neg)", "[0-2500)", "[2500-5000)", "[5000-7500)", "[7500+)"]
+oracle("a13_bin_labels", "SELECT c_custkey, round(c_acctbal, 6) AS c_acctbal, CASE " + " ".join(
+    f"WHEN c_acctbal >= {_f(lo)} AND c_acctbal < {_f(hi)} THEN '{lab}'"
+    for lo, hi, lab in zip(_EDGES[:-1], _EDGES[1:], _LABS)) + " ELSE 'nan' END AS acct_band FROM customer")
+oracle("a14_shuffle", "SELECT o_orderkey, o_custkey, round(o_totalprice, 6) AS o_totalprice FROM orders")
+oracle("h02_resolve_by_type", with_(*issues_ctes()) +
+       f"SELECT {ISSUE_COLS}, resolved OR issue_type IN (SELECT issue_type FROM issues WHERE severity = 'medium') "
+       "AS resolved FROM issues")
+oracle("j05_cumulative_reward", "WITH " + RUNLOG + f", rw AS (SELECT run_id, step, {_REWARD} AS reward FROM rl) "
+       "SELECT run_id, step, round(sum(reward) OVER (PARTITION BY run_id ORDER BY step ROWS BETWEEN UNBOUNDED "
+       "PRECEDING AND CURRENT ROW), 4) + 0.0::DOUBLE AS cumulative_reward FROM rw")
+oracle("j06_phase_order", "WITH " + RUNLOG + ", " + SCORES + " SELECT run_id, phase_order FROM scores")
+oracle("j07_efficiency", "WITH " + RUNLOG + ", " + SCORES + " SELECT run_id, task_id, steps, efficiency FROM scores")

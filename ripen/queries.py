@@ -475,3 +475,77 @@ def a15(spark, sf):
     from .operators.profile import profile_json
     od = orders_dirty(spark, sf)
     return profile_json(column_profile(od, "y", leaky_cols=eda.leaky_columns(od, "y")))
+
+
+# --------------------------------------------------------------- A7-A14 injection, H2, J5-J7
+from .sources import inject  # noqa: E402
+
+ACCT_EDGES = [-1000.0, 0.0, 2500.0, 5000.0, 7500.0, 10000.0]
+ACCT_LABELS = ["[neg)", "[0-2500)", "[2500-5000)", "[5000-7500)", "[7500+)"]
+
+
+def _orders_prices(spark, sf):
+    return table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+
+
+@query("a07_inject_missing")
+def a07(spark, sf):
+    return rounded(inject.inject_missing(_orders_prices(spark, sf), "o_orderkey", "o_totalprice", 0.15))
+
+
+@query("a08_inject_duplicates")
+def a08(spark, sf):
+    return rounded(inject.inject_duplicates(_orders_prices(spark, sf), "o_orderkey", 0.01))
+
+
+@query("a09_inject_unit")
+def a09(spark, sf):
+    return inject.inject_unit(_orders_prices(spark, sf), "o_totalprice", "months")
+
+
+@query("a10_inject_outliers")
+def a10(spark, sf):
+    return rounded(inject.inject_outliers(_orders_prices(spark, sf), "o_orderkey", "o_totalprice", 0.015, -500, -10))
+
+
+@query("a11_derive_map")
+def a11(spark, sf):
+    return inject.derive_map(table(spark, sf, "labels"), "toxic", "toxic_text", {0: "clean", 1: "toxic"})
+
+
+@query("a12_derive_conditional")
+def a12(spark, sf):
+    return inject.derive_conditional(table(spark, sf, "labels"), "toxic", "days", "doc_id", 1, 30, "days")
+
+
+@query("a13_bin_labels")
+def a13(spark, sf):
+    c = table(spark, sf, "customer").select("c_custkey", "c_acctbal")
+    return rounded(inject.bin_labels(c, "c_acctbal", ACCT_EDGES, ACCT_LABELS, out="acct_band"))
+
+
+@query("a14_shuffle")
+def a14(spark, sf):
+    return rounded(inject.shuffle(_orders_prices(spark, sf), "o_orderkey"))
+
+
+@query("h02_resolve_by_type")
+def h02(spark, sf):
+    i = iss.detect_issues(orders_dirty(spark, sf), "y", dataset="orders")
+    fixes = i.filter(F.col("severity") == "medium").select("issue_type", F.lit(None).cast("string").alias("column"))
+    return iss.resolve_issues(i, fixes.distinct())
+
+
+@query("j05_cumulative_reward")
+def j05(spark, sf):
+    return runlog.rewards(events_log(spark, sf)).select("run_id", "step", "cumulative_reward")
+
+
+@query("j06_phase_order")
+def j06(spark, sf):
+    return runlog.run_scores(events_log(spark, sf)).select("run_id", "phase_order")
+
+
+@query("j07_efficiency")
+def j07(spark, sf):
+    return runlog.run_scores(events_log(spark, sf)).select("run_id", "task_id", "steps", "efficiency")
