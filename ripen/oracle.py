@@ -807,3 +807,46 @@ oracle("j05_cumulative_reward", "WITH " + RUNLOG + f", rw AS (SELECT run_id, ste
        "PRECEDING AND CURRENT ROW), 4) + 0.0::DOUBLE AS cumulative_reward FROM rw")
 oracle("j06_phase_order", "WITH " + RUNLOG + ", " + SCORES + " SELECT run_id, phase_order FROM scores")
 oracle("j07_efficiency", "WITH " + RUNLOG + ", " + SCORES + " SELECT run_id, task_id, steps, efficiency FROM scores")
+
+
+# ----------------------------------------------------------------- I4 golden churn pipeline
+def _churn_pipeline_sql() -> str:
+    one_hot = []
+    for col, (levels, _p) in (("contract", _fx.CONTRACTS), ("internet_service", _fx.INTERNET),
+                              ("payment_method", _fx.PAYMENT)):
+        for lv in sorted(levels):
+            one_hot.append(f"coalesce({col}, 'missing') = '{lv}' AS \"{col}_{lv}\"")
+    top = ("(SELECT city FROM {src} WHERE city IS NOT NULL GROUP BY city ORDER BY count(*) DESC, city LIMIT 10)")
+    steps = [
+        "c0 AS (SELECT customer_id, CASE WHEN miss_age THEN NULL ELSE age END AS age, "
+        "CAST(CAST(tenure_months AS BIGINT) AS VARCHAR) || ' months' AS tenure_months, "
+        "CASE WHEN miss_mc THEN NULL ELSE monthly_charges END AS monthly_charges, "
+        f"CASE WHEN out_tc THEN {s_uniform('o_tc42_v', -500, -10)} ELSE total_charges END AS total_charges, "
+        "contract, internet_service, payment_method, city, churn FROM b2)",
+        "c1 AS (SELECT * REPLACE (CASE WHEN city IN " + top.format(src="c0") + " THEN city ELSE 'Other' END AS city) "
+        "FROM c0)",
+        f"c2 AS (SELECT * REPLACE ({num_extract('tenure_months')} AS tenure_months) FROM c1)",
+        "c3 AS (SELECT * REPLACE (coalesce(age, (SELECT quantile_cont(age, 0.5) FROM c2)) AS age, "
+        "coalesce(monthly_charges, (SELECT quantile_cont(monthly_charges, 0.5) FROM c2)) AS monthly_charges) FROM c2)",
+        "q4 AS (SELECT quantile_cont(total_charges, 0.25) AS q1, quantile_cont(total_charges, 0.75) AS q3 FROM c3)",
+        "c4 AS (SELECT c3.* REPLACE (CASE WHEN total_charges IS NULL THEN NULL ELSE greatest(least(total_charges, "
+        "q3 + 1.5 * (q3 - q1)), q1 - 1.5 * (q3 - q1)) END AS total_charges) FROM c3, q4)",
+        "c5 AS (SELECT * REPLACE (CASE WHEN city IN " + top.format(src="c4") + " THEN city ELSE 'Other' END AS city) "
+        "FROM c4)",
+        "c6 AS (SELECT customer_id, age, tenure_months, monthly_charges, total_charges, city, churn, "
+        + ", ".join(one_hot) + " FROM c5)",
+        "c7 AS (SELECT * REPLACE (CAST(dense_rank() OVER (ORDER BY coalesce(city, 'missing')) - 1 AS BIGINT) AS city) "
+        "FROM c6)",
+        "c8 AS (SELECT * REPLACE ("
+        + ", ".join(f"(coalesce({n}, (SELECT quantile_cont({n}, 0.5) FROM c7)) - avg({n}) OVER ()) / "
+                    f"stddev_samp({n}) OVER () AS {n}" for n in ("age", "monthly_charges", "total_charges"))
+        + ") FROM c7)",
+        "c9 AS (SELECT *, CASE WHEN row_number() OVER (PARTITION BY churn ORDER BY md5(customer_id || ':42')) <= "
+        "floor(0.2 * count(*) OVER (PARTITION BY churn)) THEN 'test' ELSE 'train' END AS split FROM c8)",
+    ]
+    final = ("SELECT * REPLACE (round(age, 6) AS age, round(tenure_months, 6) AS tenure_months, "
+             "round(monthly_charges, 6) AS monthly_charges, round(total_charges, 6) AS total_charges) FROM c9")
+    return "WITH " + _CHURN_BASE + ", " + ", ".join(steps) + " " + final
+
+
+oracle("i04_apply_plan_churn", _churn_pipeline_sql())
