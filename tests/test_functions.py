@@ -38,3 +38,28 @@ def test_running_matches_window(spark):
     a = sorted(tuple(r) for r in got.select("g", "o", "s", "rn").collect())
     b = sorted(tuple(r) for r in want.collect())
     assert a == b
+
+
+def test_corr_chunks_and_zero_variance_fallback(spark, monkeypatch):
+    import ripen.functions.stats as S
+    df = spark.range(0, 500).select(F.col("id").cast("double").alias("a"), (F.col("id") * 2 + 1).cast("double").alias("b"),
+                                    F.lit(3.0).alias("k"), ((F.col("id") * 7) % 13).cast("double").alias("c"))
+    pairs = [("a", "b"), ("a", "k"), ("b", "c"), ("a", "c")]
+    monkeypatch.setattr(S, "CORR_CHUNK", 2)
+    got = S.fast_corr_row(df, pairs, extra=[F.count(F.lit(1)).alias("n")])
+    assert got["n"] == 500
+    assert abs(got["r0"] - 1.0) < 1e-12 and got["r1"] is None
+    want = df.agg(F.corr("b", "c").alias("x"), F.corr("a", "c").alias("y")).first()
+    assert abs(got["r2"] - want["x"]) < 1e-12 and abs(got["r3"] - want["y"]) < 1e-12
+
+
+def test_approx_paths_are_close(spark):
+    from ripen.operators.profile import column_profile
+    from ripen.sources.dirty import orders_dirty
+    from conftest import SF
+    od = orders_dirty(spark, SF)
+    a = {r["name"]: r for r in column_profile(od, "y", approx=True).collect()}
+    e = {r["name"]: r for r in column_profile(od, "y").collect()}
+    assert a["city"]["is_high_cardinality"] == e["city"]["is_high_cardinality"]
+    assert abs(a["city"]["unique_count"] - e["city"]["unique_count"]) <= 0.05 * e["city"]["unique_count"]
+    assert a["amount"]["has_outliers"] == e["amount"]["has_outliers"]
