@@ -549,3 +549,21 @@ def j06(spark, sf):
 @query("j07_efficiency")
 def j07(spark, sf):
     return runlog.run_scores(events_log(spark, sf)).select("run_id", "task_id", "steps", "efficiency")
+
+
+def _golden(spark, sf, name, key_table, key_col):
+    keys = table(spark, sf, key_table).select(F.col(key_col).alias("k"))
+    gen = {"churn": fixtures.gen_churn, "loan": fixtures.gen_loan, "medical": fixtures.gen_medical}[name]
+    out, _ = plan_apply.apply_plan(gen(keys, "k"), plan_apply.golden_plan(name), fixtures.TARGETS[name],
+                                   fixtures.KEYS[name])
+    return rounded(out)
+
+
+@query("i04_apply_plan_loan")
+def i04c(spark, sf):
+    return _golden(spark, sf, "loan", "orders", "o_orderkey")
+
+
+@query("i04_apply_plan_medical")
+def i04d(spark, sf):
+    return _golden(spark, sf, "medical", "part", "p_partkey")
