@@ -66,7 +66,7 @@ def imbalance_ratio(df: DataFrame, target: str) -> float:
 
 
 def detect_leakage(df: DataFrame, target: str, gain_limit: float = LEAK_GAIN,
-                   known=None, bins: int = LEAK_BINS) -> DataFrame:
+                   known=None, bins: int = LEAK_BINS, minmax: dict | None = None) -> DataFrame:
     """D5, measured: how well a single feature predicts the target.
 
     purity = sum over feature values of the majority-class count / rows;
@@ -78,15 +78,17 @@ def detect_leakage(df: DataFrame, target: str, gain_limit: float = LEAK_GAIN,
     combined map-side.
     """
     with fit_view(df) as fv:
-        return _detect_leakage(fv, target, gain_limit, known, bins)
+        return _detect_leakage(fv, target, gain_limit, known, bins, minmax)
 
 
-def _detect_leakage(df, target, gain_limit, known, bins) -> DataFrame:
+def _detect_leakage(df, target, gain_limit, known, bins, minmax=None) -> DataFrame:
     spark = df.sparkSession
     fields = [f for f in df.schema.fields if f.name != target]
     nums = [f.name for f in fields if is_stat_numeric(f.dataType)]
     mm = {}
-    if nums:
+    if nums and minmax is not None and all(n in minmax for n in nums):
+        mm = {n: minmax[n] for n in nums}      # known from the caller's pass
+    elif nums:
         row = df.agg(*[x for i, n in enumerate(nums) for x in
                        (F.min(c(n).cast("double")).alias(f"lo{i}"),
                         F.max(c(n).cast("double")).alias(f"hi{i}"))]).first()
@@ -135,21 +137,26 @@ def _detect_leakage(df, target, gain_limit, known, bins) -> DataFrame:
             .withColumn("is_leaky", (F.col("gain") >= F.lit(gain_limit)) | F.col("name").isin(known_names)))
 
 
-def leaky_columns(df: DataFrame, target: str, gain_limit: float = LEAK_GAIN, known=None) -> list[str]:
-    return [r["name"] for r in detect_leakage(df, target, gain_limit, known)
+def leaky_columns(df: DataFrame, target: str, gain_limit: float = LEAK_GAIN, known=None,
+                  minmax: dict | None = None) -> list[str]:
+    return [r["name"] for r in detect_leakage(df, target, gain_limit, known, minmax=minmax)
             .filter("is_leaky").select("name").collect()]
 
 
 def high_correlations(df: DataFrame, target: str | None = None,
-                      limit: float = CORR_LIMIT) -> DataFrame:
-    """Numeric (non-boolean) pairs i < j with |r| > limit; one pass."""
+                      limit: float = CORR_LIMIT, corr: dict | None = None) -> DataFrame:
+    """Numeric (non-boolean) pairs i < j with |r| > limit; one pass, or
+    none when ``corr`` ({(a, b): r}, e.g. from the profile) is given."""
     spark = df.sparkSession
     cols = [f.name for f in df.schema.fields if f.name != target and is_stat_numeric(f.dataType)]
     schema = "col1 string, col2 string, abs_corr double"
     if len(cols) < 2:
         return spark.createDataFrame([], schema)
     pairs = [(cols[i], cols[j]) for i in range(len(cols)) for j in range(i + 1, len(cols))]
-    row = fast_corr_row(df, pairs)
+    if corr is not None:
+        row = {f"r{k}": corr.get(pair) for k, pair in enumerate(pairs)}
+    else:
+        row = fast_corr_row(df, pairs)
     out = [(a, b, abs(row[f"r{k}"])) for k, (a, b) in enumerate(pairs)
            if row[f"r{k}"] is not None and abs(row[f"r{k}"]) > limit]
     return spark.createDataFrame(out, schema)

@@ -92,10 +92,14 @@ def column_profile(df: DataFrame, target: str | None = None, leaky_cols=None,
                    infer_mode: str = "strict", approx: bool = False,
                    corr_limit: float = CORR_LIMIT) -> DataFrame:
     with fit_view(df) as fv:
-        return _column_profile(fv, target, leaky_cols, infer_mode, approx, corr_limit)
+        rows, _info = profile_stats(fv, target, leaky_cols, infer_mode, approx, corr_limit)
+        return fv.sparkSession.createDataFrame(rows, PROFILE_SCHEMA)
 
 
-def _column_profile(df, target, leaky_cols, infer_mode, approx, corr_limit) -> DataFrame:
+def profile_stats(df, target, leaky_cols=None, infer_mode="strict", approx=False, corr_limit=CORR_LIMIT):
+    """The profile rows plus what the passes found on the way, for callers
+    that need more than the profile (issue detection, plans) without new
+    scans: {"n_rows", "corr": {(a, b): r}, "minmax": {col: (lo, hi)}}."""
     spark = df.sparkSession
     fields = [f for f in df.schema.fields if f.name != target]
     names = [f.name for f in fields]
@@ -111,7 +115,8 @@ def _column_profile(df, target, leaky_cols, infer_mode, approx, corr_limit) -> D
     for i, n in enumerate(stat_cols):
         v = c(n).cast("double")
         exprs += [F.count(v).alias(f"cnt{i}"), F.avg(v).alias(f"avg{i}"),
-                  F.stddev_samp(v).alias(f"std{i}"), F.skewness(v).alias(f"skw{i}")]
+                  F.stddev_samp(v).alias(f"std{i}"), F.skewness(v).alias(f"skw{i}"),
+                  F.min(v).alias(f"min{i}"), F.max(v).alias(f"max{i}")]
     if not approx:
         exprs += bracket_exprs(stat_cols, [0.25, 0.75], prefix="qb")
     for i, n in enumerate(text_cols):
@@ -199,7 +204,9 @@ def _column_profile(df, target, leaky_cols, infer_mode, approx, corr_limit) -> D
                      round(miss / max(n_rows, 1), 3), u, n in leaky,
                      bool(u > HIGH_CARDINALITY and is_categorical(f.dataType)),
                      bool(is_skewed), bool(has_out), partners.get(n), mean, std, skew, top))
-    return spark.createDataFrame(rows, PROFILE_SCHEMA)
+    info = {"n_rows": n_rows, "corr": corr,
+            "minmax": {n: (agg[f"min{i}"], agg[f"max{i}"]) for i, n in enumerate(stat_cols)}}
+    return rows, info
 
 
 FIXED_WIDTH = {  # bytes per value of fixed-width types
