@@ -83,7 +83,10 @@ class fit_view:
 
     def __enter__(self) -> DataFrame:
         from pyspark import StorageLevel
-        plan = self.src._jdf.queryExecution().optimizedPlan().toString()
+        try:
+            plan = self.src._jdf.queryExecution().optimizedPlan().toString()
+        except Exception:  # noqa: BLE001 - no JVM handle (e.g. Spark Connect): be conservative
+            plan = "Aggregate"
         if any(k in plan for k in _HEAVY):
             self.src = self.src.persist(StorageLevel.MEMORY_AND_DISK)
             self.cached = True

@@ -27,15 +27,21 @@ def get_spark(master: str | None = None, app: str = "ripen",
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = b.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    try:
+        spark.sparkContext.setLogLevel("ERROR")
+    except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
+        pass
     ensure_checkpoint_dir(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
+def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     """Use the cluster's ``spark.checkpoint.dir``; only a local session
     without one gets a fresh scratch folder (tests)."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: the server owns the setting
+        return spark.conf.get("spark.checkpoint.dir", None)
     current = sc.getCheckpointDir()
     if current:
         return current
