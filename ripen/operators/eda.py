@@ -121,6 +121,23 @@ def _detect_leakage(df, target, gain_limit, known, bins, minmax=None) -> DataFra
     if not feats or n_rows == 0:
         return spark.createDataFrame([], schema)
     base = majority / n_rows
+    # id-like text columns never reach the long form (their every value
+    # would be shuffled): HLL screen, exact count only near the threshold
+    text_feats = [n for n in feats if is_categorical(types[n])]
+    if text_feats:
+        limit = ID_LIKE_SHARE * n_rows
+        est = base_df.agg(*[F.approx_count_distinct(c(n), 0.01).alias(f"d{i}")
+                            for i, n in enumerate(text_feats)]).first()
+        dist = {n: est[f"d{i}"] for i, n in enumerate(text_feats)}
+        near = [n for n in text_feats if abs(dist[n] - limit) <= 0.05 * limit + 10]
+        if near:
+            ex = base_df.agg(*[F.count_distinct(c(n)).alias(f"e{i}") for i, n in enumerate(near)]).first()
+            dist.update({n: ex[f"e{i}"] for i, n in enumerate(near)})
+        drop = {n for n in text_feats if dist[n] > limit}
+        keep = [i for i, n in enumerate(feats) if n not in drop]
+        feats, exprs = [feats[i] for i in keep], [exprs[i] for i in keep]
+        if not feats:
+            return spark.createDataFrame([], schema)
     proj = base_df.select(c(target).alias("__t"), *exprs)
     long = long_form(proj, feats, keep=["__t"])
     per_class = long.groupBy("name", "value", "__t").agg(F.count(F.lit(1)).alias("k"))

@@ -131,3 +131,10 @@ def test_profile_json_is_ordered(spark, od):
     from ripen.operators.profile import profile_json
     js = json.loads(profile_json(column_profile(od, "y")).first()[0])
     assert [d["position"] for d in js] == list(range(len(js)))
+
+
+def test_leakage_skips_id_like_text_before_the_shuffle(spark):
+    cust = table(spark, SF, "customer").select("c_name", "c_mktsegment", "c_acctbal",
+                                                (F.col("c_custkey") % 2).alias("t"))
+    names = {r["name"] for r in eda.detect_leakage(cust, "t").collect()}
+    assert "c_name" not in names and {"c_mktsegment", "c_acctbal"} <= names
