@@ -42,9 +42,9 @@ def distinct_counts(df: DataFrame, cols: list[str], near: float | None = None) -
     only borderline columns pay for an exact count."""
     if not cols:
         return {}
-    est = df.agg(*[F.approx_count_distinct(c(n), 0.01).alias(f"d{i}") for i, n in enumerate(cols)]).first()
+    est = df.agg(*[F.approx_count_distinct(c(n)).alias(f"d{i}") for i, n in enumerate(cols)]).first()
     out = {n: est[f"d{i}"] for i, n in enumerate(cols)}
-    exact = [n for n in cols if near is None or abs(out[n] - near) <= 0.05 * near + 10]
+    exact = [n for n in cols if near is None or abs(out[n] - near) <= eda.HLL_BAND * near + 10]
     if exact:
         row = df.agg(*[F.count_distinct(c(n)).alias(f"e{i}") for i, n in enumerate(exact)]).first()
         out.update({n: row[f"e{i}"] for i, n in enumerate(exact)})

@@ -15,6 +15,7 @@ MIN_OUTLIER_VALUES = 10   # detect_outliers skips columns with fewer values
 LEAK_GAIN = 0.99
 LEAK_BINS = 20            # equal-width bins for numeric features in the purity test
 ID_LIKE_SHARE = 0.5
+HLL_BAND = 0.2          # estimates this close to a threshold get an exact count
 RAW_INT_RANGE = 64       # integer features spanning fewer values are not binned
 
 
@@ -126,10 +127,12 @@ def _detect_leakage(df, target, gain_limit, known, bins, minmax=None) -> DataFra
     text_feats = [n for n in feats if is_categorical(types[n])]
     if text_feats:
         limit = ID_LIKE_SHARE * n_rows
-        est = base_df.agg(*[F.approx_count_distinct(c(n), 0.01).alias(f"d{i}")
+        # default HLL precision: a small buffer per column (a 1 % sketch holds
+        # ~2.7k longs per column and makes a huge generated aggregate)
+        est = base_df.agg(*[F.approx_count_distinct(c(n)).alias(f"d{i}")
                             for i, n in enumerate(text_feats)]).first()
         dist = {n: est[f"d{i}"] for i, n in enumerate(text_feats)}
-        near = [n for n in text_feats if abs(dist[n] - limit) <= 0.05 * limit + 10]
+        near = [n for n in text_feats if abs(dist[n] - limit) <= HLL_BAND * limit + 10]
         if near:
             ex = base_df.agg(*[F.count_distinct(c(n)).alias(f"e{i}") for i, n in enumerate(near)]).first()
             dist.update({n: ex[f"e{i}"] for i, n in enumerate(near)})

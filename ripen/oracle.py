@@ -850,3 +850,8 @@ def _churn_pipeline_sql() -> str:
 
 
 oracle("i04_apply_plan_churn", _churn_pipeline_sql())
+oracle("b03_infer_dtype_reference", with_(OD) + "\nUNION ALL ".join(
+    f"SELECT '{n}' AS name, " + ("'numeric'" if t in NUMERIC else "'categorical'") + " AS dtype, " +
+    (f"CASE WHEN least(count({n}), 50) > 5 THEN 'numeric' ELSE 'categorical' END AS inferred_dtype FROM orders_dirty"
+     if t == "string" else "'numeric' AS inferred_dtype")
+    for n, t in OD_COLS if n != "y"))

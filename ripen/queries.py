@@ -567,3 +567,11 @@ def i04c(spark, sf):
 @query("i04_apply_plan_medical")
 def i04d(spark, sf):
     return _golden(spark, sf, "medical", "part", "p_partkey")
+
+
+@query("b03_infer_dtype_reference")
+def b03r(spark, sf):
+    """B3 in the original's mode: any text column with more than five values
+    counts as numeric."""
+    p = column_profile(orders_dirty(spark, sf), "y", infer_mode="reference", approx=True)
+    return p.select("name", "dtype", "inferred_dtype")
