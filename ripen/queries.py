@@ -373,7 +373,6 @@ def a05(spark, sf):
 
 # --------------------------------------------------------------- I plans
 from .plans import actions as acts, apply as plan_apply  # noqa: E402
-from .plans.recommend import recommend  # noqa: E402
 from .functions.rand import u01  # noqa: E402
 
 
