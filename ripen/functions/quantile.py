@@ -9,9 +9,11 @@ selection instead:
    each wanted rank (a bounded sketch);
 2. one pass: exact counts below / at / inside / at the top of each bracket;
    values sitting on a bracket edge (ties, hot values) resolve here;
-3. one pass: only the few values strictly inside a bracket are collected,
-   capped at ``max_collect`` per target; wider brackets are refined by
-   repeating steps 1-2 inside the bracket.
+3. only the few values strictly inside a bracket are collected, capped at
+   ``max_collect`` per target -- in the pass of step 2 itself whenever the
+   sketch's error bound guarantees that few (regions up to ~20M values),
+   else in one more pass; wider brackets are refined by repeating steps
+   1-2 inside the bracket.
 
 Every pass is a plain scan + partial/final aggregate, batched over all
 columns and ranks.  Quantiles interpolate linearly between order statistics
@@ -94,16 +96,23 @@ def order_statistics(df: DataFrame, targets: list[tuple], accuracy: int = ACCURA
         else:
             row = df.agg(*exprs).first()
             found = {i: row[f"a{i}"] for i in pending}
-        # step 2: exact counts left of / at / inside / at the top of each bracket
+        # step 2: exact counts left of / at / inside / at the top of each bracket.
+        # When the sketch's rank-error bound guarantees few values strictly
+        # inside (region small enough), they are collected in this same pass.
         exprs = []
+        eager = set()
         for i in pending:
             v, cond = targets[i][0].cast("double"), targets[i][1]
             b_lo, b_hi = found[i]
             base = v.isNotNull() if cond is None else (v.isNotNull() & cond)
+            inside = base & (v > F.lit(b_lo)) & (v < F.lit(b_hi))
             exprs += [F.count_if(base & (v < F.lit(b_lo))).alias(f"b{i}"),
                       F.count_if(base & (v == F.lit(b_lo))).alias(f"l{i}"),
-                      F.count_if(base & (v > F.lit(b_lo)) & (v < F.lit(b_hi))).alias(f"m{i}"),
+                      F.count_if(inside).alias(f"m{i}"),
                       F.count_if(base & (v == F.lit(b_hi)) & F.lit(b_hi != b_lo)).alias(f"h{i}")]
+            if size[i] * (2 * MARGIN + 2) / accuracy <= max_collect:
+                eager.add(i)
+                exprs.append(F.sort_array(F.collect_list(F.when(inside, v))).alias(f"v{i}"))
         row = df.agg(*exprs).first()
         still = []
         for i in pending:
@@ -117,6 +126,9 @@ def order_statistics(df: DataFrame, targets: list[tuple], accuracy: int = ACCURA
                 vals[i] = b_lo
                 continue
             elif r < nb + nl + nm:           # answer strictly inside the bracket
+                if i in eager and nm <= max_collect:
+                    vals[i] = row[f"v{i}"][r - nb - nl]
+                    continue
                 below[i], size[i] = nb + nl, nm
                 lo[i], hi[i] = ("open", b_lo), ("open", b_hi)
             elif r < nb + nl + nm + nh:      # answer == b_hi
@@ -216,11 +228,17 @@ def exact_quantiles(df: DataFrame, cols: list, probs: list[float],
                 res.append(None)
                 continue
             ia, ib, frac = item
-            va, vb = vals[ia], vals[ib]
-            res.append(va if ib == ia else va + frac * (vb - va))
+            res.append(lerp(vals[ia], vals[ib], frac) if ib != ia else vals[ia])
         out.append(res)
     return out
 
 
+def lerp(a: float, b: float, t: float) -> float:
+    """Linear interpolation exactly as numpy's quantile does it (the
+    original runs pandas): from the nearer end, so t >= 0.5 counts from b."""
+    d = b - a
+    return b - d * (1.0 - t) if t >= 0.5 else a + d * t
+
+
 def median(df: DataFrame, col, approx: bool = False) -> float | None:
     return exact_quantiles(df, [col], [0.5], approx=approx)[0][0]
