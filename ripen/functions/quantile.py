@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 ACCURACY = 10000
 MARGIN = 4.0          # bracket half-width in units of the sketch's rank error
 MAX_COLLECT = 20000   # values collected per target in the final pass
+EAGER_COLLECT = True  # collect inside-bracket values in the verify pass when bounded
 
 
 def _cond(c: Column, cond: Column | None) -> Column:
@@ -110,7 +111,7 @@ def order_statistics(df: DataFrame, targets: list[tuple], accuracy: int = ACCURA
                       F.count_if(base & (v == F.lit(b_lo))).alias(f"l{i}"),
                       F.count_if(inside).alias(f"m{i}"),
                       F.count_if(base & (v == F.lit(b_hi)) & F.lit(b_hi != b_lo)).alias(f"h{i}")]
-            if size[i] * (2 * MARGIN + 2) / accuracy <= max_collect:
+            if EAGER_COLLECT and size[i] * (2 * MARGIN + 2) / accuracy <= max_collect:
                 eager.add(i)
                 exprs.append(F.sort_array(F.collect_list(F.when(inside, v))).alias(f"v{i}"))
         row = df.agg(*exprs).first()

@@ -83,6 +83,12 @@ class fit_view:
 
     def __enter__(self) -> DataFrame:
         from pyspark import StorageLevel
+        try:
+            level = self.src.storageLevel
+            if level.useMemory or level.useDisk:
+                return self.src          # the caller's cache: use it, never release it
+        except Exception:  # noqa: BLE001
+            pass
         try:
             plan = self.src._jdf.queryExecution().optimizedPlan().toString()
         except Exception:  # noqa: BLE001 - no JVM handle (e.g. Spark Connect): be conservative

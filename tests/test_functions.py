@@ -63,3 +63,13 @@ def test_approx_paths_are_close(spark):
     assert a["city"]["is_high_cardinality"] == e["city"]["is_high_cardinality"]
     assert abs(a["city"]["unique_count"] - e["city"]["unique_count"]) <= 0.05 * e["city"]["unique_count"]
     assert a["amount"]["has_outliers"] == e["amount"]["has_outliers"]
+
+
+def test_fit_view_keeps_the_callers_cache(spark):
+    from ripen.functions.stats import fit_view
+    df = spark.range(0, 100).groupBy((F.col("id") % 3).alias("g")).count().cache()
+    df.count()
+    with fit_view(df) as fv:
+        fv.count()
+    assert df.storageLevel.useMemory
+    df.unpersist()
