@@ -19,6 +19,7 @@ MISSING = "missing"
 MAX_ONEHOT = 20
 TOP_K = 10
 IMPORTANCE_K = 5
+BULK_LEVELS = 10_000
 FOREST_TREES = 30
 FOREST_SEED = 42
 
@@ -150,7 +151,9 @@ def encoded_features(df: DataFrame, target: str | None) -> DataFrame:
     texts = [n for n in feats if is_categorical(types[n])]
     meds = dict(zip(nums, [m[0] for m in exact_quantiles(df, [c(n).cast("double") for n in nums], [0.5])])) \
         if nums else {}
-    small = levels_of_many(df, texts, COLLECT_LEVELS, null_text="nan")
+    # many columns at once: a tighter per-column cap keeps the driver-side
+    # level lists small; bigger columns get exact distributed codes
+    small = levels_of_many(df, texts, BULK_LEVELS, null_text="nan")
     out = []
     for n in df.columns:
         if n in meds:
