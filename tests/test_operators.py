@@ -138,3 +138,39 @@ def test_leakage_skips_id_like_text_before_the_shuffle(spark):
                                                 (F.col("c_custkey") % 2).alias("t"))
     names = {r["name"] for r in eda.detect_leakage(cust, "t").collect()}
     assert "c_name" not in names and {"c_mktsegment", "c_acctbal"} <= names
+
+
+def test_dense_codes_path_equals_literal_map_path(od, monkeypatch):
+    import ripen.operators.features as feat
+    want = sorted(tuple(r) for r in feat.encode_label(od, "city", target="y").select("id", "city").collect())
+    monkeypatch.setattr(feat, "COLLECT_LEVELS", 5)      # force the distributed path (150 levels)
+    monkeypatch.setattr(feat, "BULK_LEVELS", 5)
+    got = sorted(tuple(r) for r in feat.encode_label(od, "city", target="y").select("id", "city").collect())
+    assert got == want
+    enc = feat.encoded_features(od.select("id", "city", "y"), "y")
+    assert sorted(tuple(r) for r in enc.select("id", "city").collect()) == want
+
+
+def test_shuffle_join_path_equals_broadcast_path(od, monkeypatch):
+    import ripen.functions.lookup as lk
+    import ripen.operators.features as feat
+    want = sorted(tuple(r) for r in feat.encode_target(od, "city", "y").select("id", "city").collect())
+    monkeypatch.setattr(lk, "BROADCAST_ROWS", 0)
+    orig = lk.lookup_join
+    monkeypatch.setattr(feat, "lookup_join", lambda df, t, on, how="left": orig(df, t, on, how, max_broadcast_rows=0))
+    spark = od.sparkSession
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        out = feat.encode_target(od, "city", "y")
+        rows = sorted(tuple(r) for r in out.select("id", "city").collect())
+        assert "BroadcastHashJoin" not in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    assert rows == want
