@@ -174,3 +174,10 @@ def test_shuffle_join_path_equals_broadcast_path(od, monkeypatch):
             else:
                 spark.conf.set(k, v)
     assert rows == want
+
+
+def test_approx_plan_matches_exact_plan_here(spark, od):
+    from ripen.plans import apply as P
+    exact = [(r["action"], r["column"]) for r in P.recommended_plan(od, "y").orderBy("seq").collect()]
+    approx = [(r["action"], r["column"]) for r in P.recommended_plan(od, "y", approx=True).orderBy("seq").collect()]
+    assert approx == exact
