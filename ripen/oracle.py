@@ -855,3 +855,91 @@ oracle("b03_infer_dtype_reference", with_(OD) + "\nUNION ALL ".join(
     (f"CASE WHEN least(count({n}), 50) > 5 THEN 'numeric' ELSE 'categorical' END AS inferred_dtype FROM orders_dirty"
      if t == "string" else "'numeric' AS inferred_dtype")
     for n, t in OD_COLS if n != "y"))
+
+
+# ----------------------------------------------------------------- I4 golden loan pipeline
+def _smote_ctes(src: str, cols: list[str], target: str, key: str, feats: list[str], types: dict,
+                k: int = 5, prefix: str = "sm") -> tuple[list[str], str]:
+    """SMOTE over a CTE ``src``: projection = sum of min-max scaled features
+    (minority min/max), order (projection, md5), k nearest of the 2k sorted
+    neighbours, md5-drawn neighbour and lambda.  Returns (ctes, final select)."""
+    offs = [s * d for d in range(1, k + 1) for s in (-1, 1)]
+    h = sql_hash52(key, "smote42")
+
+    def sh(col, o):
+        return f"lag({col}, {-o}) OVER w" if o < 0 else f"lead({col}, {o}) OVER w"
+    mm = ", ".join(f"min({f})::DOUBLE AS lo_{f}, max({f})::DOUBLE AS hi_{f}" for f in feats)
+    proj = "0.0::DOUBLE"
+    for f in feats:
+        proj = (f"({proj} + (coalesce(CAST({f} AS DOUBLE), lo_{f}) - lo_{f}) / "
+                f"CASE WHEN hi_{f} > lo_{f} THEN hi_{f} - lo_{f} ELSE 1.0::DOUBLE END)")
+    nbs = ", ".join("[" + ", ".join(sh(f, o) for o in offs) + f"] AS nb_{f}" for f in feats)
+    cand = "[" + ", ".join(f"{{'d': abs({sh('p', o)} - p), 'j': {j}}}" for j, o in enumerate(offs)) + "]"
+    sk = f"CAST({key} AS VARCHAR) || '#s' || CAST(i AS VARCHAR)"
+    p = prefix
+    ctes = [
+        f"{p}_cls AS (SELECT {target} AS t, count(*) AS c FROM {src} WHERE {target} IS NOT NULL GROUP BY {target})",
+        f"{p}_mino AS (SELECT t, c AS m, (SELECT max(c) FROM {p}_cls) - c AS need FROM {p}_cls "
+        f"ORDER BY c, CAST(t AS VARCHAR) LIMIT 1)",
+        f"{p}_mm AS (SELECT {mm} FROM {src}, {p}_mino WHERE {target} = t)",
+        f"{p}_minor AS (SELECT s.*, {proj} AS p, {h} AS h FROM {src} s, {p}_mm, {p}_mino WHERE {target} = t)",
+        f"{p}_nbrs AS (SELECT *, {nbs}, {cand} AS cand FROM {p}_minor WINDOW w AS (ORDER BY p, h))",
+        f"{p}_near AS (SELECT *, list_slice(list_sort(list_filter(cand, lambda s: s.d IS NOT NULL)), 1, {k}) AS nr, "
+        f"row_number() OVER (ORDER BY h) AS hr FROM {p}_nbrs)",
+        f"{p}_rep AS (SELECT n.*, i FROM {p}_near n, {p}_mino, "
+        f"range(1, CAST(need // m + CASE WHEN hr <= need % m THEN 1 ELSE 0 END AS BIGINT) + 1) r(i))",
+        f"{p}_pick AS (SELECT *, {sql_u(sk, 'lambda42')} AS lam, "
+        f"nr[CAST(floor({sql_u(sk, 'nn42')} * len(nr)) AS BIGINT) + 1].j AS jj FROM {p}_rep)",
+    ]
+    out = []
+    for c in cols:
+        if c in feats:
+            e = (f"CASE WHEN nb_{c}[jj + 1] IS NULL THEN CAST({c} AS DOUBLE) ELSE CAST({c} AS DOUBLE) + lam * "
+                 f"(CAST(nb_{c}[jj + 1] AS DOUBLE) - CAST({c} AS DOUBLE)) END")
+            e = f"CAST(trunc({e}) AS BIGINT)" if types.get(c) == "bigint" else e
+            out.append(f"{e} AS {c}")
+        elif c == key:
+            out.append(f"{sk} AS {key}")
+        else:
+            out.append(f'"{c}"')
+    ctes.append(f"{p}_syn AS (SELECT {', '.join(out)} FROM {p}_pick)")
+    final = (f"SELECT * REPLACE (CAST({key} AS VARCHAR) AS {key}) FROM {src} UNION ALL SELECT * FROM {p}_syn")
+    return ctes, final
+
+
+def _loan_pipeline_sql() -> str:
+    one_hot = []
+    for col, (levels, _p) in (("employment", _fx.EMPLOYMENT), ("purpose", _fx.PURPOSE)):
+        for lv in sorted(levels):
+            one_hot.append(f"coalesce({col}, 'missing') = '{lv}' AS \"{col}_{lv}\"")
+    steps = [
+        "l0 AS (SELECT loan_id, age, CASE WHEN miss_inc THEN NULL ELSE income END AS income, loan_amount, loan_term, "
+        "CASE WHEN miss_cs THEN NULL ELSE credit_score END AS credit_score, dti_ratio, employment, purpose, \"default\", "
+        f"{s_u('dup42')} < {_f(50 / 1200)} AS dup FROM b3)",
+        "l1 AS (SELECT * EXCLUDE (dup) FROM l0 UNION ALL SELECT * EXCLUDE (dup) FROM l0 WHERE dup)",
+        "l2 AS (SELECT DISTINCT * FROM l1)",
+        "l3 AS (SELECT * REPLACE (coalesce(credit_score, (SELECT quantile_cont(credit_score, 0.5) FROM l2)) AS credit_score, "
+        "coalesce(income, (SELECT quantile_cont(income, 0.5) FROM l2)) AS income) FROM l2)",
+        "l4 AS (SELECT * REPLACE (ln(1 + coalesce(income, (SELECT quantile_cont(income, 0.5) FROM l3))) AS income) FROM l3)",
+        "l5 AS (SELECT loan_id, age, income, loan_amount, loan_term, credit_score, \"default\", "
+        + ", ".join(one_hot) + " FROM l4)",
+        "l6 AS (SELECT * REPLACE ("
+        + ", ".join(f"(coalesce({n}, (SELECT quantile_cont({n}, 0.5) FROM l5)) - avg({n}) OVER ()) / "
+                    f"stddev_samp({n}) OVER () AS {n}" for n in ("age", "loan_amount")) + ") FROM l5)",
+        "q7 AS (SELECT quantile_cont(credit_score, 0.25) AS a, quantile_cont(credit_score, 0.5) AS b, "
+        "quantile_cont(credit_score, 0.75) AS c FROM l6)",
+        "l7 AS (SELECT l6.* REPLACE ((credit_score - b) / (c - a) AS credit_score) FROM l6, q7)",
+        "l8 AS (SELECT *, CASE WHEN row_number() OVER (PARTITION BY \"default\" ORDER BY md5(loan_id || ':42')) <= "
+        "floor(0.2 * count(*) OVER (PARTITION BY \"default\")) THEN 'test' ELSE 'train' END AS split FROM l7)",
+    ]
+    cols = (["loan_id", "age", "income", "loan_amount", "loan_term", "credit_score", "default"]
+            + [f"{c}_{lv}" for c, (levels, _p) in (("employment", _fx.EMPLOYMENT), ("purpose", _fx.PURPOSE))
+               for lv in sorted(levels)] + ["split"])
+    feats = ["age", "income", "loan_amount", "loan_term", "credit_score"]
+    sm, final = _smote_ctes("l8", cols, '"default"', "loan_id", feats, {"loan_term": "bigint"})
+    body = ("SELECT * REPLACE (" + ", ".join(f"round({n}, 6) AS {n}" for n in ("age", "income", "loan_amount",
+                                                                              "credit_score")) + f") FROM ({final}) z")
+    return "WITH " + _LOAN_BASE.split(", b4 AS")[0] + ", " + ", ".join(steps + sm) + " " + body
+
+
+oracle("i04_apply_plan_loan", _loan_pipeline_sql())
