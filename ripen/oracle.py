@@ -943,3 +943,53 @@ def _loan_pipeline_sql() -> str:
 
 
 oracle("i04_apply_plan_loan", _loan_pipeline_sql())
+
+
+# ----------------------------------------------------------------- I4 golden medical pipeline
+def _medical_pipeline_sql() -> str:
+    onehot = {"gender": _fx.GENDER, "admission_type": _fx.ADMISSION, "discharge_to": _fx.DISCHARGE}
+    oh_cols = [f"{c}_{lv}" for c in ("gender", "admission_type", "discharge_to") for lv in sorted(onehot[c][0])]
+    oh_sql = [f"coalesce({c}, 'missing') = '{lv}' AS \"{c}_{lv}\"" for c in ("gender", "admission_type", "discharge_to")
+              for lv in sorted(onehot[c][0])]
+
+    def med(n, src):
+        return f"coalesce({n}, (SELECT quantile_cont({n}, 0.5) FROM {src}))"
+
+    def std(n, src):
+        return f"({med(n, src)} - avg({n}) OVER ()) / stddev_samp({n}) OVER () AS {n}"
+    steps = [
+        # generator output (unrounded), then the plan
+        f"m0 AS (SELECT patient_id, {_AGE_BIN} AS age, gender, CASE WHEN m_race THEN NULL ELSE race END AS race, "
+        "CASE WHEN m_bmi THEN NULL ELSE bmi END AS bmi, CASE WHEN m_hb THEN NULL ELSE hba1c_result END AS hba1c_result, "
+        "CASE WHEN m_meds THEN NULL ELSE num_medications END AS num_medications, num_procedures, num_diagnoses, "
+        "los_days, admission_type, discharge_to, payer_code, readmitted FROM b2)",
+        f"m1 AS (SELECT * REPLACE ({num_extract('age')} AS age) FROM m0)",
+        f"m2 AS (SELECT * REPLACE ({med('bmi', 'm1')} AS bmi, {med('hba1c_result', 'm1')} AS hba1c_result, "
+        f"{med('num_medications', 'm1')} AS num_medications) FROM m1)",
+        "m3 AS (SELECT * REPLACE (coalesce(race, (SELECT race FROM m2 WHERE race IS NOT NULL GROUP BY race "
+        "ORDER BY count(*) DESC, race LIMIT 1)) AS race) FROM m2)",
+        f"m4 AS (SELECT * EXCLUDE (num_procedures) REPLACE (ln(1 + {med('los_days', 'm3')}) AS los_days) FROM m3)",
+        "m5 AS (SELECT patient_id, age, "
+        "CAST(dense_rank() OVER (ORDER BY coalesce(race, 'missing')) - 1 AS BIGINT) AS race, bmi, hba1c_result, "
+        "num_medications, num_diagnoses, los_days, "
+        "CAST(dense_rank() OVER (ORDER BY coalesce(payer_code, 'missing')) - 1 AS BIGINT) AS payer_code, readmitted, "
+        + ", ".join(oh_sql) + " FROM m4)",
+        f"m6 AS (SELECT * REPLACE ({std('age', 'm5')}, {std('bmi', 'm5')}, {std('hba1c_result', 'm5')}) FROM m5)",
+        "q7 AS (SELECT quantile_cont(num_medications, 0.25) AS a, quantile_cont(num_medications, 0.5) AS b, "
+        "quantile_cont(num_medications, 0.75) AS c FROM m6)",
+        "m7 AS (SELECT m6.* REPLACE ((num_medications - b) / (c - a) AS num_medications) FROM m6, q7)",
+        f"m8 AS (SELECT * REPLACE ({std('los_days', 'm7')}, {std('num_diagnoses', 'm7')}) FROM m7)",
+        "m9 AS (SELECT *, CASE WHEN row_number() OVER (PARTITION BY readmitted ORDER BY md5(patient_id || ':42')) <= "
+        "floor(0.2 * count(*) OVER (PARTITION BY readmitted)) THEN 'test' ELSE 'train' END AS split FROM m8)",
+    ]
+    cols = (["patient_id", "age", "race", "bmi", "hba1c_result", "num_medications", "num_diagnoses", "los_days",
+             "payer_code", "readmitted"] + oh_cols + ["split"])
+    feats = ["age", "race", "bmi", "hba1c_result", "num_medications", "num_diagnoses", "los_days", "payer_code"]
+    sm, final = _smote_ctes("m9", cols, "readmitted", "patient_id", feats, {"race": "bigint", "payer_code": "bigint"})
+    body = ("SELECT * REPLACE (" + ", ".join(f"round({n}, 6) AS {n}" for n in
+                                             ("age", "bmi", "hba1c_result", "num_medications", "num_diagnoses",
+                                              "los_days")) + f") FROM ({final}) z")
+    return "WITH " + _MED_BASE + ", " + ", ".join(steps + sm) + " " + body
+
+
+oracle("i04_apply_plan_medical", _medical_pipeline_sql())
