@@ -993,3 +993,48 @@ def _medical_pipeline_sql() -> str:
 
 
 oracle("i04_apply_plan_medical", _medical_pipeline_sql())
+
+
+# ----------------------------------------------------------------- I4 recommended plan on orders_dirty
+def _orders_plan_sql() -> str:
+    def med(n, src):
+        return f"coalesce({n}, (SELECT quantile_cont({n}, 0.5) FROM {src}))"
+
+    def clip(n, src):
+        q = f"(SELECT quantile_cont({n}, 0.25) AS q1, quantile_cont({n}, 0.75) AS q3 FROM {src})"
+        return (f"CASE WHEN {n} IS NULL THEN NULL ELSE greatest(least({n}, (SELECT q3 + 1.5 * (q3 - q1) FROM {q} x)), "
+                f"(SELECT q1 - 1.5 * (q3 - q1) FROM {q} y)) END AS {n}")
+
+    def std(n, src):
+        return f"(({med(n, src)}) - (SELECT avg({n}) FROM {src})) / (SELECT stddev_samp({n}) FROM {src}) AS {n}"
+    steps = [
+        "o1 AS (SELECT * EXCLUDE (leak_label, leak_days) FROM orders_dirty)",
+        f"o2 AS (SELECT * REPLACE ({num_extract('priority')} AS priority, {num_extract('tenure')} AS tenure) FROM o1)",
+        "o3 AS (SELECT DISTINCT * FROM o2)",
+        f"o4 AS (SELECT * REPLACE ({med('amount', 'o3')} AS amount) FROM o3)",
+        "o5 AS (SELECT * REPLACE (coalesce(status, (SELECT status FROM o4 WHERE status IS NOT NULL GROUP BY status "
+        "ORDER BY count(*) DESC, status LIMIT 1)) AS status) FROM o4)",
+        "o6 AS (SELECT * REPLACE (CASE WHEN city IN (SELECT city FROM o5 WHERE city IS NOT NULL GROUP BY city "
+        "ORDER BY count(*) DESC, city LIMIT 10) THEN city ELSE 'Other' END AS city) FROM o5)",
+        f"o7 AS (SELECT * REPLACE ({clip('amount', 'o6')}) FROM o6)",
+        f"o8 AS (SELECT * EXCLUDE (total2) REPLACE ({clip('los_days', 'o7')}) FROM o7)",
+        f"o9 AS (SELECT * REPLACE (ln(1 + {med('los_days', 'o8')}) AS los_days) FROM o8)",
+        "o10 AS (SELECT id, amount, total, priority, tenure, "
+        "CAST(dense_rank() OVER (ORDER BY coalesce(city, 'missing')) - 1 AS BIGINT) AS city, los_days, y, "
+        + ", ".join(f"coalesce(status, 'missing') = '{v}' AS status_{v}" for v in ("F", "O", "P")) + " FROM o9)",
+        f"o11 AS (SELECT * REPLACE ({std('amount', 'o10')}) FROM o10)",
+        f"o12 AS (SELECT * REPLACE ({std('total', 'o11')}) FROM o11)",
+        f"o13 AS (SELECT * REPLACE ({std('los_days', 'o12')}) FROM o12)",
+        "o14 AS (SELECT *, CASE WHEN row_number() OVER (PARTITION BY y ORDER BY md5(CAST(id AS VARCHAR) || ':42')) <= "
+        "floor(0.2 * count(*) OVER (PARTITION BY y)) THEN 'test' ELSE 'train' END AS split FROM o13)",
+    ]
+    cols = ["id", "amount", "total", "priority", "tenure", "city", "los_days", "y", "status_F", "status_O",
+            "status_P", "split"]
+    feats = ["amount", "total", "priority", "tenure", "city", "los_days"]
+    sm, final = _smote_ctes("o14", cols, "y", "id", feats, {"city": "bigint"})
+    body = ("SELECT * REPLACE (" + ", ".join(f"round({n}, 6) AS {n}" for n in
+                                             ("amount", "total", "priority", "tenure", "los_days")) + f") FROM ({final}) z")
+    return with_(OD, *steps, *sm) + body
+
+
+oracle("i04_apply_plan_orders", _orders_plan_sql())
