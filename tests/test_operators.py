@@ -181,3 +181,8 @@ def test_approx_plan_matches_exact_plan_here(spark, od):
     exact = [(r["action"], r["column"]) for r in P.recommended_plan(od, "y").orderBy("seq").collect()]
     approx = [(r["action"], r["column"]) for r in P.recommended_plan(od, "y", approx=True).orderBy("seq").collect()]
     assert approx == exact
+
+
+def test_feature_importance_ranks_the_leaks_first(od):
+    top = [r["feature"] for r in features.feature_importance(od, "y", k=5).collect()]
+    assert set(top[:2]) == {"leak_label", "leak_days"}
