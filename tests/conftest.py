@@ -13,3 +13,4 @@ def spark():
     from ripen.session import get_spark
     s = get_spark("local[4]", app="ripen-tests", shuffle_partitions=4)
     yield s
+    s.stop()
