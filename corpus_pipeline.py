@@ -38,7 +38,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each leaf's token-prefix of one seeded epoch, by the weights of the mixing query."""
-    return mixing.mix(docs, MIX_SHARE, MIX, DOMAIN, seed=17, max_epochs=1).select(*docs.columns)
+    return mixing.mix(docs, MIX_SHARE, MIX, F.expr(DOMAIN), seed=17, max_epochs=1).select(*docs.columns)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

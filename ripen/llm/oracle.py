@@ -24,12 +24,12 @@ FROM w LEFT JOIN kept USING (doc_id)
 _OP4 = f"""
 WITH crc AS (
   -- the reflected polynomial's table, then one step a byte
-  SELECT list(list_reduce(list_prepend(n, range(8)), (c, k) -> CASE WHEN c & 1 = 1 THEN xor(3988292384::BIGINT, c >> 1) ELSE c >> 1 END) ORDER BY n) AS steps
+  SELECT list(list_reduce(list_prepend(n, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384::BIGINT, c >> 1) ELSE c >> 1 END) ORDER BY n) AS steps
   FROM unnest(range(256)) AS t(n)),
 d AS (SELECT doc_id, strlen(coalesce(text, '')) + 16 AS size, hex(coalesce(text, '')) AS h FROM documents),
-b AS (SELECT doc_id, size, list_transform(range(size - 16), i -> CAST('0x' || substr(h, CAST(2 * i + 1 AS BIGINT), 2) AS BIGINT)) AS bytes FROM d),
+b AS (SELECT doc_id, size, list_transform(range(size - 16), lambda i: CAST('0x' || substr(h, CAST(2 * i + 1 AS BIGINT), 2) AS BIGINT)) AS bytes FROM d),
 s AS (SELECT doc_id, size, xor(4294967295::BIGINT, list_reduce(list_prepend(4294967295::BIGINT, bytes),
-        (c, x) -> xor(c >> 8, steps[xor(c, x) & 255 + 1]))) AS text_crc32 FROM b, crc),
+        lambda c, x: xor(c >> 8, steps[(xor(c, x) & 255) + 1]))) AS text_crc32 FROM b, crc),
 o AS (SELECT *, sum(size) OVER (ORDER BY doc_id) - size AS start, sum(size) OVER () AS total FROM s),
 p AS (SELECT *, CAST(least({SHARDS - 1}, (2 * start + size) * {SHARDS} // (2 * total)) AS INTEGER) AS shard FROM o)
 SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(text_crc32 AS BIGINT) AS text_crc32, 'bytes' AS law, shard,

@@ -16,7 +16,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
 SHARDS = 40
 #: documents have no domain: sources are dealt to four by their number
-DOMAIN = F.concat(F.lit("d"), (F.expr("try_cast(regexp_extract(source, '([0-9]+)$', 1) as int)") % 4).cast("string"))
+DOMAIN = "'d' || (try_cast(regexp_extract(source, '([0-9]+)$', 1) as int) % 4)"
 MIX = {"domain": {"d0": 2.0, "*": 1.0}, "lang": {"en": 3.0, "*": 1.0}, "source": {"*": 1.0}}
 
 
@@ -57,7 +57,7 @@ def op4(spark, sf_dir):
 
 @query("op5_mixing")
 def op5(spark, sf_dir):
-    return (mixing.mix(documents(spark, sf_dir), 0.5, MIX, DOMAIN, seed=17, max_epochs=2)
+    return (mixing.mix(documents(spark, sf_dir), 0.5, MIX, F.expr(DOMAIN), seed=17, max_epochs=2)
             .select("doc_id", "domain", "lang", "source", "n_tokens", "copies"))
 
 
