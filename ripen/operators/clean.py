@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.quantile import exact_quantiles
 from ..functions.rand import normal01
-from ..functions.stats import c
+from ..functions.stats import c, long_form
 from ..functions.types import check_column, is_categorical, is_numeric
 from . import eda
 from .profile import NUMERIC_TEXT, STRICT_SHARE, fence_bounds
@@ -36,19 +36,14 @@ def extract_number(col) -> F.Column:
     return F.nullif(F.regexp_extract(col, NUMBER_IN_TEXT, 1), F.lit("")).try_cast("double")
 
 
-def distinct_counts(df: DataFrame, cols: list[str], near: float | None = None) -> dict:
-    """Distinct non-null values per column.  With ``near`` (a threshold in
-    rows), columns whose HLL estimate is far from it keep the estimate and
-    only borderline columns pay for an exact count."""
+def distinct_counts(df: DataFrame, cols: list[str]) -> dict:
+    """Exact distinct non-null values per column: one long-form shuffle of
+    the distinct (column, value) pairs, copies combined map-side."""
     if not cols:
         return {}
-    est = df.agg(*[F.approx_count_distinct(c(n)).alias(f"d{i}") for i, n in enumerate(cols)]).first()
-    out = {n: est[f"d{i}"] for i, n in enumerate(cols)}
-    exact = [n for n in cols if near is None or abs(out[n] - near) <= eda.HLL_BAND * near + 10]
-    if exact:
-        row = df.agg(*[F.count_distinct(c(n)).alias(f"e{i}") for i, n in enumerate(exact)]).first()
-        out.update({n: row[f"e{i}"] for i, n in enumerate(exact)})
-    return out
+    found = (long_form(df, cols).filter("value is not null").groupBy("name", "value").agg(F.count(F.lit(1)).alias("k"))
+             .groupBy("name").agg(F.count(F.lit(1)).alias("n")).collect())
+    return dict.fromkeys(cols, 0) | {r["name"]: r["n"] for r in found}
 
 
 def fix_dtypes(df: DataFrame, target: str | None = None) -> DataFrame:
@@ -67,7 +62,7 @@ def fix_dtypes(df: DataFrame, target: str | None = None) -> DataFrame:
     cand = [n for i, n in enumerate(text)
             if row[f"a{i}"] > 0 and row[f"b{i}"] >= STRICT_SHARE * row[f"a{i}"]
             and row[f"x{i}"] > CONVERT_SHARE * n_rows]
-    uniq = distinct_counts(df, cand, near=ID_LIKE_SHARE * n_rows)
+    uniq = distinct_counts(df, cand)
     fix = [n for n in cand if uniq[n] <= ID_LIKE_SHARE * n_rows]
     if not fix:
         raise ValueError("no dtype issues found to fix")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
 from ..functions.quantile import bracket_exprs, exact_quantiles
@@ -13,10 +13,8 @@ from .profile import (CORR_LIMIT, OUTLIER_MIN, fence_bounds, infer_dtype,
 
 MIN_OUTLIER_VALUES = 10   # detect_outliers skips columns with fewer values
 LEAK_GAIN = 0.99
-LEAK_BINS = 20            # equal-width bins for numeric features in the purity test
+LEAK_BINS = 20            # quantile buckets for fractional features in the purity test
 ID_LIKE_SHARE = 0.5
-HLL_BAND = 0.2          # estimates this close to a threshold get an exact count
-RAW_INT_RANGE = 64       # integer features spanning fewer values are not binned
 
 
 def detect_dtypes(df: DataFrame, target: str | None = None, mode: str = "strict") -> DataFrame:
@@ -49,13 +47,11 @@ def check_missing(df: DataFrame) -> DataFrame:
 
 def class_balance(df: DataFrame, target: str) -> DataFrame:
     """Rows per non-null class; ratio = max / max(min, 1), 1 decimal.
-    The window runs over the aggregated classes only (a handful of rows)."""
+    The extremes come from one aggregate, so any number of classes is fine."""
     counts = (df.filter(c(target).isNotNull()).groupBy(c(target).alias("value"))
                 .agg(F.count(F.lit(1)).alias("n")))
-    w = W.partitionBy()
-    return counts.select(
-        "value", "n",
-        F.round(F.max("n").over(w) / F.greatest(F.min("n").over(w), F.lit(1)), 1).alias("ratio"))
+    ratio = imbalance_ratio(df, target)
+    return counts.select("value", "n", F.round(F.lit(ratio), 1).alias("ratio"))
 
 
 def imbalance_ratio(df: DataFrame, target: str) -> float:
@@ -66,100 +62,72 @@ def imbalance_ratio(df: DataFrame, target: str) -> float:
     return row["mx"] / max(row["mn"], 1)
 
 
+LEAK_SCHEMA = "name string, purity double, base_rate double, gain double, is_leaky boolean"
+
+
 def detect_leakage(df: DataFrame, target: str, gain_limit: float = LEAK_GAIN,
-                   known=None, bins: int = LEAK_BINS, minmax: dict | None = None) -> DataFrame:
+                   known=None, bins: int = LEAK_BINS) -> DataFrame:
     """D5, measured: how well a single feature predicts the target.
 
     purity = sum over feature values of the majority-class count / rows;
     gain = (purity - base) / (1 - base), base = majority-class share.
-    Numeric features are cut into equal-width bins first; text columns with
-    more than half the rows distinct (id-like) are skipped.  ``known`` adds
-    names from an issue manifest (the original's list-driven mode).
-    Cost: one min/max pass and one long-form aggregation; hot values are
-    combined map-side.
+    Text, boolean and integer features are taken by value, whatever their
+    range.  Fractional features go into ``bins`` quantile buckets, and a value
+    that several quantiles share is a bucket of its own, so neither ties nor
+    outliers move a boundary.  Columns taken by value with more than half the
+    rows distinct (exact count) are id-like and skipped.  ``known`` adds names
+    from an issue manifest (the original's list-driven mode).
+
+    Cost: the quantile passes over the fractional columns and one long-form
+    aggregation; hot values are combined map-side.  The report (one row per
+    feature) is fitted here, inside the view's cache.
     """
     with fit_view(df) as fv:
-        return _detect_leakage(fv, target, gain_limit, known, bins, minmax)
+        rows = _leakage_rows(fv, target, gain_limit, known or [], bins)
+    return df.sparkSession.createDataFrame(rows, LEAK_SCHEMA)
 
 
-def _detect_leakage(df, target, gain_limit, known, bins, minmax=None) -> DataFrame:
-    spark = df.sparkSession
-    fields = [f for f in df.schema.fields if f.name != target]
-    nums = [f.name for f in fields if is_stat_numeric(f.dataType)]
-    mm = {}
-    if nums and minmax is not None and all(n in minmax for n in nums):
-        mm = {n: minmax[n] for n in nums}      # known from the caller's pass
-    elif nums:
-        row = df.agg(*[x for i, n in enumerate(nums) for x in
-                       (F.min(c(n).cast("double")).alias(f"lo{i}"),
-                        F.max(c(n).cast("double")).alias(f"hi{i}"))]).first()
-        mm = {n: (row[f"lo{i}"], row[f"hi{i}"]) for i, n in enumerate(nums)}
-    feats, exprs = [], []
-    types = {f.name: f.dataType for f in fields}
-    for f in fields:
-        n = f.name
-        if n in mm:
-            lo, hi = mm[n]
-            if lo is None:
-                continue
-            if isinstance(types[n], T.IntegralType) and hi - lo < RAW_INT_RANGE:
-                exprs.append(c(n).cast("string").alias(n))   # small-range codes stay exact
-                feats.append(n)
-                continue
-            width = (hi - lo) / bins if hi > lo else 1.0
-            b = F.least(F.floor((c(n).cast("double") - F.lit(lo)) / F.lit(width)), F.lit(bins - 1))
-            exprs.append(b.cast("string").alias(n))
-        elif is_categorical(f.dataType) or is_numeric(f.dataType):
-            exprs.append(c(n).cast("string").alias(n))
-        else:
-            continue
-        feats.append(n)
+def quantile_bucket(v, quantiles: list[float]):
+    """Bucket of a value: '=i' at a value that several quantiles share, else
+    the number i of distinct quantiles below it; null stays null."""
+    edges = sorted(set(quantiles))
+    shared = [e for e in edges if quantiles.count(e) > 1]
+    at = F.array_size(F.filter(F.lit(edges), lambda e: e < v)).cast("string")
+    return F.when(v.isNull(), None).when(v.isin(shared), F.concat(F.lit("="), at)).otherwise(at) if shared else \
+        F.when(v.isNotNull(), at)
+
+
+def _leakage_rows(df, target, gain_limit, known, bins) -> list[tuple]:
     base_df = df.filter(c(target).isNotNull())
-    tcounts = base_df.groupBy(c(target)).count().agg(F.sum("count").alias("n"),
-                                                      F.max("count").alias("mx")).first()
-    n_rows, majority = tcounts["n"] or 0, tcounts["mx"] or 0
-    schema = "name string, purity double, base_rate double, gain double, is_leaky boolean"
-    if not feats or n_rows == 0:
-        return spark.createDataFrame([], schema)
+    r = base_df.groupBy(c(target)).count().agg(F.sum("count").alias("n"), F.max("count").alias("mx")).first()
+    n_rows, majority = r["n"] or 0, r["mx"] or 0
+    fields = [f for f in df.schema.fields
+              if f.name != target and (is_categorical(f.dataType) or is_numeric(f.dataType))]
+    if not fields or n_rows == 0:
+        return []
     base = majority / n_rows
-    # id-like text columns never reach the long form (their every value
-    # would be shuffled): HLL screen, exact count only near the threshold
-    text_feats = [n for n in feats if is_categorical(types[n])]
-    if text_feats:
-        limit = ID_LIKE_SHARE * n_rows
-        # default HLL precision: a small buffer per column (a 1 % sketch holds
-        # ~2.7k longs per column and makes a huge generated aggregate)
-        est = base_df.agg(*[F.approx_count_distinct(c(n)).alias(f"d{i}")
-                            for i, n in enumerate(text_feats)]).first()
-        dist = {n: est[f"d{i}"] for i, n in enumerate(text_feats)}
-        near = [n for n in text_feats if abs(dist[n] - limit) <= HLL_BAND * limit + 10]
-        if near:
-            ex = base_df.agg(*[F.count_distinct(c(n)).alias(f"e{i}") for i, n in enumerate(near)]).first()
-            dist.update({n: ex[f"e{i}"] for i, n in enumerate(near)})
-        drop = {n for n in text_feats if dist[n] > limit}
-        keep = [i for i, n in enumerate(feats) if n not in drop]
-        feats, exprs = [feats[i] for i in keep], [exprs[i] for i in keep]
-        if not feats:
-            return spark.createDataFrame([], schema)
-    proj = base_df.select(c(target).alias("__t"), *exprs)
-    long = long_form(proj, feats, keep=["__t"])
-    per_class = long.groupBy("name", "value", "__t").agg(F.count(F.lit(1)).alias("k"))
-    per_value = per_class.groupBy("name", "value").agg(F.max("k").alias("mx"))
-    text = [f.name for f in fields if is_categorical(f.dataType)]
-    per_name = per_value.groupBy("name").agg(
-        (F.sum("mx") / F.lit(float(n_rows))).alias("purity"),
-        F.count("value").alias("n_distinct"))
-    id_like = F.col("name").isin(text) & (F.col("n_distinct") > F.lit(ID_LIKE_SHARE * n_rows))
-    gain = ((F.col("purity") - F.lit(base)) / F.lit(1.0 - base)) if base < 1.0 else F.lit(0.0)
-    known_names = [k for k in (known or []) if k in df.columns]
-    return (per_name.filter(~id_like)
-            .select("name", "purity", F.lit(base).alias("base_rate"), gain.alias("gain"))
-            .withColumn("is_leaky", (F.col("gain") >= F.lit(gain_limit)) | F.col("name").isin(known_names)))
-
-
-def leaky_columns(df: DataFrame, target: str, gain_limit: float = LEAK_GAIN, known=None,
-                  minmax: dict | None = None) -> list[str]:
-    return [r["name"] for r in detect_leakage(df, target, gain_limit, known, minmax=minmax)
+    fractional = [f.name for f in fields if isinstance(f.dataType, (T.FractionalType,))]
+    cuts = dict(zip(fractional, exact_quantiles(base_df, [c(n).cast("double") for n in fractional],
+                                                [i / bins for i in range(bins + 1)]))) if fractional else {}
+    exprs = [quantile_bucket(c(f.name).cast("double"), [x for x in cuts[f.name] if x is not None]).alias(f.name)
+             if f.name in cuts else c(f.name).cast("string").alias(f.name) for f in fields]
+    names = [f.name for f in fields]
+    long = long_form(base_df.select(c(target).alias("__t"), *exprs), names, keep=["__t"])
+    per_value = (long.groupBy("name", "value", "__t").agg(F.count(F.lit(1)).alias("k"))
+                 .groupBy("name", "value").agg(F.max("k").alias("mx")))
+    per_name = per_value.groupBy("name").agg(F.sum("mx").alias("mx"), F.count("value").alias("n_distinct")).collect()
+    out = []
+    for x in sorted(per_name, key=lambda x: names.index(x["name"])):
+        if x["name"] not in cuts and x["n_distinct"] > ID_LIKE_SHARE * n_rows or x["n_distinct"] == 0:
+            continue
+        purity = x["mx"] / n_rows
+        gain = (purity - base) / (1.0 - base) if base < 1.0 else 0.0
+        out.append((x["name"], purity, base, gain, gain >= gain_limit or x["name"] in known))
+    return out
+
+
+def leaky_columns(df: DataFrame, target: str, gain_limit: float = LEAK_GAIN, known=None) -> list[str]:
+    return [r["name"] for r in detect_leakage(df, target, gain_limit, known)
             .filter("is_leaky").select("name").collect()]
 
 

@@ -99,7 +99,7 @@ def column_profile(df: DataFrame, target: str | None = None, leaky_cols=None,
 def profile_stats(df, target, leaky_cols=None, infer_mode="strict", approx=False, corr_limit=CORR_LIMIT):
     """The profile rows plus what the passes found on the way, for callers
     that need more than the profile (issue detection, plans) without new
-    scans: {"n_rows", "corr": {(a, b): r}, "minmax": {col: (lo, hi)}}."""
+    scans: {"n_rows", "corr": {(a, b): r}}."""
     spark = df.sparkSession
     fields = [f for f in df.schema.fields if f.name != target]
     names = [f.name for f in fields]
@@ -204,8 +204,7 @@ def profile_stats(df, target, leaky_cols=None, infer_mode="strict", approx=False
                      round(miss / max(n_rows, 1), 3), u, n in leaky,
                      bool(u > HIGH_CARDINALITY and is_categorical(f.dataType)),
                      bool(is_skewed), bool(has_out), partners.get(n), mean, std, skew, top))
-    info = {"n_rows": n_rows, "corr": corr,
-            "minmax": {n: (agg[f"min{i}"], agg[f"max{i}"]) for i, n in enumerate(stat_cols)}}
+    info = {"n_rows": n_rows, "corr": corr}
     return rows, info
 
 
