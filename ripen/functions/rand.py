@@ -31,6 +31,10 @@ def hash52(key, salt: str) -> Column:
     return F.conv(F.substring(h, 1, 13), 16, 10).cast("bigint")
 
 
+def key_md5(key, salt: str) -> Column:
+    return F.md5(F.concat(_col(key).cast("string"), F.lit(":" + salt)))
+
+
 def u_int(key, salt: str, lo: int, hi: int) -> Column:
     """Uniform integer in [lo, hi)."""
     return (F.lit(lo) + F.floor(u01(key, salt) * F.lit(hi - lo))).cast("bigint")
