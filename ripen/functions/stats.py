@@ -108,28 +108,17 @@ CORR_CHUNK = 400   # pairs per aggregate pass (wide tables: c(c-1)/2 pairs)
 
 
 def fast_corr_row(df: DataFrame, pairs: list, extra=(), prefix: str = "r"):
-    """Pairwise correlations (and ``extra`` aggregates) in as few passes as
-    the width allows: Spark's native ``corr`` (codegen'd, Welford-stable),
-    at most CORR_CHUNK pairs per pass so a wide table never builds one giant
-    aggregate.  Native ``corr`` raises DIVIDE_BY_ZERO under ANSI when a side
-    has zero variance; such a pass is re-run with ``safe_corr`` (null for
-    those pairs).  Returns one dict of all results."""
+    """Pairwise correlations (and ``extra`` aggregates), null where a side has
+    zero variance; at most CORR_CHUNK pairs per pass, so a wide table never
+    builds one giant aggregate.  Returns one dict of all results."""
     out: dict = {}
     chunks = [pairs[i:i + CORR_CHUNK] for i in range(0, len(pairs), CORR_CHUNK)] or [[]]
     for ci, chunk in enumerate(chunks):
         base = ci * CORR_CHUNK
-        ext = list(extra) if ci == 0 else []
-        fast = [F.corr(c(a).cast("double"), c(b).cast("double")).alias(f"{prefix}{base + k}")
-                for k, (a, b) in enumerate(chunk)]
-        try:
-            row = df.agg(*ext, *fast).first() if (ext or fast) else None
-        except Exception as e:  # noqa: BLE001
-            if "DIVIDE_BY_ZERO" not in str(e) and "ArithmeticException" not in str(e):
-                raise
-            safe = [safe_corr(c(a), c(b)).alias(f"{prefix}{base + k}") for k, (a, b) in enumerate(chunk)]
-            row = df.agg(*ext, *safe).first()
-        if row is not None:
-            out.update(row.asDict())
+        exprs = [*(extra if ci == 0 else ()),
+                 *(safe_corr(c(a), c(b)).alias(f"{prefix}{base + k}") for k, (a, b) in enumerate(chunk))]
+        if exprs:
+            out.update(df.agg(*exprs).first().asDict())
     return out
 
 

@@ -52,9 +52,13 @@ def phase_of(action: Column) -> Column:
 
 def extract_action(text: Column) -> Column:
     """Drop code-fence lines, take the first '{' .. last '}', parse it as
-    JSON, keep it only when its type is a valid action; else null."""
+    one strict JSON object (double quotes only, nothing after it), keep it only
+    when its type is a valid action; else null.  Read as the only element of
+    an array: text after the object then breaks the array's syntax."""
     body = F.regexp_extract(F.regexp_replace(text, FENCE_LINE, ""), BRACED, 0)
-    parsed = F.from_json(F.nullif(body, F.lit("")), ACTION_SCHEMA, {"mode": "PERMISSIVE"})
+    items = F.from_json(F.concat(F.lit("["), F.nullif(body, F.lit("")), F.lit("]")), T.ArrayType(ACTION_SCHEMA),
+                        {"mode": "PERMISSIVE", "allowSingleQuotes": "false"})
+    parsed = F.when(F.size(items) == 1, F.get(items, 0))
     return F.when(parsed["type"].isin(VALID_ACTIONS), parsed)
 
 
