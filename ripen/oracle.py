@@ -54,26 +54,25 @@ def inferred_sql(n: str, t: str) -> str:
 
 # ----------------------------------------------------------------- D5 leakage
 
-def leakage_ctes(view: str, cols, target: str) -> list[str]:
+def leakage_ctes(view: str, cols, target: str, known=()) -> list[str]:
+    """Purity by value, fractional columns by quantile buckets (a quantile found twice is a bucket of its own)."""
     feats = [(n, t) for n, t in cols if n != target]
-    nums = [n for n, t in feats if t in NUMERIC]
-    ints = {n for n, t in feats if t in ("bigint", "int")}
-    text = [n for n, t in feats if t == "string"]
-    mm = ", ".join(f"min({n})::DOUBLE AS lo_{n}, max({n})::DOUBLE AS hi_{n}" for n in nums)
+    fractional = [n for n, t in feats if t in ("double", "float")]
+    probs = ", ".join(str(i / 20) for i in range(21))
+    cuts = ", ".join(f"quantile_cont({n}, [{probs}]) AS q_{n}" for n in fractional) or "1 AS one"
     parts = []
     for n, t in feats:
-        if n in nums:
-            width = f"(CASE WHEN hi_{n} > lo_{n} THEN (hi_{n} - lo_{n}) / 20.0 ELSE 1.0 END)"
-            binned = f"CAST(CAST(least(floor(({n}::DOUBLE - lo_{n}) / {width}), 19) AS BIGINT) AS VARCHAR)"
-            if n in ints:
-                binned = f"CASE WHEN hi_{n} - lo_{n} < 64 THEN CAST({n} AS VARCHAR) ELSE {binned} END"
-            parts.append(f"SELECT '{n}' AS name, {binned} AS value, {target} AS t FROM lk_base, lk_mm")
-        else:
-            parts.append(f"SELECT '{n}' AS name, CAST({n} AS VARCHAR) AS value, {target} AS t FROM lk_base")
-    text_list = ", ".join(f"'{n}'" for n in text) or "NULL"
+        value = f"CAST({n} AS VARCHAR)"
+        if n in fractional:
+            at = f"CAST(len(list_filter(list_distinct(q_{n}), lambda e: e < {n})) AS VARCHAR)"
+            value = (f"CASE WHEN {n} IS NOT NULL THEN CASE WHEN len(list_filter(q_{n}, lambda e: e = {n})) > 1 "
+                     f"THEN '=' ELSE '' END || {at} END")
+        parts.append(f"SELECT '{n}' AS name, {value} AS value, {target} AS t FROM lk_base, lk_cuts")
+    by_value = ", ".join(f"'{n}'" for n, _ in feats if n not in fractional) or "NULL"
+    named = ", ".join(f"'{n}'" for n in known) or "''"
     return [
         f"lk_base AS (SELECT * FROM {view} WHERE {target} IS NOT NULL)",
-        f"lk_mm AS (SELECT {mm} FROM lk_base)",
+        f"lk_cuts AS (SELECT {cuts} FROM lk_base)",
         "lk_long AS (" + " UNION ALL ".join(parts) + ")",
         "lk_pv AS (SELECT name, value, max(k) AS mx FROM "
         "(SELECT name, value, t, count(*) AS k FROM lk_long GROUP BY name, value, t) GROUP BY name, value)",
@@ -84,8 +83,8 @@ def leakage_ctes(view: str, cols, target: str) -> list[str]:
         "FROM lk_pv GROUP BY name)",
         "detect_leakage AS (SELECT name, purity, (mx::DOUBLE / n) AS base_rate, "
         "(purity - mx::DOUBLE / n) / (1.0 - mx::DOUBLE / n) AS gain, "
-        "(purity - mx::DOUBLE / n) / (1.0 - mx::DOUBLE / n) >= 0.99 AS is_leaky "
-        f"FROM lk_pn, lk_n WHERE NOT (name IN ({text_list}) AND n_distinct > 0.5 * n))",
+        f"((purity - mx::DOUBLE / n) / (1.0 - mx::DOUBLE / n) >= 0.99 OR name IN ({named})) AS is_leaky "
+        f"FROM lk_pn, lk_n WHERE n_distinct > 0 AND NOT (name IN ({by_value}) AND n_distinct > 0.5 * n))",
     ]
 
 
@@ -220,6 +219,16 @@ oracle("d05_detect_leakage", with_(OD, *leakage_ctes("orders_dirty", OD_COLS, "y
        "round(gain, 6) AS gain, is_leaky FROM detect_leakage")
 
 
+# an integer leak of a wide range, and a fractional one with one huge outlier
+LEAKS_SQL = """leaks AS (SELECT o_orderkey AS id, CAST(o_orderkey % 10 = 0 AS INTEGER) AS y, o_totalprice AS price, o_orderpriority AS priority,
+    CASE WHEN o_orderkey % 10 = 0 THEN 1 + o_custkey % 100 ELSE 0 END AS wide,
+    CASE WHEN o_orderkey = 1 THEN 1e6 WHEN o_orderkey % 10 = 0 THEN 5.0 ELSE 0.0 END AS step FROM orders)"""
+LEAKS_COLS = [("id", "bigint"), ("y", "int"), ("price", "double"), ("priority", "string"), ("wide", "bigint"), ("step", "double")]
+for _name, _known in (("d05_detect_leakage_wide", ()), ("d05_detect_leakage_known", ("priority",))):
+    oracle(_name, with_(LEAKS_SQL, *leakage_ctes("leaks", LEAKS_COLS, "y", _known)) +
+           "SELECT name, round(purity, 6) AS purity, round(base_rate, 6) AS base_rate, round(gain, 6) AS gain, is_leaky FROM detect_leakage")
+
+
 def _d06(view_sql, view, cols, target):
     nums = [n for n, t in cols if t in NUMERIC and n != target]
     pairs = [(a, b) for i, a in enumerate(nums) for b in nums[i + 1:]]
@@ -343,6 +352,18 @@ oracle("f08_select_top_k", with_(OD) + "SELECT " + sel(
 
 # ----------------------------------------------------------------- G balance
 
+# a repeated key and a nullable target: ties are ordered by the row's values, rows without a target are in no class
+TIES_SQL = """ties AS (SELECT o_orderkey AS id, o_custkey % 40 AS key,
+    CASE WHEN o_orderkey % 7 <> 0 THEN CASE WHEN o_orderkey % 10 = 0 THEN 'A' ELSE 'B' END END AS status FROM orders)"""
+_TIE_ORDER = ("md5(CAST(key AS VARCHAR) || ':42'), key, md5(CAST(id AS VARCHAR) || '|' || CAST(key AS VARCHAR) || '|' || coalesce(status, ''))")
+_TIES = with_(TIES_SQL, f"r AS (SELECT *, row_number() OVER (PARTITION BY status ORDER BY {_TIE_ORDER}) AS rn, "
+              "count(*) OVER (PARTITION BY status) AS nc FROM ties)")
+oracle("g01_train_test_split_ties", _TIES + "SELECT id, key, status, "
+       "CASE WHEN status IS NOT NULL AND rn <= floor(0.2 * nc) THEN 'test' ELSE 'train' END AS split FROM r")
+oracle("g03_undersample_ties", _TIES + "SELECT id, key, status FROM r WHERE status IS NULL OR rn <= "
+       "(SELECT min(nc) FROM r WHERE status IS NOT NULL)")
+
+
 def _split_sql(view_sql, view, cols, target, key, frac_sql, distinct=False, what="split"):
     src = f"(SELECT DISTINCT * FROM {view})" if distinct else view
     h = f"md5(CAST({key} AS VARCHAR) || ':42')"
@@ -461,10 +482,11 @@ _CKEY = "CAST(conv_id AS VARCHAR) || ':' || CAST(turn AS VARCHAR)"
 _A = f"({_NAMES})[CAST(floor({sql_u(_CKEY, 'act')} * {len(ALL_ACTIONS)}) AS BIGINT) + 1]"
 REPLIES = (
     "replies AS (SELECT conv_id, turn, role, a AS rule_type, "
-    "CASE WHEN m = 0 THEN js WHEN m = 1 THEN '```json' || chr(10) || js || chr(10) || '```' "
-    "WHEN m = 2 THEN text || ' Next: ' || js || ' Done.' ELSE text || ' {\"type\": ' || a END AS reply FROM "
+    "text || CASE WHEN m = 0 THEN ' ' || js WHEN m = 1 THEN chr(10) || '```json' || chr(10) || js || chr(10) || '```' "
+    "WHEN m = 2 THEN ' Next: ' || js || ' Done.' WHEN m = 3 THEN ' ' || replace(js, '\"', chr(39)) "
+    "WHEN m = 4 THEN ' ' || js || ' and {x}' ELSE ' {\"type\": ' || a END AS reply FROM "
     f"(SELECT *, '{{\"type\": \"' || a || '\", \"column\": \"' || role || '\"}}' AS js FROM "
-    f"(SELECT conv_id, turn, role, text, {_A} AS a, floor({sql_u(_CKEY, 'wrap')} * 4) AS m FROM conversations) x) y)")
+    f"(SELECT conv_id, turn, role, text, {_A} AS a, floor({sql_u(_CKEY, 'wrap')} * 6) AS m FROM conversations) x) y)")
 _VALID = ", ".join(f"'{a}'" for a in VALID_ACTIONS)
 PARSED = (
     "parsed AS (SELECT conv_id, turn, role, rule_type, j ->> 'type' AS ptype, j ->> 'column' AS pcol FROM "
@@ -683,7 +705,7 @@ _LOAN_BASE = (
     "round(loan_amount, 6) AS loan_amount, loan_term, "
     "CASE WHEN miss_cs THEN NULL ELSE round(credit_score, 6) END AS credit_score, round(dti_ratio, 6) AS dti_ratio, "
     "employment, purpose, \"default\", CASE \"default\" WHEN 0 THEN 'Current' WHEN 1 THEN 'Charged-off' END AS loan_status, "
-    f"{s_u('dup42')} < {_f(50 / 1200)} AS dup FROM b3)")
+    f"{s_pick('dup42', 50 / 1200)} AS dup FROM b3)")
 oracle("a04_gen_loan", "WITH " + _LOAN_BASE +
        " SELECT * EXCLUDE (dup) FROM b4 UNION ALL SELECT * EXCLUDE (dup) FROM b4 WHERE dup")
 
@@ -721,43 +743,6 @@ oracle("a05_gen_medical", "WITH " + _MED_BASE +
 # ----------------------------------------------------------------- G2 SMOTE
 
 
-def _smote_sql(k: int = 5) -> str:
-    """SMOTE on labeled_documents (target toxic, feature n_chars, key doc_id):
-    the minority in (projection, md5) order, the 2k sorted neighbours, the k
-    nearest of them, md5-drawn neighbour and lambda; copies per row =
-    need // m, plus one for the first need % m rows by md5."""
-    offs = [s * d for d in range(1, k + 1) for s in (-1, 1)]
-    h = sql_hash52("doc_id", "smote42")
-
-    def sh(col, o):
-        return (f"lag({col}, {-o}) OVER w" if o < 0 else f"lead({col}, {o}) OVER w")
-    nb = "[" + ", ".join(sh("n_chars", o) for o in offs) + "]"
-    cand = "[" + ", ".join(f"{{'d': abs({sh('p', o)} - p), 'j': {j}}}" for j, o in enumerate(offs)) + "]"
-    sk = "CAST(doc_id AS VARCHAR) || '#s' || CAST(i AS VARCHAR)"
-    return (
-        "WITH " + LABELED_DOCUMENTS_SQL.strip() + ", "
-        "cls AS (SELECT toxic, count(*) AS c FROM labeled_documents WHERE toxic IS NOT NULL GROUP BY toxic), "
-        "mino AS (SELECT toxic AS t, c AS m FROM cls ORDER BY c, CAST(toxic AS VARCHAR) LIMIT 1), "
-        "need AS (SELECT (SELECT max(c) FROM cls) - m AS need, m, t FROM mino), "
-        "mm AS (SELECT min(n_chars) AS lo, max(n_chars) AS hi FROM labeled_documents, need WHERE toxic = t), "
-        "minor AS (SELECT d.*, (0.0::DOUBLE + (coalesce(CAST(n_chars AS DOUBLE), lo::DOUBLE) - lo::DOUBLE) / "
-        "CASE WHEN hi > lo THEN (hi - lo)::DOUBLE ELSE 1.0::DOUBLE END) AS p, "
-        f"{h} AS h FROM labeled_documents d, mm, need WHERE toxic = t), "
-        f"nbrs AS (SELECT *, {nb} AS nb, {cand} AS cand FROM minor WINDOW w AS (ORDER BY p, h)), "
-        "near AS (SELECT *, list_slice(list_sort(list_filter(cand, lambda s: s.d IS NOT NULL)), 1, " + str(k) + ") AS nr, "
-        "row_number() OVER (ORDER BY h) AS hr FROM nbrs), "
-        "rep AS (SELECT near.*, i FROM near, need, "
-        "range(1, CAST(need // m + CASE WHEN hr <= need % m THEN 1 ELSE 0 END AS BIGINT) + 1) r(i)), "
-        f"pick AS (SELECT *, {sql_u(sk, 'lambda42')} AS lam, "
-        f"nr[CAST(floor({sql_u(sk, 'nn42')} * len(nr)) AS BIGINT) + 1].j AS j FROM rep), "
-        "syn AS (SELECT " + sk + " AS doc_id, quality, toxic, lang, source, "
-        "CAST(trunc(CASE WHEN nb[j + 1] IS NULL THEN n_chars::DOUBLE ELSE n_chars::DOUBLE + lam * "
-        "(nb[j + 1]::DOUBLE - n_chars::DOUBLE) END) AS BIGINT) AS n_chars FROM pick) "
-        "SELECT CAST(doc_id AS VARCHAR) AS doc_id, quality, toxic, lang, source, n_chars FROM labeled_documents "
-        "UNION ALL SELECT * FROM syn")
-
-
-oracle("g02_smote", _smote_sql())
 
 
 # ----------------------------------------------------------------- A15 profile JSON
@@ -781,7 +766,7 @@ oracle("a07_inject_missing",
        "ELSE round(o_totalprice, 6) END AS o_totalprice FROM orders")
 oracle("a08_inject_duplicates",
        "SELECT o_orderkey, o_custkey, round(o_totalprice, 6) AS o_totalprice FROM orders UNION ALL "
-       f"SELECT o_orderkey, o_custkey, round(o_totalprice, 6) FROM orders WHERE {sql_u('o_orderkey', 'dup')} < {_f(0.01)}")
+       f"SELECT o_orderkey, o_custkey, round(o_totalprice, 6) FROM orders QUALIFY {_pick_sql('o_orderkey', 'dup', 0.01)}")
 oracle("a09_inject_unit",
        "SELECT o_orderkey, o_custkey, CAST(CAST(trunc(o_totalprice) AS BIGINT) AS VARCHAR) || ' months' AS o_totalprice "
        "FROM orders")
@@ -859,43 +844,46 @@ oracle("b03_infer_dtype_reference", with_(OD) + "\nUNION ALL ".join(
 
 # ----------------------------------------------------------------- I4 golden loan pipeline
 def _smote_ctes(src: str, cols: list[str], target: str, key: str, feats: list[str], types: dict,
-                k: int = 5, prefix: str = "sm") -> tuple[list[str], str]:
-    """SMOTE over a CTE ``src``: projection = sum of min-max scaled features
-    (minority min/max), order (projection, md5), k nearest of the 2k sorted
-    neighbours, md5-drawn neighbour and lambda.  Returns (ctes, final select)."""
-    offs = [s * d for d in range(1, k + 1) for s in (-1, 1)]
-    h = sql_hash52(key, "smote42")
-
-    def sh(col, o):
-        return f"lag({col}, {-o}) OVER w" if o < 0 else f"lead({col}, {o}) OVER w"
+                k: int = 5, prefix: str = "sm", pool: str = "true") -> tuple[list[str], str]:
+    """SMOTE over a CTE ``src``; only rows of ``pool`` count, lend neighbours or are oversampled.
+    Candidates: the k rows before and after in the order of each seeded projection of the min-max
+    scaled features; neighbours: the k nearest of them by distance over all features.
+    Returns (ctes, final select)."""
+    from .operators.balance import directions
+    offs = [o for d in range(1, k + 1) for o in (-d, d)]
+    h, p = sql_hash52(key, "smote42"), prefix
     mm = ", ".join(f"min({f})::DOUBLE AS lo_{f}, max({f})::DOUBLE AS hi_{f}" for f in feats)
-    proj = "0.0::DOUBLE"
-    for f in feats:
-        proj = (f"({proj} + (coalesce(CAST({f} AS DOUBLE), lo_{f}) - lo_{f}) / "
-                f"CASE WHEN hi_{f} > lo_{f} THEN hi_{f} - lo_{f} ELSE 1.0::DOUBLE END)")
-    nbs = ", ".join("[" + ", ".join(sh(f, o) for o in offs) + f"] AS nb_{f}" for f in feats)
-    cand = "[" + ", ".join(f"{{'d': abs({sh('p', o)} - p), 'j': {j}}}" for j, o in enumerate(offs)) + "]"
+    xs = ", ".join(f"(coalesce(CAST({f} AS DOUBLE), lo_{f}) - lo_{f}) / CASE WHEN hi_{f} > lo_{f} THEN hi_{f} - lo_{f} ELSE 1.0::DOUBLE END AS x_{f}"
+                   for f in feats)
+    axes = directions(len(feats), 42)
+    orders = ", ".join(" + ".join([f"{_f(r)} * x_{f}" for r, f in zip(axis, feats)]) + f" AS p{j}" for j, axis in enumerate(axes))
+    row = "{'h': h, " + ", ".join(f"'x_{f}': x_{f}, 'v_{f}': CAST({f} AS DOUBLE)" for f in feats) + "}"
+    near = ", ".join(f"{'lag' if o < 0 else 'lead'}({row}, {abs(o)}) OVER w{j}" for j in range(len(axes)) for o in offs)
+    windows = ", ".join(f"w{j} AS (ORDER BY p{j}, h)" for j in range(len(axes)))
+    gap = " + ".join(f"(s.x_{f} - x_{f}) * (s.x_{f} - x_{f})" for f in feats)
+    found = "{'d': " + gap + ", 'h': s.h, " + ", ".join(f"'v_{f}': s.v_{f}" for f in feats) + "}"
     sk = f"CAST({key} AS VARCHAR) || '#s' || CAST(i AS VARCHAR)"
-    p = prefix
     ctes = [
-        f"{p}_cls AS (SELECT {target} AS t, count(*) AS c FROM {src} WHERE {target} IS NOT NULL GROUP BY {target})",
+        f"{p}_pool AS (SELECT * FROM {src} WHERE {pool})",
+        f"{p}_cls AS (SELECT {target} AS t, count(*) AS c FROM {p}_pool WHERE {target} IS NOT NULL GROUP BY {target})",
         f"{p}_mino AS (SELECT t, c AS m, (SELECT max(c) FROM {p}_cls) - c AS need FROM {p}_cls "
         f"ORDER BY c, CAST(t AS VARCHAR) LIMIT 1)",
-        f"{p}_mm AS (SELECT {mm} FROM {src}, {p}_mino WHERE {target} = t)",
-        f"{p}_minor AS (SELECT s.*, {proj} AS p, {h} AS h FROM {src} s, {p}_mm, {p}_mino WHERE {target} = t)",
-        f"{p}_nbrs AS (SELECT *, {nbs}, {cand} AS cand FROM {p}_minor WINDOW w AS (ORDER BY p, h))",
-        f"{p}_near AS (SELECT *, list_slice(list_sort(list_filter(cand, lambda s: s.d IS NOT NULL)), 1, {k}) AS nr, "
+        f"{p}_mm AS (SELECT {mm} FROM {p}_pool, {p}_mino WHERE {target} = t)",
+        f"{p}_scaled AS (SELECT s.*, {xs}, {h} AS h FROM {p}_pool s, {p}_mm, {p}_mino WHERE {target} = t)",
+        f"{p}_minor AS (SELECT *, {orders} FROM {p}_scaled)",
+        f"{p}_nbrs AS (SELECT *, [{near}] AS cand FROM {p}_minor WINDOW {windows})",
+        f"{p}_near AS (SELECT *, list_slice(list_sort(list_distinct(list_transform(list_filter(cand, lambda s: s IS NOT NULL), lambda s: {found}))), 1, {k}) AS nr, "
         f"row_number() OVER (ORDER BY h) AS hr FROM {p}_nbrs)",
         f"{p}_rep AS (SELECT n.*, i FROM {p}_near n, {p}_mino, "
         f"range(1, CAST(need // m + CASE WHEN hr <= need % m THEN 1 ELSE 0 END AS BIGINT) + 1) r(i))",
         f"{p}_pick AS (SELECT *, {sql_u(sk, 'lambda42')} AS lam, "
-        f"nr[CAST(floor({sql_u(sk, 'nn42')} * len(nr)) AS BIGINT) + 1].j AS jj FROM {p}_rep)",
+        f"nr[CAST(floor({sql_u(sk, 'nn42')} * len(nr)) AS BIGINT) + 1] AS nb FROM {p}_rep)",
     ]
     out = []
     for c in cols:
         if c in feats:
-            e = (f"CASE WHEN nb_{c}[jj + 1] IS NULL THEN CAST({c} AS DOUBLE) ELSE CAST({c} AS DOUBLE) + lam * "
-                 f"(CAST(nb_{c}[jj + 1] AS DOUBLE) - CAST({c} AS DOUBLE)) END")
+            e = (f"CASE WHEN nb.v_{c} IS NULL THEN CAST({c} AS DOUBLE) ELSE CAST({c} AS DOUBLE) + lam * "
+                 f"(nb.v_{c} - CAST({c} AS DOUBLE)) END")
             e = f"CAST(trunc({e}) AS BIGINT)" if types.get(c) == "bigint" else e
             out.append(f"{e} AS {c}")
         elif c == key:
@@ -907,6 +895,19 @@ def _smote_ctes(src: str, cols: list[str], target: str, key: str, feats: list[st
     return ctes, final
 
 
+def _smote_oracle(name: str, feats: list[str], view: str, ctes: list[str], cols: list[str], types: dict, pool: str = "true"):
+    more, final = _smote_ctes(view, cols, "toxic", "doc_id", feats, types, pool=pool)
+    oracle(name, with_(*ctes, *more) + f"SELECT * FROM ({final})")
+
+
+_SM_COLS = [n for n, _ in LDOC_COLS]
+_smote_oracle("g02_smote", ["n_chars"], "labeled_documents", [LDOC], _SM_COLS, {"n_chars": "bigint"})
+_SM2 = ("two AS (SELECT doc_id, toxic, n_chars, CAST((doc_id * 7919) % 1000 AS DOUBLE) AS spread, "
+        "CASE WHEN doc_id % 5 = 0 THEN 'test' ELSE 'train' END AS split FROM labeled_documents)")
+_smote_oracle("g02_smote_two_features", ["n_chars", "spread"], "two", [LDOC, _SM2], ["doc_id", "toxic", "n_chars", "spread", "split"],
+              {"n_chars": "bigint"}, pool="split = 'train'")
+
+
 def _loan_pipeline_sql() -> str:
     one_hot = []
     for col, (levels, _p) in (("employment", _fx.EMPLOYMENT), ("purpose", _fx.PURPOSE)):
@@ -915,7 +916,7 @@ def _loan_pipeline_sql() -> str:
     steps = [
         "l0 AS (SELECT loan_id, age, CASE WHEN miss_inc THEN NULL ELSE income END AS income, loan_amount, loan_term, "
         "CASE WHEN miss_cs THEN NULL ELSE credit_score END AS credit_score, dti_ratio, employment, purpose, \"default\", "
-        f"{s_u('dup42')} < {_f(50 / 1200)} AS dup FROM b3)",
+        f"{s_pick('dup42', 50 / 1200)} AS dup FROM b3)",
         "l1 AS (SELECT * EXCLUDE (dup) FROM l0 UNION ALL SELECT * EXCLUDE (dup) FROM l0 WHERE dup)",
         "l2 AS (SELECT DISTINCT * FROM l1)",
         "l3 AS (SELECT * REPLACE (coalesce(credit_score, (SELECT quantile_cont(credit_score, 0.5) FROM l2)) AS credit_score, "
@@ -936,7 +937,7 @@ def _loan_pipeline_sql() -> str:
             + [f"{c}_{lv}" for c, (levels, _p) in (("employment", _fx.EMPLOYMENT), ("purpose", _fx.PURPOSE))
                for lv in sorted(levels)] + ["split"])
     feats = ["age", "income", "loan_amount", "loan_term", "credit_score"]
-    sm, final = _smote_ctes("l8", cols, '"default"', "loan_id", feats, {"loan_term": "bigint"})
+    sm, final = _smote_ctes("l8", cols, '"default"', "loan_id", feats, {"loan_term": "bigint"}, pool="split = 'train'")
     body = ("SELECT * REPLACE (" + ", ".join(f"round({n}, 6) AS {n}" for n in ("age", "income", "loan_amount",
                                                                               "credit_score")) + f") FROM ({final}) z")
     return "WITH " + _LOAN_BASE.split(", b4 AS")[0] + ", " + ", ".join(steps + sm) + " " + body
@@ -985,7 +986,7 @@ def _medical_pipeline_sql() -> str:
     cols = (["patient_id", "age", "race", "bmi", "hba1c_result", "num_medications", "num_diagnoses", "los_days",
              "payer_code", "readmitted"] + oh_cols + ["split"])
     feats = ["age", "race", "bmi", "hba1c_result", "num_medications", "num_diagnoses", "los_days", "payer_code"]
-    sm, final = _smote_ctes("m9", cols, "readmitted", "patient_id", feats, {"race": "bigint", "payer_code": "bigint"})
+    sm, final = _smote_ctes("m9", cols, "readmitted", "patient_id", feats, {"race": "bigint", "payer_code": "bigint"}, pool="split = 'train'")
     body = ("SELECT * REPLACE (" + ", ".join(f"round({n}, 6) AS {n}" for n in
                                              ("age", "bmi", "hba1c_result", "num_medications", "num_diagnoses",
                                               "los_days")) + f") FROM ({final}) z")
@@ -1031,7 +1032,7 @@ def _orders_plan_sql() -> str:
     cols = ["id", "amount", "total", "priority", "tenure", "city", "los_days", "y", "status_F", "status_O",
             "status_P", "split"]
     feats = ["amount", "total", "priority", "tenure", "city", "los_days"]
-    sm, final = _smote_ctes("o14", cols, "y", "id", feats, {"city": "bigint"})
+    sm, final = _smote_ctes("o14", cols, "y", "id", feats, {"city": "bigint"}, pool="split = 'train'")
     body = ("SELECT * REPLACE (" + ", ".join(f"round({n}, 6) AS {n}" for n in
                                              ("amount", "total", "priority", "tenure", "los_days")) + f") FROM ({final}) z")
     return with_(OD, *steps, *sm) + body

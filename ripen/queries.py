@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .operators import eda
 from .operators.profile import column_profile, profile_dataset
 from .sources.dirty import labeled_documents, lineitem_dirty, orders_dirty
+from .sources.load import table as load_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ROUND = 6
@@ -115,6 +116,25 @@ def d05(spark, sf):
     return rounded(eda.detect_leakage(orders_dirty(spark, sf), "y"))
 
 
+def leaks(spark, sf):
+    """orders with an integer leak of a wide range and a fractional one with one huge outlier."""
+    y = F.col("o_orderkey") % 10 == 0
+    return load_table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("id"), y.cast("int").alias("y"), F.col("o_totalprice").alias("price"), F.col("o_orderpriority").alias("priority"),
+        F.when(y, 1 + F.col("o_custkey") % 100).otherwise(0).alias("wide"),
+        F.when(F.col("o_orderkey") == 1, 1e6).when(y, 5.0).otherwise(0.0).alias("step"))
+
+
+@query("d05_detect_leakage_wide")
+def d05b(spark, sf):
+    return rounded(eda.detect_leakage(leaks(spark, sf), "y"))
+
+
+@query("d05_detect_leakage_known")
+def d05c(spark, sf):
+    return rounded(eda.detect_leakage(leaks(spark, sf), "y", known=["priority"]))
+
+
 @query("d06_high_correlations")
 def d06(spark, sf):
     return rounded(eda.high_correlations(lineitem_dirty(spark, sf)))
@@ -290,6 +310,31 @@ def g02(spark, sf):
     return balance.smote(labeled_documents(spark, sf), "toxic", ["n_chars"], key="doc_id", k=5, seed=42)
 
 
+@query("g02_smote_two_features")
+def g02b(spark, sf):
+    two = labeled_documents(spark, sf).select(
+        "doc_id", "toxic", "n_chars", (F.col("doc_id") * 7919 % 1000).cast("double").alias("spread"),
+        F.when(F.col("doc_id") % 5 == 0, "test").otherwise("train").alias("split"))
+    return balance.smote(two, "toxic", ["n_chars", "spread"], key="doc_id", k=5, seed=42, split_col="split")
+
+
+def ties(spark, sf):
+    """orders with a repeated key and a nullable target."""
+    return table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("id"), (F.col("o_custkey") % 40).alias("key"),
+        F.when(F.col("o_orderkey") % 7 != 0, F.when(F.col("o_orderkey") % 10 == 0, "A").otherwise("B")).alias("status"))
+
+
+@query("g01_train_test_split_ties")
+def g01c(spark, sf):
+    return balance.train_test_split(ties(spark, sf), "status", "key")
+
+
+@query("g03_undersample_ties")
+def g03c(spark, sf):
+    return balance.undersample(ties(spark, sf), "status", "key")
+
+
 @query("g03_undersample")
 def g03(spark, sf):
     return balance.undersample(labeled_documents(spark, sf), "toxic", key="doc_id", seed=42)
@@ -379,18 +424,21 @@ from .functions.rand import u01  # noqa: E402
 def agent_replies(spark, sf):
     """Action replies built from ``conversations``: an action named by a
     keyed draw over all 34 names (6 of them not valid in replies), the
-    speaker role as its column, wrapped plain / fenced / in the turn's prose /
-    malformed by a second draw."""
+    speaker role as its column, after the turn's text: plain, fenced, in
+    prose, single-quoted, with trailing text, or cut off, by a second draw."""
     cv = table(spark, sf, "conversations")
     key = F.concat_ws(":", F.col("conv_id").cast("string"), F.col("turn").cast("string"))
     names = F.array(*[F.lit(a) for a in acts.ALL_ACTIONS])
     a = F.element_at(names, (F.floor(u01(key, "act") * len(acts.ALL_ACTIONS)) + 1).cast("int"))
     js = F.concat(F.lit('{"type": "'), a, F.lit('", "column": "'), F.col("role"), F.lit('"}'))
-    mode = F.floor(u01(key, "wrap") * 4)
-    reply = (F.when(mode == 0, js)
-             .when(mode == 1, F.concat(F.lit("```json\n"), js, F.lit("\n```")))
-             .when(mode == 2, F.concat(F.col("text"), F.lit(" Next: "), js, F.lit(" Done.")))
-             .otherwise(F.concat(F.col("text"), F.lit(" {\"type\": "), a)))
+    mode = F.floor(u01(key, "wrap") * 6)
+    reply = F.concat(F.col("text"),
+                     F.when(mode == 0, F.concat(F.lit(" "), js))
+                     .when(mode == 1, F.concat(F.lit("\n```json\n"), js, F.lit("\n```")))
+                     .when(mode == 2, F.concat(F.lit(" Next: "), js, F.lit(" Done.")))
+                     .when(mode == 3, F.concat(F.lit(" "), F.replace(js, F.lit('"'), F.lit("'"))))
+                     .when(mode == 4, F.concat(F.lit(" "), js, F.lit(" and {x}")))
+                     .otherwise(F.concat(F.lit(' {"type": '), a)))
     return cv.select("conv_id", "turn", "role", reply.alias("reply"), a.alias("rule_type"))
 
 
