@@ -48,8 +48,8 @@ def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def _only(docs: DataFrame, kept: DataFrame) -> DataFrame:
     """The rows of docs whose id is kept; a null id matches a null id."""
-    ids = kept.select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    ids = kept.select(F.col("doc_id").alias("__kept_id")).distinct()
+    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("__kept_id")), "left_semi")
 
 
 STAGES = [("quality classifier", keep_quality), ("simhash near-dedup", drop_near_duplicates), ("benchmark decontamination", drop_contaminated),

@@ -87,14 +87,14 @@ def mix(docs: DataFrame, budget_share: float, weights: dict[str, dict[str, float
     The budget is ``budget_share`` of the corpus' tokens.  ``weights``: for each of LEVELS the weights by
     name, "*" for all others (1 if missing).
     """
-    named = {"_domain": F.coalesce(domain, F.lit("unknown")), "_lang": F.coalesce("lang", F.lit("unknown")),
-             "_source": F.coalesce("source", F.lit("unknown"))}
+    named = {"__domain": F.coalesce(domain, F.lit("unknown")), "__lang": F.coalesce("lang", F.lit("unknown")),
+             "__source": F.coalesce("source", F.lit("unknown"))}
     leaf = list(named)
     # ids, leaves and token counts without texts: written once, read by every step below
-    slim = cut_lineage(docs.withColumns(named).select(*leaf, F.col(id_col).alias("_id"), tokens(text_col).alias("t"), F.xxhash64(text_col).alias("tie")))
+    slim = cut_lineage(docs.withColumns(named).select(*leaf, F.col(id_col).alias("id"), tokens(text_col).alias("t"), F.xxhash64(text_col).alias("tie")))
     sums = slim.groupBy(*leaf).agg(F.sum("t").alias("tokens"))
     all_tokens = sums.groupBy().agg(F.sum("tokens")).first()[0] or 0
-    names = sums.withColumnsRenamed({f"_{x}": x for x in LEVELS})
+    names = sums.withColumnsRenamed({f"__{x}": x for x in LEVELS})
     budgets = leaf_budgets(names, F.lit(float(all_tokens) * budget_share), weights, max_epochs)
     # whole epochs, and the tokens left for the next one
     plan = (names.join(budgets, list(LEVELS))
@@ -102,23 +102,25 @@ def mix(docs: DataFrame, budget_share: float, weights: dict[str, dict[str, float
             .withColumn("whole", F.when(F.col("tokens") > 0, F.expr("budget div tokens")).otherwise(F.lit(0)).cast("int"))
             .withColumn("rest", F.col("budget") - F.col("whole") * F.col("tokens"))
             .where((F.col("whole") > 0) | (F.col("rest") > 0) | (F.col("tokens") == 0))
-            .select(*(F.col(x).alias(f"_{x}") for x in LEVELS), "whole", "rest", "tokens"))
-    keyed = (slim.join(bounded_broadcast(plan), leaf).withColumn("key", order_key(F.col("_id"), seed, F.col("whole")))
+            .select(*(F.col(x).alias(f"__{x}") for x in LEVELS), "whole", "rest", "tokens"))
+    keyed = (slim.join(bounded_broadcast(plan), leaf).withColumn("key", order_key(F.col("id"), seed, F.col("whole")))
              .withColumn("bucket", F.substring("key", 1, 3)))
     run = Window.partitionBy(*leaf).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)               # at most 4096 rows a leaf
     ends = (keyed.groupBy(*leaf, "rest", "bucket").agg(F.sum("t").alias("t"))
             .withColumn("before", F.coalesce(F.sum("t").over(run), F.lit(0)))
             .where("before + t > rest and before <= rest").groupBy(*leaf).agg(F.min(F.struct("bucket", "before")).alias("e")))
     # only in the bucket in which a leaf's prefix ends are rows ordered; its last row that fits is the leaf's cut
-    inside = Window.partitionBy(*leaf).orderBy("key", "tie").rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy(*leaf).orderBy("key", "tie")          # equal rows are taken or left together
     last = (keyed.join(bounded_broadcast(ends), leaf).where("bucket = e.bucket")
             .withColumn("fits", F.col("e.before") + F.sum("t").over(inside) <= F.col("rest"))
             .groupBy(*leaf).agg(F.max(F.when(F.col("fits"), F.struct("key", "tie"))).alias("cut"), F.first("e.bucket").alias("bucket")))
     cuts = (plan.join(last, leaf, "left")
-            .select(*leaf, "whole", F.when(F.col("bucket").isNotNull(), F.coalesce("cut", F.struct(F.col("bucket").alias("key"), F.lit(-(1 << 63)).alias("tie")))).alias("cut"),
-                    ((F.col("whole") < max_epochs) & ((F.col("rest") > 0) | (F.col("tokens") == 0))).alias("more")))
-    here = F.struct(order_key(F.col(id_col), seed, F.col("whole")).alias("key"), F.xxhash64(text_col).alias("tie"))
-    taken = F.col("more") & (F.col("cut").isNull() | (here <= F.col("cut")))
+            .select(*leaf, F.col("whole").alias("__whole"),
+                    F.when(F.col("bucket").isNotNull(), F.coalesce("cut", F.struct(F.col("bucket").alias("key"), F.lit(-(1 << 63)).alias("tie")))).alias("__cut"),
+                    ((F.col("whole") < max_epochs) & ((F.col("rest") > 0) | (F.col("tokens") == 0))).alias("__more")))
+    here = F.struct(order_key(F.col(id_col), seed, F.col("__whole")).alias("key"), F.xxhash64(text_col).alias("tie"))
+    taken = F.col("__more") & (F.col("__cut").isNull() | (here <= F.col("__cut")))
     return (docs.withColumns(named).join(bounded_broadcast(cuts), leaf)
-            .withColumn("copies", F.col("whole") + F.when(taken, 1).otherwise(0)).where("copies > 0")
-            .select(*docs.columns, F.col("_domain").alias("domain"), tokens(text_col).alias("n_tokens"), "copies"))
+            .withColumn("__copies", F.col("__whole") + F.when(taken, 1).otherwise(0)).where("__copies > 0")
+            .select(*(c for c in docs.columns if c not in ("domain", "n_tokens", "copies")),
+                    F.col("__domain").alias("domain"), tokens(text_col).alias("n_tokens"), F.col("__copies").alias("copies")))

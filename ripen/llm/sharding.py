@@ -39,32 +39,33 @@ def assign_shards(df: DataFrame, shards: int, size: Column, id_col: str = "doc_i
 
     ``order``: columns that break ties between equal ids; they are compared by their hash.
     """
-    own = df.withColumn("size", size.cast("long"))
+    kept = [c for c in df.columns if c not in ("size", "shard", "slot")]
+    own = df.withColumn("__size", size.cast("long"))
     key = F.col(id_col).cast("double")
     count = own.select(F.count("*").alias("n"), F.percentile_approx(key, [i / 64 for i in range(65)], 10_000).alias("q")).first()
     if not count["n"]:
-        return own.withColumns({"shard": F.lit(0), "slot": F.lit(0).cast("long")})
+        return own.select(*kept, F.col("__size").alias("size"), F.lit(0).alias("shard"), F.lit(0).cast("long").alias("slot"))
     # 64 quantiles, each split evenly into ranges of about RANGE_ROWS rows; they balance the tasks and change no result
     per = max(1, -(-count["n"] // (64 * RANGE_ROWS)))
     marks = F.lit(sorted({float(x) for x in count["q"] or [0.0]}))
     at = F.array_size(F.filter(marks, lambda m: m <= key)) - 1
-    low, high = F.get(marks, F.col("_at")), F.get(marks, F.col("_at") + 1)
+    low, high = F.get(marks, F.col("__at")), F.get(marks, F.col("__at") + 1)
     inner = F.least(F.lit(per - 1), F.floor((key - low) / (high - low) * per).cast("int"))
-    rows = (barrier(own.withColumn("_at", F.coalesce(at, F.lit(-1))), "_at")
-            .withColumn("_range", F.col("_at") * per + F.coalesce(inner, F.lit(0))).drop("_at"))
+    rows = (barrier(own.withColumn("__at", F.coalesce(at, F.lit(-1))), "__at")
+            .withColumn("__range", F.col("__at") * per + F.coalesce(inner, F.lit(0))).drop("__at"))
 
-    totals = rows.groupBy("_range").agg(F.sum("size").alias("_bytes"), F.count("*").alias("_rows"))
-    before = Window.partitionBy(F.lit(0)).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)     # one row a range
-    everything = Window.partitionBy(F.lit(0))
-    offsets = totals.select("_range", F.coalesce(F.sum("_bytes").over(before), F.lit(0)).alias("_bytes0"),
-                            F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_row0"),
-                            F.sum("_bytes").over(everything).alias("_total"))
-    inside = Window.partitionBy("_range").orderBy(F.col(id_col).asc_nulls_first(), "_tie")
-    placed = (rows.join(bounded_broadcast(offsets), "_range")
-              .withColumn("_tie", F.xxhash64(*order) if order else F.lit(0))
-              .withColumn("_start", F.col("_bytes0") + F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
-              .withColumn("_row", F.col("_row0") + F.row_number().over(inside) - 1)
-              .withColumn("shard", F.least(F.lit(shards - 1), F.expr(f"cast((2 * _start + size) * {shards} div (2 * _total) as int)"))))
-    first = (placed.groupBy("shard").agg(F.min("_row").alias("_first")))                                    # one row a shard
-    return (placed.join(F.broadcast(first), "shard").withColumn("slot", F.col("_row") - F.col("_first"))
-            .select(*df.columns, "size", "shard", "slot"))
+    totals = rows.groupBy("__range").agg(F.sum("__size").alias("bytes"), F.count("*").alias("rows"))
+    before = Window.partitionBy(F.lit(0)).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)     # one row a range
+    offsets = totals.select("__range", F.coalesce(F.sum("bytes").over(before), F.lit(0)).alias("__bytes0"),
+                            F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("__row0"),
+                            F.sum("bytes").over(Window.partitionBy(F.lit(0))).alias("__total"))
+    inside = Window.partitionBy("__range").orderBy(F.col(id_col).asc_nulls_first(), "__tie")
+    cut = f"cast((2 * __start + __size) * {shards} div (2 * __total) as int)"
+    placed = (rows.join(bounded_broadcast(offsets), "__range")
+              .withColumn("__tie", F.xxhash64(*order) if order else F.lit(0))
+              .withColumn("__start", F.col("__bytes0") + F.sum("__size").over(inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col("__size"))
+              .withColumn("__row", F.col("__row0") + F.row_number().over(inside) - 1)
+              .withColumn("__shard", F.least(F.lit(shards - 1), F.expr(cut))))
+    first = placed.groupBy("__shard").agg(F.min("__row").alias("__first"))                                  # one row a shard
+    return (placed.join(F.broadcast(first), "__shard")
+            .select(*kept, F.col("__size").alias("size"), F.col("__shard").alias("shard"), (F.col("__row") - F.col("__first")).alias("slot")))

@@ -87,13 +87,13 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str]], redirects: DataFr
                 .agg(F.max((F.col("action") == "allow").cast("int")).alias("allowed"), F.max((F.col("action") == "block").cast("int")).alias("blocked")))
     by_class = F.when(F.col("allowed") == 1, "allow").when(F.col("blocked") == 1, "block").otherwise("allow")
     aliases = (parts.join(verdicts, "component")
-               .select(F.struct(F.col("node").alias("url"), F.lit(0).cast("long").alias("salt")).alias("_at"), F.col("component").alias("_class"), by_class.alias("_by_class")))
+               .select(F.struct(F.col("node").alias("url"), F.lit(0).cast("long").alias("salt")).alias("__at"), F.col("component").alias("__class"), by_class.alias("__by_class")))
     # URLs that are in no edge can't match; each gets a key of its own, so that a null key gathers no rows
-    rows = pages.drop(html).withColumn("_at", F.when(F.col(url).isNotNull(), F.struct(F.col(url).alias("url"), F.lit(0).cast("long").alias("salt")))
+    rows = pages.drop(html).withColumn("__at", F.when(F.col(url).isNotNull(), F.struct(F.col(url).alias("url"), F.lit(0).cast("long").alias("salt")))
                                        .otherwise(F.struct(F.lit("").alias("url"), F.monotonically_increasing_id().alias("salt"))))
     host, path = host_of(F.col(url)), path_of(F.col(url))
-    return (rows.join(aliases, "_at", "left")
-            .withColumns({"host": host, "path": path, "_rule": best_rule(host, path, rules)})
+    return (rows.join(aliases, "__at", "left")
+            .withColumns({"host": host, "path": path, "__rule": best_rule(host, path, rules)})
             .select(*(c for c in pages.columns if c not in (html, "host", "path", "rule", "verdict", "class")), "host", "path",
-                    F.col("_rule.rule").alias("rule"),
-                    F.coalesce("_rule.action", "_by_class", F.lit("allow")).alias("verdict"), F.col("_class").alias("class")))
+                    F.col("__rule.rule").alias("rule"),
+                    F.coalesce("__rule.action", "__by_class", F.lit("allow")).alias("verdict"), F.col("__class").alias("class")))
