@@ -6,18 +6,17 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..session import cut_lineage
 
-# a lookup side is broadcast only below this many rows (and it was counted)
-BROADCAST_ROWS = 1_000_000
-# distinct levels collected to the driver only below this count
-COLLECT_LEVELS = 100_000
+# a lookup side is broadcast only below this many bytes of keys and values (and they were counted)
+BROADCAST_BYTES = 64 << 20
+ROW_BYTES = 48
 
 
 def lookup_join(df: DataFrame, table: DataFrame, on: str, how: str = "left",
-                max_broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Join a (value -> result) table; broadcast only when its counted size is
-    bounded, else a shuffle join (AQE splits a skewed hot key)."""
-    n = table.count()
-    side = F.broadcast(table) if n <= max_broadcast_rows else table
+                max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Join a (value -> result) table; broadcast only when its counted bytes
+    are bounded, else a shuffle join (AQE splits a skewed hot key)."""
+    n = table.agg(F.sum(F.octet_length(F.col(on).cast("string")) + ROW_BYTES)).first()[0] or 0
+    side = F.broadcast(table) if n <= max_bytes else table
     return df.join(side, on=on, how=how)
 
 
@@ -35,10 +34,12 @@ def dense_codes(values: DataFrame, col: str, code: str = "code") -> DataFrame:
     for any number of distinct values: range-partitioned sort, per-partition
     counts (one small row per partition) and offsets; no single task sees all
     values.  The sorted distinct set is checkpointed so partition ids stay
-    fixed between the two uses."""
+    fixed between the two uses.  With more columns than ``col``, the values are
+    taken as distinct already and the columns ride along."""
     spark = values.sparkSession
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    d = (values.select(col).distinct().repartitionByRange(parts, col).sortWithinPartitions(col)
+    d = values.select(col).distinct() if values.columns == [col] else values
+    d = (d.repartitionByRange(parts, col).sortWithinPartitions(col)
          .withColumn("__pid", F.spark_partition_id())
          .withColumn("__mid", F.monotonically_increasing_id()))
     d = cut_lineage(d)
@@ -49,5 +50,5 @@ def dense_codes(values: DataFrame, col: str, code: str = "code") -> DataFrame:
         acc += r["n"]
     omap = F.create_map(*[x for p, (o, _) in off.items() for x in (F.lit(p), F.lit(o))])
     mmap = F.create_map(*[x for p, (_, m) in off.items() for x in (F.lit(p), F.lit(m))])
-    return d.select(col, (omap[F.col("__pid")] + F.col("__mid") - mmap[F.col("__pid")])
+    return d.select(*values.columns, (omap[F.col("__pid")] + F.col("__mid") - mmap[F.col("__pid")])
                     .cast("bigint").alias(code))

@@ -66,6 +66,17 @@ _HEAVY = ("Aggregate", "Join", "Window", "Union", "Expand", "Generate", "Reparti
           "Deduplicate", "Sample", "Limit", "Tail", "MapPartitions", "FlatMapGroups", "Python")
 
 
+def plan_nodes(df: DataFrame) -> list[str]:
+    """Operator names of the optimized plan (names of operators, never of columns)."""
+    out, todo = [], [df._jdf.queryExecution().optimizedPlan()]
+    while todo:
+        node = todo.pop()
+        out.append(node.nodeName())
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return out
+
+
 class fit_view:
     """Context manager for the multi-pass fit of an operator.
 
@@ -89,11 +100,7 @@ class fit_view:
                 return self.src          # the caller's cache: use it, never release it
         except Exception:  # noqa: BLE001
             pass
-        try:
-            plan = self.src._jdf.queryExecution().optimizedPlan().toString()
-        except Exception:  # noqa: BLE001 - no JVM handle (e.g. Spark Connect): be conservative
-            plan = "Aggregate"
-        if any(k in plan for k in _HEAVY):
+        if any(name.startswith(_HEAVY) or "Python" in name or "Limit" in name for name in plan_nodes(self.src)):
             self.src = self.src.persist(StorageLevel.MEMORY_AND_DISK)
             self.cached = True
         return self.src

@@ -9,17 +9,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.lookup import COLLECT_LEVELS, bounded_levels, dense_codes, lookup_join
+from ..functions.lookup import bounded_levels, dense_codes, lookup_join
 from ..functions.quantile import exact_quantiles
 from ..functions.stats import c
 from ..functions.types import check_column, is_categorical, is_numeric
+from ..session import cut_lineage
 from .clean import _replace
 
 MISSING = "missing"
 MAX_ONEHOT = 20
 TOP_K = 10
 IMPORTANCE_K = 5
-BULK_LEVELS = 10_000
 FOREST_TREES = 30
 FOREST_SEED = 42
 
@@ -55,39 +55,33 @@ def encode_onehot(df: DataFrame, col: str, max_levels: int = MAX_ONEHOT,
 
 
 def label_codes(df: DataFrame, col: str, null_text: str = MISSING) -> tuple:
-    """(value expr, code table or None, level list or None) for a text column.
-    Few levels: a literal map; many: ``dense_codes`` (exact, distributed)."""
+    """(value expr, code table with __v, __n and __code) of a text column: the
+    levels are counted once and numbered by a distributed sort; the table is
+    checkpointed, so counting, broadcasting or shuffling it never re-reads df."""
     v = F.coalesce(c(col), F.lit(null_text))
-    levels = bounded_levels(df.select(v.alias("__v")), "__v", COLLECT_LEVELS)
-    if levels is not None:
-        return v, None, levels
-    return v, dense_codes(df.select(v.alias("__v")), "__v", "__code"), None
+    counts = df.groupBy(v.alias("__v")).agg(F.count(F.lit(1)).alias("__n"))
+    return v, dense_codes(counts, "__v", "__code")
 
 
-def _apply_codes(df: DataFrame, col: str, v, table, levels, out_name: str | None = None) -> DataFrame:
+def _apply_codes(df: DataFrame, col: str, v, table, out_name: str | None = None) -> DataFrame:
     out_name = out_name or col
-    if levels is not None:
-        m = F.create_map(*[x for i, lv in enumerate(levels) for x in (F.lit(lv), F.lit(i))])
-        return df.select(*[m[v].cast("bigint").alias(out_name) if n == col else c(n) for n in df.columns])
-    keyed = df.withColumn("__v", v)
-    joined = lookup_join(keyed, table, on="__v", how="left")
+    joined = lookup_join(df.withColumn("__v", v), table.select("__v", "__code"), on="__v", how="left")
     return joined.select(*[F.col("__code").alias(out_name) if n == col else c(n) for n in df.columns])
 
 
 def encode_label(df: DataFrame, col: str, target: str | None = None) -> DataFrame:
     """codes 0..k-1 in code-point order (null -> 'missing')."""
     _text(df, col, target)
-    v, table, levels = label_codes(df, col)
-    return _apply_codes(df, col, v, table, levels)
+    return _apply_codes(df, col, *label_codes(df, col))
 
 
 def encode_target(df: DataFrame, col: str, target: str) -> DataFrame:
     """level -> mean of the target in that level (no smoothing, like the
-    original).  The means table is joined back; broadcast only when its
-    counted size is bounded."""
+    original).  The means are aggregated once (checkpointed) and joined back;
+    broadcast only when their counted size is bounded."""
     _text(df, col, target)
     v = F.coalesce(c(col), F.lit(MISSING))
-    means = df.groupBy(v.alias("__v")).agg(F.avg(c(target).cast("double")).alias("__mean"))
+    means = cut_lineage(df.groupBy(v.alias("__v")).agg(F.avg(c(target).cast("double")).alias("__mean")))
     joined = lookup_join(df.withColumn("__v", v), means, on="__v", how="left")
     return joined.select(*[F.col("__mean").alias(n) if n == col else c(n) for n in df.columns])
 
@@ -140,67 +134,62 @@ def log_transform(df: DataFrame, col, target: str | None = None) -> DataFrame:
                        for n in df.columns])
 
 
+def _filled_numbers(df: DataFrame, nums: list[str]) -> dict:
+    if not nums:
+        return {}
+    meds = exact_quantiles(df, [c(n).cast("double") for n in nums], [0.5])
+    return {n: F.coalesce(c(n).cast("double"), F.lit(m[0])) for n, m in zip(nums, meds)}
+
+
 def encoded_features(df: DataFrame, target: str | None) -> DataFrame:
     """Every non-target column as a number: text -> label code of its text
     (null becomes the text 'nan', as the original's astype(str) did), numbers
-    -> median-filled doubles.  Used by F7 and F8.  Levels of all text columns
-    are found in one bounded job (long form, distinct, capped collect)."""
-    feats = [n for n in df.columns if n != target]
+    -> median-filled doubles.  Used by F7."""
     types = {f.name: f.dataType for f in df.schema.fields}
-    nums = [n for n in feats if not is_categorical(types[n])]
-    texts = [n for n in feats if is_categorical(types[n])]
-    meds = dict(zip(nums, [m[0] for m in exact_quantiles(df, [c(n).cast("double") for n in nums], [0.5])])) \
-        if nums else {}
-    # many columns at once: a tighter per-column cap keeps the driver-side
-    # level lists small; bigger columns get exact distributed codes
-    small = levels_of_many(df, texts, BULK_LEVELS, null_text="nan")
-    out = []
-    for n in df.columns:
-        if n in meds:
-            out.append(F.coalesce(c(n).cast("double"), F.lit(meds[n])).alias(n))
-        elif n in small:
-            m = F.create_map(*[x for i, lv in enumerate(small[n]) for x in (F.lit(lv), F.lit(i))])
-            out.append(m[F.coalesce(c(n), F.lit("nan"))].cast("bigint").alias(n))
-        else:
-            out.append(c(n))
-    enc = df.select(*out)
+    texts = [n for n in df.columns if n != target and is_categorical(types[n])]
+    filled = _filled_numbers(df, [n for n in df.columns if n != target and n not in texts])
+    enc = df.select(*[filled[n].alias(n) if n in filled else c(n) for n in df.columns])
     for n in texts:
-        if n not in small:   # many levels: exact distributed codes + a shuffle join
-            v, table, levels = label_codes(enc, n, null_text="nan")
-            enc = _apply_codes(enc, n, v, table, levels)
+        enc = _apply_codes(enc, n, *label_codes(df, n, null_text="nan"))
     return enc
 
 
-def levels_of_many(df: DataFrame, cols: list[str], cap: int, null_text: str = MISSING) -> dict:
-    """Sorted levels of each text column having at most ``cap`` of them:
-    one job counts distinct levels per column, one collects the small ones."""
-    if not cols:
-        return {}
-    from ..functions.stats import long_form
-    filled = df.select(*[F.coalesce(c(n), F.lit(null_text)).alias(n) for n in cols])
-    dist = long_form(filled, cols).distinct()
-    sizes = {r["name"]: r["k"] for r in dist.groupBy("name").agg(F.count(F.lit(1)).alias("k")).collect()}
-    keep = [n for n in cols if sizes.get(n, 0) <= cap]
-    out: dict = {n: [] for n in keep}
-    if keep:
-        for r in dist.filter(F.col("name").isin(keep)).collect():
-            out[r["name"]].append(r["value"])
-    return {n: sorted(v) for n, v in out.items()}
+def feature_variances(df: DataFrame, target: str) -> list[tuple[str, float | None]]:
+    """(feature, sample variance of its encoded values), largest first, ties in
+    column order.  A text column's variance comes from its (code, count) table:
+    no row is joined."""
+    from ..functions.stats import fit_view
+    feats = [n for n in df.columns if n != target]
+    types = {f.name: f.dataType for f in df.schema.fields}
+    texts = [n for n in feats if is_categorical(types[n])]
+    found: dict = {}
+    with fit_view(df) as fv:
+        filled = _filled_numbers(fv, [n for n in feats if n not in texts])
+        if filled:
+            row = fv.agg(*[F.var_samp(x).alias(f"v{i}") for i, x in enumerate(filled.values())]).first()
+            found = {n: row[f"v{i}"] for i, n in enumerate(filled)}
+        for n in texts:
+            _, table = label_codes(fv, n, null_text="nan")
+            code, k = F.col("__code").cast("decimal(38,0)"), F.col("__n").cast("decimal(38,0)")
+            r = table.agg(F.sum(k).alias("n"), F.sum(k * code).alias("s"), F.sum((k * code).cast("decimal(38,0)") * F.col("__code")).alias("q")).first()
+            found[n] = float((r["q"] - r["s"] * r["s"] / r["n"]) / (r["n"] - 1)) if r["n"] and r["n"] > 1 else None
+    order = sorted(range(len(feats)), key=lambda i: (-(found[feats[i]] if found[feats[i]] is not None else float("-inf")), i))
+    return [(feats[i], found[feats[i]]) for i in order]
+
+
+def variance_ranking(df: DataFrame, target: str) -> DataFrame:
+    """The order F8 keeps features in: (position, feature, variance)."""
+    rows = [(i, n, v) for i, (n, v) in enumerate(feature_variances(df, target))]
+    return df.sparkSession.createDataFrame(rows, "position int, feature string, variance double")
 
 
 def select_top_k(df: DataFrame, target: str, k: int = TOP_K) -> DataFrame:
     """F8: keep the k features with the largest sample variance of their
-    encoded values (one ``var_samp`` pass), in variance-descending order,
-    then the target; kept columns keep their raw values."""
-    feats = [n for n in df.columns if n != target]
-    if len(feats) <= k:
-        raise ValueError(f"only {len(feats)} features; nothing to trim")
-    from ..functions.stats import fit_view
-    with fit_view(df) as fv:
-        enc = encoded_features(fv, target)
-        row = enc.agg(*[F.var_samp(c(n).cast("double")).alias(f"v{i}") for i, n in enumerate(feats)]).first()
-    ranked = sorted(range(len(feats)), key=lambda i: (-(row[f"v{i}"] if row[f"v{i}"] is not None else float("-inf")), i))
-    keep = [feats[i] for i in ranked[:k]]
+    encoded values, in variance-descending order, then the target; kept columns
+    keep their raw values."""
+    if len(df.columns) - 1 <= k:
+        raise ValueError(f"k = {k} keeps all {len(df.columns) - 1} features")
+    keep = [n for n, _ in feature_variances(df, target)[:k]]
     return df.select(*[c(n) for n in keep], c(target))
 
 

@@ -294,6 +294,9 @@ oracle("e01_fix_dtypes", with_(OD) + "SELECT " + sel(OD_COLS, {
 oracle("e02_drop_duplicates", with_(OD) + "SELECT DISTINCT " + sel(OD_COLS) + " FROM orders_dirty")
 oracle("e03_remove_leaky", with_(OD) + "SELECT " + sel(OD_COLS, drop=("leak_label", "leak_days"))
        + " FROM orders_dirty")
+oracle("e03_remove_leaky_named", with_(OD) + "SELECT " + sel(OD_COLS, drop=("leak_days",)) + " FROM orders_dirty")
+oracle("e09_drop_high_missing_named", with_(LD) + "SELECT " + sel(LD_COLS, drop=("l_tax",)) + " FROM lineitem_dirty")
+oracle("e11_drop_correlated_named", with_(LD) + "SELECT " + sel(LD_COLS, drop=("gross",)) + " FROM lineitem_dirty")
 oracle("e04_fill_median", with_(OD) + "SELECT " + sel(OD_COLS, {
     "amount": (f"coalesce(amount, {MED_AMOUNT})", "double")}) + " FROM orders_dirty")
 oracle("e05_fill_mode", with_(OD) + "SELECT " + sel(OD_COLS, {
@@ -346,6 +349,14 @@ oracle("f06_log_transform", with_(OD) + "SELECT " + sel(OD_COLS, {
     + " FROM orders_dirty")
 oracle("f09_create_interaction", with_(LD) + "SELECT " + sel(LD_COLS, extra=[
     "round(l_quantity * l_extendedprice, 6) AS l_quantity_x_l_extendedprice"]) + " FROM lineitem_dirty")
+_CODED = ", ".join(f"dense_rank() OVER (ORDER BY coalesce({n}, 'nan')) - 1 AS {n}" if t == "string" else
+                   f"coalesce({n}::DOUBLE, (SELECT quantile_cont({n}, 0.5) FROM orders_dirty)) AS {n}" for n, t in OD_COLS if n != "y")
+oracle("f08_variance_ranking", with_(OD, f"coded AS (SELECT {_CODED} FROM orders_dirty)",
+       "v AS (" + " UNION ALL ".join(f"SELECT {i} AS pos, '{n}' AS feature, var_samp({n}) AS variance FROM coded"
+                                    for i, (n, _) in enumerate(x for x in OD_COLS if x[0] != "y")) + ")")
+       + "SELECT CAST(row_number() OVER (ORDER BY variance DESC, pos) - 1 AS INTEGER) AS position, feature, "
+       "CAST(printf('%.6e', variance) AS DOUBLE) AS variance FROM v")
+oracle("f07_importance_facts", "SELECT CAST(5 AS BIGINT) AS n, true AS in_range, 'leak_days,leak_label' AS leaders")
 oracle("f08_select_top_k", with_(OD) + "SELECT " + sel(
     [x for x in OD_COLS if x[0] in ("amount", "total2", "total", "id", "city", "y")]) + " FROM orders_dirty")
 
@@ -572,8 +583,7 @@ oracle("j09_task_summary", "WITH " + RUNLOG + ", " + SCORES +
 
 # ----------------------------------------------------------------- I1 plan
 
-_EDA_STEPS = ["profile_dataset", "detect_leakage", "check_missing", "detect_dtypes",
-              "check_class_balance", "detect_outliers", "check_correlations", "detect_duplicates"]
+from .plans.recommend import EDA_STEPS as _EDA_STEPS  # noqa: E402
 
 
 def _fixed(phase_no, phase, names, start=0):
@@ -783,6 +793,13 @@ _LABS = ["[neg)", "[0-2500)", "[2500-5000)", "[5000-7500)", "[7500+)"]
 oracle("a13_bin_labels", "SELECT c_custkey, round(c_acctbal, 6) AS c_acctbal, CASE " + " ".join(
     f"WHEN c_acctbal >= {_f(lo)} AND c_acctbal < {_f(hi)} THEN '{lab}'"
     for lo, hi, lab in zip(_EDGES[:-1], _EDGES[1:], _LABS)) + " ELSE 'nan' END AS acct_band FROM customer")
+oracle("a14_shuffle_positions", "SELECT o_orderkey, row_number() OVER (ORDER BY md5(CAST(o_orderkey AS VARCHAR) || ':shuffle42')) - 1 AS position FROM orders")
+oracle("g05_data_report_issues", with_(*issues_ctes(), _RESOLVED) +
+       f"SELECT count(*) AS n_rows, CAST({len(OD_COLS)} AS BIGINT) AS n_cols, CAST({_NULLS_ALL} AS BIGINT) AS nulls, "
+       f"CAST({_N_TEXT} AS BIGINT) AS unencoded_text, (SELECT count(*) FILTER (WHERE resolved) FROM resolved_issues) AS issues_resolved, "
+       "(SELECT count(*) FROM resolved_issues) AS issues_total, round(" + _readiness_sql(
+           "(SELECT count(*) FROM resolved_issues WHERE NOT resolved AND severity = 'critical')",
+           "(SELECT count(*) FROM resolved_issues WHERE NOT resolved AND severity = 'high')") + ", 2) AS readiness FROM orders_dirty")
 oracle("a14_shuffle", "SELECT o_orderkey, o_custkey, round(o_totalprice, 6) AS o_totalprice FROM orders")
 oracle("h02_resolve_by_type", with_(*issues_ctes()) +
        f"SELECT {ISSUE_COLS}, resolved OR issue_type IN (SELECT issue_type FROM issues WHERE severity = 'medium') "

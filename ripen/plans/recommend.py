@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
+# The report steps of a plan, in the original's order.
 EDA_STEPS = ["profile_dataset", "detect_leakage", "check_missing", "detect_dtypes",
              "check_class_balance", "detect_outliers", "check_correlations", "detect_duplicates"]
 ONEHOT_MAX = 15

@@ -186,6 +186,21 @@ def e03(spark, sf):
     return rounded(clean.remove_leaky(orders_dirty(spark, sf), "y"))
 
 
+@query("e03_remove_leaky_named")
+def e03b(spark, sf):
+    return rounded(clean.remove_leaky(orders_dirty(spark, sf), "y", "leak_days"))
+
+
+@query("e09_drop_high_missing_named")
+def e09b(spark, sf):
+    return rounded(clean.drop_high_missing(lineitem_dirty(spark, sf), "l_tax"))
+
+
+@query("e11_drop_correlated_named")
+def e11b(spark, sf):
+    return rounded(clean.drop_correlated(lineitem_dirty(spark, sf), col="gross"))
+
+
 @query("e04_fill_median")
 def e04(spark, sf):
     return rounded(clean.fill_median(orders_dirty(spark, sf), "amount", "y"))
@@ -277,6 +292,22 @@ def f07(spark, sf):
     return features.feature_importance(orders_dirty(spark, sf), "y")
 
 
+@query("f07_importance_facts")
+def f07b(spark, sf):
+    """What holds for any sound forest: k rows, shares within [0, 1], the two leaks lead."""
+    top = features.feature_importance(orders_dirty(spark, sf), "y")
+    ranked = F.sort_array(F.collect_list(F.struct((-F.col("importance")).alias("i"), "feature")))
+    lead = F.sort_array(F.transform(F.slice(ranked, 1, 2), lambda x: x["feature"]))
+    return top.agg(F.count("*").alias("n"), F.bool_and(F.col("importance").between(0, 1)).alias("in_range"),
+                   F.array_join(lead, ",").alias("leaders"))
+
+
+@query("f08_variance_ranking")
+def f08b(spark, sf):
+    v = features.variance_ranking(orders_dirty(spark, sf), "y")
+    return v.withColumn("variance", F.format_string("%.6e", "variance").cast("double"))
+
+
 @query("f08_select_top_k")
 def f08(spark, sf):
     return rounded(features.select_top_k(orders_dirty(spark, sf), "y", k=5))
@@ -355,6 +386,13 @@ def g05(spark, sf):
     return iss.data_report(orders_dirty(spark, sf), "y")
 
 
+@query("g05_data_report_issues")
+def g05b(spark, sf):
+    od = orders_dirty(spark, sf)
+    found = iss.detect_issues(od, "y", dataset="orders")
+    return iss.data_report(od, "y", iss.resolve_issues(found, _fixes(found)))
+
+
 @query("h06_detect_issues")
 def h06(spark, sf):
     return iss.detect_issues(orders_dirty(spark, sf), "y", dataset="orders")
@@ -571,6 +609,11 @@ def a13(spark, sf):
     return rounded(inject.bin_labels(c, "c_acctbal", ACCT_EDGES, ACCT_LABELS, out="acct_band"))
 
 
+@query("a14_shuffle_positions")
+def a14b(spark, sf):
+    return inject.shuffle_positions(_orders_prices(spark, sf), "o_orderkey").select("o_orderkey", "position")
+
+
 @query("a14_shuffle")
 def a14(spark, sf):
     return rounded(inject.shuffle(_orders_prices(spark, sf), "o_orderkey"))

@@ -140,24 +140,83 @@ def test_leakage_skips_id_like_text_before_the_shuffle(spark):
     assert "c_name" not in names and {"c_mktsegment", "c_acctbal"} <= names
 
 
-def test_dense_codes_path_equals_literal_map_path(od, monkeypatch):
+def test_label_codes_rank_the_levels(od):
     import ripen.operators.features as feat
-    want = sorted(tuple(r) for r in feat.encode_label(od, "city", target="y").select("id", "city").collect())
-    monkeypatch.setattr(feat, "COLLECT_LEVELS", 5)      # force the distributed path (150 levels)
-    monkeypatch.setattr(feat, "BULK_LEVELS", 5)
+    rows = od.select("id", "city").collect()
+    levels = sorted({r["city"] if r["city"] is not None else "missing" for r in rows})
+    want = sorted((r["id"], levels.index(r["city"] if r["city"] is not None else "missing")) for r in rows)
     got = sorted(tuple(r) for r in feat.encode_label(od, "city", target="y").select("id", "city").collect())
     assert got == want
-    enc = feat.encoded_features(od.select("id", "city", "y"), "y")
-    assert sorted(tuple(r) for r in enc.select("id", "city").collect()) == want
+    enc = feat.encoded_features(od.select("id", "city", "y").where("city is not null"), "y")
+    assert enc.select("city").distinct().count() == len([x for x in levels if x != "missing"])
+
+
+@pytest.mark.parametrize("high", [63, 64, 100, 5000])
+def test_integer_leaks_of_any_range_are_found(spark, high):
+    df = spark.range(20000).select((F.col("id") % 10 == 0).cast("int").alias("y"), F.col("id"),
+                                   F.when(F.col("id") % 10 == 0, 1 + F.col("id") % high).otherwise(0).alias("leak"))
+    assert eda.leaky_columns(df, "y") == ["leak"]
+
+
+def test_fractional_leak_survives_an_outlier_and_noise_is_clean(spark):
+    df = spark.range(5000).select((F.col("id") % 5 == 0).cast("int").alias("y"),
+                                  F.when(F.col("id") == 1, 1e6).when(F.col("id") % 5 == 0, 5.0).otherwise(0.0).alias("leak"),
+                                  (F.col("id") * 7919 % 4999 / 7.0).alias("noise"), F.lit(None).cast("double").alias("none"))
+    got = {r["name"]: r for r in eda.detect_leakage(df, "y").collect()}
+    assert got["leak"]["is_leaky"] and not got["noise"]["is_leaky"] and "none" not in got
+    assert eda.leaky_columns(df, "y", known=["noise"]) == ["leak", "noise"]
+
+
+def test_smote_never_fills_the_gap_between_clusters(spark):
+    # two tight, far-apart minority clusters on an anti-diagonal: the sum of the features is the same
+    rows = [(i, 0, float(i % 37), float(i % 41)) for i in range(400)]
+    rows += [(1000 + i, 1, 0.0 + i % 6 * 0.01, 100.0 - i % 5 * 0.01) for i in range(20)]
+    rows += [(2000 + i, 1, 100.0 - i % 6 * 0.01, 0.0 + i % 5 * 0.01) for i in range(20)]
+    df = spark.createDataFrame(rows, "id long, y int, a double, b double")
+    new = balance.smote(df, "y", ["a", "b"], "id").where("y = 1").collect()
+    assert len(new) == 400
+    assert all(abs(r["a"] - r["b"]) > 99 for r in new)
+
+
+def test_smote_leaves_the_test_part_alone(spark):
+    df = spark.range(600).select(F.col("id"), (F.col("id") % 8 == 0).cast("int").alias("y"), (F.col("id") * 31 % 97).cast("double").alias("a"),
+                                 F.when(F.col("id") % 3 == 0, "test").otherwise("train").alias("split"))
+    out = balance.smote(df, "y", ["a"], "id", split_col="split")
+    assert out.where("split = 'test'").count() == df.where("split = 'test'").count()
+    n = {r["y"]: r["count"] for r in out.where("split = 'train'").groupBy("y").count().collect()}
+    assert n[0] == n[1]
+
+
+def test_exact_selection_on_a_repeated_key_and_equal_rows(spark):
+    from ripen.sources import inject
+    df = spark.range(300).select((F.col("id") % 4).alias("k"), (F.col("id") % 7).alias("v"))       # many equal rows
+    for frac in (0.1, 0.33, 0.5):
+        assert inject.inject_duplicates(df, "k", frac).count() == 300 + int(300 * frac)
+        assert inject.inject_missing(df, "k", "v", frac).where("v is null").count() == int(300 * frac)
+
+
+def test_action_text_must_be_one_strict_json_object(spark):
+    from ripen.plans import actions
+    texts = [('{"type": "finish"}', "finish"), ("{'type': 'finish'}", None), ('{"type":"finish"} and {x}', None), ('{"type":"finish"},{"type":"finish"}', None),
+             ('x {"type":"finish"} y', "finish"), ('{"type":"nothing"}', None), ("", None), (None, None)]
+    df = spark.createDataFrame(texts, "t string, want string").select("want", actions.extract_action(F.col("t"))["type"].alias("got"))
+    assert df.where("not (want <=> got)").count() == 0
+
+
+def test_recheck_marks_what_a_plan_mended(od):
+    from ripen.operators import clean
+    from ripen.plans.apply import recheck
+    before = od.select("amount", "status", "city", "y")
+    got = {r["issue_id"]: r["resolved"] for r in recheck(before, clean.drop_duplicates(clean.fill_mode(before, "status", "y")), "y").collect()}
+    assert got["missing_status"] and not got["missing_amount"]
 
 
 def test_shuffle_join_path_equals_broadcast_path(od, monkeypatch):
     import ripen.functions.lookup as lk
     import ripen.operators.features as feat
     want = sorted(tuple(r) for r in feat.encode_target(od, "city", "y").select("id", "city").collect())
-    monkeypatch.setattr(lk, "BROADCAST_ROWS", 0)
     orig = lk.lookup_join
-    monkeypatch.setattr(feat, "lookup_join", lambda df, t, on, how="left": orig(df, t, on, how, max_broadcast_rows=0))
+    monkeypatch.setattr(feat, "lookup_join", lambda df, t, on, how="left": orig(df, t, on, how, max_bytes=0))
     spark = od.sparkSession
     keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
     old = {k: spark.conf.get(k, None) for k in keys}
