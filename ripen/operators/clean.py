@@ -15,6 +15,7 @@ from ..functions.rand import normal01
 from ..functions.stats import c, long_form
 from ..functions.types import check_column, is_categorical, is_numeric
 from . import eda
+from .fitted import Fitted, operator
 from .profile import NUMERIC_TEXT, STRICT_SHARE, fence_bounds
 
 NUMBER_IN_TEXT = r"(\d+\.?\d*)"
@@ -26,11 +27,6 @@ OTHER = "Other"
 JITTER = 0.1
 
 
-def _replace(df: DataFrame, col: str, expr) -> DataFrame:
-    """Same column order, one column replaced."""
-    return df.select(*[expr.alias(n) if n == col else c(n) for n in df.columns])
-
-
 def extract_number(col) -> F.Column:
     """'24 months' -> 24.0, '[50-60)' -> 50.0, no digits -> null (ANSI-safe)."""
     return F.nullif(F.regexp_extract(col, NUMBER_IN_TEXT, 1), F.lit("")).try_cast("double")
@@ -105,7 +101,7 @@ def _as_list(col) -> list[str]:
     return [col] if isinstance(col, str) else list(col)
 
 
-def fill_median(df: DataFrame, col, target: str | None = None, approx: bool = False) -> DataFrame:
+def fit_fill_median(df: DataFrame, col, target: str | None = None, approx: bool = False) -> Fitted:
     """Nulls <- exact median (linear interpolation), numeric only."""
     cols = _as_list(col)
     types = dict((f.name, f.dataType) for f in df.schema.fields)
@@ -116,8 +112,10 @@ def fill_median(df: DataFrame, col, target: str | None = None, approx: bool = Fa
     _need_nulls(df, cols)
     meds = exact_quantiles(df, [c(n).cast("double") for n in cols], [0.5], approx=approx)
     fills = dict(zip(cols, [m[0] for m in meds]))
-    return df.select(*[F.coalesce(c(n).cast("double"), F.lit(fills[n])).alias(n) if n in fills
-                       else c(n) for n in df.columns])
+    return Fitted({n: F.coalesce(c(n).cast("double"), F.lit(v)) for n, v in fills.items()})
+
+
+fill_median = operator(fit_fill_median)
 
 
 def mode_value(df: DataFrame, col: str):
@@ -128,7 +126,7 @@ def mode_value(df: DataFrame, col: str):
     return r[0]["v"] if r else None
 
 
-def fill_mode(df: DataFrame, col: str, target: str | None = None) -> DataFrame:
+def fit_fill_mode(df: DataFrame, col: str, target: str | None = None) -> Fitted:
     """E5: nulls <- mode (any type)."""
     check_column(df, col, target)
     _need_nulls(df, [col])
@@ -136,11 +134,14 @@ def fill_mode(df: DataFrame, col: str, target: str | None = None) -> DataFrame:
     if v is None:
         raise ValueError(f"cannot compute a mode for {col!r}")
     dt = df.schema[col].dataType
-    return _replace(df, col, F.coalesce(c(col), F.lit(v).cast(dt)))
+    return Fitted({col: F.coalesce(c(col), F.lit(v).cast(dt))})
 
 
-def fill_jitter(df: DataFrame, col: str, key: str, seed: int = 42,
-                target: str | None = None) -> DataFrame:
+fill_mode = operator(fit_fill_mode)
+
+
+def fit_fill_jitter(df: DataFrame, col: str, key: str, seed: int = 42,
+                target: str | None = None) -> Fitted:
     """Nulls <- median + 0.1 * std * N(0,1), the normal draw keyed by the
     row key (reproducible, partition-independent)."""
     check_column(df, col, target)
@@ -150,10 +151,13 @@ def fill_jitter(df: DataFrame, col: str, key: str, seed: int = 42,
     med = exact_quantiles(df, [c(col).cast("double")], [0.5])[0][0]
     std = df.agg(F.stddev_samp(c(col).cast("double"))).first()[0] or 0.0
     noise = F.lit(med) + F.lit(JITTER * std) * normal01(c(key), f"jitter{seed}")
-    return _replace(df, col, F.coalesce(c(col).cast("double"), noise))
+    return Fitted({col: F.coalesce(c(col).cast("double"), noise)})
+
 
+fill_jitter = operator(fit_fill_jitter)
 
-def fill_constant(df: DataFrame, col, value=None, target: str | None = None) -> DataFrame:
+
+def fit_fill_constant(df: DataFrame, col, value=None, target: str | None = None) -> Fitted:
     """Nulls <- 0 (numeric) or 'missing' (text), or a given value."""
     cols = _as_list(col)
     for n in cols:
@@ -164,10 +168,13 @@ def fill_constant(df: DataFrame, col, value=None, target: str | None = None) ->
     def fill(n):
         v = value if value is not None else (0 if is_numeric(types[n]) else "missing")
         return F.coalesce(c(n), F.lit(v).cast(types[n]))
-    return df.select(*[fill(n).alias(n) if n in cols else c(n) for n in df.columns])
+    return Fitted({n: fill(n) for n in cols})
+
 
+fill_constant = operator(fit_fill_constant)
 
-def clip_outliers(df: DataFrame, col, target: str | None = None, approx: bool = False) -> DataFrame:
+
+def fit_clip_outliers(df: DataFrame, col, target: str | None = None, approx: bool = False) -> Fitted:
     """Clip to the 1.5 IQR fences; nulls stay null (least/greatest skip
     nulls, hence the guard)."""
     cols = _as_list(col)
@@ -183,7 +190,10 @@ def clip_outliers(df: DataFrame, col, target: str | None = None, approx: bool =
         lo, hi = bounds[n]
         v = c(n).cast("double")
         return F.when(v.isNotNull(), F.greatest(F.least(v, F.lit(hi)), F.lit(lo)))
-    return df.select(*[clip(n).alias(n) if n in bounds else c(n) for n in df.columns])
+    return Fitted({n: clip(n) for n in bounds})
+
+
+clip_outliers = operator(fit_clip_outliers)
 
 
 def null_shares(df: DataFrame, cols: list[str]) -> dict:
@@ -216,15 +226,18 @@ def top_values(df: DataFrame, col: str, k: int) -> list:
     return [r["v"] for r in rows]
 
 
-def reduce_cardinality(df: DataFrame, col: str, k: int = KEEP_CATEGORIES, other: str = OTHER,
-                       target: str | None = None) -> DataFrame:
+def fit_reduce_cardinality(df: DataFrame, col: str, k: int = KEEP_CATEGORIES, other: str = OTHER,
+                       target: str | None = None) -> Fitted:
     """Keep the k most frequent values, everything else (null too) ->
     'Other'.  At most k literals reach the plan (an ``isin``)."""
     check_column(df, col, target)
     if not is_categorical(df.schema[col].dataType):
         raise ValueError(f"{col!r} is not categorical")
     keep = top_values(df, col, k)
-    return _replace(df, col, F.when(c(col).isin(keep), c(col)).otherwise(F.lit(other)))
+    return Fitted({col: F.when(c(col).isin(keep), c(col)).otherwise(F.lit(other))})
+
+
+reduce_cardinality = operator(fit_reduce_cardinality)
 
 
 def drop_correlated(df: DataFrame, target: str | None = None, col: str | None = None,

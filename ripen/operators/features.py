@@ -9,12 +9,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.lookup import bounded_levels, dense_codes, lookup_join
+from ..functions.lookup import bounded_levels, dense_codes
 from ..functions.quantile import exact_quantiles
 from ..functions.stats import c
 from ..functions.types import check_column, is_categorical, is_numeric
 from ..session import cut_lineage
-from .clean import _replace
+from .fitted import Fitted, operator
 
 MISSING = "missing"
 MAX_ONEHOT = 20
@@ -36,8 +36,8 @@ def _numeric(df: DataFrame, col: str, target: str | None) -> None:
         raise ValueError(f"{col!r} is not numeric")
 
 
-def encode_onehot(df: DataFrame, col: str, max_levels: int = MAX_ONEHOT,
-                  target: str | None = None) -> DataFrame:
+def fit_encode_onehot(df: DataFrame, col: str, max_levels: int = MAX_ONEHOT,
+                  target: str | None = None) -> Fitted:
     """one boolean column ``<col>_<level>`` per level (null -> 'missing'),
     levels in code-point order, appended at the end; the source is dropped.
     Fitting is one bounded ``distinct().limit(max+1)``."""
@@ -50,8 +50,10 @@ def encode_onehot(df: DataFrame, col: str, max_levels: int = MAX_ONEHOT,
     lower = {n.lower() for n in df.columns if n != col}
     if len({n.lower() for n in names}) < len(names) or lower & {n.lower() for n in names}:
         raise ValueError(f"one-hot names of {col!r} collide (Spark resolves names case-insensitively)")
-    rest = [c(n) for n in df.columns if n != col]
-    return df.select(*rest, *[(v == F.lit(lv)).alias(nm) for lv, nm in zip(levels, names)])
+    return Fitted(expand={col: [(nm, v == F.lit(lv)) for lv, nm in zip(levels, names)]})
+
+
+encode_onehot = operator(fit_encode_onehot)
 
 
 def label_codes(df: DataFrame, col: str, null_text: str = MISSING) -> tuple:
@@ -63,34 +65,33 @@ def label_codes(df: DataFrame, col: str, null_text: str = MISSING) -> tuple:
     return v, dense_codes(counts, "__v", "__code")
 
 
-def _apply_codes(df: DataFrame, col: str, v, table, out_name: str | None = None) -> DataFrame:
-    out_name = out_name or col
-    joined = lookup_join(df.withColumn("__v", v), table.select("__v", "__code"), on="__v", how="left")
-    return joined.select(*[F.col("__code").alias(out_name) if n == col else c(n) for n in df.columns])
-
-
-def encode_label(df: DataFrame, col: str, target: str | None = None) -> DataFrame:
+def fit_encode_label(df: DataFrame, col: str, target: str | None = None) -> Fitted:
     """codes 0..k-1 in code-point order (null -> 'missing')."""
     _text(df, col, target)
-    return _apply_codes(df, col, *label_codes(df, col))
+    return Fitted(lookup=(col, *label_codes(df, col), "__code"))
 
 
-def encode_target(df: DataFrame, col: str, target: str) -> DataFrame:
+encode_label = operator(fit_encode_label)
+
+
+def fit_encode_target(df: DataFrame, col: str, target: str) -> Fitted:
     """level -> mean of the target in that level (no smoothing, like the
     original).  The means are aggregated once (checkpointed) and joined back;
     broadcast only when their counted size is bounded."""
     _text(df, col, target)
     v = F.coalesce(c(col), F.lit(MISSING))
     means = cut_lineage(df.groupBy(v.alias("__v")).agg(F.avg(c(target).cast("double")).alias("__mean")))
-    joined = lookup_join(df.withColumn("__v", v), means, on="__v", how="left")
-    return joined.select(*[F.col("__mean").alias(n) if n == col else c(n) for n in df.columns])
+    return Fitted(lookup=(col, v, means, "__mean"))
+
+
+encode_target = operator(fit_encode_target)
 
 
 def _median(df: DataFrame, col: str) -> float:
     return exact_quantiles(df, [c(col).cast("double")], [0.5])[0][0]
 
 
-def normalize_standard(df: DataFrame, col, target: str | None = None) -> DataFrame:
+def fit_normalize_standard(df: DataFrame, col, target: str | None = None) -> Fitted:
     """fill nulls with the median first, then (x - mean) / std (ddof 1)
     of the filled column.  Several columns share one quantile selection and
     one moments pass."""
@@ -105,10 +106,13 @@ def normalize_standard(df: DataFrame, col, target: str | None = None) -> DataFra
     if flat:
         raise ValueError(f"{flat} have zero variance")
     out = {n: (filled[n] - F.lit(r[f"m{i}"])) / F.lit(r[f"s{i}"]) for i, n in enumerate(cols)}
-    return df.select(*[out[n].alias(n) if n in out else c(n) for n in df.columns])
+    return Fitted(out)
+
 
+normalize_standard = operator(fit_normalize_standard)
 
-def normalize_robust(df: DataFrame, col: str, target: str | None = None) -> DataFrame:
+
+def fit_normalize_robust(df: DataFrame, col: str, target: str | None = None) -> Fitted:
     """fill the median, then (x - median) / IQR of the filled column."""
     _numeric(df, col, target)
     med = _median(df, col)
@@ -116,10 +120,13 @@ def normalize_robust(df: DataFrame, col: str, target: str | None = None) -> Data
     q1, m2, q3 = exact_quantiles(df, [filled], [0.25, 0.5, 0.75])[0]
     if q3 - q1 == 0:
         raise ValueError(f"{col!r} has zero IQR")
-    return _replace(df, col, (filled - F.lit(m2)) / F.lit(q3 - q1))
+    return Fitted({col: (filled - F.lit(m2)) / F.lit(q3 - q1)})
+
 
+normalize_robust = operator(fit_normalize_robust)
 
-def log_transform(df: DataFrame, col, target: str | None = None) -> DataFrame:
+
+def fit_log_transform(df: DataFrame, col, target: str | None = None) -> Fitted:
     """log1p of the median-filled column; refuses negative values.
     Several columns share one min pass and one quantile selection."""
     cols = [col] if isinstance(col, str) else list(col)
@@ -130,8 +137,10 @@ def log_transform(df: DataFrame, col, target: str | None = None) -> DataFrame:
     if neg:
         raise ValueError(f"{neg} have negative values; log1p needs non-negative input")
     meds = dict(zip(cols, [m[0] for m in exact_quantiles(df, [c(n).cast("double") for n in cols], [0.5])]))
-    return df.select(*[F.log1p(F.coalesce(c(n).cast("double"), F.lit(meds[n]))).alias(n) if n in meds else c(n)
-                       for n in df.columns])
+    return Fitted({n: F.log1p(F.coalesce(c(n).cast("double"), F.lit(m))) for n, m in meds.items()})
+
+
+log_transform = operator(fit_log_transform)
 
 
 def _filled_numbers(df: DataFrame, nums: list[str]) -> dict:
@@ -150,7 +159,7 @@ def encoded_features(df: DataFrame, target: str | None) -> DataFrame:
     filled = _filled_numbers(df, [n for n in df.columns if n != target and n not in texts])
     enc = df.select(*[filled[n].alias(n) if n in filled else c(n) for n in df.columns])
     for n in texts:
-        enc = _apply_codes(enc, n, *label_codes(df, n, null_text="nan"))
+        enc = Fitted(lookup=(n, *label_codes(df, n, null_text="nan"), "__code")).transform(enc)
     return enc
 
 

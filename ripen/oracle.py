@@ -347,6 +347,20 @@ oracle("f05_normalize_robust",
 oracle("f06_log_transform", with_(OD) + "SELECT " + sel(OD_COLS, {
     "los_days": ("ln(1 + coalesce(los_days, (SELECT quantile_cont(los_days, 0.5) FROM orders_dirty)))", "double")})
     + " FROM orders_dirty")
+_F10 = with_(OD, "od AS (SELECT DISTINCT id, amount, total, los_days, status, city, y FROM orders_dirty)",
+             "train AS (SELECT * FROM od WHERE id % 5 <> 0)",
+             "cities AS (SELECT city FROM train WHERE city IS NOT NULL GROUP BY city ORDER BY count(*) DESC, city LIMIT 10)",
+             "codes AS (SELECT level, row_number() OVER (ORDER BY level) - 1 AS code FROM (SELECT DISTINCT CASE WHEN city IN (SELECT city FROM cities) "
+             "THEN city ELSE 'Other' END AS level FROM train))",
+             "means AS (SELECT coalesce(status, 'missing') AS level, avg(y) AS mean FROM train GROUP BY 1)",
+             "f AS (SELECT quantile_cont(amount, 0.5) AS med, quantile_cont(total, 0.25) AS q1, quantile_cont(total, 0.75) AS q3, "
+             "quantile_cont(los_days, 0.5) AS lm FROM train)",
+             "m AS (SELECT avg(coalesce(los_days, lm)) AS mu, stddev_samp(coalesce(los_days, lm)) AS sd FROM train, f)")
+oracle("f10_fit_train_transform_test", _F10 +
+       "SELECT id, round(coalesce(amount, med), 6) AS amount, round(greatest(least(total, q3 + 1.5 * (q3 - q1)), q1 - 1.5 * (q3 - q1)), 6) AS total, "
+       "round((coalesce(los_days, lm) - mu) / sd, 6) AS los_days, round(mean, 6) AS status, code AS city, y FROM od, f, m "
+       "LEFT JOIN means ON means.level = coalesce(od.status, 'missing') "
+       "LEFT JOIN codes ON codes.level = CASE WHEN od.city IN (SELECT city FROM cities) THEN od.city ELSE 'Other' END WHERE id % 5 = 0")
 oracle("f09_create_interaction", with_(LD) + "SELECT " + sel(LD_COLS, extra=[
     "round(l_quantity * l_extendedprice, 6) AS l_quantity_x_l_extendedprice"]) + " FROM lineitem_dirty")
 _CODED = ", ".join(f"dense_rank() OVER (ORDER BY coalesce({n}, 'nan')) - 1 AS {n}" if t == "string" else

@@ -313,6 +313,19 @@ def f08(spark, sf):
     return rounded(features.select_top_k(orders_dirty(spark, sf), "y", k=5))
 
 
+@query("f10_fit_train_transform_test")
+def f10(spark, sf):
+    """Fits on one part of the rows (ids not divisible by 5), applied to the rest."""
+    od = clean.drop_duplicates(orders_dirty(spark, sf)).select("id", "amount", "total", "los_days", "status", "city", "y")
+    train, test = od.where("id % 5 <> 0"), od.where("id % 5 = 0")
+    for fit in (lambda d: clean.fit_fill_median(d, "amount", "y"), lambda d: clean.fit_clip_outliers(d, "total", "y"),
+                lambda d: clean.fit_reduce_cardinality(d, "city", target="y"), lambda d: features.fit_encode_label(d, "city", "y"),
+                lambda d: features.fit_encode_target(d, "status", "y"), lambda d: features.fit_normalize_standard(d, ["los_days"], "y")):
+        fitted = fit(train)
+        train, test = fitted.transform(train), fitted.transform(test)
+    return rounded(test)
+
+
 @query("f09_create_interaction")
 def f09(spark, sf):
     return rounded(features.create_interaction(lineitem_dirty(spark, sf), "l_quantity", "l_extendedprice"))

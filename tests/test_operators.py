@@ -214,9 +214,10 @@ def test_recheck_marks_what_a_plan_mended(od):
 def test_shuffle_join_path_equals_broadcast_path(od, monkeypatch):
     import ripen.functions.lookup as lk
     import ripen.operators.features as feat
+    import ripen.operators.fitted as fitted
     want = sorted(tuple(r) for r in feat.encode_target(od, "city", "y").select("id", "city").collect())
     orig = lk.lookup_join
-    monkeypatch.setattr(feat, "lookup_join", lambda df, t, on, how="left": orig(df, t, on, how, max_bytes=0))
+    monkeypatch.setattr(fitted, "lookup_join", lambda df, t, on, how="left": orig(df, t, on, how, max_bytes=0))
     spark = od.sparkSession
     keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
     old = {k: spark.conf.get(k, None) for k in keys}
