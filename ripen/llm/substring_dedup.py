@@ -11,8 +11,8 @@ earlier start) is removed.  Plan:
    (``FILTER_BITS``), the only thing that is broadcast.  It can only let too
    much through: a full bitmap costs more shuffle and changes no result.
    Windows under a frequent seed (a common short line in many contexts) must
-   also pass a second bitmap, of window hashes found twice, so that no seed
-   gathers an unbounded number of different contexts.
+   also pass a second bitmap, of window hashes found twice, and are then their
+   own seeds, so that no seed gathers an unbounded number of contexts.
 3. *Confirm.*  Runs of surviving windows ("segments") are grouped by their
    exact words with map-side combining: a passage found in a third of all
    documents becomes one row with its count and first place.
@@ -43,9 +43,9 @@ from .words import SPACE_WORDS, Words, blocks, gather, signed, sliding_min, spac
 
 SEED = 8                        # words in a seed phrase
 FILTER_BITS = 1 << 27           # 16 MB: the size of each broadcast bitmap, whatever the corpus
-FREQUENT = 64                   # from this count on, a seed's windows are checked one by one
-BLOCK = 1 << 21                 # bytes of text hashed at once
-SHARD_SEEDS = 20_000            # seeds for one automaton
+FREQUENT = 1000                 # from this count on, a seed's windows are checked and sharded one by one
+BLOCK = 1 << 19                 # bytes of text hashed at once
+SHARD_SEEDS = 2_000             # seeds for one automaton
 _LOWEST = -(1 << 63)
 
 
@@ -110,26 +110,26 @@ def _count_rows(hashes: np.ndarray):
     return pa.RecordBatch.from_arrays([signed(h), pa.array(np.minimum(n, FREQUENT))], names=["h", "n"])
 
 
-def _passing(w: _Windows, window: int, seeds, frequent, twice) -> np.ndarray:
-    """Windows that may be repeated."""
+def _segments(w: _Windows, window: int, seeds, frequent, twice):
+    """Windows that may be repeated, as runs with one seed in one text: (first window, last window, seed) of each."""
     ok = w.ok & _bit(w.min, seeds)
     hot = np.flatnonzero(ok & _bit(w.min, frequent))
+    seed = w.min
+    alone = np.zeros(len(ok), dtype=bool)
     if len(hot):
-        h, _ = w.words.ngrams(window)
-        ok[hot] = _bit(h[hot], twice)
-    return ok
-
-
-def _segments(w: _Windows, window: int, seeds, frequent, twice):
-    """Runs of passing windows with one seed in one text: (first window, last window) of each."""
-    ok = _passing(w, window, seeds, frequent, twice)
+        h = w.words.phrase_hash(hot, hot + window)
+        ok[hot] = _bit(h, twice)
+        alone[hot] = True
+        seed = seed.copy()
+        seed[hot] = h
     at = np.flatnonzero(ok)
     if not len(at):
-        return at, at
+        return at, at, seed[:0]
     new = np.ones(len(at), dtype=bool)
-    new[1:] = (np.diff(at) > 1) | (w.min[at[1:]] != w.min[at[:-1]]) | (w.doc[at[1:]] != w.doc[at[:-1]])
+    new[1:] = (np.diff(at) > 1) | (seed[at[1:]] != seed[at[:-1]]) | (w.doc[at[1:]] != w.doc[at[:-1]]) | alone[at[1:]]
     first = np.flatnonzero(new)
-    return at[first], at[np.append(first[1:], len(at)) - 1]
+    a, b = at[first], at[np.append(first[1:], len(at)) - 1]
+    return a, b, seed[a]
 
 
 def _automaton(shard: pd.DataFrame, window: int) -> pd.DataFrame:
@@ -199,11 +199,11 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     def places(with_text: bool):
         def rows(w, ids, keys, seeds, frequent, twice):
-            a, b = _segments(w, window, seeds, frequent, twice)
+            a, b, seed = _segments(w, window, seeds, frequent, twice)
             if not len(a):
                 return None
             d = w.doc[a]
-            cols = [signed(w.min[a]), signed(w.words.phrase_hash(a, b + window)), pa.array(ids[d]), pa.array(a - w.words.first[d])]
+            cols = [signed(seed), signed(w.words.phrase_hash(a, b + window)), pa.array(ids[d]), pa.array(a - w.words.first[d])]
             if with_text:
                 line, s, e = spaced(w.words, SPACE_WORDS)
                 return pa.RecordBatch.from_arrays([*cols, gather(line, s[a], e[b + window - 1])], names=["seed", "seg", "id", "at", "text"])
