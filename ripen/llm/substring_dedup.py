@@ -50,7 +50,7 @@ _LOWEST = -(1 << 63)
 
 
 def _bit(x: np.ndarray, bitmap: np.ndarray) -> np.ndarray:
-    at = x & np.uint64(FILTER_BITS - 1)
+    at = x & np.uint64(64 * len(bitmap) - 1)
     return (bitmap[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
 
 
@@ -236,11 +236,22 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                        F.xxhash64(text_col).alias("key"), F.col(text_col).alias("text"),
                        F.col(id_col).isNull().alias("no_id"))
 
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from zstandard import ZstdCompressor
+
+        z = ZstdCompressor(level=3)
+        for batch in batches:
+            packed = pa.array([z.compress((t.as_py() or "").encode()) for t in batch.column("text")], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("key"), batch.column("no_id"), packed], names=["id", "key", "no_id", "packed"])
+
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from zstandard import ZstdDecompressor
+
+        z = ZstdDecompressor()
         for batch in batches:
             total, removed, kept = [], [], []
-            for text, spans in zip(batch.column("text"), batch.column("spans").to_pylist()):
-                words = (text.as_py() or "").encode().split()
+            for packed, spans in zip(batch.column("packed"), batch.column("spans").to_pylist()):
+                words = z.decompress(packed.as_py()).split()
                 total.append(len(words))
                 if spans:
                     left = np.zeros(len(words) + 1, dtype=np.int64)
@@ -253,6 +264,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("no_id"), pa.array(total, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string())],
                                              names=["id", "no_id", "n_words", "n_removed", "kept_text"])
 
-    return (base.join(spans, ["id", "key"], "left").select("id", "no_id", "text", "spans")
+    # whole texts cross the shuffle once, compressed
+    packed = base.mapInArrow(pack, "id long, key long, no_id boolean, packed binary")
+    return (packed.join(spans, ["id", "key"], "left").select("id", "no_id", "packed", "spans")
             .mapInArrow(keep, "id long, no_id boolean, n_words long, n_removed long, kept_text string")
             .select(F.expr("if(no_id, null, id)").alias(id_col), "n_words", "n_removed", "kept_text"))
