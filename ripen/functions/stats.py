@@ -111,21 +111,55 @@ class fit_view:
         return False
 
 
-CORR_CHUNK = 400   # pairs per aggregate pass (wide tables: c(c-1)/2 pairs)
+CORR_PAIRS = 400   # more pairs than that come from block sums instead of one aggregate each
 
 
 def fast_corr_row(df: DataFrame, pairs: list, extra=(), prefix: str = "r"):
-    """Pairwise correlations (and ``extra`` aggregates), null where a side has
-    zero variance; at most CORR_CHUNK pairs per pass, so a wide table never
-    builds one giant aggregate.  Returns one dict of all results."""
-    out: dict = {}
-    chunks = [pairs[i:i + CORR_CHUNK] for i in range(0, len(pairs), CORR_CHUNK)] or [[]]
-    for ci, chunk in enumerate(chunks):
-        base = ci * CORR_CHUNK
-        exprs = [*(extra if ci == 0 else ()),
-                 *(safe_corr(c(a), c(b)).alias(f"{prefix}{base + k}") for k, (a, b) in enumerate(chunk))]
-        if exprs:
-            out.update(df.agg(*exprs).first().asDict())
+    """Pairwise-complete correlations (and ``extra`` aggregates), null where a
+    side has zero variance.  One pass; with many pairs two more passes, however
+    many there are.  Returns one dict of all results."""
+    few = len(pairs) <= CORR_PAIRS
+    exprs = [*extra, *(safe_corr(c(a), c(b)).alias(f"{prefix}{k}") for k, (a, b) in enumerate(pairs if few else ()))]
+    out = df.agg(*exprs).first().asDict() if exprs else {}
+    if not few:
+        found = gram_corr(df, list(dict.fromkeys(n for pair in pairs for n in pair)))
+        out.update({f"{prefix}{k}": found[pair] if pair in found else found[pair[::-1]] for k, pair in enumerate(pairs)})
+    return out
+
+
+def gram_corr(df: DataFrame, cols: list[str]) -> dict:
+    """{(a, b): r} for a before b in ``cols``: the means in one pass, then block sums of
+    the centred values with null masks in one vectorised pass; a partition gives
+    one row per pair, added up by a grouped sum."""
+    import numpy as np
+    import pyarrow as pa
+
+    n = len(cols)
+    row = df.agg(*[F.avg(c(x).cast("double")).alias(f"m{i}") for i, x in enumerate(cols)]).first()
+    means = np.array([row[f"m{i}"] or 0.0 for i in range(n)])
+    i, j = np.triu_indices(n, 1)
+
+    def sums(batches):
+        total = np.zeros((6, len(i)))
+        for batch in batches:
+            x = np.column_stack([col.to_numpy(zero_copy_only=False).astype(float) for col in batch.columns])
+            there = (~np.isnan(x)).astype(float)
+            x = np.where(there > 0, x - means, 0.0)
+            both, left, squares, cross = there.T @ there, x.T @ there, (x * x).T @ there, x.T @ x
+            total += [both[i, j], left[i, j], left[j, i], squares[i, j], squares[j, i], cross[i, j]]
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(i), dtype=np.int32)), *map(pa.array, total)], names=["pair", *names])
+
+    names = ["n", "x", "y", "xx", "yy", "xy"]
+    found = (df.select(*[c(x).cast("double").alias(f"c{k}") for k, x in enumerate(cols)])
+             .mapInArrow(sums, "pair int, " + ", ".join(f"{x} double" for x in names))
+             .groupBy("pair").agg(*[F.sum(x).alias(x) for x in names]).collect())
+    out: dict = {(cols[a], cols[b]): None for a, b in zip(i, j)}
+    for r in found:
+        a, b = int(i[r["pair"]]), int(j[r["pair"]])
+        if r["n"]:
+            vx, vy = r["xx"] - r["x"] ** 2 / r["n"], r["yy"] - r["y"] ** 2 / r["n"]
+            if vx > r["n"] * (1e-13 * means[a]) ** 2 and vy > r["n"] * (1e-13 * means[b]) ** 2:
+                out[(cols[a], cols[b])] = (r["xy"] - r["x"] * r["y"] / r["n"]) / math.sqrt(vx * vy)
     return out
 
 

@@ -45,7 +45,7 @@ def test_corr_chunks_and_zero_variance_fallback(spark, monkeypatch):
     df = spark.range(0, 500).select(F.col("id").cast("double").alias("a"), (F.col("id") * 2 + 1).cast("double").alias("b"),
                                     F.lit(3.0).alias("k"), ((F.col("id") * 7) % 13).cast("double").alias("c"))
     pairs = [("a", "b"), ("a", "k"), ("b", "c"), ("a", "c")]
-    monkeypatch.setattr(S, "CORR_CHUNK", 2)
+    monkeypatch.setattr(S, "CORR_PAIRS", 2)
     got = S.fast_corr_row(df, pairs, extra=[F.count(F.lit(1)).alias("n")])
     assert got["n"] == 500
     assert abs(got["r0"] - 1.0) < 1e-12 and got["r1"] is None
@@ -73,3 +73,20 @@ def test_fit_view_keeps_the_callers_cache(spark):
         fv.count()
     assert df.storageLevel.useMemory
     df.unpersist()
+
+
+def test_block_correlations_of_a_wide_table(spark):
+    import numpy as np
+    from ripen.functions.stats import fast_corr_row, safe_corr
+    cols = [f"c{i}" for i in range(300)]
+    df = spark.range(200).select(*[
+        (F.lit(7.5) if i % 50 == 1 else F.when((F.col("id") % 11 != i % 11) | F.lit(i % 3 != 0), 1e6 + F.sin(F.col("id") * (i % 7 + 1)) * (i + 1))).alias(n)
+        for i, n in enumerate(cols)])
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
+    got = fast_corr_row(df, pairs)
+    assert len(got) == len(pairs) == 44850
+    few = [0, 1, 5, 299, 1000, 2500, 17000, 44849]
+    want = df.agg(*[safe_corr(F.col(pairs[k][0]), F.col(pairs[k][1])).alias(f"r{k}") for k in few]).first()
+    for k in few:
+        a, b = got[f"r{k}"], want[f"r{k}"]
+        assert (a is None) == (b is None) and (a is None or np.isclose(a, b, atol=1e-6)), (pairs[k], a, b)
