@@ -25,9 +25,9 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each SimHash component; of rows with one id, one."""
+    """The document with the smallest id of each SimHash component; of equal rows, one."""
     found = simhash.near_duplicates(docs, shingle=4, distance=4)
-    return _only(docs, found.where("doc_id = component_id or component_id is null")).dropDuplicates(["doc_id"])
+    return _only(docs, found.where("doc_id = component_id or component_id is null")).dropDuplicates(["doc_id", "text"])
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
