@@ -43,8 +43,9 @@ _CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "
 _SCOPE = {"ul", "ol", "dl", "table", "td", "th", "body", "html", "article", "section", "main", "div", "blockquote"}
 _ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "form", "menu", "menubar", "alertdialog"}
 _NAMES = re.compile(r"(?:^|[\s_-])(?:ad|ads|adv|advert|adverts|advertisement|adsense|banner|sponsor|sponsored|promo|cookie|cookies|consent|notice|gdpr|popup|modal|newsletter|"
-                    r"subscribe|sidebar|side-bar|menu|nav|navbar|navigation|breadcrumb|breadcrumbs|header|masthead|footer|share|sharing|social|related|recommended|"
+                    r"subscribe|sidebar|side-bar|menu|nav|navbar|navigation|breadcrumb|breadcrumbs|footer|share|sharing|social|related|recommended|"
                     r"comment|comments|comment-list|disqus|respond|replies|pagination|pager|toolbar|widget)(?:$|[\s_-])", re.I)
+_HEADER = re.compile(r"(?:^|[\s_-])(?:header|masthead)(?:$|[\s_-])", re.I)     # an article's own header holds its title
 _SPACE = re.compile(r"\s+")
 
 
@@ -62,7 +63,8 @@ def _is_cut(tag: str, attributes: str, inside_article: bool) -> bool:
         return True
     for name, a, b, c in _ATTRIBUTE.findall(attributes):
         value, name = a or b or c, name.lower()
-        if name in ("class", "id") and tag not in ("html", "body", "article", "main") and _NAMES.search(value):
+        if name in ("class", "id") and tag not in ("html", "body", "article", "main") and (
+                _NAMES.search(value) or not inside_article and _HEADER.search(value)):
             return True
         if name == "role" and value.strip().lower() in _ROLES or name == "hidden" or name == "aria-hidden" and value.lower() == "true":
             return True
