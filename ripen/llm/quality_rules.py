@@ -42,7 +42,8 @@ def with_words(df: DataFrame, text: str = "text") -> DataFrame:
 def log_ratios(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text: str = "text") -> list[float]:
     """log(p_target / p_raw) of each bucket; ``trusted`` has the ids of the trusted documents."""
     ids = trusted.select(id_col).where(F.col(id_col).isNotNull()).distinct().withColumn("trusted", F.lit(1))
-    both = docs.select(id_col, text).join(ids, id_col, "left").select(text, F.coalesce("trusted", F.lit(0)).alias("trusted"))
+    # labels grow with the documents, so the join is by shuffle at every size
+    both = docs.select(id_col, text).join(ids.hint("merge"), id_col, "left").select(text, F.coalesce("trusted", F.lit(0)).alias("trusted"))
     counts = (with_words(both, text).select("trusted", F.explode("words").alias("w"))
               .groupBy(F.expr(f"cast(xxhash64(w) & {BUCKETS - 1}L as int)").alias("bucket"))
               .agg(F.count("*").alias("raw"), F.sum("trusted").alias("target")).toArrow())
