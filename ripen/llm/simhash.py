@@ -46,6 +46,7 @@ SEED = 42
 BLOCK = 1 << 20
 _CHUNK = 1 << 17                # shingles whose bits are summed at once
 _MATRIX = 1 << 20               # comparisons made at once
+_NONE = (1 << 63) - 1           # stands for a missing id: after all others
 
 
 def _fingerprints(w: Words, n: int, shingle: int) -> np.ndarray:
@@ -112,10 +113,12 @@ def _near(points: np.ndarray, queries: np.ndarray, distance: int) -> Iterator[tu
                 yield q[k + a], p[b]
 
 
-def _leaf(fp: np.ndarray, home: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
-    """Spanning links among a leaf's own fingerprints and to its visitors."""
-    points = np.unique(fp[home])
-    nodes = np.concatenate([points, np.setdiff1d(fp[~home], points)])
+def _leaf(fp: np.ndarray, low: np.ndarray, home: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Spanning links (ids, fingerprints of both ends) among a leaf's own fingerprints and to its visitors."""
+    points, first = np.unique(fp[home], return_index=True)
+    rest = np.flatnonzero(~home)
+    nodes = np.concatenate([points, fp[rest]])
+    ids = np.concatenate([low[home][first], low[rest]])
     up = list(range(len(nodes)))
 
     def root(x: int) -> int:
@@ -123,19 +126,23 @@ def _leaf(fp: np.ndarray, home: np.ndarray, distance: int) -> tuple[np.ndarray,
             up[x] = x = up[up[x]]
         return x
 
-    links = []
+    found = []
     for a, b in _near(points, nodes, distance):
         for x, y in zip(a.tolist(), b.tolist()):
             rx, ry = root(x), root(y)
             if rx != ry:
                 up[max(rx, ry)] = min(rx, ry)
-                links.append((x, y))
-    ends = np.array(links, dtype=np.int64).reshape(-1, 2)
-    return nodes[ends[:, 0]], nodes[ends[:, 1]]
+                found.append((x, y))
+    a, b = np.array(found, dtype=np.int64).reshape(-1, 2).T
+    return ids[a], nodes[a], ids[b], nodes[b]
 
 
 def links(distinct: DataFrame, distance: int = DISTANCE, levels: int = LEVELS) -> DataFrame:
-    """Edges (a, b) that connect all distinct fingerprints (column fp) within ``distance``."""
+    """Edges that connect all distinct fingerprints within ``distance``.
+
+    distinct: columns fp and low.  The ends a and b are (low, fp), so a component's smallest node
+    has its smallest id and no step gathers a component.
+    """
     radius, width = distance // 2, 32 // levels
     vantage = distinct.orderBy(F.xxhash64("fp"), "fp").limit(1).first()
     vantage = vantage["fp"] if vantage else 0
@@ -145,31 +152,31 @@ def links(distinct: DataFrame, distance: int = DISTANCE, levels: int = LEVELS) -
     for half in (0, 1):
         rings = {f"r{i}": F.bit_count(F.shiftrightunsigned(F.col("fp").bitwiseXOR(F.lit(vantage)), half * 32 + i * width).bitwiseAND(F.lit((1 << width) - 1)))
                  for i in range(levels)}
-        rows = distinct.select("fp", *(c.alias(k) for k, c in rings.items()), F.explode(visits).alias("v"))
+        rows = distinct.select("fp", "low", *(c.alias(k) for k, c in rings.items()), F.explode(visits).alias("v"))
         at = [F.col(f"r{i}") + F.col(f"v.d{i}") for i in range(levels)]
         leaf = F.lit(half)
         inside = F.lit(True)
         for x in at:
             leaf = leaf * (width + 1) + x
             inside = inside & x.between(0, width)
-        trees.append(rows.where(inside).select(leaf.cast("long").alias("leaf"), "fp", F.col("v.home").alias("home")))
+        trees.append(rows.where(inside).select(leaf.cast("long").alias("leaf"), "fp", "low", F.col("v.home").alias("home")))
 
     def search(table: pa.Table) -> pa.Table:
         fp = table["fp"].to_numpy().view(np.uint64)
-        a, b = _leaf(fp, table["home"].to_numpy(), distance)
-        return pa.table({"a": pa.array(a.view(np.int64)), "b": pa.array(b.view(np.int64))})
+        la, a, lb, b = _leaf(fp, table["low"].to_numpy(), table["home"].to_numpy(), distance)
+        return pa.table({"la": la, "a": a.view(np.int64), "lb": lb, "b": b.view(np.int64)})
 
-    return trees[0].unionByName(trees[1]).groupBy("leaf").applyInArrow(search, "a long, b long")
+    found = trees[0].unionByName(trees[1]).groupBy("leaf").applyInArrow(search, "la long, a long, lb long, b long")
+    return found.select(*(F.struct(F.col(f"l{x}").alias("low"), F.col(x).alias("fp")).alias(x) for x in "ab"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
                     distance: int = DISTANCE, levels: int = LEVELS) -> DataFrame:
     """(id_col, fp, component_id): the fingerprint (signed long) and the smallest id reachable over links."""
     fps = cut_lineage(fingerprints(docs, id_col, text_col, shingle))
-    smallest = fps.groupBy("fp").agg(F.min("id").alias("low"))
-    parts = connected_components(links(smallest.select("fp"), distance, levels))
-    of = (smallest.join(parts, F.col("fp") == F.col("node"), "left")
-          .select("fp", "low", F.coalesce("component", "fp").alias("part")))
-    low = of.groupBy("part").agg(F.min("low").alias("component_id"))
-    return (fps.join(of.select("fp", "part").join(low, "part").select("fp", "component_id"), "fp")
-            .select(F.col("id").alias(id_col), "fp", "component_id"))
+    smallest = fps.groupBy("fp").agg(F.coalesce(F.min(F.col("id").cast("long")), F.lit(_NONE)).alias("low"))
+    parts = (connected_components(links(smallest, distance, levels))
+             .select(F.col("node.fp").alias("fp"), F.col("component.low").alias("part")))
+    of = (smallest.join(parts, "fp", "left").select("fp", F.coalesce("part", "low").alias("part")))
+    return (fps.join(of, "fp")
+            .select(F.col("id").alias(id_col), "fp", F.when(F.col("part") < _NONE, F.col("part")).alias("component_id")))
