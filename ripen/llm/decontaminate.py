@@ -21,7 +21,8 @@ What goes to the tasks is the hashes of the benchmark's shingles, at most
 that size, each over all documents.
 
 Nulls: a null text has no words (n_words 0, no hits); a null item id reads
-"null".  Rows with equal ids are judged one by one.  With an empty benchmark
+"null".  Rows with equal ids are judged one by one; a repeated item row counts
+once.  With an empty benchmark
 nothing is hit; an empty table gives an empty result.
 """
 
@@ -138,7 +139,9 @@ def find_contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id"
     """
     sc = docs.sparkSession.sparkContext
     base = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    windows = item_windows(items, item_col, item_text_col, window).withColumn("wid", F.struct("item", "win", F.xxhash64("words").alias("x")))
+    # a repeated item row, or texts of one item that share a window at one place, give one window
+    windows = (item_windows(items, item_col, item_text_col, window).withColumn("wid", F.struct("item", "win", F.xxhash64("words").alias("x")))
+               .dropDuplicates(["wid"]))
     shingles = windows.select("wid", "q", F.posexplode("shingles").alias("off", "h"))
     n_keys = shingles.select("q", "h").distinct().count()
     n_blocks = max(1, -(-n_keys // MAX_KEYS))

@@ -317,6 +317,16 @@ def test_contamination_equals_brute_force(spark, corpus):
     assert got == brute_hits(rows, items)
 
 
+def test_contamination_by_repeated_items_equals_brute_force(spark, corpus):
+    rows = texts(corpus)
+    items = [(1, rows[3][1]), (1, rows[3][1]), (None, sentence(5, 44)), (None, sentence(5, 44)), (2, sentence(900, 60)), (2, sentence(900, 30) + " nowhere"),
+             (3, "one"), (3, "one"), (3, "one")]
+    df = spark.createDataFrame(items, "item_id long, text string")
+    got = sorted(((r["doc_id"], r["n_words"], r["n_hit"], r["items"]) for r in decontaminate.find_contamination(corpus, df).collect()), key=str)
+    assert got == brute_hits(rows, items)
+    assert {x for r in got for x in r[3]} == {"1", "2", "3", "null"}
+
+
 def test_contamination_in_blocks_and_of_nothing(spark, corpus, empty, monkeypatch):
     items = [(1, texts(corpus)[3][1]), (2, sentence(900, 60))]
     df = spark.createDataFrame(items, "item_id long, text string")
