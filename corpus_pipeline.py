@@ -20,20 +20,20 @@ MIX_SHARE = 0.75                # of the tokens that reach the mixing stage
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the positive-unlabelled classifier does not reject."""
-    scored = quality_classifier.score_documents(docs, table(spark, sf_dir, "labels"))
+    scored = quality_classifier.score_documents(docs, table(spark, sf_dir, "labels"), keyed=True)
     return _only(docs, scored.where("predicted = 1"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each SimHash component; of equal rows, one."""
-    found = simhash.near_duplicates(docs, shingle=4, distance=4)
-    return _only(docs, found.where("doc_id = component_id or component_id is null")).dropDuplicates(["doc_id", "text"])
+    """One document of each SimHash component: the smallest id (null last), then the smallest text hash."""
+    return _only(docs, simhash.representatives(docs, shingle=4, distance=4)).dropDuplicates(["doc_id", "text"])
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which less than one word in 20 lies in a benchmark window."""
-    found = decontaminate.find_contamination(docs, table(spark, sf_dir, "benchmark"), window=13)
-    return _only(docs, found.where(~decontaminate.contaminated()))
+    keyed = docs.select(F.struct("doc_id", F.xxhash64("text").alias("key")).alias("row"), "text")
+    found = decontaminate.find_contamination(keyed, table(spark, sf_dir, "benchmark"), id_col="row", window=13)
+    return _only(docs, found.where(~decontaminate.contaminated()).select("row.*"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,9 +47,13 @@ def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def _only(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """The rows of docs whose id is kept; a null id matches a null id."""
-    ids = kept.select(F.col("doc_id").alias("__kept_id")).distinct()
-    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("__kept_id")), "left_semi")
+    """The rows of docs whose id and text hash (key) are kept; a null id matches a null id.
+
+    Each verdict follows from the text alone, so rows with equal id and text share it.
+    """
+    rows = kept.select(F.col("doc_id").alias("__kept_id"), F.col("key").alias("__kept_key")).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("__kept_id")) & (F.xxhash64("text") == F.col("__kept_key"))
+    return docs.join(rows, same, "left_semi")
 
 
 STAGES = [("quality classifier", keep_quality), ("simhash near-dedup", drop_near_duplicates), ("benchmark decontamination", drop_contaminated),

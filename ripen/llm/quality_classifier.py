@@ -101,9 +101,10 @@ def features(w: Words, buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 FEATURES = N_CLASS + 13
 
 
-def feature_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, x): an array of FEATURES floats per document."""
-    base = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+def feature_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keyed: bool = False) -> DataFrame:
+    """(id, x), with ``keyed`` also key, the text's XXH64: an array of FEATURES floats per document."""
+    kept = ["id", "key"] if keyed else ["id"]
+    base = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("key")).select(*kept, "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -114,9 +115,9 @@ def feature_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 out.append(features(Words(b, o, SPACE_WORDS), b, o))
             x = np.concatenate(out)
             at = pa.array(np.arange(0, x.size + 1, FEATURES, dtype=np.int32))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.ListArray.from_arrays(at, pa.array(x.reshape(-1)))], names=["id", "x"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.ListArray.from_arrays(at, pa.array(x.reshape(-1)))], names=[*kept, "x"])
 
-    return base.mapInArrow(run, f"id {base.schema['id'].dataType.simpleString()}, x array<float>")
+    return base.mapInArrow(run, f"id {base.schema['id'].dataType.simpleString()}, {'key long, ' if keyed else ''}x array<float>")
 
 
 def held_out(id_col: Column) -> Column:
@@ -186,12 +187,13 @@ def fit_pu(p: np.ndarray, u: np.ndarray) -> tuple[Net, float]:
     return _fit(p, u, gradient), prior
 
 
-def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id_col, held_out, score, predicted) for every document.
+def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", keyed: bool = False) -> DataFrame:
+    """(id_col, held_out, score, predicted) for every document, with ``keyed`` also key, the text's XXH64.
 
     labels: id_col and quality (1: trusted positive).  Labels of held-out ids are not read.
     """
-    table = cut_lineage(feature_table(docs, id_col, text_col))
+    table = cut_lineage(feature_table(docs, id_col, text_col, keyed))
+    kept = ["key"] if keyed else []
     good = (labels.where((F.col("quality") == 1) & ~held_out(F.col(id_col))).select(F.col(id_col).alias("id")).distinct()
             .withColumn("good", F.lit(True)))
     marked = table.join(good, "id", "left")
@@ -203,7 +205,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
 
     p, u = sample(marked.where("good")), sample(marked.where("good is null"))
     if len(p) < 10 or len(u) < 10:
-        return table.select(F.col("id").alias(id_col), held_out(F.col("id")).alias("held_out"), F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
+        return table.select(F.col("id").alias(id_col), held_out(F.col("id")).alias("held_out"), F.lit(0.0).alias("score"), F.lit(0).alias("predicted"), *kept)
     # U is web text as it comes: the documents without a label and, by their share, those with one
     n_good, n_rest = (table.join(good, "id", how).count() for how in ("left_semi", "left_anti"))
     rng = np.random.default_rng(11)
@@ -215,8 +217,8 @@ def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
         for batch in batches:
             x = batch.column("x")
             x = np.asarray(x.flatten(), dtype=np.float64).reshape(-1, FEATURES)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(_sigmoid(net.logit(x)))], names=["id", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), *(batch.column(c) for c in kept), pa.array(_sigmoid(net.logit(x)))], names=["id", *kept, "score"])
 
-    scored = table.mapInArrow(run, f"id {table.schema['id'].dataType.simpleString()}, score double")
+    scored = table.mapInArrow(run, f"id {table.schema['id'].dataType.simpleString()}, {'key long, ' if keyed else ''}score double")
     return scored.select(F.col("id").alias(id_col), held_out(F.col("id")).alias("held_out"), "score",
-                         (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+                         (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), *kept)

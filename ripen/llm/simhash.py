@@ -73,9 +73,10 @@ def _fingerprints(w: Words, n: int, shingle: int) -> np.ndarray:
     return np.packbits(2 * ones > total[:, None], axis=1, bitorder="little").view(np.uint64).reshape(-1)
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """(id, fp): the fingerprint as a signed long."""
-    base = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, keyed: bool = False) -> DataFrame:
+    """(id, fp), with ``keyed`` also key, the text's XXH64: the fingerprint and the key as signed longs."""
+    kept = ["id", "key"] if keyed else ["id"]
+    base = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("key")).select(*kept, "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -83,9 +84,9 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             out = [_fingerprints(Words(buf[off[i]:off[j]], off[i:j + 1] - off[i], SPACE_WORDS, fold=True), j - i, shingle)
                    for i, j in blocks(np.diff(off), BLOCK)]
             fp = np.concatenate(out) if out else np.empty(0, dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(fp.view(np.int64))], names=["id", "fp"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(fp.view(np.int64))], names=[*kept, "fp"])
 
-    return base.mapInArrow(run, f"id {base.schema['id'].dataType.simpleString()}, fp long")
+    return base.mapInArrow(run, f"id {base.schema['id'].dataType.simpleString()}, {'key long, ' if keyed else ''}fp long")
 
 
 def _near(points: np.ndarray, queries: np.ndarray, distance: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -180,3 +181,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     of = (smallest.join(parts, "fp", "left").select("fp", F.coalesce("part", "low").alias("part")))
     return (fps.join(of, "fp")
             .select(F.col("id").alias(id_col), "fp", F.when(F.col("part") < _NONE, F.col("part")).alias("component_id")))
+
+
+def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
+                    distance: int = DISTANCE, levels: int = LEVELS) -> DataFrame:
+    """(id_col, key): of each component the row with the smallest id (null last) and, among those, the smallest text hash."""
+    fps = cut_lineage(fingerprints(docs, id_col, text_col, shingle, keyed=True))
+    order = F.struct(F.col("id").isNull().alias("none"), F.col("id").cast("long").alias("low"), "key", "id")
+    smallest = fps.groupBy("fp").agg(F.min(order).alias("first")).withColumn("low", F.coalesce("first.low", F.lit(_NONE)))
+    parts = (connected_components(links(smallest.select("fp", "low"), distance, levels))
+             .select(F.col("node.fp").alias("fp"), "component"))
+    return (smallest.join(parts, "fp", "left").groupBy(F.coalesce("component", F.struct("low", "fp")).alias("component"))
+            .agg(F.min("first").alias("first")).select(F.col("first.id").alias(id_col), F.col("first.key").alias("key")))

@@ -7,6 +7,8 @@ import corpus_pipeline
 from ripen.llm import decontaminate, quality_classifier, simhash
 from ripen.sources.load import table
 
+from .conftest import rows_of, sentence
+
 SF = "/root/testdata/sf0.01"
 
 
@@ -50,3 +52,26 @@ def test_stages_of_hard_cases_and_of_nothing(spark, corpus, tmp_path):
             n = out.count()
             assert n <= docs.count() and (k > 3 or out.columns == corpus.columns)
             docs = out.persist()
+
+
+def test_stages_judge_rows_with_null_and_repeated_ids_one_by_one(spark, tmp_path, monkeypatch):
+    bad, near = sentence(900, 60), sentence(1, 400)
+    copy = near.replace(" ", "\n", 3)
+    texts = [sentence(5, 44), bad, near, copy]
+    docs = spark.createDataFrame([(i, t) for i in (None, 7) for t in texts], "doc_id long, text string")
+    spark.createDataFrame([(1, bad)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = rows_of(corpus_pipeline.drop_contaminated(spark, docs, str(tmp_path)), "doc_id", "text")
+    assert got == rows_of(docs.where(docs.text != bad), "doc_id", "text")
+    for ids in ("doc_id is null", "doc_id = 7", "true"):
+        kept = corpus_pipeline.drop_near_duplicates(spark, docs.where(ids), str(tmp_path)).collect()
+        assert len(kept) == 3 and {r["text"] for r in kept} in ({*texts} - {near}, {*texts} - {copy})
+        assert len({r["doc_id"] for r in kept}) == 1 and (ids != "true" or kept[0]["doc_id"] == 7)
+    score = quality_classifier.score_documents
+
+    def verdicts(*args, **kw):
+        out = score(*args, **kw)
+        return out.withColumn("predicted", (out["key"] % 2 == 0).cast("int"))
+    monkeypatch.setattr(quality_classifier, "score_documents", verdicts)
+    got = rows_of(corpus_pipeline.keep_quality(spark, docs, str(tmp_path)), "doc_id", "text")
+    assert got == rows_of(docs.where("xxhash64(text) % 2 = 0"), "doc_id", "text") and 0 < len(got) < 8
