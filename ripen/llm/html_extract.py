@@ -14,6 +14,10 @@ widened to the ``article`` or ``main`` element that it lies in.
 
 Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and
 reader comments are cut from the tree before, by element, role, class or id.
+A wrapper of most of the page's text that is not mostly links is not cut by its
+class or id, nor for an end tag that is missing: the density decides.  Comments,
+and elements with just such a name, stay cut unless hardly any text is outside of
+them; so do others beside an ``article`` or ``main`` of some length.
 Text blocks follow block elements; white space in a block reads as one space.
 
 A page is one row, parsed by itself; nothing is shared between rows.  Nulls: a
@@ -33,51 +37,74 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)(?:>|$)", re.S)
-_ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+_ATTRIBUTE = re.compile(r"""[\s/]*([^\s/>=][^\s/>=]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]*)))?""")
 _RAW = {"script", "style", "template", "noscript", "textarea", "title", "iframe", "noembed", "noframes", "xmp"}
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 _CUT = _RAW | {"head", "nav", "footer", "aside", "form", "menu", "button", "select", "dialog", "svg", "object", "canvas", "audio", "video"}
 _INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "br", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins", "kbd", "label",
            "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr"}
 _CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
-_SCOPE = {"ul", "ol", "dl", "table", "td", "th", "body", "html", "article", "section", "main", "div", "blockquote"}
+_SCOPE = {"ul", "ol", "dl", "table", "td", "th", "body", "html", "article", "section", "main", "div", "blockquote", "nav", "aside", "header", "footer",
+          "form", "menu", "dialog", "button", "select", "svg", "object", "canvas", "audio", "video"}
+_PHRASING = {"button", "select", "svg", "object", "canvas", "audio", "video"}      # leave a paragraph open
+_IN_HEAD = {"base", "basefont", "bgsound", "link", "meta", "title", "script", "style", "noscript", "template"}
+_OPTIONAL_END = {"p", "li", "dt", "dd", "td", "th", "tr", "option", "head"}
 _ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "form", "menu", "menubar", "alertdialog"}
 _NAMES = re.compile(r"(?:^|[\s_-])(?:ad|ads|adv|advert|adverts|advertisement|adsense|banner|sponsor|sponsored|promo|cookie|cookies|consent|notice|gdpr|popup|modal|newsletter|"
                     r"subscribe|sidebar|side-bar|menu|nav|navbar|navigation|breadcrumb|breadcrumbs|footer|share|sharing|social|related|recommended|"
-                    r"comment|comments|comment-list|disqus|respond|replies|pagination|pager|toolbar|widget)(?:$|[\s_-])", re.I)
+                    r"pagination|pager|toolbar|widget)(?:$|[\s_-])", re.I)
+_READERS = re.compile(r"(?:^|[\s_-])(?:comment|comments|comment-list|disqus|respond|replies)(?:$|[\s_-])", re.I)
+_LAYOUT = re.compile(r"(?<!\S)(?:(?:no|has|with|without)[_-]\S*|related[_-]works?(?!\S))", re.I)     # says what is beside it, or is a heading of papers
 _HEADER = re.compile(r"(?:^|[\s_-])(?:header|masthead)(?:$|[\s_-])", re.I)     # an article's own header holds its title
 _SPACE = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("tag", "up", "items", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("tag", "up", "items", "chars", "tags", "link_chars", "link_tags", "density", "total", "cut", "ended")
 
     def __init__(self, tag: str, up: "Node | None"):
         self.tag, self.up, self.items = tag, up, []        # items: nodes and texts in page order
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
+        self.cut, self.ended = "", tag in _OPTIONAL_END    # cut: "", ALWAYS, or by a name
 
 
-def _is_cut(tag: str, attributes: str, inside_article: bool) -> bool:
-    if tag in _CUT or tag == "header" and not inside_article:
-        return True
-    for name, a, b, c in _ATTRIBUTE.findall(attributes):
-        value, name = a or b or c, name.lower()
-        if name in ("class", "id") and tag not in ("html", "body", "article", "main") and (
-                _NAMES.search(value) or not inside_article and _HEADER.search(value)):
-            return True
-        if name == "role" and value.strip().lower() in _ROLES or name == "hidden" or name == "aria-hidden" and value.lower() == "true":
-            return True
-        if name == "style" and re.search(r"display\s*:\s*none", value, re.I):
-            return True
-    return False
+ALWAYS, NAMED, SURE = "always", "named", "sure"          # SURE: comments, or the name and nothing else
+
+
+def attributes_of(text: str) -> dict[str, str]:
+    """Names in lower case and values of a start tag; of a repeated name, the first."""
+    out: dict[str, str] = {}
+    for name, a, b, c in _ATTRIBUTE.findall(text):
+        out.setdefault(name.lower(), _html.unescape(a or b or c))
+    return out
+
+
+def _cut_of(tag: str, attributes: str, at: "Node") -> str:
+    """Whether, and how, an element under ``at`` is cut."""
+    if tag in _CUT or tag == "header" and _within(at, "article", "main") is None:
+        return ALWAYS
+    if not attributes or attributes.isspace():
+        return ""
+    given = attributes_of(attributes)
+    if ("hidden" in given or given.get("role", "").strip().lower() in _ROLES or given.get("aria-hidden", "").strip().lower() == "true"
+            or re.search(r"display\s*:\s*none", given.get("style", ""), re.I)):
+        return ALWAYS
+    if tag in ("html", "body", "article", "main"):
+        return ""
+    names = [_LAYOUT.sub("", given[k]) for k in ("class", "id") if k in given]
+    if any(_READERS.search(x) for x in names):
+        return SURE
+    found = [(x, m) for x in names if (m := _NAMES.search(x) or _HEADER.search(x) if _within(at, "article", "main") is None else _NAMES.search(x))]
+    if any(m[0].strip(" _-") == x.strip() for x, m in found):
+        return SURE
+    return NAMED if found else ""
 
 
 def parse(page: str) -> Node:
     """The tree below the body, without the parts that are cut."""
     root = Node("body", None)
-    at, skip = root, None                                   # skip: (element that is cut, open ones of its name)
-    pos, raw = 0, None
+    at, pos, raw = root, 0, None
     while pos < len(page):
         if raw:                                             # script and the like: text up to the closing tag
             end = re.compile(f"</{raw}(?=[\\s/>]|$)", re.I).search(page, pos)
@@ -86,21 +113,17 @@ def parse(page: str) -> Node:
         m = _TOKEN.search(page, pos)
         if m is None or m.start() > pos:
             text = page[pos:m.start() if m else len(page)]
-            if skip is None and at is not None:
-                at.items.append(text)
+            if at.tag == "head" and not text.isspace():     # text ends a head
+                at = at.up
+            at.items.append(text)
         if m is None:
             break
         pos = m.end()
         if m[2] is None:
             continue
         tag, closing = m[2].lower(), bool(m[1])
-        if skip:
-            if tag == skip[0] and tag not in _VOID:
-                skip = (tag, skip[1] + (-1 if closing else 1))
-                skip = skip if skip[1] else None
-            elif tag in _RAW and not closing:
-                raw = tag
-            continue
+        if at.tag == "head" and not closing and tag not in _IN_HEAD:
+            at = at.up
         if tag in ("html", "body"):
             continue
         if closing:
@@ -108,24 +131,64 @@ def parse(page: str) -> Node:
             while node.up is not None and node.tag != tag and (tag not in _INLINE or node.tag in _INLINE):
                 node = node.up
             if node.up is not None and node.tag == tag:
-                at = node.up
+                node.ended, at = True, node.up
             continue
-        if _is_cut(tag, m[3], _within(at, "article", "main") is not None):
-            if tag not in _VOID:
-                skip = (tag, 1)
-                raw = tag if tag in _RAW else None
+        if tag in _RAW:
+            raw = tag
             continue
-        if tag in _VOID:
-            at.items.append(Node(tag, at))
+        cut = _cut_of(tag, m[3], at)
+        if tag in _VOID or m[3].endswith("/") and (tag in ("svg", "math") or _within(at, "svg", "math") is not None):
+            if not cut:
+                at.items.append(Node(tag, at))
             continue
-        if tag not in _INLINE:                              # a block ends an open paragraph
+        if tag == "main":                                   # can't lie in these: an end tag is missing
+            around = _within(at, "nav", "aside", "header", "footer")
+            at = around.up if around is not None else at
+        if tag not in _INLINE and tag not in _PHRASING:     # a block ends an open paragraph
             at = _close(at, ("p",) + _CLOSES.get(tag, ()))
         node = Node(tag, at)
+        node.cut = cut
         at.items.append(node)
         at = node
+    _prune(root)
     return root
 
 
+def _prune(root: Node) -> None:
+    """Takes cut elements out of the tree, but for wrappers of most of the page's text."""
+    order, todo = [], [root]
+    while todo:
+        node = todo.pop()
+        order.append(node)
+        todo += [x for x in node.items if isinstance(x, Node) and not (x.cut == ALWAYS and x.ended)]
+    size = {}
+    for n in reversed(order):
+        chars = links = 0
+        for x in n.items:
+            c, k = size.get(x, (0, 0)) if isinstance(x, Node) else (len(_SPACE.sub(" ", x).strip()), 0)
+            chars, links = chars + c, links + k
+        size[n] = chars, chars if n.tag == "a" else links
+    whole, marked, todo = size[root][0], 0, [root]
+    while todo:
+        for x in todo.pop().items:
+            if isinstance(x, Node) and not x.cut:
+                if x.tag in ("article", "main"):
+                    marked += size[x][0]
+                else:
+                    todo.append(x)
+
+    def wraps(n: Node) -> bool:
+        chars, links = size[n]
+        beside = marked if _within(n, "article", "main") is None else 0
+        return chars * 10 > whole * (9 if n.cut == SURE else 5) and 2 * links <= chars and 4 * beside < chars
+
+    todo = [root]
+    while todo:
+        node = todo.pop()
+        node.items = [x for x in node.items if not isinstance(x, Node) or not x.cut or x in size and wraps(x)]
+        todo += [x for x in node.items if isinstance(x, Node)]
+
+
 def _within(node: Node | None, *tags: str) -> Node | None:
     while node is not None and node.tag not in tags:
         node = node.up

@@ -286,6 +286,43 @@ def test_html_hard_cases(spark):
     assert html_extract.extract_text(df.limit(0)).count() == 0
 
 
+LONG, MORE = ("long text " * 40).strip(), ("more text " * 30).strip()
+
+
+@pytest.mark.parametrize("attribute", ['href="/hidden-lake"', 'title="hidden gems"', 'href="/p?id=ad"', 'data-id="menu"', "data-hidden", "title='class=ad'", "alt=\"style='display:none'\""])
+def test_html_keeps_elements_by_whole_attribute_names(attribute):
+    assert html_extract.extract(f"<article><p {attribute}>{LONG}</p><p>{MORE} <a {attribute}>the link</a></p></article>") == f"{LONG}\n\n{MORE} the link"
+
+
+def test_html_cuts_by_attributes_as_written():
+    for a in ("hidden", "HIDDEN=''", "Class = ad", "id='menu'", "x=1 class=\"big ad\"", "title='a' style='display: none'", "role=navigation", "class='&#97;d'"):
+        assert html_extract.extract(f"<article><p>{LONG}</p><div {a}>Buy</div><p>{MORE}</p></article>") == f"{LONG}\n\n{MORE}"
+
+
+@pytest.mark.parametrize("name", ["content no-sidebar", "has-sidebar", "related-work", "text-widget", "page with-header", "site-header-on menu"])
+def test_html_keeps_wrappers_of_most_of_the_text(name):
+    for a in ("class", "id"):
+        assert html_extract.extract(f"<body><div class=menu><a>one</a></div><div {a}='{name}'><div class=sidebar>Side</div><p>{LONG}</p><p>{MORE}</p></div></body>") == f"{LONG}\n\n{MORE}"
+
+
+def test_html_cuts_menus_and_comments_that_are_long():
+    assert html_extract.extract(f"<div class=menu>{'<a>a long link</a> ' * 90}</div><div><p>{LONG}</p></div>") == LONG
+    assert html_extract.extract(f"<div><p>{LONG}</p></div><div id=comments><p>{'a reader says ' * 60}</p></div>") == LONG
+    assert html_extract.extract("<div class=ad>An advert longer than it</div><article><p>Article</p></article>") == "Article"
+    assert html_extract.extract("<div class='ad top'>An advert longer</div><article><p>Article</p></article>") == "Article"
+
+
+@pytest.mark.parametrize("page", [
+    "<article><p>{0}</p><p class=ad>Buy<p>{1}</p></article>", "<article><p>{0}</p><ul><li class=ad>Buy<li>{1}</ul></article>",
+    "<article><p>{0}</p><dl><dt hidden>Buy<dd>{1}</dl></article>", "<article><p>{0}</p><table><tr><td class=ad>Buy<td>{1}</table></article>",
+    "<article><p>{0}</p><table><tr class=ad><td>Buy<tr><td>{1}</table></article>", "<article><p>{0}</p><div><aside>Buy</div><p>{1}</p></article>",
+    "<article><p>{0}</p><section><div class=ad><div>Buy</div></section><p>{1}</p></article>", "<head><title>T</title><body><article><p>{0}</p><p>{1}</p></article>",
+    "<nav><a>one</a><main><p>{0}</p><p>{1}</p></main>", "<nav><a>one</a><article><p>{0}</p><p>{1}</p></article>",
+    "<article><p>{0}</p><div><svg/></div><p>{1}</p></article>", "<article><p>{0}<svg><path d='M0'/><g><text>Buy</text></g></svg></p><p>{1}</p></article>"])
+def test_html_missing_end_tags_of_cut_elements(page):
+    assert html_extract.extract(page.format(LONG, MORE)) == f"{LONG}\n\n{MORE}"
+
+
 # ------------------------------------------------------------ 8 decontamination
 
 def brute_hits(docs, items, n=13):
