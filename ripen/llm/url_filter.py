@@ -4,7 +4,9 @@ URLs that redirect to one another or name one another as canonical are aliases:
 the classes are the connected components of redirect edges (a given table, and
 ``<meta http-equiv=refresh>`` targets), canonical-link edges (``<link
 rel=canonical>``) and the edge from each URL to its bare form (without fragment
-and ``utm_*`` parameters, which never select another document).
+and ``utm_*`` parameters, which never select another document).  Targets are
+resolved against the page's URL, or its ``<base href>``, with their character
+references decoded.
 
 A rule is an action, a host and a path prefix; it fits its host and all
 subdomains, and the longest fitting rule decides a URL.  A URL without a rule
@@ -22,13 +24,21 @@ A null html has no links.  An empty table gives an empty result.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+from urllib.parse import urljoin
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import cut_lineage
 from .components import connected_components
+from .html_extract import attributes_of
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_TAG = r"(?is)<(?:link|meta)\b[^>]*>"
+_TAG = r"""(?is)<(?:link|meta|base)(?=[\s/>])(?:"[^"]*+"|'[^']*+'|[^>"'])*+>"""
+_REFRESH = re.compile(r"""\s*[\d.]*\s*(?:[;,\s]\s*(?:url\s*=\s*)?|url\s*=\s*)(?:"([^"]*)|'([^']*)|(.*))""", re.I | re.S)
+_ABSOLUTE = re.compile(r"[a-z][a-z0-9+.-]*://", re.I)
 
 
 def host_of(url: Column) -> Column:
@@ -57,17 +67,48 @@ def bare_url(url: Column) -> Column:
     return F.concat(F.translate(F.substring(url, F.lit(1), cut), UPPER, LOWER), F.substring(url, cut + 1, F.length(url)))
 
 
+def _resolve(base: str, target: str) -> str | None:
+    target = re.sub(r"[\t\n\r]", "", target).strip()
+    if not target:                                              # names nothing
+        return None
+    if _ABSOLUTE.match(target):                                 # stays as it is written
+        return target
+    try:
+        url = urljoin(base, target)
+    except ValueError:
+        return None
+    return url if "://" in url else None
+
+
+def targets_of(url: str, tags: list[str]) -> list[str]:
+    """The canonical and refresh targets among a page's link, meta and base tags."""
+    base, found = None, []
+    for tag in tags:
+        name = re.match("<([a-zA-Z]+)", tag)[1].lower()
+        given = attributes_of(tag[1 + len(name):-1])
+        if name == "base" and base is None and "href" in given:
+            base = _resolve(url, given["href"])
+        elif name == "link" and "canonical" in given.get("rel", "").lower().split():
+            found.append(given.get("href", ""))
+        elif name == "meta" and given.get("http-equiv", "").strip().lower() == "refresh":
+            m = _REFRESH.match(given.get("content", ""))
+            found.append(next((x for x in m.groups() if x), "") if m else "")
+    out = (_resolve(base or url, x) for x in found)
+    return [x for x in out if x]
+
+
 def link_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """(a, b): edges that a page declares, absolute targets only, and the edge to its bare form."""
+    """(a, b): edges that a page declares, targets resolved, and the edge to its bare form."""
     known = pages.where(F.col(url).contains("://"))
-    tags = F.regexp_extract_all(html, F.lit(_TAG), 0)
-    tag = F.col("tag")
-    canonical = F.when(tag.rlike(r"(?i)^<link\b") & tag.rlike(r"""(?i)\brel\s*=\s*["']?[^"'>]*\bcanonical\b"""),
-                       F.regexp_extract(tag, r"""(?i)\bhref\s*=\s*["']?([^"'\s>]+)""", 1))
-    refresh = F.when(tag.rlike(r"""(?i)\bhttp-equiv\s*=\s*["']?refresh\b"""),
-                     F.regexp_extract(tag, r"""(?i)\burl\s*=\s*["']?([^"'\s>]+)""", 1))
-    declared = (known.where(F.lower(F.col(html)).rlike("canonical|refresh")).select(F.col(url).alias("a"), F.explode(tags).alias("tag"))
-                .select("a", F.coalesce(canonical, refresh).alias("b")).where(F.col("b").contains("://")))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [(a, b) for a, tags in zip(batch.column("a").to_pylist(), batch.column("tags").to_pylist()) for b in targets_of(a, tags)]
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.string()) for k in (0, 1)], names=["a", "b"])
+
+    declared = (known.where(F.lower(F.col(html)).rlike("canonical|refresh"))
+                .select(F.col(url).alias("a"), F.regexp_extract_all(html, F.lit(_TAG), 0).alias("tags")).where(F.size("tags") > 0)
+                .mapInArrow(run, "a string, b string"))
     bare = known.select(F.col(url).alias("a"), bare_url(F.col(url)).alias("b"))
     return declared.unionByName(bare).where("a <> b")
 

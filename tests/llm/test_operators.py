@@ -252,6 +252,27 @@ def test_urls_take_the_decision_of_their_class(spark):
     assert got == sorted(want, key=str)
 
 
+@pytest.mark.parametrize("target, want", [
+    ("/de/x", "http://good.com/de/x"), ("y?k=1", "http://good.com/a/y?k=1"), ("../z", "http://good.com/z"), ("//spam.net/p", "http://spam.net/p"),
+    ("http://q.com/?a=1&amp;b=2", "http://q.com/?a=1&b=2"), ("?a=1&#38;b=2", "http://good.com/a/b?a=1&b=2"), ("HTTP://Spam.net/?", "HTTP://Spam.net/?"),
+    ("mailto:a@b.c", None), ("", None), ("http://[bad", "http://[bad"), ("//[bad", None)])
+def test_link_targets_are_resolved(target, want):
+    want = [want] if want else []
+    url = "http://good.com/a/b"
+    assert url_filter.targets_of(url, [f'<link data-href="/no" rel="alternate canonical" href="{target}" />']) == want
+    assert url_filter.targets_of(url, [f"<META content='0; URL={target}' http-equiv=Refresh>"]) == want
+    assert url_filter.targets_of("http://other.com/", [f"<base href='{url}'>", "<base href='/no'>", f'<link rel=canonical href="{target}">']) == want
+
+
+def test_urls_take_the_decision_of_relative_targets(spark):
+    pages = [(1, "http://spam.net/a", "<link rel=canonical href='/de/x'>"), (2, "http://good.com/x", "<link rel='canonical' title='a > b' href='//spam.net/b'>"),
+             (3, "http://good.com/y", "<meta http-equiv=refresh content='0;url=x'>"), (4, "http://good.com/q", "<link rel=canonical href='/q?a=1&amp;b=2'>"),
+             (5, "http://good.com/q?a=1&b=2", "<base href='http://spam.net/d/'><link rel=canonical href=e>"), (6, "http://good.com/z", "<link rel=canonical href='z'>")]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = {r["page_id"]: r["verdict"] for r in url_filter.judge_urls(df, RULES).collect()}
+    assert got == {1: "block", 2: "block", 3: "block", 4: "block", 5: "block", 6: "allow"}
+
+
 def test_url_filter_of_nothing(spark):
     df = spark.createDataFrame([], "page_id long, url string, html string")
     assert url_filter.judge_urls(df, RULES).count() == 0
