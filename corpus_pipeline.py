@@ -19,9 +19,9 @@ MIX_SHARE = 0.75                # of the tokens that reach the mixing stage
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the positive-unlabelled classifier does not reject."""
+    """Documents that the positive-unlabelled classifier does not reject; without any positive it rejects none."""
     scored = quality_classifier.score_documents(docs, table(spark, sf_dir, "labels"), keyed=True)
-    return _only(docs, scored.where("predicted = 1"))
+    return _only(docs, scored.where("predicted = 1 or predicted is null"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

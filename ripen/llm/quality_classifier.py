@@ -19,7 +19,9 @@ hashes of their ids, as feature rows: a documented bound, whatever the corpus.
 
 Nulls: a null text counts as empty and gets a score; a null id is kept, is
 never held out and never joins a label.  Rows with equal ids are scored one by one.
-Without any positive, every score is 0.  An empty table gives an empty result.
+Without any positive there is nothing to learn from: every score is 0 and
+predicted is null, no verdict.  Any positives are fitted, however few, and U may
+consist of them alone.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -164,7 +166,7 @@ def _fit(p: np.ndarray, u: np.ndarray, gradient, steps: int = STEPS, seed: int =
 def estimate_prior(p: np.ndarray, u: np.ndarray, delta: float = 0.1) -> float:
     """Share of positives in U, by the best bin of a P-against-U score on held-back halves."""
     net = _fit(p[::2], u[::2], lambda zp, zu: (-_sigmoid(-zp) / BATCH, _sigmoid(zu) / BATCH), steps=STEPS // 3)
-    sp, su = np.sort(net.logit(p[1::2])), np.sort(net.logit(u[1::2]))
+    sp, su = (np.sort(net.logit(x[1::2] if len(x) > 1 else x)) for x in (p, u))
     cuts = np.quantile(sp, np.linspace(0, 0.98, 200))
     above = lambda s: 1 - np.searchsorted(s, cuts) / len(s)
     bound = math.sqrt(math.log(4 / delta) / 2 / len(su)) + math.sqrt(math.log(4 / delta) / 2 / len(sp))
@@ -204,12 +206,13 @@ def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
         return np.asarray(x.values if isinstance(x, pa.ListArray) else pa.concat_arrays([c.values for c in x.chunks]), dtype=np.float64).reshape(-1, FEATURES)
 
     p, u = sample(marked.where("good")), sample(marked.where("good is null"))
-    if len(p) < 10 or len(u) < 10:
-        return table.select(F.col("id").alias(id_col), held_out(F.col("id")).alias("held_out"), F.lit(0.0).alias("score"), F.lit(0).alias("predicted"), *kept)
+    if not len(p):
+        return table.select(F.col("id").alias(id_col), held_out(F.col("id")).alias("held_out"), F.lit(0.0).alias("score"),
+                            F.lit(None).cast("int").alias("predicted"), *kept)
     # U is web text as it comes: the documents without a label and, by their share, those with one
     n_good, n_rest = (table.join(good, "id", how).count() for how in ("left_semi", "left_anti"))
     rng = np.random.default_rng(11)
-    take = min(len(p), int(round(len(u) * n_good / max(n_rest, 1))))
+    take = min(len(p), int(round(len(u) * n_good / n_rest))) if n_rest else len(p)
     u = np.concatenate([u, p[rng.permutation(len(p))[:take]]])
     net, _ = fit_pu(p, u)
 

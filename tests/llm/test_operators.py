@@ -468,3 +468,15 @@ def test_classifier_without_labels_and_of_nothing(spark, corpus, empty):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert quality_classifier.score_documents(corpus, none).agg(F.max("score")).first()[0] == 0
     assert quality_classifier.score_documents(empty, none).count() == 0
+
+
+def test_classifier_with_few_positives_or_all_labelled(spark):
+    docs = spark.createDataFrame([(i, sentence(i, 60)) for i in range(40)] + [(100 + i, "#|%& " * (20 + i)) for i in range(40)], "doc_id long, text string")
+    label = lambda ids: spark.createDataFrame([(i, 1) for i in ids], "doc_id long, quality int")
+    for ids in ([0, 1, 3, 4, 5, 6, 7], [0]):
+        got = {r["doc_id"]: r for r in quality_classifier.score_documents(docs, label(ids)).collect()}
+        assert len(got) == 80 and all(0 < r["score"] < 1 for r in got.values())
+        assert min(got[i]["score"] for i in ids if not got[i]["held_out"]) > max(got[i]["score"] for i in got if i >= 100)
+    good = docs.where("doc_id < 40").where(~quality_classifier.held_out(F.col("doc_id")))
+    got = quality_classifier.score_documents(good, label(range(40))).collect()
+    assert len(got) > 20 and all(r["predicted"] == 1 for r in got)

@@ -75,3 +75,8 @@ def test_stages_judge_rows_with_null_and_repeated_ids_one_by_one(spark, tmp_path
     monkeypatch.setattr(quality_classifier, "score_documents", verdicts)
     got = rows_of(corpus_pipeline.keep_quality(spark, docs, str(tmp_path)), "doc_id", "text")
     assert got == rows_of(docs.where("xxhash64(text) % 2 = 0"), "doc_id", "text") and 0 < len(got) < 8
+
+
+def test_quality_stage_without_positives_rejects_nothing(spark, corpus, tmp_path):
+    spark.createDataFrame([(1, 0, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    assert corpus_pipeline.keep_quality(spark, corpus, str(tmp_path)).count() == corpus.count()
