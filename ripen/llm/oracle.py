@@ -108,4 +108,67 @@ SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN x USING (doc_id)
 """
 
-ORACLE: dict[str, str] = {"op1_substring_dedup": _OP1, "op4_sharding": _OP4, "op5_mixing": _OP5, "op6_url_filter": _OP6, "op8_decontamination": _OP8}
+_OP11 = """
+WITH d AS (SELECT doc_id, hex(coalesce(text, '')) AS h, CAST(strlen(coalesce(text, '')) AS BIGINT) AS n FROM documents),
+w AS (SELECT doc_id, unnest(range(0, n - 49)) AS i, unnest(list_transform(range(0, n - 49), lambda i: substr(h, 2 * i + 1, 100))) AS k FROM d),
+gone AS (SELECT doc_id, i FROM w QUALIFY min(doc_id) OVER (PARTITION BY k) < doc_id),
+cut AS (SELECT doc_id, i, coalesce(i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) > 50, true) AS new FROM gone),
+runs AS (SELECT doc_id, i, count(*) FILTER (new) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM cut),
+spans AS (SELECT doc_id, min(i) AS lo, max(i) + 50 AS hi FROM runs GROUP BY doc_id, k),
+gaps AS (SELECT doc_id, coalesce(lag(hi) OVER (PARTITION BY doc_id ORDER BY lo), 0) AS a, lo AS b FROM spans
+         UNION ALL SELECT doc_id, coalesce(max(hi), 0), any_value(n) FROM d LEFT JOIN spans USING (doc_id) GROUP BY doc_id),
+kept AS (SELECT doc_id, string_agg(substr(h, 2 * a + 1, 2 * (b - a)), '' ORDER BY a, b) AS line FROM gaps JOIN d USING (doc_id) GROUP BY doc_id),
+counts AS (SELECT doc_id, sum(hi - lo) AS n_removed, count(*) AS n_spans FROM spans GROUP BY doc_id)
+SELECT doc_id, n AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(line)) AS kept_sha256
+FROM d JOIN kept USING (doc_id) LEFT JOIN counts USING (doc_id)
+"""
+
+# each document walks every order by itself: no masks, no cells
+_OP12 = r"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+        regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+marks AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+f AS MATERIALIZED (SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+        CASE WHEN len(ws) < 200 THEN 'A' ELSE '' END || CASE WHEN 100 * len(list_distinct(ws)) < 50 * len(ws) THEN 'B' ELSE '' END
+        || CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]+', '', 'g')) > 2 * length(t) THEN 'C' ELSE '' END
+        || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+        || CASE WHEN min(doc_id) OVER (PARTITION BY t) < doc_id THEN 'E' ELSE '' END AS failed
+      FROM d LEFT JOIN marks USING (doc_id)),
+letter AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (SELECT a.x || b.x || c.x || e.x || g.x AS filter_order FROM letter a, letter b, letter c, letter e, letter g
+           WHERE len(list_distinct([a.x, b.x, c.x, e.x, g.x])) = 5),
+steps AS MATERIALIZED (SELECT filter_order, step, substr(filter_order, step, 1) AS own, substr(filter_order, 1, step - 1) AS before
+          FROM orders, unnest(range(1, 6)) AS t(step)),
+judged AS (SELECT part, filter_order, step, own, good, toxic, failed = own AS only_own, contains(failed, own) AS fails,
+        len(list_intersect(string_split(failed, ''), string_split(before, ''))) > 0 AND before <> '' AND failed <> '' AS gone FROM f, steps),
+counts AS (SELECT part, filter_order, step, own, count(*) FILTER (NOT fails AND NOT gone) AS kept, count(*) FILTER (fails AND NOT gone) AS removed,
+        count(*) FILTER (fails AND gone) AS redundant, count(*) FILTER (only_own) AS unique_fails,
+        count(*) FILTER (fails AND NOT gone AND good) AS good_lost, count(*) FILTER (fails AND NOT gone AND toxic) AS toxic_lost
+      FROM judged GROUP BY ALL)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+FROM counts
+"""
+
+# every phrase of every piece is counted, without a sample or a border
+_OP13 = r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+n AS (SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM w GROUP BY lang),
+g AS (SELECT lang, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: array_to_string(ws[i:i + k - 1], ' '))) AS phrase
+      FROM w, (VALUES (1), (2), (3), (4)) AS s(k)),
+f AS MATERIALIZED (SELECT lang, k, phrase, string_split(phrase, ' ') AS ph, count(*) AS f FROM g GROUP BY lang, k, phrase HAVING count(*) >= 30),
+parts AS (SELECT lang, phrase, f AS a, cut, array_to_string(ph[1:cut], ' ') AS x, array_to_string(ph[cut + 1:k], ' ') AS y
+          FROM (SELECT *, unnest(range(1, k)) AS cut FROM f WHERE k > 1)),
+cuts AS (SELECT parts.lang, parts.phrase, a, cut, l.f AS l, r.f AS r, CAST(a::HUGEINT * 2000000 // (l.f + r.f) AS BIGINT) AS score
+         FROM parts JOIN f AS l ON l.lang = parts.lang AND l.phrase = x JOIN f AS r ON r.lang = parts.lang AND r.phrase = y),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+inside AS (SELECT lang, array_to_string(ph[i:i + size - 1], ' ') AS phrase, max(f) AS longer
+           FROM (SELECT *, unnest(range(1, k - size + 2)) AS i FROM (SELECT *, unnest(range(2, k)) AS size FROM f)) GROUP BY ALL),
+left_ AS (SELECT lang, phrase, a, l, r, score FROM best LEFT JOIN inside USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 80 * a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM left_ JOIN n USING (lang) QUALIFY row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) <= 2000
+"""
+
+ORACLE: dict[str, str] = {"op11_suffix_dedup": _OP11, "op12_filter_audit": _OP12, "op13_phrase_collocations": _OP13, "op1_substring_dedup": _OP1, "op4_sharding": _OP4, "op5_mixing": _OP5, "op6_url_filter": _OP6, "op8_decontamination": _OP8}

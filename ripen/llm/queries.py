@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..sources.load import table
-from . import (decontaminate, html_extract, mixing, quality_classifier, quality_rules, sharding, simhash,
-               substring_dedup, token_counts, url_filter)
+from . import (decontaminate, filter_audit, html_extract, mixing, phrases, quality_classifier, quality_rules, sharding, simhash,
+               substring_dedup, suffix_dedup, token_counts, url_filter)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -88,3 +88,21 @@ def op9(spark, sf_dir):
 @query("op10_quality_classifier")
 def op10(spark, sf_dir):
     return quality_classifier.score_documents(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
+@query("op11_suffix_dedup")
+def op11(spark, sf_dir):
+    kept = suffix_dedup.remove_earlier(documents(spark, sf_dir), window=50)
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op12_filter_audit")
+def op12(spark, sf_dir):
+    masks = filter_audit.failure_masks(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+    return filter_audit.interaction_audit(masks)
+
+
+@query("op13_phrase_collocations")
+def op13(spark, sf_dir):
+    frequent, totals = phrases.frequent_phrases(documents(spark, sf_dir), least=30, longest=4)
+    return phrases.collocations(frequent, totals, top=2000).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
