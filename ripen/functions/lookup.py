@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ..session import cut_lineage
 
@@ -20,35 +20,23 @@ def lookup_join(df: DataFrame, table: DataFrame, on: str, how: str = "left",
     return df.join(side, on=on, how=how)
 
 
-def bounded_levels(values: DataFrame, col: str, cap: int) -> list | None:
-    """Sorted distinct values if there are at most ``cap`` of them, else None.
-    The ``limit`` bounds what reaches the driver."""
-    rows = values.select(col).distinct().limit(cap + 1).collect()
-    if len(rows) > cap:
-        return None
-    return sorted(r[0] for r in rows)
-
-
-def dense_codes(values: DataFrame, col: str, code: str = "code") -> DataFrame:
-    """(value, code) with code = 0-based rank of the value in ascending order,
-    for any number of distinct values: range-partitioned sort, per-partition
-    counts (one small row per partition) and offsets; no single task sees all
-    values.  The sorted distinct set is checkpointed so partition ids stay
-    fixed between the two uses.  With more columns than ``col``, the values are
-    taken as distinct already and the columns ride along."""
+def dense_codes(values: DataFrame, col, code: str = "code") -> DataFrame:
+    """(value, code) with code = 0-based rank of the value (or values of several
+    columns) in ascending order, for any number of distinct values: range-partitioned
+    sort, per-partition counts and offsets; no single task sees all values.  The sorted
+    distinct set is checkpointed so partition ids stay fixed between the two uses, and
+    the offsets (one small row a partition) are joined.  With more columns than ``col``,
+    the values are taken as distinct already and the columns ride along."""
     spark = values.sparkSession
+    cols = [col] if isinstance(col, str) else list(col)
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    d = values.select(col).distinct() if values.columns == [col] else values
-    d = (d.repartitionByRange(parts, col).sortWithinPartitions(col)
+    d = values.select(*cols).distinct() if values.columns == cols else values
+    d = (d.repartitionByRange(parts, *cols).sortWithinPartitions(*cols)
          .withColumn("__pid", F.spark_partition_id())
          .withColumn("__mid", F.monotonically_increasing_id()))
     d = cut_lineage(d)
-    stats = d.groupBy("__pid").agg(F.count(F.lit(1)).alias("n"), F.min("__mid").alias("m0")).collect()
-    off, acc = {}, 0
-    for r in sorted(stats, key=lambda r: r["__pid"]):
-        off[r["__pid"]] = (acc, r["m0"])
-        acc += r["n"]
-    omap = F.create_map(*[x for p, (o, _) in off.items() for x in (F.lit(p), F.lit(o))])
-    mmap = F.create_map(*[x for p, (_, m) in off.items() for x in (F.lit(p), F.lit(m))])
-    return d.select(*values.columns, (omap[F.col("__pid")] + F.col("__mid") - mmap[F.col("__pid")])
-                    .cast("bigint").alias(code))
+    before = W.partitionBy(F.lit(0)).orderBy("__pid").rowsBetween(W.unboundedPreceding, -1)       # one row a partition
+    offsets = (d.groupBy("__pid").agg(F.count(F.lit(1)).alias("__k"), F.min("__mid").alias("__m0"))
+               .select("__pid", (F.coalesce(F.sum("__k").over(before), F.lit(0)) - F.col("__m0")).alias("__off")))
+    return (d.join(F.broadcast(offsets), "__pid")
+            .select(*values.columns, (F.col("__mid") + F.col("__off")).cast("bigint").alias(code)))

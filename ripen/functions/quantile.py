@@ -15,6 +15,9 @@ selection instead:
    else in one more pass; wider brackets are refined by repeating steps
    1-2 inside the bracket.
 
+Many ranks of one column (more than ``MANY``) are not counted bracket by bracket:
+their edges cut the column into intervals, which are counted in one grouping.
+
 Every pass is a plain scan + partial/final aggregate, batched over all
 columns and ranks.  Quantiles interpolate linearly between order statistics
 (pandas / DuckDB ``quantile_cont`` semantics).
@@ -26,9 +29,12 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .scan import Aggregate, Codes, Fit, run
+
 ACCURACY = 10000
 MARGIN = 4.0          # bracket half-width in units of the sketch's rank error
 MAX_COLLECT = 20000   # values collected per target in the final pass
+MANY = 8              # ranks of one column from which on intervals are counted
 EAGER_COLLECT = True  # collect inside-bracket values in the verify pass when bounded
 
 
@@ -38,6 +44,11 @@ def _cond(c: Column, cond: Column | None) -> Column:
 
 def order_statistics(df: DataFrame, targets: list[tuple], accuracy: int = ACCURACY,
                      max_collect: int = MAX_COLLECT, brackets: list | None = None) -> list[float | None]:
+    """``order_steps`` over a table of its own."""
+    return run(df, order_steps(targets, accuracy, max_collect, brackets))
+
+
+def order_steps(targets: list[tuple], accuracy: int = ACCURACY, max_collect: int = MAX_COLLECT, brackets: list | None = None) -> Fit:
     """Exact r-th smallest non-null value for each target.
 
     ``targets`` holds tuples ``(value_expr, cond_expr_or_None, r, n, group)``:
@@ -55,6 +66,19 @@ def order_statistics(df: DataFrame, targets: list[tuple], accuracy: int = ACCURA
     below = [0] * k
     size = [t[3] for t in targets]
     pending = [i for i in range(k) if targets[i][3] > 0]
+    groups: dict = {}
+    for i in pending:
+        if targets[i][1] is None and targets[i][3] > max_collect:
+            groups.setdefault(targets[i][4], []).append(i)
+    many = {g: rows for g, rows in groups.items() if len(rows) > MANY} if brackets is not None else {}
+    if many:
+        found, wide = yield from _interval_steps(targets, brackets, many, max_collect)
+        for i, x in found.items():
+            vals[i] = x
+        for i, (b, n, low, high) in wide.items():
+            below[i], size[i], lo[i], hi[i] = b, n, low, high
+        pending = [i for i in pending if i not in found]
+        brackets = None if wide else brackets      # brackets of narrowed regions are made anew
     for _round in range(8):
         if not pending:
             break
@@ -64,13 +88,13 @@ def order_statistics(df: DataFrame, targets: list[tuple], accuracy: int = ACCURA
             shared: dict = {}
             for i in small:
                 shared.setdefault((targets[i][4], repr(lo[i]), repr(hi[i])), []).append(i)
-            exprs = []
+            exprs = {}
             for j, members in enumerate(shared.values()):
                 i = members[0]
                 v, cond = targets[i][0].cast("double"), targets[i][1]
                 m = _region(v, lo[i], hi[i], cond)
-                exprs.append(F.sort_array(F.collect_list(F.when(m, v))).alias(f"s{j}"))
-            row = df.agg(*exprs).first()
+                exprs[f"s{j}"] = F.sort_array(F.collect_list(F.when(m, v)))
+            (row,) = yield [Aggregate(exprs)]
             for j, members in enumerate(shared.values()):
                 arr = row[f"s{j}"]
                 for i in members:
@@ -83,38 +107,34 @@ def order_statistics(df: DataFrame, targets: list[tuple], accuracy: int = ACCURA
             given = {i: brackets[i] for i in pending}
         else:
             given = None
-        exprs = []
+        exprs = {}
         for i in ([] if given else pending):
             v, cond, r = targets[i][0].cast("double"), targets[i][1], targets[i][2]
             rel = (r - below[i]) / max(size[i] - 1, 1)
             eps = MARGIN / accuracy
             m = _region(v, lo[i], hi[i], cond)
-            exprs.append(F.percentile_approx(F.when(m, v),
-                                             [max(rel - eps, 0.0), min(rel + eps, 1.0)],
-                                             accuracy).alias(f"a{i}"))
+            exprs[f"a{i}"] = F.percentile_approx(F.when(m, v), [max(rel - eps, 0.0), min(rel + eps, 1.0)], accuracy)
         if given:
             found = given
         else:
-            row = df.agg(*exprs).first()
+            (row,) = yield [Aggregate(exprs)]
             found = {i: row[f"a{i}"] for i in pending}
         # step 2: exact counts left of / at / inside / at the top of each bracket.
         # When the sketch's rank-error bound guarantees few values strictly
         # inside (region small enough), they are collected in this same pass.
-        exprs = []
+        exprs = {}
         eager = set()
         for i in pending:
             v, cond = targets[i][0].cast("double"), targets[i][1]
             b_lo, b_hi = found[i]
             base = v.isNotNull() if cond is None else (v.isNotNull() & cond)
             inside = base & (v > F.lit(b_lo)) & (v < F.lit(b_hi))
-            exprs += [F.count_if(base & (v < F.lit(b_lo))).alias(f"b{i}"),
-                      F.count_if(base & (v == F.lit(b_lo))).alias(f"l{i}"),
-                      F.count_if(inside).alias(f"m{i}"),
-                      F.count_if(base & (v == F.lit(b_hi)) & F.lit(b_hi != b_lo)).alias(f"h{i}")]
+            exprs |= {f"b{i}": F.count_if(base & (v < F.lit(b_lo))), f"l{i}": F.count_if(base & (v == F.lit(b_lo))),
+                      f"m{i}": F.count_if(inside), f"h{i}": F.count_if(base & (v == F.lit(b_hi)) & F.lit(b_hi != b_lo))}
             if EAGER_COLLECT and size[i] * (2 * MARGIN + 2) / accuracy <= max_collect:
                 eager.add(i)
-                exprs.append(F.sort_array(F.collect_list(F.when(inside, v))).alias(f"v{i}"))
-        row = df.agg(*exprs).first()
+                exprs[f"v{i}"] = F.sort_array(F.collect_list(F.when(inside, v)))
+        (row,) = yield [Aggregate(exprs)]
         still = []
         for i in pending:
             r = targets[i][2]
@@ -146,10 +166,54 @@ def order_statistics(df: DataFrame, targets: list[tuple], accuracy: int = ACCURA
         v, cond, r = targets[i][0].cast("double"), targets[i][1], targets[i][2]
         m = _region(v, lo[i], hi[i], cond)
         p = (r - below[i]) / max(size[i] - 1, 1)
-        vals[i] = df.agg(F.percentile(F.when(m, v), F.lit(p))).first()[0]
+        (row,) = yield [Aggregate({"p": F.percentile(F.when(m, v), F.lit(p))})]
+        vals[i] = row["p"]
     return vals
 
 
+def locate(v: Column, edges: list[float], at: int = 0) -> Column:
+    """2 * (number of edges below v), plus 1 if v is an edge itself; null stays null.  A balanced tree of comparisons."""
+    if not edges:
+        return F.when(v.isNotNull(), F.lit(2 * at))
+    mid = len(edges) // 2
+    e = F.lit(edges[mid])
+    return (F.when(v == e, F.lit(2 * (at + mid) + 1)).when(v < e, locate(v, edges[:mid], at))
+            .otherwise(locate(v, edges[mid + 1:], at + mid + 1)))
+
+
+def _interval_steps(targets: list[tuple], brackets: list, members: dict[int, list[int]], max_collect: int) -> Fit:
+    """Values of the targets of some columns (group -> targets) by counted intervals; a target whose interval is too full has none.
+
+    Also gives, for those, (rows below the interval, rows in it, lower edge, upper edge).
+    """
+    edges = {g: sorted({x for i in rows for x in brackets[i]}) for g, rows in members.items()}
+    code = {g: locate(targets[rows[0]][0].cast("double"), edges[g]) for g, rows in members.items()}
+    counted = yield [Codes(code[g]) for g in members]
+    found, wide, wanted = {}, {}, {}
+    for (g, rows), counts in zip(members.items(), counted):
+        below, start = 0, {}
+        for k in sorted(counts):
+            start[k] = below
+            below += counts[k]
+        for i in rows:
+            k = max(x for x in start if start[x] <= targets[i][2])
+            if k % 2:
+                found[i] = edges[g][k // 2]
+            elif counts[k] <= max_collect:
+                wanted.setdefault((g, k), []).append((i, targets[i][2] - start[k]))
+            else:
+                lo = ("open", edges[g][k // 2 - 1]) if k else None
+                hi = ("open", edges[g][k // 2]) if k // 2 < len(edges[g]) else None
+                wide[i] = (start[k], counts[k], lo, hi)
+    if wanted:
+        (row,) = yield [Aggregate({f"{g}:{k}": F.sort_array(F.collect_list(F.when(code[g] == k, targets[members[g][0]][0].cast("double"))))
+                                   for g, k in wanted})]
+        for (g, k), places in wanted.items():
+            for i, r in places:
+                found[i] = row[f"{g}:{k}"][r]
+    return found, wide
+
+
 def _region(v: Column, lo, hi, cond: Column | None) -> Column:
     m = v.isNotNull()
     if cond is not None:
@@ -165,13 +229,17 @@ def bracket_exprs(cols: list, probs: list[float], prefix: str = "qb",
                   accuracy: int = ACCURACY) -> list[Column]:
     """Aggregate expressions a caller adds to its own pass: count and the
     approximate values just below/above each probability of each column."""
+    return [e.alias(name) for name, e in bracket_dict(cols, probs, prefix, accuracy).items()]
+
+
+def bracket_dict(cols: list, probs: list[float], prefix: str = "qb", accuracy: int = ACCURACY) -> dict[str, Column]:
     eps = MARGIN / accuracy
     grid = [x for p in probs for x in (max(p - eps, 0.0), min(p + eps, 1.0))]
-    out = []
+    out = {}
     for j, e in enumerate(cols):
         e = F.col(e) if isinstance(e, str) else e
-        out += [F.count(e).alias(f"{prefix}n{j}"),
-                F.percentile_approx(e.cast("double"), grid, accuracy).alias(f"{prefix}a{j}")]
+        out[f"{prefix}n{j}"] = F.count(e)
+        out[f"{prefix}a{j}"] = F.percentile_approx(e.cast("double"), grid, accuracy)
     return out
 
 
@@ -186,16 +254,21 @@ def exact_quantiles(df: DataFrame, cols: list, probs: list[float],
     caller's pass, which saves the first scan.
     Returns one list of values (one per prob) per column; None if no values.
     """
+    return run(df, quantile_steps(cols, probs, conds, approx, accuracy, pre_row, prefix))
+
+
+def quantile_steps(cols: list, probs: list[float], conds: list | None = None, approx: bool = False,
+                   accuracy: int = ACCURACY, pre_row=None, prefix: str = "qb") -> Fit:
+    """``exact_quantiles`` as a fit that shares its scans."""
     exprs = [F.col(c) if isinstance(c, str) else c for c in cols]
     conds = conds or [None] * len(exprs)
     if approx:
-        row = df.agg(*[F.percentile_approx(_cond(e.cast("double"), cd), list(probs), accuracy)
-                       .alias(f"p{j}") for j, (e, cd) in enumerate(zip(exprs, conds))]).first()
+        (row,) = yield [Aggregate({f"p{j}": F.percentile_approx(_cond(e.cast("double"), cd), list(probs), accuracy)
+                                   for j, (e, cd) in enumerate(zip(exprs, conds))})]
         return [list(row[f"p{j}"]) if row[f"p{j}"] is not None else [None] * len(probs)
                 for j in range(len(exprs))]
     if pre_row is None:
-        pre_row = df.agg(*bracket_exprs([_cond(e, cd) for e, cd in zip(exprs, conds)], probs,
-                                        prefix, accuracy)).first()
+        (pre_row,) = yield [Aggregate(bracket_dict([_cond(e, cd) for e, cd in zip(exprs, conds)], probs, prefix, accuracy))]
     targets, plan, brackets = [], [], []
     for j, (e, cd) in enumerate(zip(exprs, conds)):
         n = pre_row[f"{prefix}n{j}"]
@@ -220,7 +293,7 @@ def exact_quantiles(df: DataFrame, cols: list, probs: list[float],
                 brackets.append(br)
             row_plan.append((ia, ib, frac))
         plan.append(row_plan)
-    vals = order_statistics(df, targets, accuracy=accuracy, brackets=brackets)
+    vals = yield from order_steps(targets, accuracy=accuracy, brackets=brackets)
     out = []
     for row_plan in plan:
         res = []

@@ -10,8 +10,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.quantile import exact_quantiles
+from ..functions.quantile import bracket_dict, quantile_steps
 from ..functions.rand import normal01
+from ..functions.scan import Aggregate, Fit, Top, on_its_own
 from ..functions.stats import c, long_form
 from ..functions.types import check_column, is_categorical, is_numeric
 from . import eda
@@ -90,9 +91,12 @@ def remove_leaky(df: DataFrame, target: str, col=None,
     return df.drop(*leaky)
 
 
-def _need_nulls(df: DataFrame, cols: list[str]) -> None:
-    row = df.agg(*[F.count_if(c(n).isNull()).alias(f"m{i}") for i, n in enumerate(cols)]).first()
-    empty = [n for i, n in enumerate(cols) if row[f"m{i}"] == 0]
+def _null_counts(cols: list[str]) -> Aggregate:
+    return Aggregate({n: F.count_if(c(n).isNull()) for n in cols})
+
+
+def _need_nulls(counts: dict) -> None:
+    empty = [n for n, k in counts.items() if k == 0]
     if empty:
         raise ValueError(f"{empty} have no missing values")
 
@@ -101,7 +105,7 @@ def _as_list(col) -> list[str]:
     return [col] if isinstance(col, str) else list(col)
 
 
-def fit_fill_median(df: DataFrame, col, target: str | None = None, approx: bool = False) -> Fitted:
+def fill_median_steps(df: DataFrame, col, target: str | None = None, approx: bool = False) -> Fit:
     """Nulls <- exact median (linear interpolation), numeric only."""
     cols = _as_list(col)
     types = dict((f.name, f.dataType) for f in df.schema.fields)
@@ -109,60 +113,57 @@ def fit_fill_median(df: DataFrame, col, target: str | None = None, approx: bool
         check_column(df, n, target)
         if not is_numeric(types[n]):
             raise ValueError("fill_missing_median requires a numeric column")
-    _need_nulls(df, cols)
-    meds = exact_quantiles(df, [c(n).cast("double") for n in cols], [0.5], approx=approx)
+    values = [c(n).cast("double") for n in cols]
+    nulls, first = yield [_null_counts(cols), Aggregate({} if approx else bracket_dict(values, [0.5]))]
+    _need_nulls(nulls)
+    meds = yield from quantile_steps(values, [0.5], approx=approx, pre_row=first)
     fills = dict(zip(cols, [m[0] for m in meds]))
     return Fitted({n: F.coalesce(c(n).cast("double"), F.lit(v)) for n, v in fills.items()})
 
 
+fit_fill_median = on_its_own(fill_median_steps)
 fill_median = operator(fit_fill_median)
 
 
-def mode_value(df: DataFrame, col: str):
-    """Most frequent non-null value, ties -> smallest.  groupBy + top-1
-    (TakeOrdered): bounded at any cardinality, hot values merge map-side."""
-    r = (df.filter(c(col).isNotNull()).groupBy(c(col).alias("v")).agg(F.count(F.lit(1)).alias("k"))
-           .orderBy(F.col("k").desc(), F.col("v").asc()).limit(1).collect())
-    return r[0]["v"] if r else None
-
-
-def fit_fill_mode(df: DataFrame, col: str, target: str | None = None) -> Fitted:
-    """E5: nulls <- mode (any type)."""
+def fill_mode_steps(df: DataFrame, col: str, target: str | None = None) -> Fit:
+    """E5: nulls <- mode (any type): the most frequent non-null value, ties -> smallest."""
     check_column(df, col, target)
-    _need_nulls(df, [col])
-    v = mode_value(df, col)
-    if v is None:
+    nulls, top = yield [_null_counts([col]), Top(c(col), 1)]
+    _need_nulls(nulls)
+    if not top:
         raise ValueError(f"cannot compute a mode for {col!r}")
-    dt = df.schema[col].dataType
-    return Fitted({col: F.coalesce(c(col), F.lit(v).cast(dt))})
+    return Fitted({col: F.coalesce(c(col), F.lit(top[0]).cast(df.schema[col].dataType))})
 
 
+fit_fill_mode = on_its_own(fill_mode_steps)
 fill_mode = operator(fit_fill_mode)
 
 
-def fit_fill_jitter(df: DataFrame, col: str, key: str, seed: int = 42,
-                target: str | None = None) -> Fitted:
+def fill_jitter_steps(df: DataFrame, col: str, key: str, seed: int = 42, target: str | None = None) -> Fit:
     """Nulls <- median + 0.1 * std * N(0,1), the normal draw keyed by the
     row key (reproducible, partition-independent)."""
     check_column(df, col, target)
     if not is_numeric(df.schema[col].dataType):
         raise ValueError("fill_missing_knn requires a numeric column")
-    _need_nulls(df, [col])
-    med = exact_quantiles(df, [c(col).cast("double")], [0.5])[0][0]
-    std = df.agg(F.stddev_samp(c(col).cast("double"))).first()[0] or 0.0
-    noise = F.lit(med) + F.lit(JITTER * std) * normal01(c(key), f"jitter{seed}")
-    return Fitted({col: F.coalesce(c(col).cast("double"), noise)})
+    v = c(col).cast("double")
+    nulls, row, first = yield [_null_counts([col]), Aggregate({"std": F.stddev_samp(v)}), Aggregate(bracket_dict([v], [0.5]))]
+    _need_nulls(nulls)
+    med = (yield from quantile_steps([v], [0.5], pre_row=first))[0][0]
+    noise = F.lit(med) + F.lit(JITTER * (row["std"] or 0.0)) * normal01(c(key), f"jitter{seed}")
+    return Fitted({col: F.coalesce(v, noise)})
 
 
+fit_fill_jitter = on_its_own(fill_jitter_steps)
 fill_jitter = operator(fit_fill_jitter)
 
 
-def fit_fill_constant(df: DataFrame, col, value=None, target: str | None = None) -> Fitted:
+def fill_constant_steps(df: DataFrame, col, value=None, target: str | None = None) -> Fit:
     """Nulls <- 0 (numeric) or 'missing' (text), or a given value."""
     cols = _as_list(col)
     for n in cols:
         check_column(df, n, target)
-    _need_nulls(df, cols)
+    (nulls,) = yield [_null_counts(cols)]
+    _need_nulls(nulls)
     types = dict((f.name, f.dataType) for f in df.schema.fields)
 
     def fill(n):
@@ -171,10 +172,11 @@ def fit_fill_constant(df: DataFrame, col, value=None, target: str | None = None)
     return Fitted({n: fill(n) for n in cols})
 
 
+fit_fill_constant = on_its_own(fill_constant_steps)
 fill_constant = operator(fit_fill_constant)
 
 
-def fit_clip_outliers(df: DataFrame, col, target: str | None = None, approx: bool = False) -> Fitted:
+def clip_outliers_steps(df: DataFrame, col, target: str | None = None, approx: bool = False) -> Fit:
     """Clip to the 1.5 IQR fences; nulls stay null (least/greatest skip
     nulls, hence the guard)."""
     cols = _as_list(col)
@@ -183,7 +185,7 @@ def fit_clip_outliers(df: DataFrame, col, target: str | None = None, approx: boo
         check_column(df, n, target)
         if not is_numeric(types[n]):
             raise ValueError("clip_outliers requires a numeric column")
-    qs = exact_quantiles(df, [c(n).cast("double") for n in cols], [0.25, 0.75], approx=approx)
+    qs = yield from quantile_steps([c(n).cast("double") for n in cols], [0.25, 0.75], approx=approx)
     bounds = {n: fence_bounds(q1, q3) for n, (q1, q3) in zip(cols, qs) if q1 is not None}
 
     def clip(n):
@@ -193,6 +195,7 @@ def fit_clip_outliers(df: DataFrame, col, target: str | None = None, approx: boo
     return Fitted({n: clip(n) for n in bounds})
 
 
+fit_clip_outliers = on_its_own(clip_outliers_steps)
 clip_outliers = operator(fit_clip_outliers)
 
 
@@ -219,24 +222,17 @@ def drop_high_missing(df: DataFrame, col: str | None = None, threshold: float =
     return df.drop(*drop)
 
 
-def top_values(df: DataFrame, col: str, k: int) -> list:
-    """k most frequent non-null values (count desc, value asc); bounded."""
-    rows = (df.filter(c(col).isNotNull()).groupBy(c(col).alias("v")).agg(F.count(F.lit(1)).alias("k"))
-              .orderBy(F.col("k").desc(), F.col("v").asc()).limit(k).collect())
-    return [r["v"] for r in rows]
-
-
-def fit_reduce_cardinality(df: DataFrame, col: str, k: int = KEEP_CATEGORIES, other: str = OTHER,
-                       target: str | None = None) -> Fitted:
+def reduce_cardinality_steps(df: DataFrame, col: str, k: int = KEEP_CATEGORIES, other: str = OTHER, target: str | None = None) -> Fit:
     """Keep the k most frequent values, everything else (null too) ->
     'Other'.  At most k literals reach the plan (an ``isin``)."""
     check_column(df, col, target)
     if not is_categorical(df.schema[col].dataType):
         raise ValueError(f"{col!r} is not categorical")
-    keep = top_values(df, col, k)
+    (keep,) = yield [Top(c(col), k)]
     return Fitted({col: F.when(c(col).isin(keep), c(col)).otherwise(F.lit(other))})
 
 
+fit_reduce_cardinality = on_its_own(reduce_cardinality_steps)
 reduce_cardinality = operator(fit_reduce_cardinality)
 
 

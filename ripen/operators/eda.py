@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
-from ..functions.quantile import bracket_exprs, exact_quantiles
-from ..functions.stats import c, fast_corr_row, fit_view, long_form
+from ..functions.quantile import bracket_dict, bracket_exprs, exact_quantiles, locate
+from ..functions.scan import Aggregate, run, unpivoted
+from ..functions.stats import c, fast_corr_row, fit_view
 from ..functions.types import is_categorical, is_numeric, is_stat_numeric
 from .profile import (CORR_LIMIT, OUTLIER_MIN, fence_bounds, infer_dtype,
                       numeric_text_share_exprs)
@@ -15,6 +16,8 @@ MIN_OUTLIER_VALUES = 10   # detect_outliers skips columns with fewer values
 LEAK_GAIN = 0.99
 LEAK_BINS = 20            # quantile buckets for fractional features in the purity test
 ID_LIKE_SHARE = 0.5
+HLL_ERROR = 0.02
+SURELY_ID_LIKE = 0.75     # of the rows, by estimate
 
 
 def detect_dtypes(df: DataFrame, target: str | None = None, mode: str = "strict") -> DataFrame:
@@ -75,12 +78,15 @@ def detect_leakage(df: DataFrame, target: str, gain_limit: float = LEAK_GAIN,
     range.  Fractional features go into ``bins`` quantile buckets, and a value
     that several quantiles share is a bucket of its own, so neither ties nor
     outliers move a boundary.  Columns taken by value with more than half the
-    rows distinct (exact count) are id-like and skipped.  ``known`` adds names
-    from an issue manifest (the original's list-driven mode).
-
-    Cost: the quantile passes over the fractional columns and one long-form
-    aggregation; hot values are combined map-side.  The report (one row per
-    feature) is fitted here, inside the view's cache.
+    rows distinct are id-like and skipped: at once if a HyperLogLog estimate says
+    three quarters or more (over ten of its standard errors off), else by the exact
+    count.  ``known`` adds names from an issue manifest (the original's list-driven mode).
+
+    Cost: one pass for counts, estimates and quantile brackets, the quantile
+    passes over the fractional columns, and one long-form aggregation for
+    numbers and one for texts, which id-like columns never enter; hot values are
+    combined map-side.  The report (one row per feature) is fitted here, inside the
+    view's cache.
     """
     with fit_view(df) as fv:
         rows = _leakage_rows(fv, target, gain_limit, known or [], bins)
@@ -88,41 +94,53 @@ def detect_leakage(df: DataFrame, target: str, gain_limit: float = LEAK_GAIN,
 
 
 def quantile_bucket(v, quantiles: list[float]):
-    """Bucket of a value: '=i' at a value that several quantiles share, else
-    the number i of distinct quantiles below it; null stays null."""
+    """Bucket of a value: odd at a value that several quantiles share, else twice
+    the number of distinct quantiles below it; null stays null."""
     edges = sorted(set(quantiles))
     shared = [e for e in edges if quantiles.count(e) > 1]
-    at = F.array_size(F.filter(F.lit(edges), lambda e: e < v)).cast("string")
-    return F.when(v.isNull(), None).when(v.isin(shared), F.concat(F.lit("="), at)).otherwise(at) if shared else \
-        F.when(v.isNotNull(), at)
+    at = locate(v, edges)
+    return F.when(at.isNull() | v.isin(shared), at).otherwise(at - at % 2) if shared else at - at % 2
 
 
 def _leakage_rows(df, target, gain_limit, known, bins) -> list[tuple]:
     base_df = df.filter(c(target).isNotNull())
-    r = base_df.groupBy(c(target)).count().agg(F.sum("count").alias("n"), F.max("count").alias("mx")).first()
-    n_rows, majority = r["n"] or 0, r["mx"] or 0
     fields = [f for f in df.schema.fields
               if f.name != target and (is_categorical(f.dataType) or is_numeric(f.dataType))]
+    fractional = [f.name for f in fields if isinstance(f.dataType, (T.FractionalType,))]
+    by_value = [f.name for f in fields if f.name not in fractional]
+    values, probs = [c(n).cast("double") for n in fractional], [i / bins for i in range(bins + 1)]
+
+    def first():
+        return (yield [Aggregate({n: F.approx_count_distinct(c(n), HLL_ERROR) for n in by_value}), Aggregate(bracket_dict(values, probs))])
+
+    distinct, brackets = run(base_df, first())
+    r = base_df.groupBy(c(target)).count().agg(F.sum("count").alias("n"), F.max("count").alias("mx")).first()
+    n_rows, majority = r["n"] or 0, r["mx"] or 0
     if not fields or n_rows == 0:
         return []
     base = majority / n_rows
-    fractional = [f.name for f in fields if isinstance(f.dataType, (T.FractionalType,))]
-    cuts = dict(zip(fractional, exact_quantiles(base_df, [c(n).cast("double") for n in fractional],
-                                                [i / bins for i in range(bins + 1)]))) if fractional else {}
-    exprs = [quantile_bucket(c(f.name).cast("double"), [x for x in cuts[f.name] if x is not None]).alias(f.name)
-             if f.name in cuts else c(f.name).cast("string").alias(f.name) for f in fields]
-    names = [f.name for f in fields]
-    long = long_form(base_df.select(c(target).alias("__t"), *exprs), names, keep=["__t"])
-    per_value = (long.groupBy("name", "value", "__t").agg(F.count(F.lit(1)).alias("k"))
-                 .groupBy("name", "value").agg(F.max("k").alias("mx")))
-    per_name = per_value.groupBy("name").agg(F.sum("mx").alias("mx"), F.count("value").alias("n_distinct")).collect()
+    by_value = [n for n in by_value if distinct[n] < SURELY_ID_LIKE * n_rows]
+    cuts = dict(zip(fractional, exact_quantiles(base_df, values, probs, pre_row=brackets))) if fractional else {}
+    types = {f.name: f.dataType for f in fields}
+    numbers = {n: c(n).cast("bigint") for n in by_value if not is_categorical(types[n])}
+    numbers |= {n: quantile_bucket(c(n).cast("double"), [x for x in cuts[n] if x is not None]).cast("bigint") for n in cuts}
+    texts = {n: c(n).cast("string") for n in by_value if n not in numbers}
+    per_name = {}
+    for group in (numbers, texts):
+        if group:
+            long = unpivoted(base_df, list(group.values()), [c(target).alias("__t")])
+            per_value = (long.groupBy("__slot", "__v", "__t").agg(F.count(F.lit(1)).alias("k"))
+                         .groupBy("__slot", "__v").agg(F.max("k").alias("mx")))
+            for x in per_value.groupBy("__slot").agg(F.sum("mx").alias("mx"), F.count("__v").alias("n")).collect():
+                per_name[list(group)[x["__slot"]]] = x
     out = []
-    for x in sorted(per_name, key=lambda x: names.index(x["name"])):
-        if x["name"] not in cuts and x["n_distinct"] > ID_LIKE_SHARE * n_rows or x["n_distinct"] == 0:
+    for name in (f.name for f in fields if f.name in per_name):
+        x = per_name[name]
+        if name not in cuts and x["n"] > ID_LIKE_SHARE * n_rows or x["n"] == 0:
             continue
         purity = x["mx"] / n_rows
         gain = (purity - base) / (1.0 - base) if base < 1.0 else 0.0
-        out.append((x["name"], purity, base, gain, gain >= gain_limit or x["name"] in known))
+        out.append((name, purity, base, gain, gain >= gain_limit or name in known))
     return out
 
 

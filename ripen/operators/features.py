@@ -9,8 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.lookup import bounded_levels, dense_codes
-from ..functions.quantile import exact_quantiles
+from ..functions.quantile import bracket_dict, exact_quantiles, quantile_steps
+from ..functions.scan import Aggregate, Fit, Levels, Top, on_its_own, run
 from ..functions.stats import c
 from ..functions.types import check_column, is_categorical, is_numeric
 from ..session import cut_lineage
@@ -36,15 +36,15 @@ def _numeric(df: DataFrame, col: str, target: str | None) -> None:
         raise ValueError(f"{col!r} is not numeric")
 
 
-def fit_encode_onehot(df: DataFrame, col: str, max_levels: int = MAX_ONEHOT,
-                  target: str | None = None) -> Fitted:
+def encode_onehot_steps(df: DataFrame, col: str, max_levels: int = MAX_ONEHOT, target: str | None = None) -> Fit:
     """one boolean column ``<col>_<level>`` per level (null -> 'missing'),
     levels in code-point order, appended at the end; the source is dropped.
-    Fitting is one bounded ``distinct().limit(max+1)``."""
+    Fitting asks for the max+1 most frequent levels."""
     _text(df, col, target)
     v = F.coalesce(c(col), F.lit(MISSING))
-    levels = bounded_levels(df.select(v.alias("__v")), "__v", max_levels)
-    if levels is None:
+    (top,) = yield [Top(v, max_levels + 1)]
+    levels = sorted(top)
+    if len(levels) > max_levels:
         raise ValueError(f"{col!r} has more than {max_levels} levels; use encode_label")
     names = [f"{col}_{lv}" for lv in levels]
     lower = {n.lower() for n in df.columns if n != col}
@@ -53,6 +53,7 @@ def fit_encode_onehot(df: DataFrame, col: str, max_levels: int = MAX_ONEHOT,
     return Fitted(expand={col: [(nm, v == F.lit(lv)) for lv, nm in zip(levels, names)]})
 
 
+fit_encode_onehot = on_its_own(encode_onehot_steps)
 encode_onehot = operator(fit_encode_onehot)
 
 
@@ -61,16 +62,21 @@ def label_codes(df: DataFrame, col: str, null_text: str = MISSING) -> tuple:
     levels are counted once and numbered by a distributed sort; the table is
     checkpointed, so counting, broadcasting or shuffling it never re-reads df."""
     v = F.coalesce(c(col), F.lit(null_text))
-    counts = df.groupBy(v.alias("__v")).agg(F.count(F.lit(1)).alias("__n"))
-    return v, dense_codes(counts, "__v", "__code")
 
+    def steps():
+        return (yield [Levels(v)])[0]
+    return v, run(df, steps())
 
-def fit_encode_label(df: DataFrame, col: str, target: str | None = None) -> Fitted:
+
+def encode_label_steps(df: DataFrame, col: str, target: str | None = None) -> Fit:
     """codes 0..k-1 in code-point order (null -> 'missing')."""
     _text(df, col, target)
-    return Fitted(lookup=(col, *label_codes(df, col), "__code"))
+    v = F.coalesce(c(col), F.lit(MISSING))
+    (table,) = yield [Levels(v)]
+    return Fitted(lookup=(col, v, table, "__code"))
 
 
+fit_encode_label = on_its_own(encode_label_steps)
 encode_label = operator(fit_encode_label)
 
 
@@ -87,21 +93,16 @@ def fit_encode_target(df: DataFrame, col: str, target: str) -> Fitted:
 encode_target = operator(fit_encode_target)
 
 
-def _median(df: DataFrame, col: str) -> float:
-    return exact_quantiles(df, [c(col).cast("double")], [0.5])[0][0]
-
-
-def fit_normalize_standard(df: DataFrame, col, target: str | None = None) -> Fitted:
+def normalize_standard_steps(df: DataFrame, col, target: str | None = None) -> Fit:
     """fill nulls with the median first, then (x - mean) / std (ddof 1)
     of the filled column.  Several columns share one quantile selection and
     one moments pass."""
     cols = [col] if isinstance(col, str) else list(col)
     for n in cols:
         _numeric(df, n, target)
-    meds = [m[0] for m in exact_quantiles(df, [c(n).cast("double") for n in cols], [0.5])]
+    meds = [m[0] for m in (yield from quantile_steps([c(n).cast("double") for n in cols], [0.5]))]
     filled = {n: F.coalesce(c(n).cast("double"), F.lit(m)) for n, m in zip(cols, meds)}
-    r = df.agg(*[x for i, n in enumerate(cols) for x in
-                 (F.avg(filled[n]).alias(f"m{i}"), F.stddev_samp(filled[n]).alias(f"s{i}"))]).first()
+    (r,) = yield [Aggregate({k: x for i, n in enumerate(cols) for k, x in ((f"m{i}", F.avg(filled[n])), (f"s{i}", F.stddev_samp(filled[n])))})]
     flat = [n for i, n in enumerate(cols) if not r[f"s{i}"]]
     if flat:
         raise ValueError(f"{flat} have zero variance")
@@ -109,37 +110,41 @@ def fit_normalize_standard(df: DataFrame, col, target: str | None = None) -> Fit
     return Fitted(out)
 
 
+fit_normalize_standard = on_its_own(normalize_standard_steps)
 normalize_standard = operator(fit_normalize_standard)
 
 
-def fit_normalize_robust(df: DataFrame, col: str, target: str | None = None) -> Fitted:
+def normalize_robust_steps(df: DataFrame, col: str, target: str | None = None) -> Fit:
     """fill the median, then (x - median) / IQR of the filled column."""
     _numeric(df, col, target)
-    med = _median(df, col)
+    med = (yield from quantile_steps([c(col).cast("double")], [0.5]))[0][0]
     filled = F.coalesce(c(col).cast("double"), F.lit(med))
-    q1, m2, q3 = exact_quantiles(df, [filled], [0.25, 0.5, 0.75])[0]
+    q1, m2, q3 = (yield from quantile_steps([filled], [0.25, 0.5, 0.75]))[0]
     if q3 - q1 == 0:
         raise ValueError(f"{col!r} has zero IQR")
     return Fitted({col: (filled - F.lit(m2)) / F.lit(q3 - q1)})
 
 
+fit_normalize_robust = on_its_own(normalize_robust_steps)
 normalize_robust = operator(fit_normalize_robust)
 
 
-def fit_log_transform(df: DataFrame, col, target: str | None = None) -> Fitted:
+def log_transform_steps(df: DataFrame, col, target: str | None = None) -> Fit:
     """log1p of the median-filled column; refuses negative values.
     Several columns share one min pass and one quantile selection."""
     cols = [col] if isinstance(col, str) else list(col)
     for n in cols:
         _numeric(df, n, target)
-    mins = df.agg(*[F.min(c(n)).alias(f"lo{i}") for i, n in enumerate(cols)]).first()
+    values = [c(n).cast("double") for n in cols]
+    mins, first = yield [Aggregate({f"lo{i}": F.min(c(n)) for i, n in enumerate(cols)}), Aggregate(bracket_dict(values, [0.5]))]
     neg = [n for i, n in enumerate(cols) if mins[f"lo{i}"] is not None and mins[f"lo{i}"] < 0]
     if neg:
         raise ValueError(f"{neg} have negative values; log1p needs non-negative input")
-    meds = dict(zip(cols, [m[0] for m in exact_quantiles(df, [c(n).cast("double") for n in cols], [0.5])]))
+    meds = dict(zip(cols, [m[0] for m in (yield from quantile_steps(values, [0.5], pre_row=first))]))
     return Fitted({n: F.log1p(F.coalesce(c(n).cast("double"), F.lit(m))) for n, m in meds.items()})
 
 
+fit_log_transform = on_its_own(log_transform_steps)
 log_transform = operator(fit_log_transform)
 
 
