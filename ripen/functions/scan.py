@@ -10,9 +10,15 @@ A fit yields requests and is resumed with their answers, in the same order:
 * ``Levels``: all values of a text expression, answered by a table (__v, __n,
   __code) of counts and codes in value order.
 
+The most frequent values are found without shuffling all values: a frequent-items
+sketch (bounded, merged like any aggregate) names candidates, a second pass counts
+exactly those, and the answer stands only if no other value can reach it:
+all rows are counted, or the k-th count is above what the sketch can have missed.
+Columns for which that does not hold (flat or id-like ones) are counted in full.
+
 ``drive`` advances any number of fits in rounds.  A round answers all requests
-that are open with one aggregate over the table, one long-form count for all
-``Top`` requests of a type, one for all ``Codes`` and one for all ``Levels``; how many scans are made
+that are open with one aggregate over the table, two for all ``Top`` requests (and a
+long-form count for those not settled), one grouping for all ``Codes`` and one for all ``Levels``; how many scans are made
 depends on the longest fit, not on the number of fits.
 """
 
@@ -31,6 +37,11 @@ from .lookup import dense_codes
 scans = {"aggregate": 0, "top": 0, "codes": 0, "levels": 0}
 
 
+TRACKED = 4096            # values that a sketch follows
+SKETCH_ERROR = 3.5        # times the rows, over the values followed: what a count can be off by
+SKETCHED = {"string", "tinyint", "smallint", "int", "bigint", "boolean", "date"}
+
+
 @dataclass
 class Aggregate:
     exprs: dict[str, Column]
@@ -90,22 +101,24 @@ def _answer(df: DataFrame, asked: dict[int, list]) -> dict[int, list]:
     by_type: dict[str, list] = {}
     for (i, j, r), f in zip(top, df.select(*[r.value.alias(f"x{k}") for k, (*_, r) in enumerate(top)]).schema.fields if top else ()):
         by_type.setdefault(f.dataType.simpleString(), []).append((i, j, r))
-    for group in by_type.values():
-        scans["top"] += 1
-        counts = unpivoted(df, [r.value for *_, r in group]).where("__v is not null").groupBy("__slot", "__v").agg(F.count(F.lit(1)).alias("__n"))
-        most = max(r.k for *_, r in group)
-        w = W.partitionBy("__slot").orderBy(F.col("__n").desc(), F.col("__v").asc())
-        rows = counts.withColumn("__r", F.row_number().over(w)).where(F.col("__r") <= most).collect()
-        for s, (i, j, r) in enumerate(group):
-            found = sorted((x["__r"], x["__v"]) for x in rows if x["__slot"] == s)
-            out[i][j] = [v for _, v in found[:r.k]]
+    for kind, group in by_type.items():
+        settled = _frequent(df, [r for *_, r in group]) if kind in SKETCHED else [None] * len(group)
+        for (i, j, _), values in zip(group, settled):
+            out[i][j] = values
+        group = [x for x, values in zip(group, settled) if values is None]
+        if group:
+            scans["top"] += 1
+            counts = unpivoted(df, [r.value for *_, r in group]).where("__v is not null").groupBy("__slot", "__v").agg(F.count(F.lit(1)).alias("__n"))
+            most = max(r.k for *_, r in group)
+            w = W.partitionBy("__slot").orderBy(F.col("__n").desc(), F.col("__v").asc())
+            rows = counts.withColumn("__r", F.row_number().over(w)).where(F.col("__r") <= most).collect()
+            for s, (i, j, r) in enumerate(group):
+                found = sorted((x["__r"], x["__v"]) for x in rows if x["__slot"] == s)
+                out[i][j] = [v for _, v in found[:r.k]]
     codes = [(i, j, r) for i, j, r in every if isinstance(r, Codes)]
     if codes:
-        scans["codes"] += 1
-        rows = (unpivoted(df, [r.value.cast("int") for *_, r in codes]).where("__v is not null")
-                .groupBy("__slot", "__v").agg(F.count(F.lit(1)).alias("__n")).collect())
-        for s, (i, j, _) in enumerate(codes):
-            out[i][j] = {x["__v"]: x["__n"] for x in rows if x["__slot"] == s}
+        for (i, j, _), counts in zip(codes, _code_counts(df, [r.value.cast("int") for *_, r in codes])):
+            out[i][j] = counts
     levels = [(i, j, r) for i, j, r in every if isinstance(r, Levels)]
     if levels:
         scans["levels"] += 1
@@ -118,6 +131,32 @@ def _answer(df: DataFrame, asked: dict[int, list]) -> dict[int, list]:
     return out
 
 
+def _code_counts(df: DataFrame, codes: list[Column]) -> list[dict[int, int]]:
+    scans["codes"] += 1
+    rows = unpivoted(df, codes).where("__v is not null").groupBy("__slot", "__v").agg(F.count(F.lit(1)).alias("__n")).collect()
+    return [{x["__v"]: x["__n"] for x in rows if x["__slot"] == s} for s in range(len(codes))]
+
+
+def _frequent(df: DataFrame, asked: list[Top]) -> list[list | None]:
+    """The k most frequent values of each expression, or None where the sketch can't prove them."""
+    scans["aggregate"] += 1
+    most = [2 * r.k + 8 for r in asked]
+    row = df.agg(*[x for s, r in enumerate(asked) for x in
+                   (F.count(r.value).alias(f"n{s}"), F.call_function("approx_top_k", r.value, F.lit(most[s]), F.lit(TRACKED)).alias(f"t{s}"))]).first()
+    named = [[x["item"] for x in row[f"t{s}"] or () if x["item"] is not None] for s in range(len(asked))]
+    counted = _code_counts(df, [F.array_position(F.lit(v), r.value).cast("int") if v else F.lit(None).cast("int") for v, r in zip(named, asked)]) if any(named) else [{}] * len(asked)
+    out: list[list | None] = []
+    for s, r in enumerate(asked):
+        n = row[f"n{s}"]
+        exact = sorted((-counted[s].get(i + 1, 0), v) for i, v in enumerate(named[s]))
+        whole = sum(-k for k, _ in exact) == n
+        # a value that is not named has at most twice the sketch's error, or the estimate of the last one named
+        missed = max(2 * SKETCH_ERROR / TRACKED * n, row[f"t{s}"][-1]["count"] if len(named[s]) == most[s] else 0)
+        proven = whole or len(exact) >= r.k and -exact[r.k - 1][0] > missed
+        out.append([v for _, v in exact[:r.k]] if proven else None)
+    return out
+
+
 def unpivoted(df: DataFrame, values: list[Column], keep: list[Column] = ()) -> DataFrame:
     """(keep, __slot, __v): every value of expressions of one type; hot values merge in the map-side combine."""
     kept = df.select(*keep).columns if keep else []

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions.fingerprint import split_repeated
 from ..functions.quantile import bracket_dict, quantile_steps
 from ..functions.rand import normal01
 from ..functions.scan import Aggregate, Fit, Top, on_its_own
@@ -68,8 +69,10 @@ def fix_dtypes(df: DataFrame, target: str | None = None) -> DataFrame:
 
 def drop_duplicates(df: DataFrame) -> DataFrame:
     """One row per distinct full row (copies are identical, so "keep
-    first" is moot); hot rows merge map-side."""
-    return df.dropDuplicates()
+    first" is moot).  Rows whose fingerprint is their own stay where they are;
+    only the others are shuffled, and hot rows merge map-side."""
+    own, shared = split_repeated(df)
+    return own.select(*[c(n) for n in df.columns]).unionByName(shared.select(*[c(n) for n in df.columns]).dropDuplicates())
 
 
 def remove_leaky(df: DataFrame, target: str, col=None,

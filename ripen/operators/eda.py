@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
+from ..functions.fingerprint import split_repeated
 from ..functions.quantile import bracket_dict, bracket_exprs, exact_quantiles, locate
 from ..functions.scan import Aggregate, run, unpivoted
 from ..functions.stats import c, fast_corr_row, fit_view
@@ -202,7 +203,8 @@ def detect_outliers(df: DataFrame, target: str | None = None, approx: bool = Fal
 
 
 def duplicate_count(df: DataFrame) -> DataFrame:
-    """Rows repeating an earlier row (all columns, null equals null).
-    One grouping shuffle; copies of a hot row merge map-side."""
-    g = df.groupBy(*[c(n) for n in df.columns]).agg(F.count(F.lit(1)).alias("k"))
+    """Rows repeating an earlier row (all columns, null equals null).  Fingerprints
+    are shuffled, whole rows only where a fingerprint repeats; copies of a hot row merge map-side."""
+    _, shared = split_repeated(df)
+    g = shared.groupBy(*[c(n) for n in df.columns]).agg(F.count(F.lit(1)).alias("k"))
     return g.agg(F.coalesce(F.sum(F.col("k") - 1), F.lit(0)).cast("bigint").alias("n_duplicates"))
