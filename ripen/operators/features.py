@@ -11,17 +11,16 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.quantile import bracket_dict, exact_quantiles, quantile_steps
 from ..functions.scan import Aggregate, Fit, Levels, Top, on_its_own, run
-from ..functions.stats import c
+from ..functions.stats import c, fit_view
 from ..functions.types import check_column, is_categorical, is_numeric
 from ..session import cut_lineage
+from . import forest
 from .fitted import Fitted, operator
 
 MISSING = "missing"
 MAX_ONEHOT = 20
 TOP_K = 10
 IMPORTANCE_K = 5
-FOREST_TREES = 30
-FOREST_SEED = 42
 
 
 def _text(df: DataFrame, col: str, target: str | None) -> None:
@@ -155,16 +154,20 @@ def _filled_numbers(df: DataFrame, nums: list[str]) -> dict:
     return {n: F.coalesce(c(n).cast("double"), F.lit(m[0])) for n, m in zip(nums, meds)}
 
 
-def encoded_features(df: DataFrame, target: str | None) -> DataFrame:
+def encoded_features(df: DataFrame, target: str | None, keep: tuple[str, ...] = ()) -> DataFrame:
     """Every non-target column as a number: text -> label code of its text
     (null becomes the text 'nan', as the original's astype(str) did), numbers
-    -> median-filled doubles.  Used by F7."""
+    -> median-filled doubles.  Columns of ``keep`` stay as they are.  Used by F7."""
     types = {f.name: f.dataType for f in df.schema.fields}
-    texts = [n for n in df.columns if n != target and is_categorical(types[n])]
-    filled = _filled_numbers(df, [n for n in df.columns if n != target and n not in texts])
+    texts = [n for n in df.columns if n != target and n not in keep and is_categorical(types[n])]
+    filled = _filled_numbers(df, [n for n in df.columns if n != target and n not in keep and n not in texts])
     enc = df.select(*[filled[n].alias(n) if n in filled else c(n) for n in df.columns])
-    for n in texts:
-        enc = Fitted(lookup=(n, *label_codes(df, n, null_text="nan"), "__code")).transform(enc)
+    values = [F.coalesce(c(n), F.lit("nan")) for n in texts]
+
+    def levels():
+        return (yield [Levels(v) for v in values])
+    for n, v, table in zip(texts, values, run(df, levels())):          # one count for all of them
+        enc = Fitted(lookup=(n, v, table, "__code")).transform(enc)
     return enc
 
 
@@ -172,7 +175,6 @@ def feature_variances(df: DataFrame, target: str) -> list[tuple[str, float | Non
     """(feature, sample variance of its encoded values), largest first, ties in
     column order.  A text column's variance comes from its (code, count) table:
     no row is joined."""
-    from ..functions.stats import fit_view
     feats = [n for n in df.columns if n != target]
     types = {f.name: f.dataType for f in df.schema.fields}
     texts = [n for n in feats if is_categorical(types[n])]
@@ -207,21 +209,21 @@ def select_top_k(df: DataFrame, target: str, k: int = TOP_K) -> DataFrame:
     return df.select(*[c(n) for n in keep], c(target))
 
 
-def feature_importance(df: DataFrame, target: str, k: int = IMPORTANCE_K) -> DataFrame:
+def forest_splits(df: DataFrame, target: str, key: str, **forest_args) -> list[tuple[int, int, int, int, float]]:
+    """The splits of F7's forest: (tree, node, feature position, bin, gain)."""
+    feats = [n for n in df.columns if n != target]
+    keyed = df.where(c(target).isNotNull()).withColumn("__key", c(key).cast("string"))
+    with fit_view(encoded_features(keyed, target, keep=("__key",))) as enc:
+        return forest.grow(enc, feats, target, "__key", **forest_args)
+
+
+def feature_importance(df: DataFrame, target: str, key: str, k: int = IMPORTANCE_K) -> DataFrame:
     """random-forest importances (30 trees, seed 42) over the encoded
-    features; top k, rounded to 3.  Spark ML trains distributed."""
-    from pyspark.ml.classification import RandomForestClassifier
-    from pyspark.ml.feature import VectorAssembler
+    features; top k, rounded to 3.  See ``forest`` for how it is grown."""
     feats = [n for n in df.columns if n != target]
-    enc = encoded_features(df, target).filter(c(target).isNotNull())
-    assembled = VectorAssembler(inputCols=feats, outputCol="__features", handleInvalid="keep").transform(
-        enc.select(*[c(n).cast("double").alias(n) for n in feats], c(target).cast("double").alias("__label")))
-    model = RandomForestClassifier(featuresCol="__features", labelCol="__label", numTrees=FOREST_TREES,
-                                   seed=FOREST_SEED).fit(assembled)
-    imp = model.featureImportances.toArray()
-    top = sorted(range(len(feats)), key=lambda i: (-imp[i], i))[:k]
-    return df.sparkSession.createDataFrame([(feats[i], round(float(imp[i]), 3)) for i in top],
-                                           "feature string, importance double")
+    imp = forest.importances(forest_splits(df, target, key), len(feats))
+    top = sorted(range(len(feats)), key=lambda i: (-round(imp[i], 3), i))[:k]
+    return df.sparkSession.createDataFrame([(feats[i], round(imp[i], 3)) for i in top], "feature string, importance double")
 
 
 def create_interaction(df: DataFrame, a: str, b: str, target: str | None = None) -> DataFrame:

@@ -8,6 +8,8 @@ textbook SQL of its rule.
 
 from __future__ import annotations
 
+import math
+
 from .sources.dirty import LABELED_DOCUMENTS_SQL, LINEITEM_DIRTY_SQL, ORDERS_DIRTY_SQL, sql_hash52, sql_u
 
 ORACLE: dict[str, str] = {}
@@ -370,7 +372,50 @@ oracle("f08_variance_ranking", with_(OD, f"coded AS (SELECT {_CODED} FROM orders
                                     for i, (n, _) in enumerate(x for x in OD_COLS if x[0] != "y")) + ")")
        + "SELECT CAST(row_number() OVER (ORDER BY variance DESC, pos) - 1 AS INTEGER) AS position, feature, "
        "CAST(printf('%.6e', variance) AS DOUBLE) AS variance FROM v")
-oracle("f07_importance_facts", "SELECT CAST(5 AS BIGINT) AS n, true AS in_range, 'leak_days,leak_label' AS leaders")
+_CODED_LIST = [
+    f"dense_rank() OVER (ORDER BY coalesce({n}, 'nan')) - 1 AS {n}" if t == "string" else
+    f"coalesce({n}::DOUBLE, (SELECT quantile_cont({n}, 0.5) FROM orders_dirty)) AS {n}" for n, t in OD_COLS if n != "y"]
+def _forest_sql(trees: int = 30, depth: int = 4, bins: int = 16, seed: int = 42) -> list[str]:
+    """Common table expressions that grow F7's forest on orders: splits(t, node, f, bin, gain)."""
+    feats = [n for n, _ in OD_COLS if n != "y"]
+    m = int(len(feats) ** 0.5)
+    probs = ", ".join(repr(i / bins) for i in range(1, bins))
+    edges = ", ".join(f"list_distinct(quantile_cont({n}::DOUBLE, [{probs}])) AS e{i}" for i, n in enumerate(feats))
+    binned = ", ".join(f"len(list_filter(e{i}, lambda e: e < {n}::DOUBLE))" for i, n in enumerate(feats))
+    cdf = [math.exp(-1) * sum(1 / math.factorial(i) for i in range(k + 1)) for k in range(6)]
+    weight = " + ".join(f"(u >= {x!r})::INT" for x in cdf)
+    out = [f"coded AS (SELECT orders_dirty.id AS key, y, {', '.join(_CODED_LIST)} FROM orders_dirty WHERE y IS NOT NULL)",
+           f"edges AS (SELECT {edges} FROM coded)",
+           f"base AS MATERIALIZED (SELECT row_number() OVER () AS rid, key, CAST(y AS VARCHAR) AS y, [{binned}] AS b FROM coded, edges)",
+           f"tree AS (SELECT unnest(range({trees})) AS t)",
+           f"draw AS (SELECT rid, t, ('0x' || substr(md5(CAST(key AS VARCHAR) || ':forest{seed}:' || (t // 4)), CAST(1 + 8 * (t % 4) AS BIGINT), 8))::BIGINT / 4294967296.0 AS u FROM base, tree)",
+           f"node0 AS MATERIALIZED (SELECT rid, t, w, 1 AS node FROM (SELECT rid, t, {weight} AS w FROM draw) WHERE w > 0)",
+           f"picked AS MATERIALIZED (SELECT t, node, f FROM tree, (SELECT unnest(range({1 << depth})) AS node), (SELECT unnest(range({len(feats)})) AS f) "
+           f"QUALIFY row_number() OVER (PARTITION BY t, node ORDER BY md5(t || ':' || node || ':' || f || ':forest{seed}')) <= {m})"]
+    for d in range(depth):
+        out += [f"hist{d} AS MATERIALIZED (SELECT t, node, f, b[f + 1] AS bin, y, sum(w)::BIGINT AS n FROM node{d} JOIN base USING (rid) JOIN picked USING (t, node) GROUP BY ALL)",
+                f"cell{d} AS (SELECT * FROM (SELECT DISTINCT t, node, f, bin FROM hist{d}) JOIN (SELECT DISTINCT t, node, f, y FROM hist{d}) USING (t, node, f))",
+                f"side{d} AS (SELECT t, node, f, bin, sum(coalesce(n, 0)) OVER (PARTITION BY t, node, f, y ORDER BY bin)::BIGINT AS l, "
+                f"sum(coalesce(n, 0)) OVER (PARTITION BY t, node, f, y)::BIGINT AS a FROM cell{d} LEFT JOIN hist{d} USING (t, node, f, bin, y))",
+                f"sums{d} AS (SELECT t, node, f, bin, sum(l)::BIGINT AS nl, sum(l * l)::BIGINT AS sl, sum(a - l)::BIGINT AS nr, sum((a - l) * (a - l))::BIGINT AS sr, "
+                f"sum(a)::BIGINT AS na, sum(a * a)::BIGINT AS sa FROM side{d} GROUP BY ALL)",
+                f"best{d} AS MATERIALIZED (SELECT t, node, f, bin, gain FROM (SELECT *, sl::DOUBLE / nl + sr::DOUBLE / nr - sa::DOUBLE / na AS gain FROM sums{d} WHERE nl > 0 AND nr > 0) "
+                f"WHERE gain > 1e-9 QUALIFY row_number() OVER (PARTITION BY t, node ORDER BY gain DESC, f, bin) = 1)",
+                f"node{d + 1} AS MATERIALIZED (SELECT rid, t, w, 2 * node + (b[f + 1] > bin)::INT AS node FROM node{d} JOIN best{d} USING (t, node) JOIN base USING (rid))"]
+    out.append("splits AS MATERIALIZED (" + " UNION ALL ".join(f"SELECT * FROM best{d}" for d in range(depth)) + ")")
+    names = ", ".join(f"'{n}'" for n in feats)
+    out += ["share AS (SELECT t, f, sum(gain) / sum(sum(gain)) OVER (PARTITION BY t) AS x FROM splits GROUP BY t, f)",
+            f"importance AS (SELECT f, [{names}][f + 1] AS feature, round(sum(x) / (SELECT count(DISTINCT t) FROM splits), 3) AS importance FROM share GROUP BY f)",
+            f"every AS (SELECT f, [{names}][f + 1] AS feature, coalesce(importance, 0.0) AS importance FROM (SELECT unnest(range({len(feats)})) AS f) LEFT JOIN importance USING (f))",
+            "top AS (SELECT feature, importance FROM every ORDER BY importance DESC, f LIMIT 5)"]
+    return out
+
+
+oracle("f07_forest_splits", with_(OD, *_forest_sql()) + "SELECT CAST(t AS INTEGER) AS tree, CAST(node AS INTEGER) AS node, CAST(f AS INTEGER) AS feature, "
+       "CAST(bin AS INTEGER) AS bin, round(gain, 6) AS gain FROM splits")
+oracle("f07_feature_importance", with_(OD, *_forest_sql()) + "SELECT feature, importance FROM top")
+oracle("f07_importance_facts", with_(OD, *_forest_sql()) + "SELECT count(*) AS n, bool_and(importance BETWEEN 0 AND 1) AS in_range, "
+       "(SELECT string_agg(feature, ',' ORDER BY feature) FROM (SELECT feature FROM top ORDER BY importance DESC, feature LIMIT 2)) AS leaders FROM top")
 oracle("f08_select_top_k", with_(OD) + "SELECT " + sel(
     [x for x in OD_COLS if x[0] in ("amount", "total2", "total", "id", "city", "y")]) + " FROM orders_dirty")
 

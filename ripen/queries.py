@@ -289,13 +289,20 @@ def f06(spark, sf):
 
 @query("f07_feature_importance")
 def f07(spark, sf):
-    return features.feature_importance(orders_dirty(spark, sf), "y")
+    return features.feature_importance(orders_dirty(spark, sf), "y", "id")
+
+
+@query("f07_forest_splits")
+def f07c(spark, sf):
+    """Every split of every tree."""
+    rows = features.forest_splits(orders_dirty(spark, sf), "y", "id")
+    return rounded(spark.createDataFrame(rows, "tree int, node int, feature int, bin int, gain double"))
 
 
 @query("f07_importance_facts")
 def f07b(spark, sf):
     """What holds for any sound forest: k rows, shares within [0, 1], the two leaks lead."""
-    top = features.feature_importance(orders_dirty(spark, sf), "y")
+    top = features.feature_importance(orders_dirty(spark, sf), "y", "id")
     ranked = F.sort_array(F.collect_list(F.struct((-F.col("importance")).alias("i"), "feature")))
     lead = F.sort_array(F.transform(F.slice(ranked, 1, 2), lambda x: x["feature"]))
     return top.agg(F.count("*").alias("n"), F.bool_and(F.col("importance").between(0, 1)).alias("in_range"),
