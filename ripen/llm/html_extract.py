@@ -6,24 +6,28 @@ share of links in them:
 
     C / T * log(C * T / (LC * LT)) to the base ln(C * LC / NLC + body_LC * C / body_C + e)
 
-(counts of 0 read 1).  An element's density sum is the sum of its children's.
-The element with the largest sum under the body gives the threshold: the
-smallest density on its path to the body.  Elements below the threshold can't
-start the article; of the others, the one with the largest sum does, and is
-widened to the ``article`` or ``main`` element that it lies in.
-
-Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and
-reader comments are cut from the tree before, by element, role, class or id.
-A wrapper of most of the page's text that is not mostly links is not cut by its
-class or id, nor for an end tag that is missing: the density decides.  Comments,
-and elements with just such a name, stay cut unless hardly any text is outside of
-them; so do others beside an ``article`` or ``main`` of some length.
+(counts of 0 read 1).  A block element's density sum is the sum over its child
+blocks, its own text and inline elements being one of them.  The block with the
+largest sum under the body gives the threshold: the smallest density on its path
+to the body.  Blocks below the threshold can't start the article; of the others,
+the one with the largest sum does.  On its path to the body it is widened to each
+element that adds more text in blocks at or above the threshold than below it: a
+title, or a ``WIDEN``-th of the article's own length.
+
+Cut from the tree before are only elements whose markup says what they are:
+menus, headers, footers, asides, forms, scripts, styles, hidden parts and their
+ARIA roles.  Class names and ids come after the densities: a part that is named
+like an advert, a notice, a sidebar or reader comments is measured with the page,
+can't be the article, and is left out of it, unless it wraps most of the page's text
+without being mostly links (then the density decides).  Comments, and elements with
+just such a name, are left out unless hardly any text is outside of them; so are others
+beside an ``article`` or ``main`` of some length.
 Text blocks follow block elements; white space in a block reads as one space.
 
 A page is one row, parsed by itself; nothing is shared between rows.  Nulls: a
 null or empty html, or one without text, gives an empty text; a null url or id
 is kept.  Unclosed and truncated markup is read as far as it goes.  An empty
-table gives an empty result.
+table gives an empty result.  Input columns named text or n_chars are replaced.
 """
 
 from __future__ import annotations
@@ -57,16 +61,18 @@ _READERS = re.compile(r"(?:^|[\s_-])(?:comment|comments|comment-list|disqus|resp
 _LAYOUT = re.compile(r"(?<!\S)(?:(?:no|has|with|without)[_-]\S*|related[_-]works?(?!\S))", re.I)     # says what is beside it, or is a heading of papers
 _HEADER = re.compile(r"(?:^|[\s_-])(?:header|masthead)(?:$|[\s_-])", re.I)     # an article's own header holds its title
 _SPACE = re.compile(r"\s+")
+WIDEN = 4
 
 
 class Node:
-    __slots__ = ("tag", "up", "items", "chars", "tags", "link_chars", "link_tags", "density", "total", "cut", "ended")
+    __slots__ = ("tag", "up", "items", "chars", "tags", "link_chars", "link_tags", "density", "total", "cut", "ended", "block", "named")
 
     def __init__(self, tag: str, up: "Node | None"):
         self.tag, self.up, self.items = tag, up, []        # items: nodes and texts in page order
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
         self.cut, self.ended = "", tag in _OPTIONAL_END    # cut: "", ALWAYS, or by a name
+        self.block, self.named = tag not in _INLINE, False  # named: inside a part that is left out by its name
 
 
 ALWAYS, NAMED, SURE = "always", "named", "sure"          # SURE: comments, or the name and nothing else
@@ -102,7 +108,7 @@ def _cut_of(tag: str, attributes: str, at: "Node") -> str:
 
 
 def parse(page: str) -> Node:
-    """The tree below the body, without the parts that are cut."""
+    """The tree below the body, without the parts that are cut by their markup; parts left out by name are marked."""
     root = Node("body", None)
     at, pos, raw = root, 0, None
     while pos < len(page):
@@ -155,7 +161,7 @@ def parse(page: str) -> Node:
 
 
 def _prune(root: Node) -> None:
-    """Takes cut elements out of the tree, but for wrappers of most of the page's text."""
+    """Takes cut elements out of the tree and marks the named ones, but for wrappers of most of the page's text."""
     order, todo = [], [root]
     while todo:
         node = todo.pop()
@@ -185,8 +191,12 @@ def _prune(root: Node) -> None:
     todo = [root]
     while todo:
         node = todo.pop()
-        node.items = [x for x in node.items if not isinstance(x, Node) or not x.cut or x in size and wraps(x)]
-        todo += [x for x in node.items if isinstance(x, Node)]
+        out = {x for x in node.items if isinstance(x, Node) and x.cut and not (x in size and wraps(x))}
+        node.items = [x for x in node.items if x not in out or x.cut != ALWAYS]
+        for x in node.items:
+            if isinstance(x, Node):
+                x.named = node.named or x in out
+                todo.append(x)
 
 
 def _within(node: Node | None, *tags: str) -> Node | None:
@@ -229,30 +239,56 @@ def _measure(root: Node) -> list[Node]:
             c, t, lc, lt = n.chars, max(n.tags, 1), max(n.link_chars, 1), max(n.link_tags, 1)
             base = math.log(c * lc / max(c - n.link_chars, 1) + share * c + math.e)
             n.density = max(0.0, c / t * math.log(max(c * t / (lc * lt), 1.0)) / math.log(max(base, 1.0 + 1e-9))) if base > 1 else c / t
-        n.total = sum(x.density for x in n.items if isinstance(x, Node))
+        own = tags = 0                                          # the text outside of child blocks is one more
+        for x in n.items:
+            if not isinstance(x, Node):
+                own += len(_SPACE.sub(" ", x).strip())
+            elif x.block:
+                n.block = True
+                n.total += x.density
+            else:
+                own, tags = own + x.chars - x.link_chars, tags + x.tags + 1
+        n.total += own / max(tags, 1)
     return order
 
 
 def main_node(root: Node) -> Node:
-    order = _measure(root)
-    best = max(reversed(order), key=lambda n: n.total)          # the first in page order among equals
+    """The element that holds the article: the largest density sum, widened on its path to the body."""
+    order = [n for n in reversed(_measure(root)) if n.block and not n.named]
+    best = max(order, key=lambda n: n.total)                    # the first in page order among equals
     threshold, node = best.density, best
     while node is not None:
         threshold, node = min(threshold, node.density), node.up
-    dense = [n for n in reversed(order) if n.density >= threshold and n.total > 0]
-    best = max(dense, key=lambda n: n.total, default=root)
-    marked = _within(best, "article", "main")
-    if marked is not None:
-        return marked
-    inside = [n for n in order if n.tag in ("article", "main") and _below(n, best)]
-    whole = max(inside, key=lambda n: n.chars, default=None)
-    return whole if whole is not None and 2 * whole.chars >= best.chars else best
-
-
-def _below(node: Node | None, top: Node) -> bool:
-    while node is not None and node is not top:
+    best = max((n for n in order if n.density >= threshold), key=lambda n: n.total)
+    top, node = best, best
+    while node.up is not None:
+        dense, thin, title = _beside(node.up, node, threshold)
         node = node.up
-    return node is top
+        if dense > thin and (title or WIDEN * dense >= top.chars):
+            top = node
+    return top
+
+
+def _beside(parent: Node, child: Node, threshold: float) -> tuple[int, int, bool]:
+    """Characters under ``parent``, outside ``child`` and named parts, in blocks from the threshold on and below it; whether a title is there."""
+    dense = thin = 0
+    title = False
+    todo = [x for x in parent.items if x is not child]
+    while todo:
+        x = todo.pop()
+        if isinstance(x, Node):
+            if x.named:
+                continue
+            if any(isinstance(y, Node) and y.block for y in x.items):
+                todo += x.items
+                continue
+            chars, full = x.chars, x.density >= threshold and 2 * x.link_chars <= x.chars
+            title |= full and x.tag == "h1"
+        else:                                                   # text beside blocks: one tag
+            chars = len(_SPACE.sub(" ", x).strip())
+            full = chars >= threshold
+        dense, thin = dense + chars * full, thin + chars * (not full)
+    return dense, thin, title
 
 
 def blocks_of(top: Node) -> list[str]:
@@ -272,6 +308,9 @@ def blocks_of(top: Node) -> list[str]:
             end()
         elif isinstance(x, str):
             text.append(x)
+        elif x.named:
+            if x.tag not in _INLINE:
+                end()
         elif x.tag in _INLINE:
             if x.tag in ("br", "wbr"):
                 text.append(" " if x.tag == "br" else "")
