@@ -13,13 +13,17 @@ def c(name: str) -> Column:
     return F.col(q(name))
 
 
+FLAT = 1e-13     # a side whose standard deviation is at most this share of its mean is constant up to rounding
+
+
 def safe_corr(a: Column, b: Column) -> Column:
     """Pairwise-complete Pearson r that is null (not an ANSI error, not NaN)
-    when a side has zero variance."""
-    a, b = a.cast("double"), b.cast("double")
+    when a side is constant; NaN reads as null."""
+    a, b = (F.nanvl(x.cast("double"), F.lit(None).cast("double")) for x in (a, b))
     both = a.isNotNull() & b.isNotNull()
-    return F.try_divide(F.covar_pop(a, b),
-                        F.stddev_pop(F.when(both, a)) * F.stddev_pop(F.when(both, b)))
+    a, b = F.when(both, a), F.when(both, b)
+    flat = F.greatest(*(F.when(F.stddev_pop(x) <= F.lit(FLAT) * F.abs(F.avg(x)), 1).otherwise(0) for x in (a, b)))
+    return F.when(flat == 0, F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b)))
 
 
 def pandas_skew(n: int | None, g1: float | None) -> float | None:
@@ -158,7 +162,7 @@ def gram_corr(df: DataFrame, cols: list[str]) -> dict:
         a, b = int(i[r["pair"]]), int(j[r["pair"]])
         if r["n"]:
             vx, vy = r["xx"] - r["x"] ** 2 / r["n"], r["yy"] - r["y"] ** 2 / r["n"]
-            if vx > r["n"] * (1e-13 * means[a]) ** 2 and vy > r["n"] * (1e-13 * means[b]) ** 2:
+            if vx > r["n"] * (FLAT * means[a]) ** 2 and vy > r["n"] * (FLAT * means[b]) ** 2:
                 out[(cols[a], cols[b])] = (r["xy"] - r["x"] * r["y"] / r["n"]) / math.sqrt(vx * vy)
     return out
 

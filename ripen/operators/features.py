@@ -9,7 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions.lookup import lookup_join
 from ..functions.quantile import bracket_dict, exact_quantiles, quantile_steps
+from ..functions.rand import u01
 from ..functions.scan import Aggregate, Fit, Levels, Top, on_its_own, run
 from ..functions.stats import c, fit_view
 from ..functions.types import check_column, is_categorical, is_numeric
@@ -21,6 +23,9 @@ MISSING = "missing"
 MAX_ONEHOT = 20
 TOP_K = 10
 IMPORTANCE_K = 5
+TARGET_FOLDS = 5
+TARGET_PRIOR = 10.0
+FOLD_SEED = 42
 
 
 def _text(df: DataFrame, col: str, target: str | None) -> None:
@@ -92,6 +97,42 @@ def fit_encode_target(df: DataFrame, col: str, target: str) -> Fitted:
 encode_target = operator(fit_encode_target)
 
 
+def encode_target_folds(df: DataFrame, col: str, target: str, key: str, folds: int = TARGET_FOLDS,
+                        prior: float = TARGET_PRIOR, seed: int = FOLD_SEED) -> tuple[DataFrame, Fitted]:
+    """F3 without the leak of a row's own target: out-of-fold means.
+
+    A row's fold is keyed by md5 of ``key``.  Its level becomes the target's mean over the
+    level's rows in all other folds, shrunk by ``prior`` rows of the overall mean of those
+    folds; a level that no other fold has becomes that mean.  Rows without a target count
+    nowhere and are encoded all the same.  Also gives the fit for other tables, from
+    all folds (a level that is not there becomes null).  One grouping by level: sums per
+    fold are columns, and a row picks those of its fold.
+    """
+    _text(df, col, target)
+    check_column(df, key)
+    v, y = F.coalesce(c(col), F.lit(MISSING)), c(target).cast("double")
+    fold = F.floor(u01(c(key), f"fold{seed}") * F.lit(folds)).cast("int")
+    mine = [F.when(fold == k, y) for k in range(folds)]
+    table = cut_lineage(df.groupBy(v.alias("__v")).agg(F.array(*[F.count(x) for x in mine]).alias("__n"),
+                                                       F.array(*[F.coalesce(F.sum(x), F.lit(0.0)) for x in mine]).alias("__s")))
+    row = table.agg(*[F.sum(F.col(x)[k]).alias(f"{x}{k}") for x in ("__n", "__s") for k in range(folds)]).first()
+    n, s = ([row[f"{x}{k}"] or 0 for k in range(folds)] for x in ("__n", "__s"))
+    if not sum(n):
+        raise ValueError(f"no row has a value of {target!r}")
+    others = [(sum(s) - s[k]) / (sum(n) - n[k]) if sum(n) > n[k] else sum(s) / sum(n) for k in range(folds)]
+
+    def mean(skip: F.Column | None, base: F.Column) -> F.Column:
+        total = {x: F.aggregate(F.col(x), F.lit(0.0), lambda a, b: a + b) for x in ("__n", "__s")}
+        if skip is not None:
+            total = {x: t - F.get(F.col(x), skip) for x, t in total.items()}
+        return (total["__s"] + F.lit(prior) * base) / (total["__n"] + F.lit(prior))
+
+    joined = lookup_join(df.withColumn("__v", v).withColumn("__f", fold), table, on="__v")
+    out = joined.select(*[mean(F.col("__f"), F.get(F.lit(others), F.col("__f"))).alias(x) if x == col else c(x) for x in df.columns])
+    every = table.select("__v", mean(None, F.lit(sum(s) / sum(n))).alias("__mean"))
+    return out, Fitted(lookup=(col, v, every, "__mean"))
+
+
 def normalize_standard_steps(df: DataFrame, col, target: str | None = None) -> Fit:
     """fill nulls with the median first, then (x - mean) / std (ddof 1)
     of the filled column.  Several columns share one quantile selection and

@@ -337,6 +337,15 @@ oracle("f02_encode_label_part", "SELECT p_partkey, CAST(dense_rank() OVER (ORDER
        "AS BIGINT) AS p_name FROM part")
 oracle("f03_encode_target", with_(OD) + "SELECT " + sel(OD_COLS, {
     "city": ("avg(y) OVER (PARTITION BY coalesce(city, 'missing'))", "double")}) + " FROM orders_dirty")
+oracle("f03_encode_target_folds", with_(
+    OD, f"od AS (SELECT id, coalesce(city, 'missing') AS level, status, y, CAST(floor({sql_u('id', 'fold42')} * 5) AS INTEGER) AS f FROM orders_dirty)",
+    "tr AS (SELECT * FROM od WHERE id % 5 <> 0)",
+    "o AS (SELECT a.f, avg(b.y) AS m FROM (SELECT DISTINCT f FROM tr) a JOIN tr b ON a.f <> b.f GROUP BY a.f)",
+    "k AS (SELECT a.level, a.f, count(b.y) AS n, coalesce(sum(b.y), 0) AS s FROM (SELECT DISTINCT level, f FROM tr) a "
+    "LEFT JOIN tr b ON a.level = b.level AND a.f <> b.f GROUP BY ALL)",
+    "w AS (SELECT level, (sum(y) + 10.0 * (SELECT avg(y) FROM tr)) / (count(y) + 10.0) AS mean FROM tr GROUP BY level)")
+    + "SELECT id, round((s + 10.0 * m) / (n + 10.0), 6) AS city, status, y FROM tr JOIN k USING (level, f) JOIN o USING (f) "
+    "UNION ALL SELECT id, round(mean, 6), status, y FROM od LEFT JOIN w USING (level) WHERE id % 5 = 0")
 oracle("f04_normalize_standard",
        "WITH m AS (SELECT quantile_cont(n_chars, 0.5) AS med FROM documents), "
        "f AS (SELECT doc_id, coalesce(n_chars::DOUBLE, med) AS x FROM documents, m) "

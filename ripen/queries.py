@@ -270,6 +270,15 @@ def f03(spark, sf):
     return rounded(features.encode_target(orders_dirty(spark, sf), "city", "y"))
 
 
+@query("f03_encode_target_folds")
+def f03b(spark, sf):
+    """Out-of-fold means of the given part, and the means of all its folds on the rest."""
+    od = orders_dirty(spark, sf).select("id", "city", "status", "y")
+    train, test = od.where("id % 5 <> 0"), od.where("id % 5 = 0")
+    train, fitted = features.encode_target_folds(train, "city", "y", "id")
+    return rounded(train.unionByName(fitted.transform(test)))
+
+
 @query("f04_normalize_standard")
 def f04(spark, sf):
     d = table(spark, sf, "documents").select("doc_id", "n_chars")
