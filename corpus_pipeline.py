@@ -4,6 +4,12 @@ Each stage takes (spark, docs, sf_dir) and reads all that its predecessor kept;
 all but the last return the columns of ``documents``.  The caller writes each
 stage's result as Parquet and reads it again for the next; ``run`` cuts the
 lineage between stages by a checkpoint in the shared folder.
+
+Nulls: a null text is empty for every stage; rows with a null or a repeated id are
+judged one by one, by id and text hash, and equal rows share a verdict.  Without any
+label of quality 1 the first stage rejects nothing; without benchmark items the third
+keeps all.  The mixing stage counts a null language or source as ``unknown``.  An empty table
+passes through every stage empty, with its columns.
 """
 
 from __future__ import annotations
