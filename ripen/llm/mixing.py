@@ -18,7 +18,8 @@ a third of all rows never meets in one task.  DataFrame operations only.
 Nulls: a null language or source is the leaf "unknown"; a null text has no
 tokens and such rows come with any prefix that reaches their place (a leaf
 without tokens is taken once).  A node with weight 0 gets nothing.  Rows with
-equal ids are ordered by content.  An empty table gives an empty result.
+equal ids are ordered by content.  Input columns named domain, n_tokens or copies are
+replaced.  An empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -24,7 +24,8 @@ group of copies; components are joined by distributed connected components.
 Levels and blocks change the work, not the result.
 
 Nulls: a null or empty text has fingerprint 0 and is linked like any other; a
-null id is kept, and counts last for the smallest id of its component.  An
+null id is kept, and counts last for the smallest id of its component.  Rows with
+equal ids are judged one by one, each by its own text.  Other columns are not read.  An
 empty table gives an empty result.
 """
 

@@ -19,7 +19,8 @@ the URL; only URLs with an edge take part in it.
 
 Nulls: a null URL, or one without "://", has an empty host and path, fits no
 rule, has no aliases and is allowed.  Rows with equal URLs get equal verdicts.
-A null html has no links.  An empty table gives an empty result.
+A null html has no links.  Input columns named host, path, rule, verdict or class are
+replaced.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
