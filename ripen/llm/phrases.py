@@ -16,7 +16,7 @@ Texts are lower-cased (A-Z), cut into pieces at ``[.,;:!?\\x0A-\\x0D]`` and thes
    all lengths.  That ends when no border phrase fails: one pass finds the rest, another counts it by its words.
 
 A task adds up its own counts and deals them by hash to chunks, compressed, one row a chunk; a chunk adds up what all
-tasks have for it.  The number of chunks follows the words of the sample.
+tasks have for it.  The number of chunks follows the input's partitions and the words of the sample.
 
 Every phrase with ``least`` occurrences is then counted by its words over all documents, whatever the
 sample; the sample and false positives of the bitmap change only the work.
@@ -38,7 +38,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..session import cut_lineage
-from .bitmap import collect_bitmaps, has
+from .bitmap import added, chunks_for, collect_bitmaps, has
 from .util import bounded_broadcast
 from .words import Words, blocks, gather, mix, signed, spaced, text_buffer
 
@@ -51,7 +51,6 @@ SCALE = 2_000_000
 INSIDE = 80                     # percent of a phrase's count that a longer one must have
 BLOCK = 1 << 19                 # bytes of text at once
 FLUSH = 1 << 19                 # phrases (and four times as many hashes) that a task holds before it deals them out
-SAMPLE_CHUNKS = 64
 CHUNK_WORDS = 1 << 19           # running words for one chunk, the group in which counts are added up
 HASH_BITS = 48                  # of a border phrase's hash, the lowest
 _SALTS = 64
@@ -144,7 +143,7 @@ class _Counts:
                 chunks.append(k)
                 data.append(z.compress(b"".join(parts)))
         if self.hashes:
-            h, n = _added(*(np.concatenate(x) for x in zip(*self.hashes)))
+            h, n = added(*(np.concatenate(x) for x in zip(*self.hashes)))
             found, at = self._cuts(h)
             for k, i, j in zip(found.tolist(), at[:-1].tolist(), at[1:].tolist()):
                 gaps = np.diff(h[i:j], prepend=np.uint64(0))
@@ -160,14 +159,6 @@ def _summed(table: pa.Table) -> pa.Table:
     return found.select(["lang", "phrase", "n_sum", "h_min"]).rename_columns(["lang", "phrase", "n", "h"])
 
 
-def _added(h: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct hashes, sorted, and the sums of their counts."""
-    order = np.argsort(h)
-    h, n = h[order], n[order]
-    at = np.flatnonzero(np.append(True, h[1:] != h[:-1])) if len(h) else np.empty(0, dtype=np.int64)
-    return h[at], np.add.reduceat(n, at) if len(h) else n
-
-
 def _chunk(blobs: list[bytes], least: int) -> pa.Table:
     """(lang, phrase, h, n) of a chunk: phrases and, without words, border hashes with ``least`` occurrences or more in all tasks."""
     from zstandard import ZstdDecompressor
@@ -195,7 +186,7 @@ def _chunk(blobs: list[bytes], least: int) -> pa.Table:
         t = _summed(pa.concat_tables(exact))
         out.append(t.filter(pc.or_(pc.greater_equal(t["n"], least), pc.equal(t["phrase"], ""))))
     if hashes:
-        h, n = _added(*(np.concatenate(x) for x in zip(*hashes)))
+        h, n = added(*(np.concatenate(x) for x in zip(*hashes)))
         out.append(pa.table({"h": signed(h[n >= least]), "n": pa.array(n[n >= least])}))
     cols = [pa.chunked_array([x for t in out for x in (t[f.name].chunks if f.name in t.column_names else [pa.nulls(len(t), f.type)])], f.type) for f in _SCHEMA]
     return pa.table(cols, schema=_SCHEMA)
@@ -226,7 +217,7 @@ def _scan(base: DataFrame, longest: int, rows, chunks: int, least: int) -> DataF
             .applyInArrow(lambda t: _chunk(t["data"].to_pylist(), least), "lang string, phrase string, h long, n long"))
 
 
-def _propose(base: DataFrame, longest: int, count: int, bits: int) -> tuple[np.ndarray, int]:
+def _propose(base: DataFrame, longest: int, count: int, bits: int, chunks: int) -> tuple[np.ndarray, int]:
     """The bitmap of all phrases of the sample with ``count`` occurrences there, level by level, and the words of the sample by the counts of
     its frequent ones."""
     sc = base.sparkSession.sparkContext
@@ -239,7 +230,7 @@ def _propose(base: DataFrame, longest: int, count: int, bits: int) -> tuple[np.n
             border, proposed = found.sides([shared.value])[0][k - 1]
             return none, found.hash[k - 1][border | proposed]
 
-        more, total = collect_bitmaps(_scan(base, k, level, SAMPLE_CHUNKS, count), bits, total="n", proposed="true")
+        more, total = collect_bitmaps(_scan(base, k, level, chunks, count), bits, total="n", proposed="true")
         known, words = known | more, max(words, total)
     return known, words
 
@@ -277,8 +268,9 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
     """((lang, phrase, f) of all phrases with ``least`` occurrences or more, (lang, n) with all words of each language)."""
     sc = docs.sparkSession.sparkContext
     sampled = docs.where(F.pmod(F.xxhash64(id_col), F.lit(SAMPLE_SHARE)) == 0)
-    known, words = _propose(_prepared(sampled, text_col, lang_col), longest, SAMPLE_COUNT, bits)
-    chunks = max(SAMPLE_CHUNKS, words * SAMPLE_SHARE // CHUNK_WORDS)
+    few = chunks_for(docs, bits)
+    known, words = _propose(_prepared(sampled, text_col, lang_col), longest, SAMPLE_COUNT, bits, few)
+    chunks = max(few, words * SAMPLE_SHARE // CHUNK_WORDS)
     base = _prepared(docs, text_col, lang_col)
     passes, chain = [], []
     while not chain or failed.any():
