@@ -145,6 +145,8 @@ def find_contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id"
     shingles = windows.select("wid", "q", F.posexplode("shingles").alias("off", "h"))
     n_keys = shingles.select("q", "h").distinct().count()
     n_blocks = max(1, -(-n_keys // MAX_KEYS))
+    if n_blocks > 1:                # a row's number must be the same in all scans
+        base = cut_lineage(base)
 
     counts = None
     for k in range(n_blocks):
