@@ -1,10 +1,13 @@
 """Operators against brute force on a small corpus of hard cases."""
 
 import hashlib
+import math
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -78,8 +81,10 @@ def brute_fingerprint(text):
     return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
 
 
-@pytest.mark.parametrize("levels", [4, 8])
-def test_simhash_equals_brute_force(spark, corpus, levels):
+@pytest.mark.parametrize("levels, leaf", [(4, 1 << 16), (8, 1 << 16), (None, 7), (16, 40)])
+def test_simhash_equals_brute_force(spark, corpus, monkeypatch, levels, leaf):
+    """At every number of levels, and with leaves cut into blocks."""
+    monkeypatch.setattr(simhash, "LEAF_ROWS", leaf)
     rows = texts(corpus) + [(500 + i, " ".join(sentence(1, 400).split()[i:])) for i in range(25)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     fps = [brute_fingerprint(t) for _, t in rows]
@@ -102,6 +107,18 @@ def test_simhash_equals_brute_force(spark, corpus, levels):
     assert len({x[2] for x in want}) < len(rows) - 10
 
 
+def test_leaf_of_fifty_thousand_near_fingerprints_ends_in_seconds():
+    rng = np.random.default_rng(5)
+    found = {0}
+    while len(found) < 50_000:
+        found.add(sum(1 << int(b) for b in rng.choice(64, int(rng.integers(0, 5)), replace=False)))
+    fp = rng.permutation(np.array(sorted(found), dtype=np.uint64))
+    start = time.time()
+    la, a, lb, b = simhash._leaf(np.concatenate([fp, fp]), np.tile(np.arange(len(fp)), 2), np.repeat([True, False], len(fp)), 4)
+    assert len(a) == len(fp) - 1 and (np.bitwise_count(a ^ b) <= 4).all() and (fp[la] == a).all() and (fp[lb] == b).all()
+    assert time.time() - start < 60
+
+
 def test_simhash_of_nothing(empty):
     assert simhash.near_duplicates(empty).count() == 0
 
@@ -160,6 +177,28 @@ def test_shards_are_contiguous_and_balanced(corpus):
         assert sorted(r["slot"] for r in got if r["shard"] == s) == list(range(n))
 
 
+@pytest.mark.parametrize("case", ["corpus", "one id", "null ids", "equal rows", "text ids"])
+def test_shards_of_hot_ids(spark, corpus, monkeypatch, case):
+    """Ids with more rows than a range: the same law, whatever the parts."""
+    monkeypatch.setattr(sharding, "RANGE_ROWS", 5)
+    rows = [(r[0], r[1] or "", r[2]) for r in corpus.select("doc_id", "text", "lang").collect()]
+    rows = {"corpus": rows, "one id": [(4, t, x) for _, t, x in rows], "null ids": [(None if i % 3 else i, t, x) for i, (_, t, x) in enumerate(rows)],
+            "equal rows": [(9, "same words", "en")] * 40 + [(9, "other", "en")] * 7 + [(d, t, x) for d, t, x in rows if d and d < 20],
+            "text ids": [(f"id-{(d or 0) // 10}", t, x) for d, t, x in rows]}[case]
+    df = spark.createDataFrame(rows, f"doc_id {'string' if case == 'text ids' else 'long'}, text string, lang string")
+    got = sharding.assign_shards(df, 7, sharding.text_size("text"), order=("text",)).collect()
+    assert Counter((r["doc_id"], r["text"], r["lang"]) for r in got) == Counter(rows)
+    total, start = sum(r["size"] for r in got), 0
+    order = sorted(got, key=lambda r: (r["shard"], r["slot"]))
+    assert [r["doc_id"] for r in order] == sorted((r["doc_id"] for r in got), key=lambda d: (d is not None, d))
+    for r in order:
+        assert r["size"] == len(r["text"].encode()) + 16
+        assert r["shard"] == min(6, (2 * start + r["size"]) * 7 // (2 * total))
+        start += r["size"]
+    for s, n in Counter(r["shard"] for r in got).items():
+        assert sorted(r["slot"] for r in got if r["shard"] == s) == list(range(n))
+
+
 def test_sharding_of_nothing_and_of_equal_ids(spark, empty):
     assert sharding.assign_shards(empty, 7, sharding.text_size("text")).count() == 0
     df = spark.createDataFrame([(1, "a" * i) for i in range(50)], "doc_id long, text string")
@@ -426,11 +465,46 @@ def test_log_ratios_separate_other_text(spark):
     assert not any(got[d]["kept"] for d, _ in odd)
     assert min(got[d]["llr"] for d, _ in good) > max(got[d]["llr"] for d, _ in odd)
     assert all(got[d]["kept"] == (not got[d]["base_failed"] and got[d]["llr"] >= quality_rules.THRESHOLD) for d, _ in good)
-    seen = Counter(w for _, t in good + odd for w in t.split())
-    target = Counter(w for d, t in good if d % 2 == 0 for w in t.split())
-    raw, all_target = (sum(c.values()) + quality_rules.BUCKETS for c in (seen, target))
-    score = lambda t: sum(math.log((target[w] + 1) / all_target) - math.log((seen[w] + 1) / raw) for w in t.split()) / len(t.split())
-    assert abs(got[0]["llr"] - score(good[0][1])) < 0.02              # but for words that share a bucket
+
+
+def gram_buckets(text):
+    """Buckets of the single words and pairs of a text: XXH64, a pair chained through the first word's hash."""
+    from xxhash import xxh64_intdigest
+    h = [xxh64_intdigest(x, 42) for x in words(text)]
+    pairs = [xxh64_intdigest(y, a) for a, y in zip(h, words(text)[1:])]
+    return [x % quality_rules.BUCKETS for x in h + pairs]
+
+
+def test_llr_and_verdict_equal_brute_force(spark, corpus):
+    """For every document, repeated and null ids, labels without a document and repeated labels included."""
+    trusted = {i for i in range(0, 150, 2)} | {10**9}
+    rows = texts(corpus)
+    raw, target = Counter(), Counter()
+    for d, t in rows:
+        raw.update(gram_buckets(t))
+        if d in trusted:
+            target.update(gram_buckets(t))
+    n_raw, n_target = (sum(c.values()) + quality_rules.BUCKETS for c in (raw, target))
+    llr = lambda g: sum(math.log((target[b] + 1) / n_target) - math.log((raw[b] + 1) / n_raw) for b in g) / len(g) if g else 0.0
+    ids = spark.createDataFrame([(i,) for i in [*trusted, *trusted, None]], "doc_id long")
+    got = sorted(((r["doc_id"], r["n_words"], r["base_failed"], r["llr"], r["kept"])
+                  for r in quality_rules.score(corpus, quality_rules.log_ratios(corpus, ids)).collect()), key=lambda r: (str(r[0]), r[1], r[3]))
+    want = sorted(((d, len(words(t)), llr(gram_buckets(t))) for d, t in rows), key=lambda r: (str(r[0]), r[1], r[2]))
+    assert [(r[0], r[1]) for r in got] == [(r[0], r[1]) for r in want]
+    assert all(abs(g[3] - w[2]) < 1e-9 for g, w in zip(got, want))
+    assert all(g[4] == (not g[2] and w[2] >= quality_rules.THRESHOLD) for g, w in zip(got, want))
+    assert len({g[4] for g in got}) == 2
+
+
+def test_llr_depends_on_word_order_and_not_on_the_bitmap(spark, monkeypatch):
+    good = [(i, sentence(i, 30 + i % 50)) for i in range(30)]
+    df = spark.createDataFrame(good + [(100 + i, " ".join(reversed(t.split()))) for i, t in good], "doc_id long, text string")
+    ids = df.where("doc_id < 30").select("doc_id")
+    ratios = quality_rules.log_ratios(df, ids)
+    llr = {r["doc_id"]: r["llr"] for r in quality_rules.score(df, ratios).collect()}
+    assert all(llr[i] > llr[100 + i] for i in range(30))
+    monkeypatch.setattr(quality_rules, "FILTER_WORDS", 1)
+    assert quality_rules.log_ratios(df, ids) == ratios
 
 
 def test_quality_rules_of_nothing(empty):
