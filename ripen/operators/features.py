@@ -250,15 +250,17 @@ def select_top_k(df: DataFrame, target: str, k: int = TOP_K) -> DataFrame:
     return df.select(*[c(n) for n in keep], c(target))
 
 
-def forest_splits(df: DataFrame, target: str, key: str, **forest_args) -> list[tuple[int, int, int, int, float]]:
-    """The splits of F7's forest: (tree, node, feature position, bin, gain)."""
+def forest_splits(df: DataFrame, target: str, key: str | None = None, **forest_args) -> list[tuple[int, int, int, int, float]]:
+    """The splits of F7's forest: (tree, node, feature position, bin, gain).  Without a key
+    column, a row is drawn by its values."""
     feats = [n for n in df.columns if n != target]
-    keyed = df.where(c(target).isNotNull()).withColumn("__key", c(key).cast("string"))
+    row = c(key).cast("string") if key else F.concat_ws("|", *[F.coalesce(c(n).cast("string"), F.lit("")) for n in df.columns])
+    keyed = df.where(c(target).isNotNull()).withColumn("__key", row)
     with fit_view(encoded_features(keyed, target, keep=("__key",))) as enc:
         return forest.grow(enc, feats, target, "__key", **forest_args)
 
 
-def feature_importance(df: DataFrame, target: str, key: str, k: int = IMPORTANCE_K) -> DataFrame:
+def feature_importance(df: DataFrame, target: str, k: int = IMPORTANCE_K, key: str | None = None) -> DataFrame:
     """random-forest importances (30 trees, seed 42) over the encoded
     features; top k, rounded to 3.  See ``forest`` for how it is grown."""
     feats = [n for n in df.columns if n != target]

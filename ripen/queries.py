@@ -298,7 +298,7 @@ def f06(spark, sf):
 
 @query("f07_feature_importance")
 def f07(spark, sf):
-    return features.feature_importance(orders_dirty(spark, sf), "y", "id")
+    return features.feature_importance(orders_dirty(spark, sf), "y", key="id")
 
 
 @query("f07_forest_splits")
@@ -311,7 +311,7 @@ def f07c(spark, sf):
 @query("f07_importance_facts")
 def f07b(spark, sf):
     """What holds for any sound forest: k rows, shares within [0, 1], the two leaks lead."""
-    top = features.feature_importance(orders_dirty(spark, sf), "y", "id")
+    top = features.feature_importance(orders_dirty(spark, sf), "y", key="id")
     ranked = F.sort_array(F.collect_list(F.struct((-F.col("importance")).alias("i"), "feature")))
     lead = F.sort_array(F.transform(F.slice(ranked, 1, 2), lambda x: x["feature"]))
     return top.agg(F.count("*").alias("n"), F.bool_and(F.col("importance").between(0, 1)).alias("in_range"),

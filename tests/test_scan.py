@@ -85,10 +85,10 @@ def test_forest_depends_on_data_and_seed_alone(spark):
     got = features.forest_splits(df, "y", "id", trees=6, depth=3)
     assert got == features.forest_splits(df.repartition(7, "a"), "y", "id", trees=6, depth=3)
     assert got and got != features.forest_splits(df, "y", "id", trees=6, depth=3, seed=1)
-    assert features.feature_importance(df, "y", "id", k=1).first()["feature"] == "leak"
+    assert features.feature_importance(df, "y", k=1, key="id").first()["feature"] == "leak"
     many = df.withColumn("y", F.col("id") % 37)                     # any number of classes
     assert features.forest_splits(many, "y", "id", trees=2, depth=2)
-    assert features.feature_importance(df.withColumn("y", F.lit(1)), "y", "id").agg(F.sum("importance")).first()[0] == 0
+    assert features.feature_importance(df.withColumn("y", F.lit(1)), "y", key="id").agg(F.sum("importance")).first()[0] == 0
 
 
 def test_forest_of_a_tiny_table_equals_an_exhaustive_search(spark):
