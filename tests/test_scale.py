@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 from ripen.functions import scan
 from ripen.functions.quantile import exact_quantiles
+from ripen.functions.stats import spread
+from ripen.plans.apply import apply_plan
 
 
 def test_members_of_intervals_are_grouped_not_aggregated_one_by_one(spark, monkeypatch):
@@ -25,3 +27,27 @@ def test_members_of_intervals_are_grouped_not_aggregated_one_by_one(spark, monke
     assert sum(isinstance(r, scan.Members) for r in asked) == 2
     # one aggregate for the brackets: counts and a sketch for each column
     assert [len(r.exprs) for r in asked if isinstance(r, scan.Aggregate)] == [4]
+
+
+def test_a_plan_evaluates_the_expressions_of_its_input_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def costly(i):
+        seen.add(1)
+        return None if i % 7 == 0 else float(i % 50)
+    df = spark.range(0, 700, 1, 2).select("id", costly("id").alias("a"), (F.col("id") % 31 + 1).cast("double").alias("b"), (F.col("id") % 10 == 0).cast("int").alias("y"))
+    plan = [("profile_dataset", None), ("check_missing", None), ("fill_missing_median", "a"), ("normalize_standard", "a"), ("log_transform", "b"),
+            ("train_test_split", None), ("validate_no_leakage", None)]
+    out, log = apply_plan(df, [{"type": t, "column": c} for t, c in plan], "y", "id")
+    assert all(x[3] for x in log) and out.where("a is null").count() == 0 and out.count() == 700
+    assert seen.value == 700
+
+
+def test_few_splits_are_dealt_over_all_cores_before_costly_expressions(spark, tmp_path):
+    spark.range(1000).coalesce(1).write.parquet(f"{tmp_path}/one")
+    table = spark.read.parquet(f"{tmp_path}/one")
+    dealt = spread(table)
+    assert dealt.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism > table.rdd.getNumPartitions()
+    assert spread(dealt.withColumn("x", F.col("id") * 2)).rdd.getNumPartitions() == dealt.rdd.getNumPartitions()
+    assert sorted(r.id for r in dealt.collect()) == list(range(1000))
