@@ -1,11 +1,14 @@
 """Work that grows with the input alone: expressions evaluated once, tasks on all cores, plans of bounded size."""
 
+import hashlib
+
 import numpy as np
 from pyspark.sql import functions as F
 
 from ripen.functions import scan
 from ripen.functions.quantile import exact_quantiles
 from ripen.functions.stats import spread
+from ripen.operators import forest
 from ripen.plans.apply import apply_plan
 
 
@@ -51,3 +54,15 @@ def test_few_splits_are_dealt_over_all_cores_before_costly_expressions(spark, tm
     assert dealt.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism > table.rdd.getNumPartitions()
     assert spread(dealt.withColumn("x", F.col("id") * 2)).rdd.getNumPartitions() == dealt.rdd.getNumPartitions()
     assert sorted(r.id for r in dealt.collect()) == list(range(1000))
+
+
+def test_tree_weights_compare_digits_without_a_conversion_for_each_limit(spark):
+    for limit, x in zip(forest._reached(), forest.POISSON):
+        assert int(limit, 16) / 2**32 >= x > (int(limit, 16) - 1) / 2**32
+    w = forest._weights(F.col("id").cast("string"), 6, 7)
+    rows = spark.range(500).select("id", w.alias("w"))
+    assert "conv(" not in rows._jdf.queryExecution().analyzed().toString()
+    for r in rows.collect():
+        digits = "".join(hashlib.md5(f"{r.id}:forest7:{k}".encode()).hexdigest() for k in range(2))
+        draws = [int(digits[8 * t:8 * t + 8], 16) / 2**32 for t in range(6)]
+        assert list(r.w) == [sum(x <= d for x in forest.POISSON) for d in draws]
