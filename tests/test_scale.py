@@ -5,10 +5,10 @@ import hashlib
 import numpy as np
 from pyspark.sql import functions as F
 
-from ripen.functions import scan
+from ripen.functions import quantile, scan
 from ripen.functions.quantile import exact_quantiles
 from ripen.functions.stats import spread
-from ripen.operators import forest
+from ripen.operators import eda, forest
 from ripen.plans.apply import apply_plan
 
 
@@ -66,3 +66,64 @@ def test_tree_weights_compare_digits_without_a_conversion_for_each_limit(spark):
         digits = "".join(hashlib.md5(f"{r.id}:forest7:{k}".encode()).hexdigest() for k in range(2))
         draws = [int(digits[8 * t:8 * t + 8], 16) / 2**32 for t in range(6)]
         assert list(r.w) == [sum(x <= d for x in forest.POISSON) for d in draws]
+
+
+def test_intervals_that_are_too_full_to_collect_are_cut_again_for_all_ranks_together(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    values = np.round(rng.normal(size=(40_000, 2)), 4)
+    values[:9000, 1] = 0.25
+    df = spark.createDataFrame([(float(a), float(b)) for a, b in values], "a double, b double").repartition(4)
+    probs = [i / 20 for i in range(21)]
+    asked = []
+    answer = scan._answer
+
+    def watched(frame, requests):
+        asked.extend(r for of in requests.values() for r in of)
+        return answer(frame, requests)
+    monkeypatch.setattr(scan, "_answer", watched)
+    for group, cuts in ((quantile.MAX_GROUP, 0), (20, 2)):
+        # far more values in an interval than the driver would take
+        monkeypatch.setattr(quantile, "MAX_GROUP", group)
+        asked.clear()
+        targets = [(F.col(n), None, int(p * 39_999), 40_000, j) for j, n in enumerate("ab") for p in probs]
+        brackets = [tuple(np.quantile(values[:, j], [max(p - 0.01, 0), min(p + 0.01, 1)], method="nearest").tolist()) for j in range(2) for p in probs]
+        got = quantile.order_statistics(df, targets, max_collect=20, brackets=brackets)
+        want = [np.sort(values[:, j])[int(p * 39_999)] for j in range(2) for p in probs]
+        assert got == want
+        assert not any(isinstance(r, scan.Aggregate) for r in asked)          # no aggregate for each rank
+        assert sum(isinstance(r, scan.Cuts) for r in asked) >= cuts
+
+
+def test_the_value_at_a_rank_is_picked_where_the_values_are(spark):
+    rng = np.random.default_rng(6)
+    values = rng.normal(size=60_000)
+    df = spark.createDataFrame([(float(a),) for a in values], "a double").repartition(4)
+    rows = []
+    steps = quantile.order_steps([(F.col("a"), None, r, 60_000, 0) for r in (0, 29_999, 30_000, 59_999)], accuracy=100, max_collect=50)
+    asked = next(steps)
+    try:
+        while True:
+            rows.append([df.agg(*[e.alias(n) for n, e in r.exprs.items()]).first().asDict() for r in asked])
+            asked = steps.send(rows[-1])
+    except StopIteration as done:
+        assert done.value == [np.sort(values)[r] for r in (0, 29_999, 30_000, 59_999)]
+    # a sketch and a pass that verifies it: none to collect, and no list of values reaches the driver
+    assert len(rows) == 2
+    assert not any(isinstance(x, list) for n, x in rows[1][0].items())
+
+
+def test_gains_of_a_checkpointed_table_are_measured_once(spark):
+    df = spark.range(0, 4000, 1, 4).select((F.col("id") % 2).cast("int").alias("y"), (F.col("id") % 2 * 3.5).alias("leak"),
+                                           (F.col("id") * 7919 % 1000 / 10).alias("x"), (F.col("id") % 9).cast("string").alias("s"))
+    fixed = df.checkpoint()
+    first = eda.detect_leakage(fixed, "y").collect()
+    before = dict(scan.scans)
+    assert eda.leaky_columns(fixed, "y") == ["leak"] and eda.detect_leakage(fixed, "y").collect() == first
+    assert eda.leaky_columns(fixed, "y", known=["s"]) == ["leak", "s"]
+    assert scan.scans == before
+    # another target or another table has gains of its own; a table that may change is measured each time
+    assert eda.leaky_columns(fixed.drop("leak"), "y") == []
+    assert scan.scans != before
+    before = dict(scan.scans)
+    assert eda.detect_leakage(df, "y").collect() == eda.detect_leakage(df, "y").collect() == first
+    assert scan.scans["aggregate"] >= before["aggregate"] + 2
