@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ripen.functions import quantile, scan
 from ripen.functions.quantile import exact_quantiles
 from ripen.functions.stats import spread
-from ripen.operators import eda, forest
+from ripen.operators import balance, eda, forest
 from ripen.plans.apply import apply_plan
 
 
@@ -127,3 +127,12 @@ def test_gains_of_a_checkpointed_table_are_measured_once(spark):
     before = dict(scan.scans)
     assert eda.detect_leakage(df, "y").collect() == eda.detect_leakage(df, "y").collect() == first
     assert scan.scans["aggregate"] >= before["aggregate"] + 2
+
+
+def test_draws_of_synthetic_rows_are_worked_out_once_for_all_features(spark):
+    df = spark.range(0, 300, 1, 3).select("id", (F.col("id") % 10 == 0).cast("int").alias("y"),
+                                          *[(F.col("id") * p % 101).cast("double").alias(f"f{p}") for p in (7, 13, 29, 31)])
+    out = balance.smote(df, "y", ["f7", "f13", "f29", "f31"], "id")
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(":lambda42") == 1 and plan.count(":nn42") == 1
+    assert out.count() == 270 + 270
