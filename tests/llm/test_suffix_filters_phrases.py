@@ -5,10 +5,11 @@ from collections import Counter, defaultdict
 from itertools import permutations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from ripen.llm import filter_audit, phrases, suffix_array, suffix_dedup
+from ripen.llm import bitmap, filter_audit, phrases, suffix_array, suffix_dedup
 
 from .conftest import rows_of, sentence
 
@@ -94,6 +95,50 @@ def test_suffix_dedup_of_clashing_columns_and_nothing(corpus, empty):
     assert suffix_dedup.remove_earlier(empty).count() == 0
 
 
+def test_filter_lets_little_through_at_eight_bits_a_hash(spark):
+    rng = np.random.default_rng(11)
+    kept, other = (rng.integers(0, 1 << 63, 100_000, dtype=np.uint64) << np.uint64(1) for _ in range(2))
+    few = kept[:3]
+
+    def count(batches):
+        counts = bitmap.HashCounts(16, 1000)
+        for batch in batches:
+            for k in batch.column("id").to_pylist():
+                yield from counts.add(np.concatenate([kept, few, few] if k else [kept, other[:50_000]]))
+        yield from counts.deal()
+    dealt = spark.range(0, 2, 1, 2).mapInArrow(count, "chunk long, data binary")
+    assert bitmap.filter_bits(200_000, 16, 1 << 29) == 1 << 22 and bitmap.filter_bits(10**9, 16, 1 << 29) == 1 << 29
+    words, often, places = bitmap.counted_filter(dealt, 16, 1 << 20, 2, 4)          # 10 bits a hash
+    assert places == 200_006 and len(words) == 1 << 14
+    assert bitmap.has_high(words, kept).all()
+    assert bitmap.has_high(words, other).mean() < 0.05                              # with one bit a hash: 0.09
+    assert sorted(few >> np.uint64(24)) == often.tolist()
+    assert bitmap.among(often, few).all() and not bitmap.among(often, other).any() and not bitmap.among(often[:0], few).any()
+
+
+def test_seeds_use_the_whole_filter():
+    """Smallest hashes are small; as they are, nearly all of them would share an eighth of the words."""
+    rng = np.random.default_rng(12)
+    text = rng.integers(32, 127, 200_000).astype(np.uint8)
+    seeds = suffix_dedup._Bytes(text, np.array([0, len(text)]), 50).seeds()
+    share = np.bincount((seeds >> np.uint64(61)).astype(np.int64), minlength=8) / len(seeds)
+    assert share.min() > 0.1 and share.max() < 0.15
+
+
+def test_runs_of_near_copies_stand_together_and_are_merged_across_batches(spark):
+    words = [" ".join(f"w{(i * 31 + k) % 97}x{i}" for k in range(60)) for i in range(40)]
+    rows = [(d * 100 + i, ("" if d % 2 else "odd start ") + w) for d in range(4) for i, w in enumerate(words)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = rows_of(suffix_dedup.remove_earlier(df), "doc_id", "n_bytes", "n_removed", "n_spans", "kept")
+    assert got == brute_spans(rows)
+    one = pa.RecordBatch.from_pydict({"r1": pa.array([1, 1, 2]), "r2": pa.array([1, 1, 1], pa.int32()), "low": pa.array([5, 3, 9]), "high": pa.array([5, 8, 9]),
+                                      "text": pa.array([b"a", b"a", b"b"], pa.binary())})
+    two = pa.RecordBatch.from_pydict({"r1": pa.array([2, 2]), "r2": pa.array([1, 2], pa.int32()), "low": pa.array([4, 1]), "high": pa.array([4, 1]),
+                                      "text": pa.array([b"b", b"c"], pa.binary())})
+    merged = pa.Table.from_batches(suffix_dedup._merged(iter([one, one.slice(0, 0), two])))
+    assert merged.to_pydict() == {"r1": [1, 2, 2], "r2": [1, 1, 2], "low": [3, 4, 1], "high": [8, 9, 1], "text": [b"a", b"b", b"c"]}
+
+
 # ------------------------------------------------------------ 12 filter audit
 
 def brute_audit(docs, labels):
